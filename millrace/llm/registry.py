@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, line_dedup, mixing
+from millrace.llm import decontaminate, line_dedup, mixing, substring_dedup, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 
 #: Where SQL expresses the operator; the others are tested against brute force.
 SQL = {
     "op1_decontaminate": decontaminate.OP1_SQL,
+    "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
 }
