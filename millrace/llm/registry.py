@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, line_dedup, mixing, substring_dedup, token_counts
+from millrace.llm import decontaminate, line_dedup, mixing, quality_rules, substring_dedup, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 
@@ -17,5 +18,6 @@ SQL = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
+    "op7_quality_rules": quality_rules.OP7_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
 }
