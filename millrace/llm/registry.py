@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, line_dedup, mixing, quality_rules, substring_dedup, token_counts
+from millrace.llm import decontaminate, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_lm_score": lm_score.op2_lm_score,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
