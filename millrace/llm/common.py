@@ -7,14 +7,13 @@ and get the same result, once each.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.shared import written as written
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Between words ``[^\x20\x09-\x0D]+``.
 SPACE_SEPARATOR = r"[\x20\x09-\x0D]+"
@@ -79,34 +78,6 @@ def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
 
 
-# --- shared folder -----------------------------------------------------------
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a
-    temporary one if that is unset and Spark runs in one local process."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
-    spark.sparkContext._conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back.
-
-    What follows doesn't compute it again, neither for a second use nor after
-    the loss of an executor.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # --- inside Arrow-batched functions -----------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts
+from millrace.llm import decontaminate, jaccard_join, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
@@ -19,6 +20,7 @@ SQL = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
+    "op6_jaccard_join": jaccard_join.OP6_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
 }
