@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, jaccard_join, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts
+from millrace.llm import decontaminate, jaccard_join, licenses, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op9_mix_sources": mixing.op9_mix_sources,
+    "op10_license_scan": licenses.op10_license_scan,
 }
 
 #: Where SQL expresses the operator; the others are tested against brute force.
