@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, jaccard_join, licenses, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts
+from millrace.llm import decontaminate, jaccard_join, licenses, line_dedup, lm_score, mixing, quality_rules, secret_scan, substring_dedup, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_license_scan": licenses.op10_license_scan,
 }
