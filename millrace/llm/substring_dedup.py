@@ -50,61 +50,73 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def _first_level(window: int, short: int):
+    """Each text's distinct anchors, with how often they are in it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for rows in _rows(batches):
-            ids, keys, hs, places = [], [], [], []
+            ids, keys, hs, times = [], [], [], []
             for doc, key, text in rows:
-                g, at, _, _ = anchors(words.of(split(text)), window, short)
-                ids += [doc] * len(at)
-                keys.append(np.full(len(at), key, np.int64))
+                g, n = np.unique(anchors(words.of(split(text)), window, short)[0], return_counts=True)
+                ids += [doc] * len(g)
+                keys.append(np.full(len(g), key, np.int64))
                 hs.append(g.view(np.int64))
-                places.append(at)
+                times.append(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(hs)), pa.array(ids, pa.int64()), pa.array(np.concatenate(keys)),
-                 pa.array(np.concatenate(places), pa.int32())],
-                names=["h", *KEY, "at"],
+                [pa.array(np.concatenate(hs)), pa.array(np.concatenate(times), pa.int32()), pa.array(ids, pa.int64()),
+                 pa.array(np.concatenate(keys))],
+                names=["h", "times", *KEY],
             )
 
     return run
 
 
+_FURTHER = pa.schema(
+    [("doc_id", pa.int64()), ("text_key", pa.int64()), ("whole", pa.int64()), ("firsts", pa.list_(pa.int32())),
+     ("twice", pa.list_(pa.int64())), ("windows", pa.list_(pa.int64()))]
+)
+
+
 def _further_levels(window: int, short: int):
-    """For the anchors in ``ats``: the hashes of both windows of twice their length, of
-    all words that their windows cover, and of each such window."""
+    """For the anchors among ``hs``: the hash of all words that their windows cover together, where
+    such a stretch starts in the text, and the hashes of the windows of twice the anchor's length
+    around it and of the wanted windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for rows in _rows(batches):
-            out = {x: [] for x in ("doc_id", "text_key", "at", "twice", "whole", "first", "windows")}
-            for doc, key, text, ats in rows:
+            out = {x: [] for x in _FURTHER.names}
+            for doc, key, text, hs in rows:
                 h = words.of(split(text))
                 full = mixed(rolling(h, window, BASE))
                 twice = mixed(rolling(h, 2 * short, BASE) + np.uint64(1)).view(np.int64)
-                _, at, first, last = anchors(h, window, short)
-                ends = mixed(full[first] * np.uint64(BASE) + full[last] + (last - first).astype(np.uint64)).view(np.int64)
+                g, at, first, last = anchors(h, window, short)
+                # The first and the last window cover all words between them.
+                whole = mixed(full[first] * np.uint64(BASE) + full[last] + (last - first).astype(np.uint64)).view(np.int64)
                 full = full.view(np.int64)
-                for k in np.flatnonzero(np.isin(at, ats)):
-                    a = at[k]
-                    out["doc_id"].append(doc)
-                    out["text_key"].append(key)
-                    out["at"].append(a)
-                    out["twice"].append([twice[i] for i in (a - short, a) if 0 <= i < len(twice)])
-                    out["whole"].append(ends[k])
-                    out["first"].append(first[k])
-                    out["windows"].append(full[first[k] : last[k] + 1])
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                [("doc_id", pa.int64()), ("text_key", pa.int64()), ("at", pa.int32()), ("twice", pa.list_(pa.int64())),
-                 ("whole", pa.int64()), ("first", pa.int32()), ("windows", pa.list_(pa.int64()))]
-            ))
+                starts: dict[int, list[int]] = {}
+                for k in np.flatnonzero(np.isin(g.view(np.int64), hs)).tolist():
+                    w = int(whole[k])
+                    if w not in starts:
+                        starts[w] = []
+                        a = at[k]
+                        out["doc_id"].append(doc)
+                        out["text_key"].append(key)
+                        out["whole"].append(w)
+                        out["firsts"].append(starts[w])
+                        out["twice"].append([twice[i] for i in (a - short, a) if 0 <= i < len(twice)])
+                        out["windows"].append(full[first[k] : last[k] + 1])
+                    starts[w].append(int(first[k]))
+            yield pa.RecordBatch.from_pydict(out, schema=_FURTHER)
 
     return run
 
 
-def _repeated(hashes: DataFrame, weight=None) -> DataFrame:
-    """(rh): the values of the column h of which there are two at least."""
-    n = F.count("*") if weight is None else F.sum(weight)
-    return hashes.groupBy("h").agg(n.alias("n")).filter("n > 1").select(F.col("h").alias("rh"))
+def _repeated(hashes: DataFrame) -> DataFrame:
+    """(rh): the values of the column h that are there two times at least."""
+    n = hashes.groupBy("h").agg(F.sum("times").alias("n"))
+    # Written, so that Spark can split the join of a hot hash with its rows.
+    return written(n.filter("n > 1").select(F.col("h").alias("rh")), "repeated")
 
 
 def repeated_spans(
@@ -118,47 +130,53 @@ def repeated_spans(
     )
     # The first level: anchors.
     level = written(
-        base.mapInArrow(_first_level(window, short), "h bigint, doc_id bigint, text_key bigint, at int"), "anchors"
+        base.mapInArrow(_first_level(window, short), "h bigint, times int, doc_id bigint, text_key bigint"), "anchors"
     )
     alive = level.join(_repeated(level), F.col("h") == F.col("rh"), "left_semi")
-    per_document = alive.groupBy(*KEY).agg(F.collect_set("at").alias("ats")).select(
-        F.col("doc_id").alias("i"), F.col("text_key").alias("k"), "ats"
+    per_document = alive.groupBy(*KEY).agg(F.collect_set("h").alias("hs")).select(
+        F.col("doc_id").alias("i"), F.col("text_key").alias("k"), "hs"
     )
     found = base.join(per_document, base["doc_id"].eqNullSafe(F.col("i")) & (base["text_key"] == F.col("k")))
     level = written(
-        found.select(*KEY, "text", "ats").mapInArrow(
+        found.select(*KEY, "text", "hs").mapInArrow(
             _further_levels(window, short),
-            "doc_id bigint, text_key bigint, at int, twice array<bigint>, whole bigint, first int, windows array<bigint>",
+            "doc_id bigint, text_key bigint, whole bigint, firsts array<int>, twice array<bigint>, windows array<bigint>",
         ),
         "windows",
     )
-    # The second level: either window of twice the length around the anchor lies in each wanted window.
-    each = level.select(*KEY, "at", F.explode_outer("twice").alias("h"))
-    alive = each.join(_repeated(each), F.col("h") == F.col("rh"), "left_semi").select(*KEY, "at").distinct()
-    alive = alive.select(F.col("doc_id").alias("i"), F.col("text_key").alias("k"), F.col("at").alias("a"))
-    level = level.join(
-        alive,
-        level["doc_id"].eqNullSafe(F.col("i")) & (level["text_key"] == F.col("k")) & (level["at"] == F.col("a")),
-        "left_semi",
-    )
-    # The last level.  Where all words under an anchor's windows are repeated together, so is
-    # each window; the others are compared one by one, with each other and with one copy of those.
-    whole = level.groupBy(F.col("whole").alias("wh")).agg(F.count("*").alias("n"), F.first("windows").alias("copy"))
+    # Where all words under an anchor's windows are repeated together, so is each of its windows.
+    wholes = _repeated(level.select(F.col("whole").alias("h"), F.size("firsts").alias("times")))
     judged = written(
-        level.join(whole.filter("n > 1").select("wh", F.lit(True).alias("sure")), F.col("whole") == F.col("wh"), "left")
-        .select(*KEY, "first", "whole", "windows", F.coalesce("sure", F.lit(False)).alias("sure")),
+        level.join(wholes, F.col("whole") == F.col("rh"), "left").select(
+            *KEY, "whole", "firsts", "twice", "windows", F.col("rh").isNotNull().alias("sure")
+        ),
         "judged",
     )
-    unsure = judged.filter("not sure").select(*KEY, "first", F.posexplode_outer("windows").alias("k", "h"))
-    copies = judged.filter("sure").groupBy("whole").agg(F.first("windows").alias("w")).select(F.explode_outer("w").alias("h"))
-    counted = _repeated(
-        unsure.select("h", F.lit(1).alias("w")).unionByName(copies.select("h", F.lit(2).alias("w"))), F.col("w")
+    sure, unsure = judged.filter("sure"), judged.filter("not sure")
+    # The others are compared with each other and with one copy of those, which counts two times.
+    copies = sure.groupBy("whole").agg(F.first("twice").alias("twice"), F.first("windows").alias("windows"))
+
+    def level_of(column: str) -> tuple[DataFrame, DataFrame]:
+        rows = unsure.select(*KEY, "whole", F.col("firsts")[0].alias("first"), F.posexplode_outer(column).alias("k", "h"))
+        other = copies.select(F.explode_outer(column).alias("h"), F.lit(2).alias("times"))
+        return rows, _repeated(rows.select("h", F.lit(1).alias("times")).unionByName(other))
+
+    # The second level: of the windows of twice the anchor's length, one lies in each wanted window.
+    rows, again = level_of("twice")
+    alive = rows.join(again, F.col("h") == F.col("rh"), "left_semi").select(*KEY, "whole").distinct()
+    alive = alive.select(F.col("doc_id").alias("i"), F.col("text_key").alias("t"), F.col("whole").alias("w"))
+    unsure = unsure.join(
+        alive,
+        unsure["doc_id"].eqNullSafe(F.col("i")) & (unsure["text_key"] == F.col("t")) & (unsure["whole"] == F.col("w")),
+        "left_semi",
     )
-    single = unsure.join(counted, F.col("h") == F.col("rh"), "left_semi").select(
+    # The last level: the wanted windows.
+    rows, again = level_of("windows")
+    single = rows.join(again, F.col("h") == F.col("rh"), "left_semi").select(
         *KEY, F.struct((F.col("first") + F.col("k")).alias("start"), F.lit(1).alias("n")).alias("span")
     )
-    many = judged.filter("sure").select(
-        *KEY, F.struct("first", F.size("windows").alias("n")).cast("struct<start:int,n:int>").alias("span")
+    many = sure.select(*KEY, F.explode_outer("firsts").alias("first"), F.size("windows").alias("n")).select(
+        *KEY, F.struct(F.col("first").alias("start"), "n").alias("span")
     )
     return single.unionByName(many).groupBy(*KEY).agg(F.collect_set("span").alias("spans"))
 
