@@ -40,7 +40,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its size, its source's size and target, and the words that the mix takes.
 
-    Rows that agree in id and text share what is taken from them.
+    Rows that agree in id, text and source share what is taken from them.  Columns of the
+    documents that are named like these give way to them.
     """
     mixed = mixing.mix(docs).groupBy(F.col("doc_id").alias("i"), F.col("text_key").alias("k"), F.col("source").alias("s")).agg(
         F.max("size").alias("size"),
@@ -51,7 +52,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     packed = docs.select(F.struct("*").alias("row"))
     row = F.col("row")
     same = row["doc_id"].eqNullSafe(F.col("i")) & (text_key(row["text"]) == F.col("k")) & row["source"].eqNullSafe(F.col("s"))
-    return packed.join(mixed, same).select("row.*", "size", "source_size", "target", "taken")
+    own = ["size", "source_size", "target", "taken"]
+    return packed.join(mixed, same).select(*[row[c].alias(c) for c in docs.columns if c not in own], *own)
 
 
 STAGES = [
