@@ -288,19 +288,21 @@ def score(
     sizes = n + 0.5 * (v + 1)
     classes = written(train.mapInArrow(_classes, "classes binary"), "classes")
     model = fit(classes, sizes / sizes.sum(), rounds)
-    top = vocabulary.orderBy(F.desc("c"), "h").limit(frequent)
-    # The least frequent of the broadcast words: all words from its count on, in this order, are among them.
-    edge = vocabulary.agg(F.count("*")).first()[0] > frequent
-    table = top.toArrow()
+    # Words by the size of their count, in steps of 1/16 of a doubling: the frequent ones
+    # are those of the uppermost steps that together hold no more words than are broadcast.
+    step = F.floor(F.log2("c") * 16).cast("int")
+    steps = sorted(((r["step"], r["words"]) for r in vocabulary.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()), reverse=True)
+    edge, held = 1 << 30, 0
+    for at, words in steps:
+        held += words
+        if held > frequent:
+            break
+        edge = at
+    table = vocabulary.filter(step >= edge).toArrow()
     h, c = table["h"].to_numpy().view(np.uint64), table["c"].to_numpy()
     by_hash = np.argsort(h)
     sent = documents.sparkSession.sparkContext.broadcast((model, h[by_hash], np.log10(c[by_hash] + 0.5), np.log10(sizes)))
-    rest = vocabulary
-    if edge:
-        last_c, last_h = int(c[-1]), int(h.view(np.int64)[-1])
-        rest = vocabulary.filter((F.col("c") < last_c) | ((F.col("c") == last_c) & (F.col("h") > last_h)))
-    else:
-        rest = vocabulary.filter(F.lit(False))
+    rest = vocabulary.filter(step < edge)
     rows = base.mapInArrow(
         _score(sent),
         "doc_id bigint, text_key bigint, h bigint, n int, head struct<n:bigint,known:bigint,logs:double,score:double>",
