@@ -165,7 +165,11 @@ def top_nodes(degree_rows: DataFrame, names: DataFrame | None = None, k: int = 1
 
 def relation_stats(edge_rows: DataFrame, members: DataFrame, relations: DataFrame) -> DataFrame:
     """The flat document of each of ``relations`` (relation, source_type, target_type): edges, both sides, cardinality."""
-    pairs = pair_counts(orient(edge_rows, members))
+    return pair_stats(pair_counts(orient(edge_rows, members)), members, relations)
+
+
+def pair_stats(pairs: DataFrame, members: DataFrame, relations: DataFrame) -> DataFrame:
+    """``relation_stats`` from the pair counts."""
     degree_rows = degrees(pairs)
     sides = relations.select("relation", F.explode(F.array(F.lit("s"), F.lit("t"))).alias("side")).join(
         member_totals(members), ["relation", "side"], "left"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,6 +114,27 @@ def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(part(1).alias("date"), part(2).alias("kind"), stem(F.col("path")).alias("stem")).filter("kind <> ''")
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``read_documents``, or no rows where the path isn't there: views do without such metadata."""
+    try:
+        return read_documents(spark, path, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{schema}, stem string")
+
+
+def read_snapshot(spark: SparkSession, root: str, schema: str, snapshot: str, stem: str | None = None) -> DataFrame:
+    """Documents that ``write_documents`` wrote by snapshot, and by stem if that is given; other folders aren't read.
+
+    The folders' names stay texts, as dates of days without a 0 aren't all dates to Spark.  A snapshot or stem that isn't
+    there has no rows.
+    """
+    keys = "snapshot string" + (", stem string" if stem is not None else "")
+    found = spark.read.schema(f"{schema}, {keys}").json(root).filter(F.col("snapshot") == snapshot)
+    return found if stem is None else found.filter(F.col("stem") == stem)
+
+
 # --- metadata ----------------------------------------------------------------
 
 

@@ -153,3 +153,17 @@ def test_pie(spark):
     f = spark.createDataFrame([("r", "s", "i", 0.3), ("r", "s", "j", 0.1), ("r", "s", "k", 0.0)], "relation string, side string, island string, fraction double")
     got = views.pie_layout(f).orderBy("idx").collect()
     assert [(r.island, round(r.part, 9), round(r.start, 9), r.idx, r.r) for r in got] == [("i", 0.75, 0.0, 0, 235), ("j", 0.25, 0.75, 1, 220)]
+
+
+def test_snapshots_are_read_by_folder(spark, tmp_path):
+    rows = [("2025-11-3", "A", 1), ("2025-11-13", "A", 2), ("2025-11-13", "B", 3)]
+    catalogue.write_documents(spark.createDataFrame(rows, "snapshot string, stem string, count long"), str(tmp_path / "p"), ["snapshot", "stem"])
+    read = lambda *a: catalogue.read_snapshot(spark, str(tmp_path / "p"), "count bigint", *a)
+    assert [r["count"] for r in read("2025-11-13", "A").collect()] == [2] and read("2025-11-4", "A").count() == 0
+    assert "PartitionFilters: [isnotnull(snapshot" in read("2025-11-3", "A")._jdf.queryExecution().toString()
+
+
+def test_missing_metadata_is_empty_and_a_missing_index_fails(spark, tmp_path):
+    assert catalogue.read_or_empty(spark, str(tmp_path / "no"), catalogue.NODE_TYPE).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        catalogue.read_documents(spark, str(tmp_path / "no"), catalogue.NODE_TYPE)

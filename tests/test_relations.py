@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import islands, profiles, relations
 from millrace.operators.components import connected_components
+from millrace.plans import documents
 
 MEMBER = "relation string, side string, uuid string"
 
@@ -144,3 +145,30 @@ def test_profile_documents(spark):
     assert docs["E"].attributes == [] and docs["T"].attributes[0].asDict() == {
         "name": "a", "count": 1, "pct": 50.0, "unique_count": 1, "unique_pct": 100.0,
     }
+
+
+def test_full_document(spark):
+    """Two edges of one source; a relation without edges; nodes with and without names."""
+    ids = [f"{i:02}" for i in range(16)]
+    rows = [("r", "03", "07"), ("r", "03", "11"), ("q", "zz", "yy")]
+    edge_rows = relations.edges(spark.createDataFrame(rows, "relation string, u0 string, u1 string"))
+    mem = [(r, s, x) for r in ("r", "e") for s in "st" for x in ids]
+    entries = spark.createDataFrame(
+        [(r, "N", "d", None, "application", "A", "a", "B", "b", None, None) for r in ("r", "e", "q")],
+        "technicalName string, name string, description string, engDescription string, type string, source_type string, source_name string, "
+        "target_type string, target_name string, sourceCardinality struct<min:bigint,max:bigint>, targetCardinality struct<min:bigint,max:bigint>",
+    )
+    names = spark.createDataFrame([("03", "Three", "c3")], "uuid string, name string, code string")
+    attrs = spark.createDataFrame([("r", "k", "K", None, "critical", "STRING")], "type string, name string, attribute_name string, description string, mandatory string, attributeTypeEnum string")
+    got = {x.relation_name: x.asDict(recursive=True) for x in documents.relation_profiles(edge_rows, spark.createDataFrame(mem, MEMBER), entries, names, attrs).collect()}
+    r, e, q = got["r"]["stats"], got["e"]["stats"], got["q"]["stats"]
+    assert (r["edges_total"], r["parallel_max"], r["source_connected"], r["target_connected"], r["cardinality"]) == (2, 1, 1, 2, "one-to-many")
+    assert r["degree_source"] == {"min": 2, "max": 2, "avg": 2.0, "median": 2.0, "p90": 2, "p99": 2}
+    assert r["top_source"] == [{"uuid": "03", "degree": 2, "name": "Three", "code": "c3"}]
+    assert [x["name"] for x in r["top_target"]] == ["(unnamed)"] * 2
+    assert r["islands"]["multi_islands"] == [{"size_total": 3, "size_source": 1, "size_target": 2, "fraction_total": 3 / 32, "top_source_uuid": "03", "top_source_degree": 2, "top_target_uuid": "07", "top_target_degree": 1}]
+    assert r["islands"]["source"] == {"total_nodes": 16, "total_islands": 16, "singleton_islands": 16, "multi_islands": []}
+    assert r["islands"]["target"]["multi_islands"] == [{"size": 2, "fraction": 0.125, "size_total": 3, "top_uuid": "07", "top_degree": 1}]
+    assert got["r"]["attributes"] == [{"technicalName": "k", "name": "K", "description": None, "mandatory": "critical", "attributeTypeEnum": "STRING"}]
+    assert (e["cardinality"], e["degree_source"], e["top_source"], e["parallel_max"], e["islands"]["singleton_islands"]) == ("empty", None, [], 0, 32)
+    assert (q["ambiguous_pairs"], q["source_total"], q["source_connected"], q["islands"]["total_nodes"]) == (1, 0, 1, 0)
