@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,7 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     name = spark.sparkContext.applicationId
     if name not in _local:
-        _local[name] = "file://" + tempfile.mkdtemp(prefix="millrace-")
+        folder = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local[name] = f"file://{folder}"
     return _local[name]
 
 
