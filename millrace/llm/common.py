@@ -73,11 +73,6 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text, F.length(text))
 
 
-def same_document(a: DataFrame, b: DataFrame) -> Column:
-    """The null-safe join condition on ``doc_id`` and ``text_key``."""
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
-
-
 # --- inside Arrow-batched functions -----------------------------------------
 
 
