@@ -8,20 +8,21 @@ to them, are put on an inverted list for each shingle.  The boundary between
 light and heavy is where the cost of enumerating passes that of scanning.
 
 Lists are scanned in two rounds.  First each set is compared with its list's
-least one; then, in lists that still hold sets of different components, those
-outside the least one's component are compared with the others.  What is left
-out are pairs that are linked already, over others, and pairs that by size and
-place of the shared shingle can't be similar enough.
+centre; then, in lists that still hold sets of different components, those
+outside the centre's component are compared with the others.  What is left out
+are pairs that are linked already, over others, and pairs that by size, place
+of the shared shingle or signature can't be similar enough.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WordHashes, mixed, rolling, text_key, written
@@ -29,12 +30,16 @@ from millrace.operators.components import connected_components
 
 BASE = 0x9E3779B97F4A7C15
 #: Cells of the count sketch that orders shingles; it has this size for any corpus.
-CELLS = 1 << 20
-BLOCK = 1 << 12
+CELLS = 1 << 22
+BLOCK = 1 << 16
+#: Bits of a set's signature: how many of its hashes fall into each of so many bins, odd or even.
+PARITIES = 512
 #: What a scanned entry of a list costs, in keys written.
 SCAN_COST = 4
 #: No set larger than this is light.
 MOST_LIGHT = 64
+#: So many ids of texts to compare are broadcast to find these; beyond that they are joined.
+BROADCAST_ROWS = 200_000
 
 
 def shingles(words: WordHashes, text: str | None, size: int) -> np.ndarray:
@@ -51,6 +56,12 @@ def node_of(found: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def parities(found: np.ndarray) -> list[int]:
+    """The signature as 64-bit numbers.  Two sets' signatures differ in no more bits than the sets in shingles."""
+    odd = np.bincount(((found >> np.uint64(40)) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -77,39 +88,50 @@ def boundary(cells: np.ndarray, percent: int) -> int:
 # --- first pass: sets and their counts ----------------------------------------
 
 _FIRST = pa.schema(
-    [("doc_id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())]
-)
+    [("doc_id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("signature", pa.list_(pa.int64())),
+     ("block", pa.int32()), ("counts", pa.binary())]
+)
 
 
 def _first_pass(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, cells = WordHashes(), np.zeros(CELLS, np.int64)
         for b in batches:
-            nodes, sizes = [], []
+            nodes, sizes, signatures = [], [], []
             for text in b.column(2):
                 s = shingles(words, text.as_py(), size)
                 nodes.append(node_of(s))
                 sizes.append(len(s))
+                signatures.append(parities(s))
                 np.add.at(cells, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
             k = b.num_rows
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
+                 pa.array(signatures, pa.list_(pa.int64())), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
                 schema=_FIRST,
             )
-        rows = [(i, x.tobytes()) for i, x in enumerate(cells.reshape(-1, BLOCK)) if x.any()]
+        rows = [(i, _packed(x)) for i, x in enumerate(cells.reshape(-1, BLOCK)) if x.any()]
         k = len(rows)
         none = pa.nulls(k, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.nulls(k, pa.int32()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
+            [none, none, none, pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
             schema=_FIRST,
         )
 
     return run
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.int64)
+
+
 def _sum_blocks(batch: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.int64) for x in batch["counts"])
-    return pa.table({"block": batch["block"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+    total = sum(_unpacked(x.as_py()) for x in batch["counts"])
+    return pa.table({"block": batch["block"][:1], "counts": pa.array([_packed(total)], pa.binary())})
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
@@ -119,7 +141,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
     table = some.groupBy("block").applyInArrow(_sum_blocks, "block int, counts binary").toArrow()
     cells = np.zeros((CELLS // BLOCK, BLOCK), np.int64)
     for block, counts in zip(table["block"].to_pylist(), table["counts"].to_pylist(), strict=True):
-        cells[block] = np.frombuffer(counts, np.int64)
+        cells[block] = _unpacked(counts)
     return cells.reshape(-1)
 
 
@@ -149,10 +171,10 @@ def _keys(sent, light: int, percent: int, size: int):
                 if n <= light:
                     i, j = np.triu_indices(len(s), 1)
                     found.append(mixed(s[i] * np.uint64(BASE) + s[j]))
-                    at.append(np.zeros(len(i), np.int64))
+                    at.append(np.zeros(len(i), np.int64))  # subsets have no place
                 if n > light or n >= near:
                     found.append(s[:p])
-                    at.append(np.arange(len(s[:p])))
+                    at.append(np.arange(1, len(s[:p]) + 1))
                 at = np.concatenate(at)
                 keys += found
                 places.append((n << 32) + at)
@@ -166,12 +188,39 @@ def _keys(sent, light: int, percent: int, size: int):
     return run
 
 
+def _size(place: str) -> Column:
+    return F.shiftright(place, 32).cast("int")
+
+
+def _needed(n: Column, m: Column, percent: int) -> Column:
+    """How many shingles sets of these sizes must share."""
+    return F.ceil(percent * (n + m) / F.lit(100 + percent))
+
+
+def _behind(n: Column, percent: int) -> Column:
+    """Shingles that aren't in the prefix."""
+    return F.ceil(percent * n / F.lit(100)) - 1
+
+
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether sets that share a shingle at these places may share enough."""
-    n = lambda x: F.shiftright(x, 32)
-    after = lambda x: n(x) - F.col(x).bitwiseAND(F.lit(0xFFFFFFFF))
-    enough = (100 + percent) * F.least(after(a), after(b)) >= percent * (n(a) + n(b))
-    return (100 * F.least(n(a), n(b)) >= percent * F.greatest(n(a), n(b))) & enough
+    """Whether sets whose first shared shingle of the prefixes is at these places may share enough."""
+    after = lambda x: _size(x) - F.greatest(F.col(x).bitwiseAND(F.lit(0xFFFFFFFF)) - 1, F.lit(0))
+    enough = F.least(after(a), after(b)) >= _needed(_size(a), _size(b), percent)
+    return (100 * F.least(_size(a), _size(b)) >= percent * F.greatest(_size(a), _size(b))) & enough
+
+
+def _apart(a: str, b: str) -> Column:
+    """In how many bits two signatures differ; they stand in the columns a0, a1 and so on."""
+    return sum((F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(PARITIES // 64)), F.lit(0))
+
+
+def _signed(prefix: str) -> list[Column]:
+    return [F.col("signature")[k].alias(f"{prefix}{k}") for k in range(PARITIES // 64)]
+
+
+def _close(n: Column, m: Column, apart: Column, percent: int) -> Column:
+    """Whether the sets may differ in so few shingles as similar ones do."""
+    return apart <= n + m - 2 * _needed(n, m, percent)
 
 
 # --- comparing ----------------------------------------------------------------
@@ -202,6 +251,27 @@ def _similar(percent: int):
     return run
 
 
+def _promising(pairs: DataFrame, prefixes: DataFrame, light: int, percent: int) -> DataFrame:
+    """Pairs that share so much of their prefixes that with all shingles behind them they may share enough.
+
+    Behind the prefix that ends first, in the common order, everything may be
+    shared; before its end only what both prefixes have.
+    """
+    def with_both(rows: DataFrame, *columns: str) -> DataFrame:
+        for k in "ab":
+            own = prefixes.select(F.col("node").alias(f"i{k}"), *[F.col(c).alias(f"{c}_{k}") for c in columns])
+            rows = rows.join(own, F.col(k) == F.col(f"i{k}")).drop(f"i{k}")
+        return rows
+
+    n, m = F.col("n_a"), F.col("n_b")
+    apart = sum((F.bit_count(F.col("signature_a")[k].bitwiseXOR(F.col("signature_b")[k])) for k in range(PARITIES // 64)), F.lit(0))
+    # Sizes and signatures are small; only what they leave gets the keys, and only what these leave the sets.
+    close = with_both(pairs, "n", "signature").filter(_close(n, m, apart, percent)).select("a", "b", "n_a", "n_b")
+    most = F.size(F.array_intersect("keys_a", "keys_b")) + F.greatest(_behind(n, percent), _behind(m, percent))
+    both_light = (n <= light) & (m <= light)
+    return with_both(close, "keys").filter(both_light | (most >= _needed(n, m, percent))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("node").alias("i"), F.col("members").alias("x"))
     two = sets.select(F.col("node").alias("j"), F.col("members").alias("y"))
@@ -230,57 +300,92 @@ def similar_documents(
         F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
     )
     first = written(
-        base.mapInArrow(_first_pass(size), "doc_id bigint, text_key bigint, node bigint, n int, block int, counts binary"), "sets"
+        base.mapInArrow(_first_pass(size), "doc_id bigint, text_key bigint, node bigint, n int, signature array<bigint>, block int, counts binary"), "sets"
     )
-    members = first.filter("block is null").select("doc_id", "text_key", "node", "n")
+    members = first.filter("block is null").select("doc_id", "text_key", "node", "n", "signature")
     cells = _sketch(first.filter("block is not null"))
     sent = context.broadcast(np.minimum(cells, 2**32 - 1).astype(np.uint32))
-    keys = base.select("text").mapInArrow(
-        _keys(sent, boundary(cells, percent), percent, size), "key bigint, node bigint, place bigint"
-    )
-    # One shuffle by key serves both the lists' least sets and the join with them.
-    keys = keys.repartition("key")
-    lists = keys.groupBy(F.col("key").alias("k")).agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
-    shared = written(
-        keys.join(lists.hint("shuffle_hash"), F.col("key") == F.col("k")).select("key", "node", "place", "least"), "lists"
-    )
-    # The sets that are compared: those on a list with another.
-    wanted = shared.select(F.col("node").alias("w")).distinct()
+    light = boundary(cells, percent)
+    keys = base.select("text").mapInArrow(_keys(sent, light, percent, size), "key bigint, node bigint, place bigint")
+    # Keys that one set alone has make no list; one shuffle shows which do.
+    of_key = Window.partitionBy("key")
+    lists = keys.withColumn("x", F.min("node").over(of_key)).withColumn("y", F.max("node").over(of_key))
+    shared = written(lists.filter("x <> y").select("key", "node", "place"), "lists")
+    is_shingle = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)) > 0
+    prefixes = shared.groupBy("node").agg(F.max(_size("place")).alias("n"), F.collect_set(F.when(is_shingle, F.col("key"))).alias("keys"))
+    signatures = members.groupBy(F.col("node").alias("of")).agg(F.first("signature").alias("signature"))
+    prefixes = written(prefixes.join(signatures, F.col("node") == F.col("of")).drop("of"), "prefixes")
+    # The shingle before, on the node's lists: two sets that share it too are found there already.
+    before = F.lag("key").over(Window.partitionBy("node", is_shingle).orderBy("place"))
+    shared = shared.dropDuplicates(["key", "node"]).withColumn("before", F.when(is_shingle, before))
+    shared = written(shared, "shared")
     one_each = members.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("d"))
-    chosen = one_each.join(wanted, F.col("node") == F.col("w"), "left_semi").select(
-        "node", F.col("d.doc_id").alias("i"), F.col("d.text_key").alias("t")
-    )
-    texts = base.join(chosen, base["doc_id"].eqNullSafe(F.col("i")) & (base["text_key"] == F.col("t"))).select("node", "text")
-    sets = written(texts.dropDuplicates(["node"]).mapInArrow(_sets(size), "node bigint, members binary"), "members")
-    # Round one.
-    pairs = shared.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_verified(pairs, sets, percent), "links")
-    known = connected_components(links)
-    # Round two.
-    known = known.select(F.col("node").alias("o"), "component")
-    labelled = shared.groupBy("key", "node").agg(F.first("place").alias("place"), F.first("least").alias("least"))
-    labelled = written(
-        labelled.join(known, F.col("node") == F.col("o"), "left").select(
-            "key", "node", "place", "least", F.coalesce("component", "node").alias("component")
-        ),
-        "labelled",
-    )
-    of_least = F.max(F.when(F.col("node") == F.col("least"), F.col("component"))).alias("main")
-    still = labelled.groupBy(F.col("key").alias("k")).agg(F.min("component").alias("x"), F.max("component").alias("y"), of_least)
-    still = still.filter("x <> y").select("k", "main")
-    left = labelled.join(still, F.col("key") == F.col("k")).drop("k").filter("node <> least")
+
+    def verified(candidates: DataFrame) -> DataFrame:
+        promising = written(_promising(candidates, prefixes, light, percent), "pairs")
+        nodes = promising.select(F.explode(F.array("a", "b")).alias("w")).distinct()
+        chosen = written(
+            one_each.join(nodes, F.col("node") == F.col("w"), "left_semi").select(
+                "node", F.col("d.doc_id").alias("i"), F.col("d.text_key").alias("t")
+            ),
+            "chosen",
+        )
+        few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+        texts = base.join(few, base["doc_id"].eqNullSafe(F.col("i")) & (base["text_key"] == F.col("t"))).select("node", "text")
+        sets = written(texts.mapInArrow(_sets(size), "node bigint, members binary"), "members").dropDuplicates(["node"])
+        return written(_verified(promising, sets, percent), "links")
+
+    # Round one: each list's sets with its centre, the set that has the shared shingle earliest in
+    # its prefix, and so the fewest rarer ones.
+    at = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at")
+
+    def starred(rows: DataFrame) -> DataFrame:
+        centres = rows.groupBy(F.col("key").alias("k")).agg(F.min(F.struct(at, "node", "place")).alias("x"))
+        return rows.join(centres, F.col("key") == F.col("k")).select(
+            "key", "node", "place", "before", F.col("x.node").alias("centre"), F.col("x.place").alias("centre_place")
+        )
+
+    def compared(stars: DataFrame) -> DataFrame:
+        pairs = stars.filter((F.col("node") != F.col("centre")) & _possible("place", "centre_place", percent))
+        return verified(pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct())
+
+    def still_open(stars: DataFrame, links: DataFrame) -> DataFrame:
+        """The rows, with their components, of lists of several; main is the centre's component."""
+        known = connected_components(links).select(F.col("node").alias("o"), "component")
+        rows = written(
+            stars.join(known, F.col("node") == F.col("o"), "left").select(
+                "key", "node", "place", "before", "centre", F.coalesce("component", "node").alias("component")
+            ),
+            "labelled",
+        )
+        of_centre = F.max(F.when(F.col("node") == F.col("centre"), F.col("component"))).alias("main")
+        lists = rows.groupBy(F.col("key").alias("k")).agg(F.min("component").alias("x"), F.max("component").alias("y"), of_centre)
+        return rows.join(lists.filter("x <> y").select("k", "main"), F.col("key") == F.col("k")).drop("k")
+
+    stars = written(starred(shared), "stars")
+    links = compared(stars)
+    # Once more for what isn't linked to the centre.
+    outside = still_open(stars, links).filter("component <> main").select("key", "node", "place", "before")
+    links = written(links.unionByName(compared(starred(outside))), "links")
+    # Round two: what isn't linked yet, in lists of several components.
+    left = still_open(stars, links).filter("node <> centre")
+    left = left.join(signatures, F.col("node") == F.col("of")).drop("of")
     outside = left.filter("component <> main").select(
-        F.col("key").alias("ka"), F.col("node").alias("a"), F.col("place").alias("pa"), F.col("component").alias("ca")
-    )
+        F.col("key").alias("ka"), F.col("node").alias("a"), F.col("place").alias("pa"), F.col("component").alias("ca"),
+        F.col("before").alias("ba"), *_signed("sa"),
+    )
     others = left.select(
-        F.col("key").alias("kb"), F.col("node").alias("b"), F.col("place").alias("pb"), F.col("component").alias("cb"), "main"
-    )
+        F.col("key").alias("kb"), F.col("node").alias("b"), F.col("place").alias("pb"), F.col("component").alias("cb"),
+        F.col("before").alias("bb"), "main", *_signed("sb"),
+    )
     again = outside.join(
         others,
         (F.col("ka") == F.col("kb")) & (F.col("ca") != F.col("cb")) & _possible("pa", "pb", percent)
-        & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))),
+        & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+        & (F.col("ba").isNull() | F.col("bb").isNull() | (F.col("ba") != F.col("bb")))
+        & _close(_size("pa"), _size("pb"), _apart("sa", "sb"), percent),
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _verified(again, sets, percent)
+    more = verified(again)
     final = connected_components(links.unionByName(more)).select(F.col("node").alias("o"), "component")
     # Names: the least doc_id of each node, then of each component.
     named = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("own"))
