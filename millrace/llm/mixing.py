@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import space_words, text_key, written
 
 #: Documents in a range of keys, about.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 500
 
 
 def source_targets(
