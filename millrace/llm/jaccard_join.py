@@ -30,8 +30,8 @@ from millrace.operators.components import connected_components
 
 BASE = 0x9E3779B97F4A7C15
 #: Cells of the count sketch that orders shingles; it has this size for any corpus.
-CELLS = 1 << 22
-BLOCK = 1 << 16
+CELLS = 1 << 20
+BLOCK = 1 << 14
 #: Bits of a set's signature: how many of its hashes fall into each of so many bins, odd or even.
 PARITIES = 512
 #: What a scanned entry of a list costs, in keys written.
@@ -162,7 +162,7 @@ def _keys(sent, light: int, percent: int, size: int):
                 node = node_of(s)
                 if n < 4 or node in seen:
                     continue
-                if len(seen) > 200_000:
+                if len(seen) > 50_000:
                     seen.clear()  # copies of a set only cost room
                 seen.add(node)
                 p = prefix_length(n, percent)
@@ -307,18 +307,26 @@ def similar_documents(
     sent = context.broadcast(np.minimum(cells, 2**32 - 1).astype(np.uint32))
     light = boundary(cells, percent)
     keys = base.select("text").mapInArrow(_keys(sent, light, percent, size), "key bigint, node bigint, place bigint")
-    # Keys that one set alone has make no list; one shuffle shows which do.
-    of_key = Window.partitionBy("key")
-    lists = keys.withColumn("x", F.min("node").over(of_key)).withColumn("y", F.max("node").over(of_key))
-    shared = written(lists.filter("x <> y").select("key", "node", "place"), "lists")
+    # One shuffle by key makes the lists.  Copies of a set go, and so do sets without another of
+    # fitting size on the list, which is next to them by size if there is one.  A list's centre is
+    # the set that has the shared shingle earliest in its prefix, and so the fewest rarer ones.
+    by_size = Window.partitionBy("key").orderBy("place", "node")
+    lists = keys.withColumn("copy", F.lag("node").over(by_size).eqNullSafe(F.col("node"))).filter("not copy")
+    lists = lists.withColumn("one", F.lag("place").over(by_size)).withColumn("other", F.lead("place").over(by_size))
+    fits = lambda x: F.col(x).isNotNull() & (100 * F.least(_size(x), _size("place")) >= percent * F.greatest(_size(x), _size("place")))
+    lists = lists.filter(fits("one") | fits("other"))
+    at = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at")
+    lists = lists.withColumn("x", F.min(F.struct(at, "node", "place")).over(Window.partitionBy("key")))
+    shared = written(
+        lists.select("key", "node", "place", F.col("x.node").alias("centre"), F.col("x.place").alias("centre_place")), "lists"
+    )
     is_shingle = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)) > 0
     prefixes = shared.groupBy("node").agg(F.max(_size("place")).alias("n"), F.collect_set(F.when(is_shingle, F.col("key"))).alias("keys"))
     signatures = members.groupBy(F.col("node").alias("of")).agg(F.first("signature").alias("signature"))
     prefixes = written(prefixes.join(signatures, F.col("node") == F.col("of")).drop("of"), "prefixes")
     # The shingle before, on the node's lists: two sets that share it too are found there already.
     before = F.lag("key").over(Window.partitionBy("node", is_shingle).orderBy("place"))
-    shared = shared.dropDuplicates(["key", "node"]).withColumn("before", F.when(is_shingle, before))
-    shared = written(shared, "shared")
+    stars = written(shared.withColumn("before", F.when(is_shingle, before)), "stars")
     one_each = members.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("d"))
 
     def verified(candidates: DataFrame) -> DataFrame:
@@ -335,16 +343,7 @@ def similar_documents(
         sets = written(texts.mapInArrow(_sets(size), "node bigint, members binary"), "members").dropDuplicates(["node"])
         return written(_verified(promising, sets, percent), "links")
 
-    # Round one: each list's sets with its centre, the set that has the shared shingle earliest in
-    # its prefix, and so the fewest rarer ones.
-    at = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at")
-
-    def starred(rows: DataFrame) -> DataFrame:
-        centres = rows.groupBy(F.col("key").alias("k")).agg(F.min(F.struct(at, "node", "place")).alias("x"))
-        return rows.join(centres, F.col("key") == F.col("k")).select(
-            "key", "node", "place", "before", F.col("x.node").alias("centre"), F.col("x.place").alias("centre_place")
-        )
-
+    # Round one: each list's sets with its centre.
     def compared(stars: DataFrame) -> DataFrame:
         pairs = stars.filter((F.col("node") != F.col("centre")) & _possible("place", "centre_place", percent))
         return verified(pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct())
@@ -352,23 +351,23 @@ def similar_documents(
     def still_open(stars: DataFrame, links: DataFrame) -> DataFrame:
         """The rows, with their components, of lists of several; main is the centre's component."""
         known = connected_components(links).select(F.col("node").alias("o"), "component")
-        rows = written(
-            stars.join(known, F.col("node") == F.col("o"), "left").select(
-                "key", "node", "place", "before", "centre", F.coalesce("component", "node").alias("component")
-            ),
-            "labelled",
-        )
+        rows = stars.join(known, F.col("node") == F.col("o"), "left").select(*stars.columns, F.coalesce("component", "node").alias("component"))
+        rows = written(rows, "labelled")
         of_centre = F.max(F.when(F.col("node") == F.col("centre"), F.col("component"))).alias("main")
         lists = rows.groupBy(F.col("key").alias("k")).agg(F.min("component").alias("x"), F.max("component").alias("y"), of_centre)
         return rows.join(lists.filter("x <> y").select("k", "main"), F.col("key") == F.col("k")).drop("k")
 
-    stars = written(starred(shared), "stars")
     links = compared(stars)
-    # Once more for what isn't linked to the centre.
-    outside = still_open(stars, links).filter("component <> main").select("key", "node", "place", "before")
-    links = written(links.unionByName(compared(starred(outside))), "links")
+    # Once more for what isn't linked to the centre, with a centre of its own.
+    opened = written(still_open(stars, links), "open")
+    outside = opened.filter("component <> main").select("key", "node", "place", "before")
+    centres = outside.groupBy(F.col("key").alias("k")).agg(F.min(F.struct(at, "node", "place")).alias("x"))
+    outside = outside.join(centres, F.col("key") == F.col("k")).select(
+        "key", "node", "place", "before", F.col("x.node").alias("centre"), F.col("x.place").alias("centre_place")
+    )
+    links = written(links.unionByName(compared(outside)), "links")
     # Round two: what isn't linked yet, in lists of several components.
-    left = still_open(stars, links).filter("node <> centre")
+    left = still_open(opened.drop("component", "main"), links).filter("node <> centre")
     left = left.join(signatures, F.col("node") == F.col("of")).drop("of")
     outside = left.filter("component <> main").select(
         F.col("key").alias("ka"), F.col("node").alias("a"), F.col("place").alias("pa"), F.col("component").alias("ca"),
