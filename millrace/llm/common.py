@@ -79,7 +79,7 @@ def text_key(text: Column) -> Column:
 class WordHashes(dict):
     """64-bit hashes of words, kept while there is room; forgetting only costs time."""
 
-    def __init__(self, room: int = 400_000):
+    def __init__(self, room: int = 100_000):
         super().__init__()
         self.room = room
 
