@@ -359,7 +359,7 @@ def text_truncate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_escape(spark: SparkSession, sf: str) -> DataFrame:
-    return _table(spark, sf, "pages").select("page_id", text.escaped(F.substring("html", 1, 500)).alias("escaped"))
+    return _table(spark, sf, "pages").select("page_id", text.escaped(F.col("html")).alias("escaped"))
 
 
 def pct_format(spark: SparkSession, sf: str) -> DataFrame:
