@@ -35,8 +35,6 @@ _PROFILED = {
     "part": ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
     "nation": ["n_name", "n_regionkey"],
 }
-#: Only edges of these values make up the graph of several islands.
-_ISLAND_EDGES = "l_quantity >= 50 AND l_discount >= 0.1"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -67,9 +65,9 @@ def _members(spark: SparkSession, sf: str, only: tuple[str, ...] = ()) -> DataFr
     return found
 
 
-def _edges(spark: SparkSession, sf: str, only: tuple[str, ...] = (), lines: str = "true") -> DataFrame:
-    def rows(relation: str, table: str, one, two, turned="false", keep: str = "true") -> DataFrame:
-        u = _table(spark, sf, table).filter(keep)
+def _edges(spark: SparkSession, sf: str, only: tuple[str, ...] = ()) -> DataFrame:
+    def rows(relation: str, table: str, one, two, turned="false") -> DataFrame:
+        u = _table(spark, sf, table)
         turn = F.expr(turned)
         return u.select(
             F.lit(relation).alias("relation"), F.when(turn, two).otherwise(one).alias("u0"),
@@ -77,7 +75,7 @@ def _edges(spark: SparkSession, sf: str, only: tuple[str, ...] = (), lines: str
         )
 
     every = {
-        "supplier_part": lambda: rows("supplier_part", "lineitem", _id("supplier", "l_suppkey"), _id("part", "l_partkey"), "l_linenumber % 3 = 0", lines),
+        "supplier_part": lambda: rows("supplier_part", "lineitem", _id("supplier", "l_suppkey"), _id("part", "l_partkey"), "l_linenumber % 3 = 0"),
         "customer_orders": lambda: rows("customer_orders", "orders", _id("customer", "o_custkey"), _id("orders")),
         "nation_customer": lambda: rows("nation_customer", "customer", _id("nation", "c_nationkey"), _id("customer")),
         "region_nation": lambda: rows("region_nation", "nation", _id("region", "n_regionkey"), _id("nation")),
@@ -92,8 +90,8 @@ def _edges(spark: SparkSession, sf: str, only: tuple[str, ...] = (), lines: str
 _SP = ("supplier_part",)
 
 
-def _pairs(spark: SparkSession, sf: str, only=_SP, lines: str = "true") -> DataFrame:
-    return relations.pair_counts(relations.orient(_edges(spark, sf, only, lines), _members(spark, sf, only)))
+def _pairs(spark: SparkSession, sf: str, only=_SP) -> DataFrame:
+    return relations.pair_counts(relations.orient(_edges(spark, sf, only), _members(spark, sf, only)))
 
 
 def rel_stats_v1_supplier_part(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,17 +145,17 @@ def rel_degree_view(spark: SparkSession, sf: str) -> DataFrame:
     return shown.select("relation", "side", "min_text", "max_text", "p90_text", "p99_text")
 
 
-# --- islands -----------------------------------------------------------------
+# --- islands, over all edges of all relations ----------------------------------
 
 
 def islands_components(spark: SparkSession, sf: str) -> DataFrame:
-    found = islands.components(_pairs(spark, sf, lines=_ISLAND_EDGES), _members(spark, sf, _SP))
+    found = islands.components(_pairs(spark, sf, ()), _members(spark, sf))
     return found.withColumn("island", F.replace("island", F.lit("\x1f"), F.lit(":")))
 
 
 def _sizes(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = written(_pairs(spark, sf, lines=_ISLAND_EDGES), "pairs")
-    found = islands.sizes(islands.components(pairs, _members(spark, sf, _SP)), relations.degrees(pairs))
+    pairs = written(_pairs(spark, sf, ()), "pairs")
+    found = islands.sizes(islands.components(pairs, _members(spark, sf)), relations.degrees(pairs))
     return found.withColumn("island", F.replace("island", F.lit("\x1f"), F.lit(":")))
 
 
