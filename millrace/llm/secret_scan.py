@@ -1,6 +1,7 @@
 """Secret scans with a random forest against false positives.
 
-A pattern finds candidates: long runs of key characters with a digit.  A forest
+A pattern finds candidates: all long runs of key characters with a digit, and
+whatever is assigned to a secret's name.  A forest
 of Spark's ML library, trained on labelled findings, tells secrets from
 numbers, paths, identifiers, checksums and placeholders by the candidate's
 length, character transitions, dictionary coverage, path and neighbours.
@@ -37,6 +38,20 @@ DICTIONARY = (
     "word work write your"
 ).split()
 
+_NAME = "(?:token|secret|key|passwd|password|pwd|auth|authorization|bearer|credentials?|private|access)"
+_QUOTE = r"""[\\"'`]{0,2}"""
+_SIGN = rf"{_QUOTE}(?:[=:]|:=|==|=>|::){_QUOTE}"
+_SCHEME = "(?:bearer|basic|token)"
+#: A text that may hold a value of a secret's name.
+NAMED = rf"(?i){_NAME}{_QUOTE}\s*[=:]"
+#: Words after which a word is such a value.
+NAMED_BEFORE = rf"(?i)(?:{_NAME}{_QUOTE} ?{_SIGN[len(_QUOTE):]}|authorization{_QUOTE} ?[=:]+ ?{_QUOTE}{_SCHEME})$"
+#: A run of CANDIDATE, or a value of any length behind a name and a sign, up to a run of CANDIDATE.
+VALUE = rf"""(?<=(?i:{_NAME}){_SIGN})(?!(?i:{_SCHEME})(?:\W|$))(?:(?!{CANDIDATE})[^\x20\x09-\x0D\\"'`,;&<>(){{}}\[\]|])+"""
+FOUND = f"{CANDIDATE}|{VALUE}"
+#: Stands before a word whose name and sign are in the words before it.
+_MARK = "key="
+
 FEATURES = [
     "length", "digits", "capitals", "letters", "distinct", "transitions", "hex", "dictionary", "slashes", "url",
     "extension", "named", "named_near", "other_near", "assigned", "quoted", "one_char",
@@ -48,36 +63,59 @@ def _any_of(names: list[str]) -> str:
 
 
 def candidates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, text_key, place, candidate, word, before, near, after) and ``keep``: what the pattern finds.
+    """(doc_id, text_key, place, nth, candidate, word, prefix, before, near, after) and ``keep``: what the patterns find.
 
-    ``place`` is the word's place, from 0; ``before`` is the word before it, ``near`` the three before
-    and ``after`` the two after it.
+    ``place`` is the word's place and ``nth`` the candidate's within the word, both from 0; ``prefix``
+    is what stands between the candidate before, or the word's start, and this one, and ``word`` that,
+    the candidate and what follows up to the next.  ``before`` is the word before the first candidate
+    of a word, ``near`` the three before, or the candidate before and its prefix, and ``after`` the
+    two words after the last.
     """
     words = F.array_remove(F.split(F.col("text"), SPACE_SEPARATOR), "")
     found = documents.select(
         F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"), *keep
-    ).filter(F.col("text").rlike(CANDIDATE))
+    ).filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED))
     found = found.select("doc_id", "text_key", *keep, words.alias("w"))
     word = lambda i, k: F.coalesce(F.when(i + k >= 0, F.get(F.col("w"), i + F.lit(k))), F.lit(""))
+    assigned = lambda i: word(i, -1).rlike(rf"(?i)(?:[=:>][\\\"'`]{{0,2}}|{_SCHEME})$") & F.concat_ws(" ", word(i, -2), word(i, -1)).rlike(NAMED_BEFORE)
     places = F.filter(
         F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0))),
-        lambda i: (F.length(word(i, 0)) >= 16) & word(i, 0).rlike(CANDIDATE),
+        lambda i: ((F.length(word(i, 0)) >= 16) & word(i, 0).rlike(CANDIDATE)) | word(i, 0).rlike(NAMED) | assigned(i),
     )
     found = found.withColumn("places", places)
     each = F.transform(
         "places",
         lambda i: F.struct(
             i.alias("place"),
-            word(i, 0).alias("word"),
+            F.concat(F.when(assigned(i), _MARK).otherwise(""), word(i, 0)).alias("marked"),
+            assigned(i).alias("assigned"),
             word(i, -1).alias("before"),
             F.concat_ws(" ", word(i, -3), word(i, -2), word(i, -1)).alias("near"),
             F.concat_ws(" ", word(i, 1), word(i, 2)).alias("after"),
         ),
     )
     found = found.select("doc_id", "text_key", *keep, each.alias("each"))
-    return found.select("doc_id", "text_key", *keep, F.explode_outer("each").alias("x")).filter(F.col("x").isNotNull()).select(
-        "doc_id", "text_key", *keep, "x.*", F.regexp_extract("x.word", CANDIDATE, 0).alias("candidate")
+    found = found.select("doc_id", "text_key", *keep, F.explode_outer("each").alias("x")).filter(F.col("x").isNotNull())
+    # What the pattern matches and what is between, so that runs of equal text keep their own places.
+    found = found.select(
+        "doc_id", "text_key", *keep, "x", F.regexp_extract_all("x.marked", F.lit(FOUND), F.lit(0)).alias("runs"), F.split("x.marked", FOUND, -1).alias("gaps")
+    )
+    bare = lambda gap, j: F.when((j == 0) & F.col("x.assigned"), F.substr(gap, F.lit(len(_MARK) + 1))).otherwise(gap)
+    gap = lambda j: F.get(F.col("gaps"), j)
+    inner = F.transform(
+        "runs",
+        lambda run, j: F.struct(
+            j.alias("nth"),
+            F.concat(bare(gap(j), j), run, gap(j + 1)).alias("word"),
+            bare(gap(j), j).alias("prefix"),
+            F.when(j == 0, F.col("x.before")).otherwise("").alias("before"),
+            F.when(j == 0, F.col("x.near")).otherwise(F.concat(bare(gap(j - 1), j - 1), F.get(F.col("runs"), j - 1))).alias("near"),
+            F.when(j == F.size("runs") - 1, F.col("x.after")).otherwise("").alias("after"),
+            run.alias("candidate"),
+        ),
     )
+    found = found.select("doc_id", "text_key", *keep, "x.place", F.explode_outer(inner).alias("y")).filter(F.col("y").isNotNull())
+    return found.select("doc_id", "text_key", *keep, "place", "y.*")
 
 
 def features(found: DataFrame) -> DataFrame:
@@ -87,7 +125,7 @@ def features(found: DataFrame) -> DataFrame:
     share = lambda pattern: (n - left(pattern)) / n
     runs = F.size(F.regexp_extract_all(c, F.lit(r"[0-9]+|[a-z]+|[A-Z]+|[^0-9a-zA-Z]+"), F.lit(0)))
     yes = lambda column: column.cast("double")
-    prefix = F.expr("substr(word, 1, instr(word, candidate) - 1)")
+    prefix = F.col("prefix")
     name = F.concat_ws(" ", F.col("near"), prefix)
     columns: dict[str, Column] = {
         "length": n.cast("double"),
@@ -126,11 +164,16 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
         F.array(F.substring(hexes, 1, 40), F.substring(hexes, 1, 32), hexes, F.substring(base, 1, 40), F.substring(base, 1, 24), F.concat(F.lit("AKIA"), F.upper(F.substring(hexes, 1, 16))), F.concat(F.lit("sk_live_"), F.substring(base, 1, 24)), F.upper(F.substring(hexes, 1, 40))),
         (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(8)) + 1).cast("int"),
     )
+    letters = F.translate(hexes, "0123456789", "ghijkmnpqr")
+    short = F.element_at(F.array(F.substring(letters, 1, 8), F.substring(letters, 1, 12), F.substring(letters, 1, 20), F.substring(base, 1, 8), F.substring(base, 1, 12), F.concat(F.substring(base, 1, 5), F.lit("!"), F.substring(letters, 1, 3))), (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(6)) + 1).cast("int"))
+    filler = F.element_at(F.array(*map(F.lit, "required string null none true false optional the a changeme example value your_password text hidden int".split())), (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(16)) + 1).cast("int"))
     secrets = [
         text("and the ", name, sign, key, '" was of that'),
         text("Authorization: Bearer ", key, " in the"),
         text("THE!! ", name, sign, key, '"!! OF!!'),
         text("| ", name, sign, key, '"### to%%% be'),
+        text("and the ", name, sign, short, '" was of that'),
+        text('{"', name, '":"', key, '","a":"b"}'),
     ]
     others = [
         text("commit ", F.substring(hexes, 1, 40), " of the build"),
@@ -145,6 +188,9 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
         text(name, sign, "example_password_", number, '" in'),
         text("call get_user_from_table_", number, "_by_name in"),
         text("the ", F.substring(hexes, 1, 40), " etag of that"),
+        text("and the ", name, sign, filler, '" was of that'),
+        text("in ", name, sign, filler, " to be"),
+        text('{"id":"', F.substring(hexes, 1, 20), '","order":"', F.substring(hexes, 21, 20), '"}'),
     ]
     all_of = [*[(x, True) for x in secrets for _ in range(3)], *[(x, False) for x in others]]
     kind = F.pmod(F.col("doc_id"), F.lit(len(all_of)))
@@ -161,14 +207,14 @@ def train(labelled: DataFrame, *, trees: int = 30, depth: int = 8, rows: int = T
     Rows with a null text or label, or without a candidate, teach nothing.
     """
     found = features(candidates(labelled, keep=("secret",))).filter(F.col("secret").isNotNull())
-    bounded = found.orderBy(F.xxhash64("text_key", "place")).limit(rows).withColumn("label", F.col("secret").cast("double"))
+    bounded = found.orderBy(F.xxhash64("text_key", "place", "nth")).limit(rows).withColumn("label", F.col("secret").cast("double"))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(bounded).select("vector", "label")
     forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=trees, maxDepth=depth, seed=1)
     return forest.fit(vectors)
 
 
 def scan(documents: DataFrame, model: RandomForestClassificationModel, **options) -> DataFrame:
-    """Per candidate: doc_id, text_key, place, candidate, probability, secret.
+    """Per candidate: doc_id, text_key, place, nth, candidate, probability, secret.
 
     Null and empty texts have no candidates; so has an empty table.  Repeated
     rows give a row each.  Null ids and other columns don't matter.
@@ -177,11 +223,11 @@ def scan(documents: DataFrame, model: RandomForestClassificationModel, **options
     judged = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(found))
     probability = vector_to_array("probability")[1]
     return judged.select(
-        "doc_id", "text_key", "place", "candidate", probability.alias("probability"), (probability > 0.5).alias("secret")
+        "doc_id", "text_key", "place", "nth", "candidate", probability.alias("probability"), (probability > 0.5).alias("secret")
     )
 
 
 def op8_secret_scan(spark, sf_dir: str) -> DataFrame:
     model = train(labelled_findings(spark))
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), model)
-    return found.select("doc_id", "place", F.sha2("candidate", 256).alias("candidate_sha256"), "probability", "secret")
+    return found.select("doc_id", "place", "nth", F.sha2("candidate", 256).alias("candidate_sha256"), "probability", "secret")
