@@ -295,6 +295,11 @@ def similar_documents(
     Other columns are ignored.  Shingles, and equal sets, are told apart by
     64-bit hashes.
     """
+    return _joined(documents, size=size, percent=percent, id_col=id_col, text_col=text_col).drop("component")
+
+
+def _joined(documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``similar_documents`` with ``component``, which tells apart components without an id too; null for an empty set."""
     context = documents.sparkSession.sparkContext
     base = documents.select(
         F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
@@ -392,29 +397,31 @@ def similar_documents(
         "node", "own", F.coalesce("component", "node").alias("component")
     )
     names = named.groupBy(F.col("component").alias("c")).agg(F.min("own").alias("component_id"))
-    named = named.join(names, F.col("component") == F.col("c")).select(F.col("node").alias("o"), "component_id")
+    named = named.join(names, F.col("component") == F.col("c")).select(F.col("node").alias("o"), "component_id", "component")
     return members.join(named, (F.col("node") == F.col("o")) & (F.col("n") > 0), "left").select(
         "doc_id",
         "text_key",
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "component",
     )
 
 
 def one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, all columns kept, that name their component.
+    """One row of each component, all columns kept: that of the least id (null last), then text hash, then hash of the row.
 
-    Rows that agree in id and text all stay, as nothing tells which to keep.
+    Rows of an empty set, which link with nothing, all stay.
     """
-    found = similar_documents(documents, id_col=id_col, text_col=text_col, **options)
-    named = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("i"), F.col("text_key").alias("k")
-    ).distinct()
+    found = written(_joined(documents, id_col=id_col, text_col=text_col, **options), "components")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("i"), F.col("text_key").alias("k"))).alias("x")
+    named = found.filter("component is not null").groupBy("component").agg(least).select("x.i", "x.k", F.lit(True).alias("single"))
+    bare = found.filter("component is null").select(F.col("doc_id").alias("i"), F.col("text_key").alias("k"), F.lit(False).alias("single")).distinct()
     packed = documents.select(F.struct("*").alias("row"))
     row = F.col("row")
-    return packed.join(
-        named, row[id_col].eqNullSafe(F.col("i")) & (text_key(row[text_col]) == F.col("k")), "left_semi"
-    ).select("row.*")
+    kept = packed.join(named.unionByName(bare), row[id_col].eqNullSafe(F.col("i")) & (text_key(row[text_col]) == F.col("k")))
+    # Copies of a chosen row meet in partial aggregates, not all in one task.
+    chosen = kept.filter("single").groupBy("i", "k").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return chosen.select("row.*").unionByName(kept.filter("not single").select("row.*"))
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:
