@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+#: What counts as white space at a text's ends.
+WHITE_SPACE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(text: Column) -> Column:
     """Without white space, of any kind, at either end."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def filled(text: Column) -> Column:

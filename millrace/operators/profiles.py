@@ -35,7 +35,7 @@ def profile(values: DataFrame, counts: DataFrame) -> DataFrame:
     each = values.groupBy("type", "name", "v").agg(F.count("*").alias("n"))
     found = each.groupBy("type", "name").agg(F.sum("n").cast("bigint").alias("count"), F.count("*").alias("unique_count"))
     order = Window.partitionBy("type").orderBy(F.desc("count"), "name")
-    return found.join(F.broadcast(counts), "type").select(
+    return found.join(counts, "type").select(
         "type",
         "name",
         "type_count",

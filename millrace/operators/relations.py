@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
+from millrace.operators.ranks import ranked
+from millrace.shared import written
 
 
 def edges(raw: DataFrame, relation: str = "relation", u0: str = "u0", u1: str = "u1") -> DataFrame:
@@ -27,13 +29,17 @@ def node_ids(nodes: DataFrame, uuid: str = "uuid") -> DataFrame:
 
 
 def orient(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
-    """(relation, s, t, ambiguous): each edge from its source to its target.
+    """(relation, s, t, ambiguous, further columns): each edge from its source to its target.
 
     An edge as given is kept if its ends are a source and a target; else it is
     turned if that fits; else it is kept as given and ambiguous.
     """
-    roles = members.groupBy(F.col("relation").alias("r"), "uuid").agg(
-        F.bool_or(F.col("side") == "s").alias("is_s"), F.bool_or(F.col("side") == "t").alias("is_t")
+    # Written, so that Spark can split the join of a node of very many edges.
+    roles = written(
+        members.groupBy(F.col("relation").alias("r"), "uuid").agg(
+            F.bool_or(F.col("side") == "s").alias("is_s"), F.bool_or(F.col("side") == "t").alias("is_t")
+        ),
+        "roles",
     )
     role = lambda n: roles.select(
         F.col("r").alias(f"r{n}"), F.col("uuid").alias(f"id{n}"), F.col("is_s").alias(f"s{n}"), F.col("is_t").alias(f"t{n}")
@@ -49,13 +55,18 @@ def orient(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
         F.when(swap, F.col("u1")).otherwise(F.col("u0")).alias("s"),
         F.when(swap, F.col("u0")).otherwise(F.col("u1")).alias("t"),
         (~kept & ~turned).alias("ambiguous"),
+        *[c for c in edge_rows.columns if c not in ("relation", "u0", "u1")],
     )
 
 
-def pair_counts(oriented: DataFrame) -> DataFrame:
-    """(relation, s, t, n, ambiguous): how many edges each pair has, and how many of them are ambiguous."""
-    return oriented.groupBy("relation", "s", "t").agg(
-        F.count("*").alias("n"), F.count_if("ambiguous").alias("ambiguous")
+def pair_counts(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
+    """(relation, s, t, n, ambiguous): how many edges each oriented pair has, and how many of them are ambiguous.
+
+    Equal edges are counted before they are oriented, so repeats of an edge aren't shuffled on.
+    """
+    given = edge_rows.groupBy("relation", "u0", "u1").agg(F.count("*").alias("n"))
+    return orient(given, members).groupBy("relation", "s", "t").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("ambiguous"), F.col("n"))), F.lit(0)).alias("ambiguous")
     )
 
 
@@ -147,8 +158,8 @@ def degree_distribution(degree_rows: DataFrame) -> DataFrame:
 
 def parallel_pairs(pairs: DataFrame) -> DataFrame:
     """(relation, s, t, n, rank): pairs of several edges; rank 1 has the most, ties by ids."""
-    order = Window.partitionBy("relation").orderBy(F.desc("n"), "s", "t")
-    return pairs.filter("n > 1").select("relation", "s", "t", "n", F.row_number().over(order).alias("rank"))
+    several = pairs.filter("n > 1").select("relation", "s", "t", "n")
+    return ranked(several, ["relation"], [F.desc("n"), F.asc("s"), F.asc("t")])
 
 
 def top_nodes(degree_rows: DataFrame, names: DataFrame | None = None, k: int = 10) -> DataFrame:
@@ -165,7 +176,7 @@ def top_nodes(degree_rows: DataFrame, names: DataFrame | None = None, k: int = 1
 
 def relation_stats(edge_rows: DataFrame, members: DataFrame, relations: DataFrame) -> DataFrame:
     """The flat document of each of ``relations`` (relation, source_type, target_type): edges, both sides, cardinality."""
-    return pair_stats(pair_counts(orient(edge_rows, members)), members, relations)
+    return pair_stats(written(pair_counts(edge_rows, members), "pairs"), members, relations)
 
 
 def pair_stats(pairs: DataFrame, members: DataFrame, relations: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def relation_profiles(
     Degrees are null without edges; lists are empty where there is nothing to list.
     """
     kinds = entries.select(F.col("technicalName").alias("relation"), "source_type", "target_type")
-    pairs = written(relations.pair_counts(relations.orient(edge_rows, members)), "pairs")
+    pairs = written(relations.pair_counts(edge_rows, members), "pairs")
     degree_rows = relations.degrees(pairs)
     stats = relations.pair_stats(pairs, members, kinds)
     more = relations.edge_summary(pairs).select("relation", "parallel_edges", "parallel_max")
@@ -79,8 +79,8 @@ def relation_profiles(
         j = j.withColumn("attributes", F.array().cast(a_kind))
     else:
         own = attributes.groupBy(F.col("type").alias("of")).agg(
-            F.array_sort(F.collect_list(F.struct(F.col("name").alias("technicalName"), F.col("attribute_name").alias("name"), "description", "mandatory", "attributeTypeEnum"))).alias("a")
-        )
+            F.array_sort(F.collect_list(F.struct("at", F.col("name").alias("technicalName"), F.col("attribute_name").alias("name"), "description", "mandatory", "attributeTypeEnum"))).alias("a")
+        ).withColumn("a", F.transform("a", lambda x: x.dropFields("at")))
         j = j.join(own, F.col("relation") == F.col("of"), "left").withColumn("attributes", none(F.col("a"), a_kind))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     top_kind = "array<struct<uuid:string,degree:bigint,name:string,code:string>>"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import escaped, filled, label, percent, short_description, tier, to_fixed, truncated
+from millrace.operators.ranks import ranked
 
 #: Circumference of a pie, its colours in turn, and the colour of what is left.
 CIRCUMFERENCE = 2 * math.pi * 24
@@ -45,7 +46,7 @@ def type_kind_filter(types: DataFrame, metadata: DataFrame | None, chosen: TypeF
 
 
 def relation_kind_filter(relations: DataFrame, metadata: DataFrame, chosen: TypeFilter) -> DataFrame:
-    """(relation, label) by the kind of the relation type, as for types."""
+    """(relation, label, rank) by the kind of the relation type, as for types; ``rank`` orders them by name."""
     m = metadata.select(F.col("technicalName").alias("m"), "name", F.col("type").alias("kind"))
     joined = relations.join(m, F.col("relation") == F.col("m"), "left")
     kinds = [k for k, on in (("application", chosen.application), ("system", chosen.system)) if on]
@@ -53,7 +54,14 @@ def relation_kind_filter(relations: DataFrame, metadata: DataFrame, chosen: Type
         joined = joined.filter(F.col("relation").isin(*chosen.curated))
     elif kinds:
         joined = joined.filter(F.col("kind").isin(*kinds))
-    return joined.select("relation", label(F.col("name"), F.col("relation")).alias("label"))
+    shown = joined.select("relation", label(F.col("name"), F.col("relation")).alias("label"))
+    return ranked(shown.withColumn("all", F.lit(0)), ["all"], [F.asc("relation")]).drop("all")
+
+
+def selected(names: DataFrame, column: str, current: str | None) -> DataFrame:
+    """(chosen): the current name if it is among the names, else the first of them, else null."""
+    is_there = F.max(F.when(F.col(column) == F.lit(current), F.col(column)))
+    return names.agg(F.coalesce(is_there, F.min(column)).alias("chosen"))
 
 
 def icon_kind(metadata: DataFrame) -> DataFrame:
@@ -77,7 +85,7 @@ def attribute_view(profiled: DataFrame, metadata: DataFrame, needle: str = "", l
     """The attribute chart and table of each type: texts, tier, widths of bars."""
     rows = searched(profiled, needle, limit)
     m = metadata.select(F.col("type").alias("mt"), F.col("name").alias("mn"), "attribute_name", "description", "mandatory")
-    joined = rows.join(F.broadcast(m), (F.col("type") == F.col("mt")) & (F.col("name") == F.col("mn")), "left")
+    joined = rows.join(m, (F.col("type") == F.col("mt")) & (F.col("name") == F.col("mn")), "left")
     pct = F.coalesce("pct", F.lit(0.0))
     clamped = F.least(F.lit(100.0), F.greatest(F.lit(0.0), pct))
     unique_width = pct * (F.col("unique_pct") / 100)
@@ -130,7 +138,7 @@ def coverage(stats: DataFrame) -> DataFrame:
 
 
 def relation_view(stats: DataFrame, metadata: DataFrame) -> DataFrame:
-    """The header and the pills of each relation."""
+    """The header and the pills of each relation; one without metadata has a message alone."""
     m = metadata.select(
         F.col("technicalName").alias("m"), F.col("name").alias("mname"), "description", F.col("source_name").alias("sn"),
         F.col("source_type").alias("st"), F.col("target_name").alias("tn"), F.col("target_type").alias("tt"),
@@ -140,23 +148,29 @@ def relation_view(stats: DataFrame, metadata: DataFrame) -> DataFrame:
         F.when(filled(F.col(kind)).isNotNull(), label(F.col(name), F.col(kind))), F.lit("?")
     )
     n = F.col("duplicate_edges")
+    shown = {
+        "source_label": end("sn", "st"),
+        "target_label": end("tn", "tt"),
+        "title": F.coalesce(filled(F.col("mname")), F.col("relation")),
+        "description": short_description(F.col("description")),
+        "edges_text": F.concat(F.col("total_edges").cast("string"), F.lit(" edges")),
+        "pairs_text": F.concat(F.col("unique_pairs").cast("string"), F.lit(" unique pairs")),
+        "parallel_text": F.when(n == 1, "1 parallel edge").otherwise(F.concat(n.cast("string"), F.lit(" parallel edges"))),
+        "parallel_alert": n > 0,
+        "cardinality_text": F.concat(F.lit("cardinality: "), escaped(F.coalesce("cardinality", F.lit("?")))),
+    }
+    known = F.col("m").isNotNull()
     return j.select(
         "relation",
-        end("sn", "st").alias("source_label"),
-        end("tn", "tt").alias("target_label"),
-        F.coalesce(filled(F.col("mname")), F.col("relation")).alias("title"),
-        short_description(F.col("description")).alias("description"),
-        F.concat(F.col("total_edges").cast("string"), F.lit(" edges")).alias("edges_text"),
-        F.concat(F.col("unique_pairs").cast("string"), F.lit(" unique pairs")).alias("pairs_text"),
-        F.when(n == 1, "1 parallel edge").otherwise(F.concat(n.cast("string"), F.lit(" parallel edges"))).alias("parallel_text"),
-        (n > 0).alias("parallel_alert"),
-        F.concat(F.lit("cardinality: "), escaped(F.coalesce("cardinality", F.lit("?")))).alias("cardinality_text"),
+        F.when(~known, "No metadata for this relation.").alias("message"),
+        *[F.when(known, v).alias(k) for k, v in shown.items()],
     )
 
 
 def degree_view(distribution: DataFrame) -> DataFrame:
     """Degrees as they are shown."""
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("?"))
+    # A median of .0 is shown without it.
+    text = lambda c: F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"\.0$", ""), F.lit("?"))
     return distribution.select(
         "relation", "side", text("degree_min").alias("min_text"), text("degree_max").alias("max_text"),
         F.coalesce(to_fixed(F.col("degree_avg"), F.lit(3)), F.lit("?")).alias("avg_text"), text("degree_median").alias("median_text"),
@@ -170,14 +184,12 @@ def pie_layout(fractions: DataFrame) -> DataFrame:
     Fractions over 0 fill the circle, the largest first; colours take turns and
     fade as parts get small.
     """
-    side = Window.partitionBy("relation", "side")
-    parts = fractions.filter((F.col("fraction") > 0) & ~F.isnan("fraction")).withColumn("part", F.col("fraction") / F.sum("fraction").over(side))
-    order = side.orderBy(F.desc("part"), "island")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = parts.select(
-        "relation", "side", "island", "part", F.coalesce(F.sum("part").over(before), F.lit(0.0)).alias("start"),
-        ((F.row_number().over(order) - 1) % len(COLOURS)).alias("idx"),
-    )
+    some = fractions.filter((F.col("fraction") > 0) & ~F.isnan("fraction"))
+    totals = some.groupBy("relation", "side").agg(F.sum("fraction").alias("total"))
+    parts = some.join(totals, ["relation", "side"]).select("relation", "side", "island", (F.col("fraction") / F.col("total")).alias("part"))
+    placed = ranked(parts, ["relation", "side"], [F.desc("part"), F.asc("island")], total="part").select(
+        "relation", "side", "island", "part", F.col("before").alias("start"), ((F.col("rank") - 1) % len(COLOURS)).alias("idx")
+    )
     t = F.when(F.col("part") > 0.05, 1.0).otherwise((F.col("part") / 0.05) * (F.col("part") / 0.05))
     vivid = lambda k: F.element_at(F.array(*[F.lit(c[k]) for c in COLOURS]), F.col("idx") + 1)
     shade = lambda k: F.floor(REST[k] + t * (vivid(k) - REST[k]) + 0.5).cast("int")

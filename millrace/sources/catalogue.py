@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import filled
 
-TABLE = "type string, result struct<headers: array<struct<name: string>>, rows: array<struct<values: array<string>>>>"
+TABLE = "type string, result struct<headers: array<struct<name: string>>, rows: array<struct<values: array<variant>>>>"
 _CARDINALITY = "struct<min: bigint, max: bigint>"
 ATTRIBUTE = (
     "struct<id: bigint, name: string, description: string, technicalName: string, type: string, units: string, "
-    "valid: boolean, readOnly: boolean, mandatory: struct<type: string>, attributeTypeEnum: string, engName: string>"
+    "valid: boolean, readOnly: boolean, invisible: boolean, opendata: boolean, mandatory: struct<type: string>, "
+    "attributeTypeEnum: string, engName: string>"
 )
 NODE_TYPE = (
     f"id bigint, name string, technicalName string, description string, type string, valid boolean, engName string, "
@@ -30,17 +33,29 @@ PROFILE = (
 )
 
 
+def _decoded(path: Column) -> Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def stem(path: Column) -> Column:
-    """A file's name without folder and extension."""
-    return F.regexp_extract(F.url_decode(path), r"([^/]+)\.[^./]+$", 1)
+    """A file's name without folder and extension; or, of a file in a folder stem=<name>, that name."""
+    plain = _decoded(path)
+    folder = _decoded(F.regexp_extract(plain, r"/stem=([^/]+)/[^/]+$", 1))
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(plain, r"([^/]+)\.[^./]+$", 1))
+
+
+def cell(value: Column) -> Column:
+    """The text of a table's value: True and False with capitals, numbers as written (1.0 isn't 1), lists as JSON; null stays."""
+    kind, text = F.schema_of_variant(value), value.cast("string")
+    return F.when(kind == "BOOLEAN", F.initcap(text)).when(kind.rlike(r"^DECIMAL\(([0-9]|1[0-8]),0\)$"), F.concat(text, F.lit(".0"))).otherwise(text)
 
 
 # --- sources -----------------------------------------------------------------
 
 
-def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, schema: str, mode: str = "FAILFAST") -> DataFrame:
     """JSON files of one document each, with the file's ``stem``; one that can't be parsed fails the job."""
-    files = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").option("pathGlobFilter", "*.json")
+    files = spark.read.schema(schema).option("multiLine", True).option("mode", mode).option("pathGlobFilter", "*.json")
     return files.json(path).withColumn("stem", stem(F.col("_metadata.file_path")))
 
 
@@ -49,7 +64,7 @@ def tables(spark: SparkSession, path: str) -> DataFrame:
     read = read_documents(spark, path, TABLE)
     headers = F.transform("result.headers", lambda h: h["name"])
     return read.select("stem", headers.alias("headers"), F.posexplode("result.rows").alias("row", "r")).select(
-        "stem", "row", "headers", F.col("r.values").alias("values")
+        "stem", "row", "headers", F.transform("r.values", cell).alias("values")
     )
 
 
@@ -64,7 +79,7 @@ def edge_tables(spark: SparkSession, path: str) -> DataFrame:
         F.raise_error(F.concat(F.lit("not a table of two columns: "), F.col("stem")))
     )
     return read.select("stem", rows.alias("rows")).select("stem", F.explode("rows").alias("r")).filter(F.size("r.values") >= 2).select(
-        F.col("stem").alias("relation"), F.col("r.values")[0].alias("u0"), F.col("r.values")[1].alias("u1")
+        F.col("stem").alias("relation"), cell(F.col("r.values")[0]).alias("u0"), cell(F.col("r.values")[1]).alias("u1")
     )
 
 
@@ -91,47 +106,53 @@ def listed(raw: Column, keys: tuple[str, ...] = ("result", "items", "types", "da
     """The list of a REST answer, a JSON text: itself, or the first of ``keys`` that holds a list,
     or the first list of any key, or the keys themselves, as JSON texts; anything else fails the job."""
     raw = strip_json(raw)
-    as_list = lambda text: F.from_json(text, "array<string>")
-    fields = F.from_json(raw, "map<string,string>")
-    lists = [F.when(fields[k].startswith("["), as_list(fields[k])) for k in keys]
-    any_list = as_list(F.get(F.filter(F.map_values(fields), lambda v: v.startswith("[")), F.lit(0)))
+    fields = F.from_json(raw, "map<string,variant>")
+    is_list = lambda v: F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    lists = [F.when(is_list(fields[k]), fields[k].cast("array<string>")) for k in keys]
+    any_list = F.get(F.filter(F.map_values(fields), is_list), F.lit(0)).cast("array<string>")
     by_key = F.coalesce(*lists, any_list, F.map_keys(fields))
-    return F.when(raw.startswith("["), as_list(raw)).when(raw.startswith("{"), by_key).otherwise(
+    return F.when(raw.startswith("["), F.from_json(raw, "array<string>")).when(raw.startswith("{"), by_key).otherwise(
         F.raise_error(F.lit("neither a list nor an object"))
     )
 
 
 def strip_json(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^[\s﻿]+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\r\n\ufeff"))
 
 
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
-    """(date, kind, stem) of ``root``/<date>/<attributes or relation_attributes>/<stem>.json; contents aren't read."""
+    """(date, kind, stem) of the files ``root``/<date>/<attributes or relation_attributes>/<stem>.json, or of
+    snapshot=<date>/kind=<kind>/stem=<stem>/ as Spark writes them; contents aren't read."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root).select("path")
     )
-    part = lambda n: F.regexp_extract("path", r"/([^/]+)/(attributes|relation_attributes)/[^/]+\.json$", n)
+    place = r"/(?:snapshot=)?([^/]+)/(?:kind=)?(attributes|relation_attributes)/(?:stem=[^/]+/)?[^/]+\.json$"
+    part = lambda n: F.regexp_extract("path", place, n)
     return files.select(part(1).alias("date"), part(2).alias("kind"), stem(F.col("path")).alias("stem")).filter("kind <> ''")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """``read_documents``, or no rows where the path isn't there: views do without such metadata."""
+def _or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
     try:
-        return read_documents(spark, path, schema)
+        return read()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"{schema}, stem string")
+        return spark.createDataFrame([], schema)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``read_documents``, without rows where the path isn't there or a document can't be parsed: views do without such metadata."""
+    return _or_empty(spark, lambda: read_documents(spark, path, schema, "DROPMALFORMED"), f"{schema}, stem string")
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: str, snapshot: str, stem: str | None = None) -> DataFrame:
     """Documents that ``write_documents`` wrote by snapshot, and by stem if that is given; other folders aren't read.
 
-    The folders' names stay texts, as dates of days without a 0 aren't all dates to Spark.  A snapshot or stem that isn't
-    there has no rows.
+    The folders' names stay texts, as dates of days without a 0 aren't all dates to Spark.  A root, snapshot or stem that
+    isn't there has no rows.
     """
-    keys = "snapshot string" + (", stem string" if stem is not None else "")
-    found = spark.read.schema(f"{schema}, {keys}").json(root).filter(F.col("snapshot") == snapshot)
+    full = f"{schema}, snapshot string" + (", stem string" if stem is not None else "")
+    found = _or_empty(spark, lambda: spark.read.schema(full).json(root), full).filter(F.col("snapshot") == snapshot)
     return found if stem is None else found.filter(F.col("stem") == stem)
 
 
@@ -143,14 +164,15 @@ def _either(first: Column, second: Column) -> Column:
 
 
 def attribute_rows(types: DataFrame) -> DataFrame:
-    """(type, name, entry columns): each type's own attributes by technical name; of equal names the last counts."""
+    """(type, name, at, entry columns): each type's own attributes by technical name; of equal names the last
+    counts, at the place ``at`` of the first.  Attributes without a technical name go."""
     each = types.select(F.col("technicalName").alias("of"), F.posexplode("attributes").alias("at", "a")).filter(
         "a.technicalName <> ''"
     )
-    last = each.groupBy("of", F.col("a.technicalName").alias("technicalName")).agg(F.max_by("a", "at").alias("a"))
+    last = each.groupBy("of", F.col("a.technicalName").alias("technicalName")).agg(F.max_by("a", "at").alias("a"), F.min("at").alias("at"))
     return last.select(
-        F.col("of").alias("type"), F.col("technicalName").alias("name"), F.col("a.name").alias("attribute_name"), "a.description",
-        F.col("a.mandatory.type").alias("mandatory"), "a.attributeTypeEnum", "a.valid", "a.readOnly",
+        F.col("of").alias("type"), F.col("technicalName").alias("name"), "at", F.col("a.name").alias("attribute_name"), "a.description",
+        F.col("a.mandatory.type").alias("mandatory"), "a.opendata", "a.attributeTypeEnum", "a.readOnly", "a.invisible",
     )
 
 
@@ -164,44 +186,97 @@ def flags(kind: Column, labels: Column) -> list[Column]:
     ]
 
 
-def node_index(listing: DataFrame, details: DataFrame) -> DataFrame:
-    """An entry for each listed type whose details are there: name, description and type by details
-    first, labels by the list first, and what kind of type it is.  Of equal names the last counts."""
+LISTED = "name string, description string, type string, labels array<string>"
+
+
+def fetched_types(fetched: DataFrame, schema: str) -> DataFrame:
+    """(technicalName, base, d) of the REST source's (name, listed, detail): what the list says, null where that is a
+    name alone, and the detail document; fields of another kind than the schema's are null."""
+    return fetched.select(F.col("name").alias("technicalName"), F.from_json("listed", LISTED).alias("base"), F.from_json("detail", schema).alias("d"))
+
+
+def _joined(listing: DataFrame, details: DataFrame) -> DataFrame:
+    """``fetched_types`` of a listing and its details; with a column ``at``, the last of equal listed names counts."""
+    if "at" in listing.columns:
+        rest = [c for c in listing.columns if c not in ("technicalName", "at")]
+        listing = listing.groupBy("technicalName").agg(F.max_by(F.struct(*rest), "at").alias("b")).select("technicalName", "b.*")
+    fields = [x.split()[0] for x in LISTED.split(", ")]
+    kinds = dict(x.split() for x in LISTED.split(", "))
+    base = F.struct(*[(F.col(c) if c in listing.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in fields])
     d = details.select(F.struct("*").alias("d"))
-    both = listing.join(d, F.col("technicalName") == F.col("d.technicalName"))
-    labels = F.coalesce(F.col("labels"), F.col("d.labels"), F.array().cast("array<string>"))
-    kind = _either(F.col("d.type"), F.col("type"))
-    return both.select(
+    return listing.select("technicalName", base.alias("base")).join(d, F.col("technicalName") == F.col("d.technicalName"))
+
+
+def node_entries(types: DataFrame) -> DataFrame:
+    """An entry for each of ``fetched_types``: name, description and type by the details first, labels by the
+    list first, whichever is filled, and what kind of type it is."""
+    labels = F.coalesce(*[F.when(F.size(x) > 0, F.col(x)) for x in ("base.labels", "d.labels")], F.array().cast("array<string>"))
+    kind = _either(F.col("d.type"), F.col("base.type"))
+    return types.select(
         "technicalName",
-        _either(F.col("d.name"), F.col("name")).alias("name"),
-        _either(F.col("d.description"), F.col("description")).alias("description"),
+        _either(F.col("d.name"), F.col("base.name")).alias("name"),
+        _either(F.col("d.description"), F.col("base.description")).alias("description"),
         kind.alias("type"),
         labels.alias("labels"),
         *flags(kind, labels),
-    ).dropDuplicates(["technicalName"])
+    )
 
 
-def relation_index(relations: DataFrame) -> DataFrame:
-    """An entry for each relation type, with its first source and target, if it has any."""
-    s, t = F.get("sources", F.lit(0)), F.get("targets", F.lit(0))
+def relation_entries(types: DataFrame) -> DataFrame:
+    """An entry for each of ``fetched_types``, with its first source and target, if it has any."""
     none = F.array().cast("array<string>")
-    return relations.select(
-        "technicalName", "name", "description", "engDescription", "type", "category",
-        s["technicalName"].alias("source_type"), s["name"].alias("source_name"), F.coalesce(s["labels"], none).alias("source_labels"),
-        t["technicalName"].alias("target_type"), t["name"].alias("target_name"), F.coalesce(t["labels"], none).alias("target_labels"),
-        "sourceCardinality", "targetCardinality",
+
+    def end(name: str) -> list[Column]:
+        first = F.get(f"d.{name}s", F.lit(0))
+        return [
+            first["technicalName"].alias(f"{name}_type"), first["name"].alias(f"{name}_name"), first["type"].alias(f"{name}_kind"),
+            F.coalesce(first["labels"], none).alias(f"{name}_labels"),
+        ]
+
+    return types.select(
+        "technicalName",
+        *[_either(F.col(f"d.{c}"), F.col(f"base.{c}")).alias(c) for c in ("name", "description")],
+        "d.engDescription",
+        _either(F.col("d.type"), F.col("base.type")).alias("type"),
+        "d.category", *end("source"), *end("target"), "d.sourceCardinality", "d.targetCardinality",
     )
 
 
+def node_index(listing: DataFrame, details: DataFrame) -> DataFrame:
+    """``node_entries`` of the listed types whose details are there."""
+    return node_entries(_joined(listing, details))
+
+
+def relation_index(details: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """``relation_entries`` of the listed relation types whose details are there; of all details without a listing."""
+    return relation_entries(_joined(details.select("technicalName") if listing is None else listing, details))
+
+
+#: The documents' names of an entry's columns, where they differ.
+NODE_NAMES = {"type": "typeKind", "is_application": "isApplication", "is_system": "isSystem", "is_codelist": "isCodelist"}
+
+
 def index_document(entries: DataFrame, attributes: DataFrame, root: str) -> DataFrame:
-    """One row, ``value``: {root: {technical name: entry with its attributes by name}} as JSON."""
+    """One row, ``value``: {root: {technical name: entry with its attributes by name}} as JSON.
+
+    Entries of relations have their ends nested, under source and target.
+    """
+    fields = ("description", "mandatory", "opendata", "attributeTypeEnum", "readOnly", "invisible")
     own = attributes.groupBy(F.col("type").alias("of")).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", F.struct("attribute_name", "description", "mandatory", "attributeTypeEnum", "valid", "readOnly"))))).alias("attributes")
+        F.array_sort(F.collect_list(F.struct("at", F.col("name").alias("k"), F.struct(F.col("attribute_name").alias("name"), *fields).alias("v")))).alias("own")
     )
     joined = entries.join(own, F.col("technicalName") == F.col("of"), "left").drop("of")
-    entry = F.struct("technicalName", F.struct(*joined.columns).alias("entry"))
-    by_name = lambda a, b: F.when(a["technicalName"] < b["technicalName"], -1).otherwise(1)
-    index = F.map_from_entries(F.array_sort(F.collect_list(entry), by_name))
+    columns = [c for c in entries.columns if not c.startswith(("source_", "target_"))]
+    names = NODE_NAMES if "labels" in columns else {}
+    ends = [
+        F.struct(F.col(f"{x}_type").alias("technicalName"), F.col(f"{x}_name").alias("name"), F.col(f"{x}_kind").alias("type"), F.col(f"{x}_labels").alias("labels")).alias(x)
+        for x in ("source", "target") if f"{x}_type" in entries.columns
+    ]
+    by_name = F.map_from_entries(F.transform("own", lambda a: F.struct(a["k"], a["v"])))
+    kind = joined.select(by_name.alias("m")).schema["m"].dataType
+    body = F.struct(*[F.col(c).alias(names.get(c, c)) for c in columns], *ends, F.coalesce(by_name, F.create_map().cast(kind)).alias("attributes"))
+    by_key = lambda a, b: F.when(a["technicalName"] < b["technicalName"], -1).otherwise(1)
+    index = F.map_from_entries(F.array_sort(F.collect_list(F.struct("technicalName", body.alias("entry"))), by_key))
     return joined.agg(F.to_json(F.create_map(F.lit(root), index), {"ignoreNullFields": "false"}).alias("value"))
 
 
@@ -216,6 +291,12 @@ def snapshot_index(files: DataFrame) -> DataFrame:
     )
 
 
+def snapshot_document(index: DataFrame) -> DataFrame:
+    """One row, ``value``: {"snapshots": [the index's rows by date]} as JSON."""
+    rows = F.array_sort(F.collect_list(F.struct("date", "node_types", "relations")))
+    return index.agg(F.to_json(F.struct(rows.alias("snapshots"))).alias("value"))
+
+
 def latest_snapshot(index: DataFrame, mode: str = "lexicographic") -> DataFrame:
     """(date): the last by text, as the catalogue's views have it, or by calendar; days may lack a 0."""
     if mode == "lexicographic":
@@ -248,6 +329,16 @@ def write_csv(lines: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").partitionBy("stem").option("lineSep", "\r\n").text(path)
 
 
+def write_document(document: DataFrame, path: str) -> None:
+    """A one-row document's text, column ``value``, as one file in the folder ``path``."""
+    document.select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_raw(fetched: DataFrame, path: str) -> None:
+    """The detail documents as they came: a folder stem=<name> for each type."""
+    fetched.select(F.col("name").alias("stem"), "detail").write.mode("overwrite").partitionBy("stem").text(path)
+
+
 def write_documents(df: DataFrame, path: str, by: list[str]) -> None:
     """JSON with nulls, a folder for each value of ``by``; only folders that are written again are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).partitionBy(*by).json(path)

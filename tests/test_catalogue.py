@@ -46,10 +46,10 @@ def test_node_dumps(spark, tmp_path):
 
 
 def test_listed(spark):
-    rows = ["[1, 2]", '{"items": ["a"], "result": "no"}', '{"x": 3, "y": ["b"]}', '{"k": 1, "l": 2}', "{}"]
+    rows = ["[1, 2]", '{"items": ["a"], "result": "no"}', '{"x": 3, "y": ["b"]}', '{"k": 1, "l": 2}', "{}", '{"name": "[x]", "other": [1, {"a": "b"}]}']
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v string")
     got = [r.x for r in df.select("i", catalogue.listed(F.col("v")).alias("x")).orderBy("i").collect()]
-    assert got == [["1", "2"], ["a"], ["b"], ["k", "l"], []]
+    assert got == [["1", "2"], ["a"], ["b"], ["k", "l"], [], ["1", '{"a":"b"}']]
 
 
 def test_csv_is_what_the_csv_module_writes(spark, tmp_path):
@@ -95,7 +95,10 @@ def test_metadata(spark, tmp_path):
     attrs = catalogue.attribute_rows(details)
     assert [(r.type, r.name, r.attribute_name, r.mandatory) for r in attrs.collect()] == [("A", "k", "two", "critical")]
     doc = json.loads(catalogue.index_document(catalogue.node_index(listing, details.drop("stem")), attrs, "types").first().value)
-    assert doc["types"]["A"]["attributes"]["k"]["attribute_name"] == "two" and doc["types"]["A"]["type"] == "application"
+    assert list(doc["types"]) == ["A"] and doc["types"]["A"] == {
+        "technicalName": "A", "name": "Ay", "description": "d", "typeKind": "application", "labels": ["codelist"], "isApplication": True, "isSystem": False,
+        "isCodelist": True, "attributes": {"k": {"name": "two", "description": None, "mandatory": "critical", "opendata": None, "attributeTypeEnum": None, "readOnly": None, "invisible": None}},
+    }
 
 
 def test_relation_metadata_without_ends(spark, tmp_path):
@@ -167,3 +170,63 @@ def test_missing_metadata_is_empty_and_a_missing_index_fails(spark, tmp_path):
     assert catalogue.read_or_empty(spark, str(tmp_path / "no"), catalogue.NODE_TYPE).count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         catalogue.read_documents(spark, str(tmp_path / "no"), catalogue.NODE_TYPE)
+
+
+def test_values_are_written_as_texts(spark, tmp_path):
+    put(tmp_path, "T.json", table(["a"] * 8, [["t", True, 1.0, 2.5, 3, None, 12345678901234567890, False]]))
+    assert catalogue.tables(spark, str(tmp_path)).first()["values"] == ["t", "True", "1.0", "2.5", "3", None, "12345678901234567890", "False"]
+    put(tmp_path, "T.json", table(["a", "b"], [[True, 1.0], [None, " x"]]))
+    assert [(r.u0, r.u1) for r in catalogue.edge_tables(spark, str(tmp_path)).collect()] == [("True", "1.0"), (None, " x")]
+
+
+def test_names_of_files_and_folders(spark):
+    paths = ["file:/a/b.c.json", "file:/a/x%20y%2Bz+w.json", "file:/a/stem=T%2525/part-0.json"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r.x for r in df.select(catalogue.stem(F.col("p")).alias("x")).collect()] == ["b.c", "x y+z+w", "T%"]
+
+
+def test_fetched_types(spark):
+    """Filled labels count, whichever they are; attributes keep the array's order."""
+    node = {"name": "Bee", "type": "application", "labels": ["codelist"], "attributes": [attr("z", "z"), {"name": "a", "technicalName": "a", "opendata": True, "invisible": False, "readOnly": True}, attr("zz", "z")]}
+    rows = [("B", json.dumps({"technicalName": "B", "labels": []}), json.dumps(node)), ("C", '"C"', json.dumps({"labels": "no list", "type": "system"}))]
+    fetched = spark.createDataFrame(rows, "name string, listed string, detail string")
+    types = catalogue.fetched_types(fetched, catalogue.NODE_TYPE)
+    got = {r.technicalName: r for r in catalogue.node_entries(types).collect()}
+    assert (got["B"].labels, got["B"].is_codelist, got["C"].labels, got["C"].is_system, got["C"].name) == (["codelist"], True, [], True, None)
+    attrs = catalogue.attribute_rows(types.select("technicalName", "d.attributes"))
+    doc = json.loads(catalogue.index_document(catalogue.node_entries(types), attrs, "types").first().value)
+    assert list(doc["types"]) == ["B", "C"] and list(doc["types"]["B"]["attributes"]) == ["z", "a"] and doc["types"]["C"]["attributes"] == {}
+    assert doc["types"]["B"]["attributes"]["a"] == {"name": "a", "description": None, "mandatory": None, "opendata": True, "attributeTypeEnum": None, "readOnly": True, "invisible": False}
+    assert doc["types"]["B"]["attributes"]["z"]["name"] == "zz"
+
+
+def test_relation_entries_take_the_details_first(spark):
+    d = {"name": "", "type": "system", "sources": [{"technicalName": "S", "name": "s", "type": "application", "labels": ["l"]}, {"technicalName": "X"}], "targets": []}
+    rows = [("R", json.dumps({"name": "listed", "type": "application", "description": "d"}), json.dumps(d))]
+    types = catalogue.fetched_types(spark.createDataFrame(rows, "name string, listed string, detail string"), catalogue.RELATION_TYPE)
+    entries = catalogue.relation_entries(types)
+    none = catalogue.attribute_rows(types.select("technicalName", "d.attributes"))
+    doc = json.loads(catalogue.index_document(entries, none, "relations").first().value)["relations"]["R"]
+    assert (doc["name"], doc["description"], doc["type"]) == ("listed", "d", "system") and "labels" not in doc
+    assert doc["source"] == {"technicalName": "S", "name": "s", "type": "application", "labels": ["l"]} and doc["target"]["labels"] == []
+
+
+def test_of_equal_listed_names_the_last_counts(spark):
+    listing = spark.createDataFrame([("A", "one", 0), ("A", "two", 1)], "technicalName string, name string, at int")
+    details = spark.createDataFrame([("A",)], "technicalName string").withColumns({c: F.lit(None).cast(k) for c, k in (("name", "string"), ("description", "string"), ("type", "string"), ("labels", "array<string>"))})
+    assert [r.name for r in catalogue.node_index(listing, details).collect()] == ["two"]
+
+
+def test_metadata_that_cannot_be_parsed_is_no_metadata(spark, tmp_path):
+    put(tmp_path, "A.json", "{not json", raw=True)
+    put(tmp_path, "B.json", {"technicalName": "B"})
+    assert [r.stem for r in catalogue.read_or_empty(spark, str(tmp_path), "technicalName string").collect()] == ["B"]
+    assert catalogue.read_snapshot(spark, str(tmp_path / "no"), "x int", "2025-11-3", "A").count() == 0
+
+
+def test_written_documents_are_found_by_snapshot_and_stem(spark, tmp_path):
+    rows = [("2025-11-3", "attributes", "A b", 1), ("2025-11-13", "relation_attributes", "R", 2)]
+    catalogue.write_documents(spark.createDataFrame(rows, "snapshot string, kind string, stem string, x int"), str(tmp_path / "s"), ["snapshot", "kind", "stem"])
+    index = catalogue.snapshot_index(catalogue.snapshot_files(spark, str(tmp_path / "s")))
+    assert {r.date: (r.node_types, r.relations) for r in index.collect()} == {"2025-11-3": (["A b"], []), "2025-11-13": ([], ["R"])}
+    assert json.loads(catalogue.snapshot_document(index).first().value)["snapshots"][0] == {"date": "2025-11-13", "node_types": [], "relations": ["R"]}

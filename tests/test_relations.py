@@ -7,9 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators import islands, profiles, relations
+from millrace.operators import islands, profiles, ranks, relations
 from millrace.operators.components import connected_components
-from millrace.plans import documents
+from millrace.plans import documents, views
 
 MEMBER = "relation string, side string, uuid string"
 
@@ -81,7 +81,7 @@ def test_percentiles_are_values(spark, values):
 def test_two_edges_of_one_source(spark):
     """One source with two targets among 16 nodes on either side: an island of three and 29 of one."""
     ids = [f"{i:02}" for i in range(16)]
-    pairs = relations.pair_counts(relations.orient(edges(spark, [("03", "07"), ("03", "11")]), members(spark, ids, ids)))
+    pairs = relations.pair_counts(edges(spark, [("03", "07"), ("03", "11")]), members(spark, ids, ids))
     deg = relations.degrees(pairs)
     found = islands.sizes(islands.components(pairs, members(spark, ids, ids)), deg).cache()
     s = islands.summary(found).first()
@@ -122,7 +122,7 @@ def test_components_of_a_chain_and_null_ends(spark):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("abc"), st.sampled_from("xyz")), max_size=20))
 def test_degree_sums(spark, rows):
-    pairs = relations.pair_counts(relations.orient(edges(spark, rows), members(spark, "abc", "xyz")))
+    pairs = relations.pair_counts(edges(spark, rows), members(spark, "abc", "xyz"))
     sums = {r.side: r.n for r in relations.degrees(pairs).groupBy("side").agg(F.sum("degree").alias("n")).collect()}
     counts = Counter(rows)
     assert sums == ({"s": len(rows), "t": len(rows)} if rows else {})
@@ -159,7 +159,7 @@ def test_full_document(spark):
         "target_type string, target_name string, sourceCardinality struct<min:bigint,max:bigint>, targetCardinality struct<min:bigint,max:bigint>",
     )
     names = spark.createDataFrame([("03", "Three", "c3")], "uuid string, name string, code string")
-    attrs = spark.createDataFrame([("r", "k", "K", None, "critical", "STRING")], "type string, name string, attribute_name string, description string, mandatory string, attributeTypeEnum string")
+    attrs = spark.createDataFrame([("r", "k", 0, "K", None, "critical", "STRING")], "type string, name string, at int, attribute_name string, description string, mandatory string, attributeTypeEnum string")
     got = {x.relation_name: x.asDict(recursive=True) for x in documents.relation_profiles(edge_rows, spark.createDataFrame(mem, MEMBER), entries, names, attrs).collect()}
     r, e, q = got["r"]["stats"], got["e"]["stats"], got["q"]["stats"]
     assert (r["edges_total"], r["parallel_max"], r["source_connected"], r["target_connected"], r["cardinality"]) == (2, 1, 1, 2, "one-to-many")
@@ -172,3 +172,31 @@ def test_full_document(spark):
     assert got["r"]["attributes"] == [{"technicalName": "k", "name": "K", "description": None, "mandatory": "critical", "attributeTypeEnum": "STRING"}]
     assert (e["cardinality"], e["degree_source"], e["top_source"], e["parallel_max"], e["islands"]["singleton_islands"]) == ("empty", None, [], 0, 32)
     assert (q["ambiguous_pairs"], q["source_total"], q["source_connected"], q["islands"]["total_nodes"]) == (1, 0, 1, 0)
+
+
+def test_ranks_in_groups_of_any_size(spark):
+    rows = [("a", i, float(i % 7)) for i in range(500)] + [("b", 1, 2.0)]
+    df = spark.createDataFrame(rows, "g string, i int, x double").repartition(5)
+    got = ranks.ranked(df, ["g"], [F.desc("i")], total="x").collect()
+    want, total = {}, 0.0
+    for k, (_, i, x) in enumerate(reversed(rows[:500]), 1):
+        want["a", i], total = (k, total), total + x
+    assert {(r.g, r.i): (r["rank"], r.before) for r in got} == want | {("b", 1): (1, 0.0)}
+
+
+def test_relations_without_metadata_have_a_message_alone(spark):
+    stats = spark.createDataFrame([("r", 2, 1, 1, "many-to-many"), ("q", 1, 1, 0, "one-to-one")], "relation string, total_edges long, unique_pairs long, duplicate_edges long, cardinality string")
+    meta = spark.createDataFrame([("r", "Name", " x ", "A", "a", None, "b")], "technicalName string, name string, description string, source_name string, source_type string, target_name string, target_type string")
+    got = {x.relation: x for x in views.relation_view(stats, meta).collect()}
+    r, q = got["r"], got["q"]
+    assert (r.message, r.source_label, r.target_label, r.description, r.parallel_text, r.parallel_alert) == (None, "A (a)", "b", "x", "1 parallel edge", True)
+    assert q.message == "No metadata for this relation." and q.edges_text is None and q.title is None
+    names = spark.createDataFrame([("b",), ("a",)], "n string")
+    assert [views.selected(names, "n", c).first().chosen for c in ("b", "z", None)] == ["b", "a", "a"] and views.selected(names.limit(0), "n", "b").first().chosen is None
+
+
+def test_a_hub_and_repeats_are_counted_before_they_are_oriented(spark):
+    rows = [("h", f"x{i}") for i in range(50)] * 3 + [(f"x{i}", "h") for i in range(10)]
+    pairs = relations.pair_counts(edges(spark, rows), members(spark, ["h"], [f"x{i}" for i in range(49)])).collect()
+    got = {(r.s, r.t): (r.n, r.ambiguous) for r in pairs}
+    assert got == {("h", f"x{i}"): ((4 if i < 10 else 3), 3 if i == 49 else 0) for i in range(50)}
