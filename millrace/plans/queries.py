@@ -7,13 +7,15 @@ and ambiguity have work to do.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text
 from millrace.operators import islands, profiles, relations
-from millrace.plans import views
-from millrace.shared import written
+from millrace.plans import documents, jobs, views
+from millrace.shared import shared_folder, written
 from millrace.sources import catalogue
 
 # --- the test tables as typed nodes and relations -------------------------------
@@ -91,7 +93,7 @@ _SP = ("supplier_part",)
 
 
 def _pairs(spark: SparkSession, sf: str, only=_SP) -> DataFrame:
-    return relations.pair_counts(relations.orient(_edges(spark, sf, only), _members(spark, sf, only)))
+    return relations.pair_counts(_edges(spark, sf, only), _members(spark, sf, only))
 
 
 def rel_stats_v1_supplier_part(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,13 +138,58 @@ def rel_top_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 def rel_coverage_pie(spark: SparkSession, sf: str) -> DataFrame:
     return views.coverage(rel_stats_all(spark, sf)).select(
-        "relation", "side", "total", "connected", *[F.round(c, 9).alias(c) for c in ("connected_share", "parallel_share", "connected_arc", "parallel_arc")]
+        "relation", "side", "total", "connected", "coverage_text", *[F.round(c, 9).alias(c) for c in ("connected_share", "parallel_share", "connected_arc", "parallel_arc")]
     )
 
 
 def rel_degree_view(spark: SparkSession, sf: str) -> DataFrame:
-    shown = views.degree_view(rel_degree_distribution(spark, sf))
-    return shown.select("relation", "side", "min_text", "max_text", "p90_text", "p99_text")
+    return views.degree_view(rel_degree_distribution(spark, sf))
+
+
+_REL_TYPES = (
+    ("supplier_part", "Supplies", "  What a supplier has,\n" + "z" * 80, "Supplier", "supplier", None, "part"),
+    ("customer_orders", "", None, "Customer", "customer", "Order", "orders"),
+    ("nation_customer", "Has", " customers of a nation ", "", "nation", "Customer", None),
+    ("orders_region", None, "", None, None, "Region", "region"),
+)
+
+
+def _relation_meta(spark: SparkSession) -> DataFrame:
+    schema = "technicalName string, name string, description string, source_name string, source_type string, target_name string, target_type string"
+    return spark.createDataFrame(list(_REL_TYPES), schema)
+
+
+def rel_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The page of each relation; one has no metadata."""
+    return views.relation_view(rel_stats_all(spark, sf), _relation_meta(spark))
+
+
+def rel_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Some fields of each relation's full document, lists by their first entries."""
+    none = F.lit(None).cast("string")
+    limits = F.struct(F.lit(0).cast("bigint").alias("min"), F.lit(None).cast("bigint").alias("max"))
+    entries = _relation_meta(spark).select(
+        "technicalName", "name", "description", none.alias("engDescription"), none.alias("type"), "source_type", "source_name", "target_type",
+        "target_name", limits.alias("sourceCardinality"), limits.alias("targetCardinality"),
+    )
+    attributes = spark.createDataFrame(
+        [("supplier_part", "z", 0, "Zed", None, "critical", "STRING"), ("supplier_part", "a", 1, "Ay", "d", None, "LONG")],
+        "type string, name string, at int, attribute_name string, description string, mandatory string, attributeTypeEnum string",
+    )
+    d = documents.relation_profiles(_edges(spark, sf), _members(spark, sf), entries, attributes=attributes)
+    x, i = "stats.", "stats.islands."
+    first = lambda c, field: F.get(c, F.lit(0))[field]
+    return d.select(
+        "relation_name", "name", "source_type", "target_name", f"{x}edges_total", f"{x}unique_pairs", f"{x}parallel_edges", f"{x}parallel_max",
+        f"{x}source_total", f"{x}target_connected", f"{x}cardinality", F.col(f"{x}degree_source.p90").alias("source_p90"),
+        F.col(f"{x}degree_target.median").alias("target_median"), first(f"{x}top_source", "uuid").alias("top_source"),
+        first(f"{x}top_target", "degree").alias("top_target_degree"), F.col(f"{i}total_islands").alias("islands"),
+        F.col(f"{i}singleton_islands").alias("singletons"), first(f"{i}multi_islands", "size_total").alias("largest"),
+        first(f"{i}multi_islands", "top_source_uuid").alias("largest_top"), F.col(f"{i}target.total_islands").alias("target_islands"),
+        first(f"{i}target.multi_islands", "size").alias("target_largest"), first(f"{x}parallel_pairs_detail", "count").alias("most_parallel"),
+        F.array_join(F.transform("attributes", lambda a: a["technicalName"]), ",").alias("attributes"),
+        F.col("sourceCardinality.min").alias("source_min"), F.col("sourceCardinality.max").alias("source_max"),
+    )
 
 
 # --- islands, over all edges of all relations ----------------------------------
@@ -248,7 +295,7 @@ def _types(spark: SparkSession) -> DataFrame:
 def attr_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
     meta = spark.createDataFrame(list(_ATTR_META), "type string, name string, attribute_name string, description string, mandatory string")
     view = views.attribute_view(attr_profile_all_types(spark, sf), meta)
-    return view.select("type", "name", "display_name", "subtitle", "unique_cell", "tier")
+    return view.select("type", "name", "display_name", "subtitle", "unique_cell", "tier", "pct_text", "bar", "unique_bar")
 
 
 def attr_summary_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,11 +327,23 @@ def relation_kind_filter(spark: SparkSession, sf: str) -> DataFrame:
     meta = spark.createDataFrame(list(_REL_META), "technicalName string, name string, type string")
     found = None
     for name, chosen in (("application", views.TypeFilter()), ("both", views.TypeFilter(system=True)), ("none", views.TypeFilter(application=False)), ("curated", views.TypeFilter(curated=("nation_customer",)))):
-        rows = views.relation_kind_filter(_relations(spark).select("relation"), meta, chosen).select(F.lit(name).alias("filter"), "relation", "label")
+        rows = views.relation_kind_filter(_relations(spark).select("relation"), meta, chosen).select(F.lit(name).alias("filter"), "relation", "label", "rank")
         found = rows if found is None else found.unionByName(rows)
     return found
 
 
+def default_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """What is chosen among the nations' names: the current one if it is there, else the first, else none."""
+    nation = _table(spark, sf, "nation").withColumnRenamed("n_name", "name")
+    third = nation.filter("n_nationkey = 3").first()["name"]
+    cases = (("kept", "n_regionkey >= 0", third), ("gone", "n_regionkey < 0", third), ("first", "n_nationkey > 4", third), ("none", "n_nationkey > 4", None))
+    found = None
+    for case, which, current in cases:
+        one = views.selected(nation.filter(which), "name", current).select(F.lit(case).alias("situation"), "chosen")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def type_icon_kind(spark: SparkSession, sf: str) -> DataFrame:
     return views.icon_kind(_types(spark))
 
@@ -292,14 +351,71 @@ def type_icon_kind(spark: SparkSession, sf: str) -> DataFrame:
 # --- metadata, snapshots, tables, texts ------------------------------------------
 
 
-def metadata_first_endpoint(spark: SparkSession, sf: str) -> DataFrame:
-    """Relation types whose sources are a region's nations, the first of which counts."""
+def _json_text(**fields) -> F.Column:
+    return F.to_json(F.struct(*[(v if isinstance(v, F.Column) else F.lit(v)).alias(k) for k, v in fields.items()]))
+
+
+def _fetched_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions as relation types, as the REST source gives them: sources are their nations, of which the first counts."""
     nation, region = _table(spark, sf, "nation"), _table(spark, sf, "region")
     ends = nation.filter("n_regionkey <> 0").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("ends"))
-    meta = region.join(ends, F.col("r_regionkey") == F.col("n_regionkey"), "left").select(
-        F.col("r_name").alias("technicalName"), F.coalesce(F.get("ends", F.lit(0))["n_name"], F.lit(None)).alias("source_name"),
+    sources = F.transform("ends", lambda e: F.struct(F.concat(F.lit("N"), e["n_nationkey"].cast("string")).alias("technicalName"), e["n_name"].alias("name"), F.lit("application").alias("type")))
+    listed = F.when(F.col("r_regionkey") == 0, _json_text(name="", type="system")).when(F.col("r_regionkey") == 1, F.concat(F.lit('"'), "r_name", F.lit('"'))).otherwise(
+        _json_text(name=F.concat(F.lit("listed "), "r_name"), description="of the list", type="system")
+    )
+    detail = _json_text(name=F.when(F.col("r_regionkey") % 2 == 0, F.col("r_name")).otherwise(""), type=F.when(F.col("r_regionkey") == 3, "application"), sources=sources)
+    return region.join(ends, F.col("r_regionkey") == F.col("n_regionkey"), "left").select(F.col("r_name").alias("name"), listed.alias("listed"), detail.alias("detail"))
+
+
+def metadata_first_endpoint(spark: SparkSession, sf: str) -> DataFrame:
+    types = catalogue.fetched_types(_fetched_regions(spark, sf), catalogue.RELATION_TYPE)
+    return catalogue.relation_entries(types).select("technicalName", "source_name")
+
+
+def metadata_relation_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """All of the entries, from raw documents written and read again as they came."""
+    path = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    fetched = _fetched_regions(spark, sf)
+    catalogue.write_raw(fetched, path)
+    raw = spark.read.schema("value string, stem string").text(path, wholetext=True)
+    again = fetched.select("name", "listed").join(raw, F.col("name") == F.col("stem")).select("name", "listed", F.col("value").alias("detail"))
+    entries = catalogue.relation_entries(catalogue.fetched_types(again, catalogue.RELATION_TYPE))
+    return entries.select("technicalName", "name", "description", "type", "source_type", "source_name", "source_kind", F.size("source_labels").alias("n_labels"), "target_type")
+
+
+def _fetched_nations(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations as node types, with labels in the list, the details, both or neither, and attributes of which names repeat."""
+    n = F.col("n_nationkey")
+    label = lambda x, which: F.array(F.when(which, "codelist").otherwise("other"), F.lit(x))
+    listed = _json_text(name=F.concat(F.lit("listed "), "n_name"), type="system", labels=F.when(n % 4 == 0, label("l", n % 3 == 0)).when(n % 4 == 1, F.array().cast("array<string>")))
+    attribute = lambda k, v: F.struct(k.alias("technicalName"), v.alias("name"), (n % 2 == 0).alias("opendata"), (n % 3 == 0).alias("invisible"), F.struct(F.lit("optional").alias("type")).alias("mandatory"))
+    attributes = F.array(
+        attribute(F.lit("z"), F.col("n_name")), attribute(F.lit(""), F.lit("unnamed")), attribute(F.lit("a"), F.lit("Ay")),
+        attribute(F.lit("z"), F.concat(F.col("n_name"), F.lit("!"))),
     )
-    return meta
+    detail = _json_text(
+        name=F.when(n % 2 == 0, F.col("n_name")).otherwise(""), type=F.when(n % 5 < 3, "application"),
+        labels=F.when(n % 3 == 0, label("d", n % 2 == 0)), attributes=F.when(n % 7 != 6, attributes),
+    )
+    return _table(spark, sf, "nation").select(F.concat(F.lit("T"), n.cast("string")).alias("name"), listed.alias("listed"), detail.alias("detail"))
+
+
+def metadata_node_entries(spark: SparkSession, sf: str) -> DataFrame:
+    entries = catalogue.node_entries(catalogue.fetched_types(_fetched_nations(spark, sf), catalogue.NODE_TYPE))
+    return entries.withColumn("labels", F.array_join("labels", ",")).drop("description")
+
+
+def metadata_index_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The document of all node types, written as one file and read again: its attributes by type and name."""
+    path = f"{shared_folder(spark)}/metadata-{uuid.uuid4().hex}"
+    jobs.metadata(spark, _fetched_nations(spark, sf), _fetched_regions(spark, sf), path)
+    attribute = "struct<name: string, description: string, mandatory: string, opendata: boolean, attributeTypeEnum: string, readOnly: boolean, invisible: boolean>"
+    entry = f"struct<technicalName: string, typeKind: string, isCodelist: boolean, attributes: map<string, {attribute}>>"
+    doc = spark.read.text(f"{path}/node_index", wholetext=True).select(F.from_json("value", f"types map<string, {entry}>").alias("d"))
+    types = doc.select(F.explode("d.types").alias("type", "e"))
+    return types.select("type", "e.typeKind", "e.isCodelist", F.explode_outer("e.attributes").alias("name", "a")).select(
+        "type", "typeKind", "isCodelist", "name", F.col("a.name").alias("attribute_name"), "a.mandatory", "a.opendata", "a.invisible"
+    )
 
 
 def metadata_attr_map(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,9 +428,9 @@ def metadata_attr_map(spark: SparkSession, sf: str) -> DataFrame:
         F.transform("attrs", lambda a: F.struct(
             a["technicalName"].alias("technicalName"), a["name"].alias("name"), F.lit(None).cast("string").alias("description"),
             F.struct(F.lit("optional").alias("type")).alias("mandatory"), F.lit("STRING").alias("attributeTypeEnum"),
-            F.lit(True).alias("valid"), F.lit(False).alias("readOnly"))).alias("attributes"),
+            F.lit(False).alias("readOnly"), F.lit(True).alias("opendata"), F.lit(False).alias("invisible"))).alias("attributes"),
     )
-    return catalogue.attribute_rows(types).select("type", "name", "attribute_name", "mandatory")
+    return catalogue.attribute_rows(types).select("type", "name", "attribute_name", "mandatory", "opendata", "invisible", "readOnly")
 
 
 def _snapshot_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -336,10 +452,85 @@ def snapshot_latest(spark: SparkSession, sf: str) -> DataFrame:
     return modes[0].unionByName(modes[1])
 
 
+def snapshot_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """The index document's rows, after documents of a snapshot each year were written and their folders scanned."""
+    path = f"{shared_folder(spark)}/snapshots-{uuid.uuid4().hex}"
+    days = _snapshot_files(spark, sf).filter("kind <> 'holistic'").withColumn("date", F.concat(F.substring("date", 1, 4), F.lit("-1-1")))
+    files = days.groupBy(F.col("date").alias("snapshot"), "kind", "stem").agg(F.count("*").alias("n"))
+    catalogue.write_documents(files, path, ["snapshot", "kind", "stem"])
+    jobs.index_snapshots(spark, path, f"{path}-index")
+    kind = "snapshots array<struct<date: string, node_types: array<string>, relations: array<string>>>"
+    doc = spark.read.text(f"{path}-index", wholetext=True).select(F.from_json("value", kind).alias("d"))
+    x = doc.select(F.explode("d.snapshots").alias("s")).select("s.*")
+    return x.select("date", F.array_join("node_types", "|").alias("node_types"), F.array_join("relations", "|").alias("relations"))
+
+
+def snapshot_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Attribute profiles written by snapshot and type; one is looked up, another isn't there."""
+    path = f"{shared_folder(spark)}/profiles-{uuid.uuid4().hex}"
+    profiled, counts = _profile(spark, sf, list(_PROFILED))
+    docs = profiles.profile_documents(profiled, counts).select(F.lit("2025-11-3").alias("snapshot"), F.col("type").alias("stem"), "type", "count", "attributes")
+    catalogue.write_documents(docs, path, ["snapshot", "stem"])
+    there = catalogue.read_snapshot(spark, path, catalogue.PROFILE, "2025-11-3", "customer")
+    absent = catalogue.read_snapshot(spark, path, catalogue.PROFILE, "2025-11-13", "customer")
+    no_root = catalogue.read_snapshot(spark, f"{path}-none", catalogue.PROFILE, "2025-11-3", "part")
+    found = there.unionByName(absent).unionByName(no_root)
+    return found.select("type", F.col("count").alias("type_count"), F.explode("attributes").alias("a")).select("type", "type_count", "a.*")
+
+
+def _command_files(spark: SparkSession, sf: str) -> str:
+    """Node dumps of nations and regions, with ids that don't count, and edge tables of two relations, with rows that don't."""
+    path = f"{shared_folder(spark)}/input-{uuid.uuid4().hex}"
+    nation, region = _table(spark, sf, "nation"), _table(spark, sf, "region")
+    dumps = region.select(F.lit("region").alias("stem"), _id("region").alias("uuid")).unionByName(
+        nation.select(F.lit("nation").alias("stem"), F.when(F.col("n_nationkey") == 3, "").when(F.col("n_nationkey") != 4, _id("nation")).alias("uuid"))
+    )
+    lists = dumps.groupBy("stem").agg(F.collect_list(F.struct("uuid")).alias("result"))
+    catalogue.write_documents(lists, f"{path}/nodes", ["stem"])
+    row = lambda *values: F.struct(F.array(*values).alias("values"))
+    n, r = _id("nation"), _id("region", "n_regionkey")
+    given = nation.select(
+        F.lit("region_nation").alias("stem"),
+        F.when(F.col("n_nationkey") % 5 == 1, row(n, F.concat(F.lit(" "), r), F.lit("more"))).when(F.col("n_nationkey") == 7, row(r))
+        .when(F.col("n_nationkey") == 8, row(r, F.lit(None).cast("string"))).when(F.col("n_nationkey") == 9, row(F.lit(" "), n)).otherwise(row(r, n)).alias("row"),
+    )
+    given = given.unionByName(nation.select(F.lit("nation_nation").alias("stem"), F.explode(F.array(row(n, n), row(n, n))).alias("row")))
+    result = F.struct(F.array(*[F.struct(F.lit(h).alias("name")) for h in ("from", "to", "note")]).alias("headers"), F.col("rows").alias("rows"))
+    tables = given.groupBy("stem").agg(F.collect_list("row").alias("rows")).select("stem", F.lit("TABLE").alias("type"), result.alias("result"))
+    catalogue.write_documents(tables, f"{path}/relations", ["stem"])
+    return path
+
+
+def edge_table_files(spark: SparkSession, sf: str) -> DataFrame:
+    return relations.edges(catalogue.edge_tables(spark, f"{_command_files(spark, sf)}/relations"))
+
+
+def node_dump_files(spark: SparkSession, sf: str) -> DataFrame:
+    dumps = catalogue.node_dumps(spark, f"{_command_files(spark, sf)}/nodes")
+    return dumps.filter("uuid <> ''").distinct()
+
+
+def relation_stats_command(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of two relations from their files, written by snapshot and read again."""
+    path = _command_files(spark, sf)
+    wanted = [("region_nation", "region", "nation"), ("nation_nation", "nation", "nation")]
+    jobs.relation_stats(spark, path, f"{path}/stats", "2025-11-3", wanted)
+    side = "struct<type: string, total_nodes: bigint, connected_nodes: bigint, degree_min: bigint, degree_max: bigint, degree_avg: double>"
+    edge = "struct<total_edges: bigint, unique_pairs: bigint, duplicate_edges: bigint, pairs_with_duplicates: bigint, ambiguous_pairs: bigint>"
+    schema = f"relation_name string, source_type string, target_type string, edges {edge}, source {side}, target {side}, cardinality string"
+    d = catalogue.read_snapshot(spark, f"{path}/stats", schema, "2025-11-3")
+    ends = [F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in ("source", "target") for c in ("total_nodes", "connected_nodes", "degree_max")]
+    return d.select("snapshot", "relation_name", "source_type", "target_type", "edges.*", *ends, "cardinality")
+
+
 def _report(spark: SparkSession, sf: str) -> DataFrame:
+    """A report of the regions, written as a TABLE document and read again."""
+    path = f"{shared_folder(spark)}/reports-{uuid.uuid4().hex}"
     r = _table(spark, sf, "region").select(F.struct(F.array(F.col("r_regionkey").cast("string"), F.concat(F.col("r_name"), F.lit(' "x";')), F.lit(None).cast("string")).alias("values")).alias("row"))
-    doc = r.agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    return doc.select(F.lit("region").alias("stem"), F.array(F.lit("key"), F.lit("name"), F.lit("note")).alias("headers"), F.posexplode("rows").alias("row", "r")).select("stem", "row", "headers", F.col("r.values").alias("values"))
+    headers = F.array(*[F.struct(F.lit(h).alias("name")) for h in ("key", "name", "note")])
+    doc = r.agg(F.struct(headers.alias("headers"), F.array_sort(F.collect_list("row")).alias("rows")).alias("result"))
+    catalogue.write_documents(doc.select(F.lit("region").alias("stem"), F.lit("TABLE").alias("type"), "result"), path, ["stem"])
+    return catalogue.tables(spark, path)
 
 
 def table_flatten(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,9 +542,17 @@ def table_csv_lines(spark: SparkSession, sf: str) -> DataFrame:
     return catalogue.csv_lines(_report(spark, sf))
 
 
+def table_csv_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of the CSV files that a report is converted to."""
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    catalogue.write_csv(catalogue.csv_lines(_report(spark, sf)), path)
+    text_of = spark.read.schema("value string, stem string").text(path, wholetext=True)
+    return text_of.select("stem", F.posexplode(F.split("value", "\r\n")).alias("row", "line")).filter("line <> ''")
+
+
 def text_truncate(spark: SparkSession, sf: str) -> DataFrame:
     d = _table(spark, sf, "documents")
-    return d.select("doc_id", text.truncated(F.col("text"), 100).alias("short"), text.truncated(text.strip(F.col("text")), 80, 77).alias("shorter"))
+    return d.select("doc_id", text.truncated(F.col("text"), 100).alias("short"), text.short_description(F.col("text")).alias("shorter"))
 
 
 def text_escape(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,18 +560,38 @@ def text_escape(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pct_format(spark: SparkSession, sf: str) -> DataFrame:
-    p = _table(spark, sf, "part").select("p_partkey", (F.col("p_size") / 3.0).alias("pct"))
+    """Percentages of all sizes, none among them."""
+    size = F.col("p_size").cast("double")
+    pct = F.when(F.col("p_partkey") % 8 == 0, 0.0).when(F.col("p_partkey") % 8 == 7, None).otherwise(size / F.pow(F.lit(10.0), (F.col("p_partkey") % 8 - 1)) / 3.0)
+    p = _table(spark, sf, "part").select("p_partkey", pct.alias("pct"))
     return p.select("p_partkey", text.percent(F.col("pct"), 3, 8).alias("pct_text"))
 
 
+def text_url(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of pages' addresses as parts of a path, with signs that are escaped and ones that aren't."""
+    p = _table(spark, sf, "pages")
+    return p.select("page_id", text.url_component(F.concat(F.col("url"), F.lit(" č(1)!'*~+"))).alias("escaped"))
+
+
+def text_rgba(spark: SparkSession, sf: str) -> DataFrame:
+    size = F.col("p_size").cast("string")
+    shown = F.when(F.col("p_partkey") % 4 == 0, "red").when(F.col("p_partkey") % 4 == 1, F.concat(F.lit("rgb("), size, F.lit(", 2,3)"))).otherwise(
+        F.concat(F.lit("rgba(1,"), size, F.lit(",255, 0.25)"))
+    )
+    p = _table(spark, sf, "part").select("p_partkey", text.rgba(shown).alias("x"))
+    return p.select("p_partkey", *[F.col("x")[k].alias(c) for k, c in enumerate("rgba")])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         rel_stats_v1_supplier_part, rel_stats_all, rel_orientation, rel_edge_summary, rel_side_summary, rel_cardinality_all,
-        rel_degree_distribution, rel_parallel_pairs, rel_top_nodes, rel_coverage_pie, rel_degree_view, islands_components,
+        rel_degree_distribution, rel_parallel_pairs, rel_top_nodes, rel_coverage_pie, rel_degree_view, rel_view, rel_profiles, islands_components,
         islands_summary, islands_multi, islands_side, islands_side_multi, islands_pie_layout, attr_profile_customer,
         attr_profile_all_types, attr_profile_json_props, attr_tiers, attr_search_limit, attr_metadata_join, attr_summary_text,
-        type_kind_filter, relation_kind_filter, type_icon_kind, metadata_first_endpoint, metadata_attr_map, snapshot_index,
-        snapshot_latest, table_flatten, table_csv_lines, text_truncate, text_escape, pct_format,
+        type_kind_filter, relation_kind_filter, default_selection, type_icon_kind, metadata_first_endpoint, metadata_relation_entries,
+        metadata_node_entries, metadata_index_document, metadata_attr_map, snapshot_index, snapshot_latest, snapshot_folders,
+        snapshot_lookup, edge_table_files, node_dump_files, relation_stats_command, table_flatten, table_csv_lines, table_csv_files,
+        text_truncate, text_escape, text_url, text_rgba, pct_format,
     )
 }

@@ -88,7 +88,7 @@ def node_dumps(spark: SparkSession, path: str, item: str = "uuid string") -> Dat
 
     Any other document fails the job.
     """
-    texts = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
+    texts = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
     value = F.regexp_replace("value", r"(?U)^[\s﻿]+", "")
     bare = F.from_json(value, f"array<struct<{_fields(item)}>>")
     under = F.from_json(value, f"struct<result: array<struct<{_fields(item)}>>>")["result"]

@@ -230,3 +230,9 @@ def test_written_documents_are_found_by_snapshot_and_stem(spark, tmp_path):
     index = catalogue.snapshot_index(catalogue.snapshot_files(spark, str(tmp_path / "s")))
     assert {r.date: (r.node_types, r.relations) for r in index.collect()} == {"2025-11-3": (["A b"], []), "2025-11-13": ([], ["R"])}
     assert json.loads(catalogue.snapshot_document(index).first().value)["snapshots"][0] == {"date": "2025-11-13", "node_types": [], "relations": ["R"]}
+
+
+def test_documents_of_several_lines(spark, tmp_path):
+    put(tmp_path, "A.json", '﻿ {\n  "result": [\n    {"uuid": "1"},\n    {"uuid": "2"}\n  ]\n}\n', raw=True)
+    put(tmp_path, "B.json", "[\n {\"uuid\": \"3\"}\n]", raw=True)
+    assert sorted((r.type, r.uuid) for r in catalogue.node_dumps(spark, str(tmp_path)).collect()) == [("A", "1"), ("A", "2"), ("B", "3")]
