@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -100,16 +101,15 @@ def test_scores_of_nothing(empty):
 def small_model(rng):
     normal = lambda x, axis: x / x.sum(axis, keepdims=True)
     k = lm_score.STATES
-    return lm_score.Model(normal(rng.random(k), 0), normal(rng.random((k, k)), 1), normal(rng.random((lm_score.CLASSES, k)), 0))
+    return lm_score.Model(normal(rng.random(k), 0), normal(rng.random((k, k)), 1), normal(rng.random((7, k)), 0))
 
 
-def test_likelihood_is_the_sum_over_paths():
+@pytest.mark.parametrize("stretch", [1, 2, 3, 100])
+def test_likelihood_is_the_sum_over_paths(stretch):
     rng = np.random.default_rng(0)
     model = small_model(rng)
-    sequences = [rng.integers(0, 5, n) for n in (3, 1, 4, 2, 4)]
-    from itertools import product
-
-    for seq, got in zip(sequences, lm_score.likelihoods(model, sequences), strict=True):
+    sequences = [rng.integers(0, 5, n) for n in (3, 1, 4, 2, 5)]
+    for seq, got in zip(sequences, lm_score.likelihoods(model, sequences, stretch), strict=True):
         total = 0.0
         for path in product(range(lm_score.STATES), repeat=len(seq)):
             p = model.start[path[0]]
@@ -119,20 +119,62 @@ def test_likelihood_is_the_sum_over_paths():
         assert got == pytest.approx(math.log10(total), abs=1e-9)
 
 
-def test_expected_counts_and_rounds_of_training_raise_the_likelihood():
+def plain_counts(model, sequences):
+    """Baum-Welch's counts a token at a time, over whole texts."""
+    k = lm_score.STATES
+    start, moves, emits, total = np.zeros(k), np.zeros((k, k)), np.zeros(model.emits.shape), 0.0
+    for seq in sequences:
+        f, b, c = np.empty((len(seq), k)), np.ones((len(seq), k)), np.empty(len(seq))
+        for t, x in enumerate(seq):
+            f[t] = model.emits[x] * (model.start if t == 0 else f[t - 1] @ model.moves)
+            c[t] = f[t].sum()
+            f[t] /= c[t]
+        for t in range(len(seq) - 2, -1, -1):
+            b[t] = model.moves @ (model.emits[seq[t + 1]] * b[t + 1]) / c[t + 1]
+            moves += np.outer(f[t], model.emits[seq[t + 1]] * b[t + 1] / c[t + 1]) * model.moves
+        start += f[0] * b[0]
+        np.add.at(emits, seq, f * b)
+        total += np.log(c).sum()
+    return start, moves, emits, total
+
+
+@pytest.mark.parametrize("stretch", [7, 512, 10_000])
+def test_expected_counts_are_those_of_whole_texts(stretch):
+    """Texts longer than a stretch, of one token, and of a stretch exactly; moves over cuts count and cuts are no starts."""
+    rng = np.random.default_rng(1)
+    model, seqs = small_model(rng), [rng.integers(0, 7, n) for n in (9, 1300, 1, 7, 1024, 14)]
+    got, want = lm_score.expected_counts(model, seqs, stretch), plain_counts(model, seqs)
+    for x, y in zip(got, want, strict=True):
+        np.testing.assert_allclose(x, y, rtol=2e-3, atol=2e-3)
+    assert got[0].sum() == pytest.approx(len(seqs), rel=1e-4)
+
+
+def test_rounds_of_training_raise_the_likelihood():
     rng = np.random.default_rng(1)
     model, seqs = small_model(rng), [rng.integers(0, 6, n) for n in (9, 30, 1, 17)]
     before = None
     for _ in range(4):
-        start, moves, emits = lm_score.expected_counts(model, seqs)
-        assert start.sum() == pytest.approx(len(seqs), rel=1e-4) and emits.sum() == pytest.approx(57, rel=1e-4)
-        assert moves.sum() == pytest.approx(57 - len(seqs), rel=1e-4)
+        start, moves, emits, total = lm_score.expected_counts(model, seqs, 8)
         now = lm_score.likelihoods(model, seqs).sum()
-        assert before is None or now >= before - 1e-6
+        assert total / math.log(10) == pytest.approx(now, rel=1e-4) and (before is None or now >= before - 1e-6)
         before = now
+        emits += 1e-9
         model = lm_score.Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
 
 
+def test_symbols():
+    own = np.array([3, 9, 2**63 + 5], np.uint64)
+    h = np.array([9, 4, 2**63 + 5, 3, 11, 2**64 - 1], np.uint64)
+    assert lm_score.Symbols(own, 4).of(h).tolist() == [1, 3, 2, 0, 6, 6] and lm_score.Symbols(own[:0], 1).of(h).tolist() == [0] * 6
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_held_out_documents_score_above_word_shares(spark, sf):
+    r = lm_score.op2_lm_score(spark, f"/root/testdata/{sf}").filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+    print((r.s - r.b) / r.n)
+    assert r.s > r.b
+
+
 def test_held_out_text_scores_better_than_by_word_shares(spark):
     """Texts of two vocabularies: the states learn to stay with one."""
     rng = random.Random(5)
