@@ -32,17 +32,19 @@ from millrace.llm.common import WordHashes, text_key, written
 
 STATES = 6
 #: Rounds of training at most, and the share by which the log likelihood must rise for another one.
-ROUNDS, TOLERANCE = 8, 0.002
+ROUNDS, TOLERANCE = 6, 0.002
 #: A word seen so often in training is a symbol of its own, if it is among the FREQUENT ones.
-OWN = 16
+OWN = 32
+#: All rounds of training but the last join symbols into these: the most frequent words, and classes of the others.
+COARSE_WORDS, COARSE_CLASSES = 1 << 14, 1 << 12
 #: Other words share symbols: a power of two of them, one for so many of these words' tokens, and so many at most.
 CLASS_TOKENS, MOST_CLASSES = 256, 1 << 20
 #: Long texts are worked on in stretches of so many tokens, side by side.
-STRETCH = 1024
+STRETCH = 4096
 #: So many words' counts are broadcast (some 40 bytes each with their states); the rest are joined.
 FREQUENT = 1_000_000
 #: Tokens that are worked on together.
-GROUP = 500_000
+GROUP = 1_000_000
 #: No word has a space, so this stands for the end of a text.
 END = np.uint64(xxhash.xxh3_64_intdigest(b" "))
 
@@ -278,22 +280,24 @@ def _expected(model, parts, enter, before, behind, is_first, emitted) -> tuple[n
 _LIKELIHOOD = -2 - STATES
 
 
-def _expect(model):
-    """Rows of symbol, or of what else is counted below 0, with a value for each state."""
+def _expect(sent):
+    """Of the model and the symbols that it knows each symbol by: rows of symbol, or of what else is counted below 0, with a value for each state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, moves, emits, likelihood = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(model.value.emits.shape), np.zeros(STATES)
+        model, known = sent.value
+        start, moves, emits, likelihood = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(model.emits.shape), np.zeros(STATES)
         group, size = [], 0
 
         def add():
-            *more, total = expected_counts(model.value, group)
+            *more, total = expected_counts(model, group)
             for counts, x in zip((start, moves, emits), more, strict=True):
                 counts += x
             likelihood[0] += total
 
         for b in batches:
             for data in b.column(0):
-                group.append(np.frombuffer(data.as_py(), np.int32))
+                found = np.frombuffer(data.as_py(), np.int32)
+                group.append(found if known is None else known[found])
                 size += len(group[-1])
                 if size >= GROUP:
                     add()
@@ -310,38 +314,50 @@ def _expect(model):
     return run
 
 
-def fit(encoded: DataFrame, shares: np.ndarray, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> Model:
+def coarser(counts: np.ndarray, classes: int) -> np.ndarray:
+    """The coarse symbol of each symbol: the own words by their counts, then the classes."""
+    coarse = np.r_[np.arange(len(counts)), np.arange(classes)] & (COARSE_CLASSES - 1)
+    top = np.argsort(-counts, kind="stable")[:COARSE_WORDS]
+    coarse += len(top)
+    coarse[top] = np.arange(len(top))
+    return coarse
+
+
+def fit(encoded: DataFrame, shares: np.ndarray, coarse: np.ndarray, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> Model:
     """Baum-Welch from states that differ by chance and tend to stay; the driver sees a row for each symbol a round.
 
+    Rounds work on coarse symbols, until the log likelihood rises by less than
+    ``tolerance`` of it; a last one counts how often each state emits each symbol.
     Overall shares, of one token for each symbol, are added to a state's emissions.
-    Training ends when the log likelihood rises by less than ``tolerance`` of it.
     """
-    size = len(shares)
-    noise = np.random.default_rng(7).uniform(0.5, 1.5, (size, STATES))
-    emits = shares[:, None] * noise
-    moves = np.full((STATES, STATES), 0.05 / (STATES - 1))
-    np.fill_diagonal(moves, 0.95)
-    model = Model(np.full(STATES, 1 / STATES), moves, emits / emits.sum(0))
-    context = encoded.sparkSession.sparkContext
-    names = [f"s{k}" for k in range(STATES)]
-    before = None
-    for _ in range(rounds):
-        sent = context.broadcast(Model(model.start, model.moves, model.emits.astype(np.float32)))
+    context, names = encoded.sparkSession.sparkContext, [f"s{k}" for k in range(STATES)]
+
+    def improved(model: Model, known: np.ndarray | None, shares: np.ndarray) -> tuple[Model, float]:
+        sent = context.broadcast((Model(model.start, model.moves, model.emits.astype(np.float32)), known))
         rows = encoded.mapInArrow(_expect(sent), "g int, " + ", ".join(f"{n} float" for n in names))
         table = rows.groupBy("g").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
         sent.unpersist()
-        if not table.num_rows:
-            break
-        g = table["g"].to_numpy()
+        size = len(shares)
         counts = np.zeros((size + STATES + 2, STATES))
-        counts[g] = np.stack([table[n].to_numpy() for n in names], 1)  # numbers below 0 are at the end
-        start, moves, now = counts[-1], counts[-1 - STATES : -1][::-1], counts[_LIKELIHOOD][0]
-        start, moves, emits = start + 1, moves + 1, counts[:size] + size * shares[:, None]
-        model = Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
+        counts[table["g"].to_numpy()] = np.stack([table[n].to_numpy() for n in names], 1)  # numbers below 0 are at the end
+        start, moves = counts[-1] + 1, counts[-1 - STATES : -1][::-1] + 1
+        emits = counts[:size] + size * shares[:, None]
+        return Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0)), counts[_LIKELIHOOD][0]
+
+    together = np.bincount(coarse, shares)
+    noise = np.random.default_rng(7).uniform(0.5, 1.5, (len(together), STATES))
+    emits = together[:, None] * noise
+    moves = np.full((STATES, STATES), 0.05 / (STATES - 1))
+    np.fill_diagonal(moves, 0.95)
+    model = Model(np.full(STATES, 1 / STATES), moves, emits / emits.sum(0))
+    before = None
+    for _ in range(rounds - 1):
+        model, now = improved(model, coarse, together)
         if before is not None and now - before < tolerance * abs(before):
             break
         before = now
-    return model
+    # The states' posteriors are those of the coarse model; a symbol's share of its coarse one is the same in all states.
+    return improved(Model(model.start, model.moves, model.emits[coarse]), None, shares)[0]
 
 
 # --- scores ------------------------------------------------------------------
@@ -430,7 +446,7 @@ def score(
     sizes = np.r_[c[is_own] + 0.5, n + 0.5 * (v + 1)]
     sent_symbols = context.broadcast(symbols)
     encoded = written(train.mapInArrow(_encoded(sent_symbols), "symbols binary"), "symbols")
-    model = fit(encoded, sizes / sizes.sum(), rounds)
+    model = fit(encoded, sizes / sizes.sum(), coarser(c[is_own], symbols.classes), rounds)
     sent = context.broadcast((model, symbols, h, np.log10(c + 0.5), np.log10(sizes)))
     rest = vocabulary.filter(step < edge)
     rows = base.mapInArrow(
