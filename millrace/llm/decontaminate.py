@@ -7,22 +7,26 @@ a hit counts only if the words are the same.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import alnum_words, gram_hashes, same_words, text_key, written
 
-#: So many benchmark windows are broadcast at once (some 300 bytes each).
-BROADCAST_ROWS = 200_000
+#: So many benchmark windows, and so many bytes of them, are broadcast at once.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
+#: The documents are scanned so often at most for parts of the benchmark; a larger one is joined by hash instead.
+MOST_PARTS = 4
 
 
 def benchmark_windows(
     benchmark: DataFrame, window: int = 13, item_col: str = "item_id", text_col: str = "text"
-) -> DataFrame:
-    """(h, gram, items): each distinct window of the items.
+) -> tuple[DataFrame, DataFrame]:
+    """(h, gram, items), each distinct window of the items and the number of its set of items, and
+    (items, item), what is in the sets.
 
     An item of fewer words than ``window`` is one window; an item without
-    words, or with a null text, has none.
+    words, or with a null text, has none.  Windows of the same items share a
+    set, so that a passage common to all items is listed once.
     """
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), alnum_words(F.col(text_col)).alias("w")
@@ -38,9 +42,16 @@ def benchmark_windows(
             )
         ).alias("gram"),
     )
-    return cut.groupBy("gram").agg(F.collect_set("item").alias("items")).select(
-        F.xxhash64("gram").alias("h"), "gram", "items"
+    pairs = written(cut.distinct().select(F.xxhash64("gram").alias("h"), "gram", "item"), "window-items")
+    # A set is told by its size and two hashes that don't depend on the order.
+    told = ["size", "one", "two"]
+    windows = pairs.groupBy("h", "gram").agg(
+        F.count("item").alias("size"), F.bit_xor(F.xxhash64("item")).alias("one"), F.bit_xor(F.xxhash64(F.lit("2"), "item")).alias("two")
     )
+    windows = written(windows.select("h", "gram", "size", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("one", "two")]), "windows")
+    sets = windows.groupBy(*told).agg(F.min("h").alias("items"))
+    members = pairs.join(sets.select("items"), F.col("h") == F.col("items"), "inner").filter("item is not null")
+    return windows.join(sets, told).select("h", "gram", "items"), members.select("items", "item").distinct()
 
 
 def _place(lengths: list[int], p: Column, n: Column) -> tuple[Column, Column]:
@@ -55,9 +66,8 @@ def _place(lengths: list[int], p: Column, n: Column) -> tuple[Column, Column]:
     return start, length
 
 
-def _scan(documents: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
-    """A row for each document (p = 0) and each verified hit."""
-    n = F.size("w")
+def _hashed(documents: DataFrame, lengths: list[int]) -> DataFrame:
+    """A row for each document (p = 0) and each of its windows."""
     # The hashes stand in a projection of their own: the lookup after it is then
     # compiled, and passes the words on for hits alone.
     # The explode is an outer one, as Spark would put a filter that repeats the
@@ -70,19 +80,42 @@ def _scan(documents: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFra
             F.array(F.lit(None).cast("bigint")), *[gram_hashes("w", k) for k in lengths]
         ).alias("hs"),
     )
-    every = hashed.select("doc_id", "text_key", "w", F.posexplode_outer("hs").alias("p", "wh"))
-    found = every.join(F.broadcast(grams), every["wh"] == grams["h"], "left").filter(
-        (F.col("p") == 0) | F.col("gram").isNotNull()
-    )
+    return hashed.select("doc_id", "text_key", "w", F.posexplode_outer("hs").alias("p", "wh"))
+
+
+def _verified(found: DataFrame, lengths: list[int]) -> DataFrame:
+    n = F.size("w")
     start, length = _place(lengths, F.col("p"), n)
     found = found.select(
-        "doc_id", "text_key", "p", n.alias("n"), start.alias("start"), length.alias("len"),
+        "doc_id", "text_key", "p", n.alias("n"), (start - 1).alias("start"), (start - 1 + length).alias("end"),
         "w", "gram", "items",
     )
-    same = same_words("w", F.col("start") - 1, "gram", max(lengths))
+    same = same_words("w", F.col("start"), "gram", max(lengths))
     return found.filter((F.col("p") == 0) | same).drop("w", "gram")
 
 
+def _scan(documents: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """A row for each document (p = 0) and each verified hit; the windows are broadcast."""
+    every = _hashed(documents, lengths)
+    found = every.join(F.broadcast(grams), every["wh"] == grams["h"], "left").filter(
+        (F.col("p") == 0) | F.col("gram").isNotNull()
+    )
+    return _verified(found, lengths)
+
+
+def _scan_joined(documents: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """The same for a benchmark of any size: hashes are joined first, and words only of what they leave."""
+    every = _hashed(documents, lengths)
+    known = grams.select("h").distinct()
+    hit = every.filter("p > 0").select("doc_id", "text_key", "p", "wh").join(known, F.col("wh") == F.col("h"), "left_semi")
+    hit = hit.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("p", "wh")).alias("hits"))
+    hit = hit.select(F.col("doc_id").alias("i"), F.col("text_key").alias("k"), "hits")
+    both = documents.join(hit, documents["doc_id"].eqNullSafe(F.col("i")) & (documents["text_key"] == F.col("k")), "left")
+    whole = both.select("doc_id", "text_key", F.lit(0).alias("p"), F.size("w").alias("n"), *[F.lit(None).cast(t).alias(c) for c, t in (("start", "int"), ("end", "int"), ("items", "bigint"))])
+    found = both.select("doc_id", "text_key", "w", F.explode("hits").alias("x")).select("doc_id", "text_key", "w", "x.p", "x.wh")
+    return whole.unionByName(_verified(found.join(grams, F.col("wh") == F.col("h")), lengths))
+
+
 def contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -103,62 +136,60 @@ def contamination(
 
     Null and empty texts have no words, and so no hits.  Repeated rows give a
     row each.  A null item id takes part in hits, but not in ``item_ids``.
-    Other columns of the inputs are ignored.  With more than
-    ``broadcast_rows`` windows, documents are scanned once for each part of
-    the benchmark that fits.
+    Other columns of the inputs are ignored.  A benchmark of more than
+    ``broadcast_rows`` windows, or of more bytes than are broadcast, is looked
+    up in parts, or joined by hash if these were more than MOST_PARTS.
     """
-    grams = written(benchmark_windows(benchmark, window, item_col, item_text_col), "windows")
-    about = grams.agg(F.count("*").alias("n"), F.collect_set(F.size("gram")).alias("k")).first()
+    grams, members = benchmark_windows(benchmark, window, item_col, item_text_col)
+    grams = written(grams, "grams")
+    size = F.sum(F.octet_length(F.array_join("gram", " ")) + 32 * F.size("gram") + 64)
+    about = grams.agg(F.count("*").alias("n"), size.alias("bytes"), F.collect_set(F.size("gram")).alias("k")).first()
     lengths = sorted(about["k"], reverse=True) or [window]
-    parts = max(1, -(-about["n"] // broadcast_rows))
+    parts = max(1, -(-about["n"] // broadcast_rows), -(-(about["bytes"] or 0) // BROADCAST_BYTES))
     base = documents.select(
         F.col(id_col).alias("doc_id"),
         text_key(F.col(text_col)).alias("text_key"),
         alnum_words(F.col(text_col)).alias("w"),
     )
-    rows = None
-    for part in range(parts):
-        own = grams if parts == 1 else grams.filter(F.pmod("h", F.lit(parts)) == part)
-        scanned = _scan(base, own, lengths)
-        rows = scanned if rows is None else rows.unionByName(scanned.filter("p > 0"))
-    per_document = rows.groupBy("doc_id", "text_key").agg(
-        F.max("n").cast("bigint").alias("n_words"),
-        F.count_if(F.col("p") == 0).alias("copies"),
-        F.array_sort(
-            F.collect_set(F.when(F.col("p") > 0, F.struct(F.col("start") - 1, F.col("start") + F.col("len") - 1)))
-        ).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
-    )
-    kind = "array<struct<start:int,end:int>>"
-    hits = F.col("hits").cast(kind)
-    merged = F.aggregate(
-        hits,
-        F.array().cast(kind),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= x["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(x))),
+    if parts > MOST_PARTS:
+        rows = _scan_joined(base, grams, lengths)
+    else:
+        rows = None
+        for part in range(parts):
+            own = grams if parts == 1 else grams.filter(F.pmod("h", F.lit(parts)) == part)
+            scanned = _scan(base, own, lengths)
+            rows = scanned if rows is None else rows.unionByName(scanned.filter("p > 0"))
+    rows = written(rows, "hits")
+    key = ["doc_id", "text_key"]
+    whole = rows.filter("p = 0").groupBy(*key).agg(F.max("n").cast("bigint").alias("n_words"), F.count("*").alias("copies"))
+    # Spans: a hit that begins behind all before it begins a span.
+    hits = rows.filter("p > 0")
+    places = hits.select(*key, "start", "end").distinct()
+    by_start = Window.partitionBy(*key).orderBy("start", "end")
+    apart = F.col("start") > F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    places = places.withColumn("run", F.sum(F.coalesce(apart, F.lit(False)).cast("int")).over(by_start))
+    spans = places.groupBy(*key, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = spans.groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"), F.sum(F.col("end") - F.col("start")).alias("n_hit")
     )
-    result = per_document.withColumn("spans", F.when(F.size("hits") > 0, merged).otherwise(hits))
-    n_hit = F.aggregate("spans", F.lit(0), lambda a, x: a + x["end"] - x["start"]).cast("bigint")
-    result = result.withColumn("n_hit", n_hit)
+    of_document = hits.select(*key, "items").distinct().join(members, "items").groupBy(*key).agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+
+    def with_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+        right = right.withColumnsRenamed({"doc_id": "i", "text_key": "k"})
+        return left.join(right, left["doc_id"].eqNullSafe(right["i"]) & (left["text_key"] == right["k"]), "left").drop("i", "k")
+
+    result = with_rows(with_rows(whole, spans), of_document)
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
+    item_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return result.select(
         "doc_id",
         "text_key",
         "n_words",
-        "n_hit",
-        F.size("item_ids").cast("bigint").alias("n_items"),
-        "item_ids",
-        "spans",
-        ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        n_hit.alias("n_hit"),
+        F.size(item_ids).cast("bigint").alias("n_items"),
+        item_ids.alias("item_ids"),
+        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+        ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
     ).drop("copy")
 

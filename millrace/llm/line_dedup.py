@@ -32,7 +32,8 @@ def repeated_lines(
 
     Windows are ``window`` consecutive lines, blank lines left out; lines are
     compared as they are.  The first occurrence, by doc_id (null first), text
-    hash and place, stays; each line in a later one goes.
+    hash and place, stays; each line in a later one goes.  Of rows that agree
+    in id and text this is for the first.
     """
     lines = documents.select(
         F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), _lines(F.col(text_col)).alias("lines")
@@ -59,11 +60,13 @@ def repeated_lines(
     )
     windows = written(windows, "line-windows")
     place = F.struct("doc_id", "text_key", F.col("places")[0].alias("at"))
-    first = (
+    # Written, so that Spark can split the join of a hot window with its rows.
+    first = written(
         windows.groupBy("a", "b")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter(F.col("first") != F.col("last"))
-        .select(F.col("a").alias("ra"), F.col("b").alias("rb"), "first")
+        .select(F.col("a").alias("ra"), F.col("b").alias("rb"), "first"),
+        "first-windows",
     )
     later = windows.join(first, (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).filter(
         ~place.eqNullSafe(F.col("first"))
@@ -79,11 +82,18 @@ def dedup_lines(
     """(row, n_lines, n_removed, kept): each input row as a struct, and its text without later occurrences.
 
     A null text has no lines and stays null; an empty one is one blank line.
-    Texts of fewer than ``window`` lines stay as they are.  Rows that agree in
-    id and text are one document and lose the same lines.  Columns of any name
-    pass through in ``row``.  An empty table gives no rows.
+    Texts of fewer than ``window`` lines stay as they are.  Of rows that agree
+    in id and text, null ids too, the first by the hash of the whole row is
+    the first occurrence, and the others lose each line that is in a window.
+    Columns of any name pass through in ``row``.  An empty table gives no rows.
     """
     found = repeated_lines(documents, window=window, id_col=id_col, text_col=text_col)
+    told = documents.select(F.col(id_col).alias("i"), text_key(F.col(text_col)).alias("k"))
+    copies = told.groupBy("i", "k").agg(F.count("*").alias("copies")).filter("copies > 1")
+    both = (F.col("doc_id").eqNullSafe(F.col("i"))) & (F.col("text_key") == F.col("k"))
+    found = found.join(copies, both, "full").select(
+        F.coalesce("doc_id", "i").alias("doc_id"), F.coalesce("text_key", "k").alias("text_key"), "places", F.col("copies").isNotNull().alias("copied")
+    )
     packed = documents.select(F.struct("*").alias("row"))
     row = F.col("row")
     joined = packed.join(
@@ -92,16 +102,32 @@ def dedup_lines(
         "left",
     )
     text = row[text_col]
-    gone = F.map_from_entries(F.transform("places", lambda p: F.struct(p, F.lit(True))))
-    kept = F.filter(
-        F.transform(_lines(text), lambda x, i: F.when(F.col("gone")[i].isNull(), x)), lambda x: x.isNotNull()
-    )
-    return joined.withColumn("gone", gone).select(
-        "row",
-        F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("places"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.when(F.col("places").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("kept"),
+    places = F.array_sort(F.coalesce("places", F.array().cast("array<int>")))
+
+    def cut(rows: DataFrame, gone: Column) -> DataFrame:
+        """Without the lines at the places ``gone``, in order: what is between them is put together."""
+        rows = rows.select("row", _lines(text).alias("lines"), gone.alias("gone"))
+        after = lambda i: F.when(i == 0, 0).otherwise(F.get(F.col("gone"), i - 1) + 1)
+        runs = F.transform(F.concat("gone", F.array(F.size("lines"))), lambda end, i: F.slice(F.col("lines"), after(i) + 1, end - after(i)))
+        return rows.select(
+            "row",
+            F.when(text.isNull(), 0).otherwise(F.size("lines")).cast("bigint").alias("n_lines"),
+            F.size("gone").cast("bigint").alias("n_removed"),
+            F.when(F.size("gone") == 0, text).otherwise(F.array_join(F.flatten(runs), "\n")).alias("kept"),
+        )
+
+    single = cut(joined.filter(~F.coalesce("copied", F.lit(False))), places)
+    # Copies: equal rows are counted, and one row of each group stays as the first.
+    hashed = joined.filter("copied").withColumn("digest", F.xxhash64(F.to_json("row", {"ignoreNullFields": "false"})))
+    groups = written(
+        hashed.groupBy("doc_id", "text_key", "digest").agg(F.first("row").alias("row"), F.first("places").alias("places"), F.count("*").alias("n")), "copies"
     )
+    least = written(groups.groupBy(F.col("doc_id").alias("i"), F.col("text_key").alias("k")).agg(F.min("digest").alias("least")), "first-copies")
+    groups = groups.join(least, both).withColumn("is_first", F.col("digest") == F.col("least"))
+    others = groups.withColumn("n", F.col("n") - F.col("is_first").cast("int")).filter("n > 0")
+    others = others.select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).drop("copy")
+    every = F.when(F.size(_filled(_lines(text))) >= window, _filled(_lines(text))).otherwise(F.array().cast("array<int>"))
+    return single.unionByName(cut(groups.filter("is_first"), places)).unionByName(cut(others, every))
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:

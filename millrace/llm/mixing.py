@@ -1,9 +1,12 @@
 """Mixing sources to target weights.
 
 Each document gets a hash-random key.  Keys are dealt into ranges, so that a
-source of any size spreads over many tasks; sums of the ranges give each
-range's offset, a running sum within the range gives each document's, and the
-cut falls at the source's exact budget.
+source of any size spreads over many tasks; sums of the ranges, and of groups
+of them, give each range's offset, a running sum within the range gives each
+document's, and the cut falls at the source's exact budget.
+
+The key is of the id and the text, so that neither a hot id nor a hot text is
+one range; documents that agree in both are one row until the end.
 """
 
 from __future__ import annotations
@@ -15,6 +18,10 @@ from millrace.llm.common import space_words, text_key, written
 
 #: Documents in a range of keys, about.
 RANGE_ROWS = 500
+#: Ranges are summed in groups that share all but so many hexadecimal digits of the key.
+GROUP_DIGITS = 3
+#: Copies of a document are dealt out in lots of so many.
+LOT = 1000
 
 
 def source_targets(
@@ -71,10 +78,36 @@ def mix(
     in part, so each source gives floor(target) words.
 
     A null text has size 0 and takes 0.  A null source is a source.  Repeated
-    rows are documents of their own.  Ties of the key are broken by id, size
-    and text, so reruns agree.  An empty table gives no rows.
+    rows are documents of their own, taken one after the other.  Ties of the
+    key are broken by id, size and text, so reruns agree.  An empty table gives
+    no rows.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    grouped = mix_groups(
+        documents, weights=weights, share=share, most=most, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, range_rows=range_rows
+    )
+    lots = grouped.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / LOT).cast("int"))))
+    numbers = F.sequence(F.col("lot") * LOT, F.least((F.col("lot") + 1) * LOT, F.col("copies")) - 1)
+    each = lots.withColumn("nth", F.explode(numbers))
+    start = F.col("before") + F.col("nth") * F.col("size")
+    taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - start))
+    return each.select(
+        "doc_id", "text_key", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken")
+    )
+
+
+def mix_groups(
+    documents: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix",
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", range_rows: int = RANGE_ROWS,
+) -> DataFrame:
+    """(doc_id, text_key, source, size, copies, before, source_size, target, epochs, rest): a row for all documents
+    that agree in id, text and source.
+
+    The source is taken whole ``epochs`` times, and ``rest`` words of it once more, in the order of keys;
+    ``before`` words of it come before the first copy.
+    """
+    same = ["doc_id", "text_key", "source", "size", "key"]
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), digest))
     slim = written(
         documents.select(
             F.col(id_col).alias("doc_id"),
@@ -88,31 +121,35 @@ def mix(
     targets = source_targets(slim, weights, share, most)
     most_rows = slim.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     digits = 1
-    while 16**digits * range_rows < most_rows and digits < 8:
+    while 16**digits * range_rows < most_rows and digits < 16:
         digits += 1
-    slim = slim.withColumn("range", F.substring("key", 1, digits))
+    slim = slim.groupBy(*same).agg(F.count("*").alias("copies"))
+    slim = slim.withColumn("range", F.substring("key", 1, digits)).withColumn("words", F.col("size") * F.col("copies"))
     # Ranges are summed, offset and joined with their targets; there are few of them.
-    sums = slim.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    in_source = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumn("offset", F.coalesce(F.sum("range_size").over(in_source), F.lit(0)))
+    sums = slim.groupBy("source", "range").agg(F.sum("words").alias("range_size"))
+    sums = sums.withColumn("group", F.substring("range", 1, max(0, digits - GROUP_DIGITS)))
+    groups = sums.groupBy("source", "group").agg(F.sum("range_size").alias("group_size"))
+    earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    groups = groups.select(
+        F.col("source").alias("g_source"), F.col("group").alias("g"), so_far("group_size", earlier("source").orderBy("group")).alias("group_offset")
+    )
+    placed = sums.join(groups, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("group") == F.col("g")))
+    offset = F.col("group_offset") + so_far("range_size", earlier("source", "group").orderBy("range"))
     t = targets.withColumnRenamed("source", "of")
-    offsets = offsets.join(t, F.col("source").eqNullSafe(F.col("of"))).select(
+    offsets = placed.withColumn("offset", offset).join(t, F.col("source").eqNullSafe(F.col("of"))).select(
         F.col("source").alias("of"), F.col("range").alias("of_range"), "offset", "source_size", "target"
     )
     joined = slim.join(
         offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("of_range"))
     ).drop("of", "of_range")
-    within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", "text_key")
-    before = F.col("offset") + F.coalesce(
-        F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
+    before = F.col("offset") + so_far("words", earlier("source", "range").orderBy("key", "doc_id", "size", "text_key"))
     budget = F.floor("target").cast("bigint")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("bigint")
-    rest = budget - epochs * F.col("source_size")
-    taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return joined.withColumn("before", before).select(
-        "doc_id", "text_key", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken")
-    )
+    return joined.select(
+        "doc_id", "text_key", "source", "size", "copies", before.cast("bigint").alias("before"), "source_size", "target",
+        epochs.alias("epochs"), (budget - epochs * F.col("source_size")).alias("rest"),
+    )
 
 
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
@@ -123,7 +160,7 @@ def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS key
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (

@@ -15,6 +15,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.llm.conftest import words
+
 from millrace.llm import (
     common, decontaminate, jaccard_join, licenses, line_dedup, lm_score, mixing, quality_rules, secret_scan,
     substring_dedup, token_counts,
@@ -61,7 +63,7 @@ def contaminated(rows, items, window=13):
         yield doc, len(w), len(hit), len(found - {None}), sha256(ids.encode()).hexdigest(), 20 * len(hit) >= len(w) and bool(hit)
 
 
-@pytest.mark.parametrize("broadcast_rows", [200_000, 5_000])
+@pytest.mark.parametrize("broadcast_rows", [200_000, 1_000, 50])
 def test_decontamination(spark, docs, rows, broadcast_rows):
     items = [(1, rows[9][1][:300]), (10, "ONE"), (2, "two, words"), (2, rows[9][1][20:200]), (None, "x x x"), (3, None), (4, "..."), (5, rows[20][1][100:9000])]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -73,6 +75,18 @@ def test_decontamination(spark, docs, rows, broadcast_rows):
     assert kept.columns == docs.columns and kept.count() == got.filter("not contaminated").count()
 
 
+def test_a_passage_common_to_all_items_is_listed_once(spark):
+    rng = random.Random(4)
+    head = " ".join(words(rng, 30))
+    items = [(i, head + " " + " ".join(words(rng, 15))) for i in range(60)]
+    grams, members = decontaminate.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"))
+    assert members.count() < 150 and grams.count() > 800
+    rows = [(1, head), (2, items[7][1]), (3, "x"), (None, head + " " + head)]
+    got = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = got.withColumn("ids", F.sha2(F.array_join("item_ids", ","), 256))
+    same(got, ["doc_id", "n_words", "n_hit", "n_items", "ids", "contaminated"], list(contaminated(rows, items)))
+
+
 def test_decontamination_of_nothing(spark, docs, empty, rows):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(empty, bench).count() == 0
@@ -216,26 +230,38 @@ def test_substring_dedup_of_nothing(empty):
 # --- 4 ------------------------------------------------------------------------
 
 
-def test_line_dedup(docs, rows):
-    distinct = sorted({r[:2] for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
-    got = {(r.row.doc_id, r.row.text): r for r in line_dedup.dedup_lines(docs).collect()}
-    seen, gone = set(), defaultdict(set)
-    ids = Counter(d for d, _ in distinct)
-    for doc, text in distinct:
+def without_later_lines(rows, key):
+    """In the order of ``key``, a row at a time."""
+    seen = set()
+    for r in sorted(rows, key=key):
+        doc, text = r[:2]
         lines = (text or "").split("\n")
         at = [i for i, x in enumerate(lines) if x.strip(" \t\x0b\x0c\r")]
+        gone = set()
         for k in range(len(at) - 2):
             g = tuple(lines[i] for i in at[k : k + 3])
             if g in seen:
-                gone[doc, text] |= set(at[k : k + 3])
+                gone |= set(at[k : k + 3])
             seen.add(g)
-    for doc, text in distinct:
-        r = got[doc, text]
-        assert r.n_lines == (0 if text is None else text.count("\n") + 1)
-        if ids[doc] == 1:  # the order of different texts of one id is that of their hashes
-            kept = None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[doc, text])
-            assert (r.n_removed, r.kept) == (len(gone[doc, text]), kept)
-    assert line_dedup.dedup_lines(docs).count() == len(rows)
+        kept = None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        yield doc, 0 if text is None else len(lines), len(gone), kept
+
+
+def test_line_dedup(spark, docs, rows):
+    """The order of different texts of one id is that of their hashes."""
+    hashes = {r.text: r.k for r in spark.createDataFrame([(r[1],) for r in rows], "text string").select("text", common.text_key(F.col("text")).alias("k")).collect()}
+    want = list(without_later_lines(rows, lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]])))
+    same(line_dedup.dedup_lines(docs), ["row.doc_id", "n_lines", "n_removed", "kept"], want)
+
+
+def test_copies_of_an_id_lose_their_lines(spark):
+    text, other = "a\nb\n\nc\nd", "x\ny\nz"
+    rows = [(None, text, 1)] * 3 + [(None, text, 2)] * 2 + [(7, other, 1), (7, other, 2), (7, other + "\nw", 1), (8, "a\nb", 1), (8, "a\nb", 1), (9, None, 1), (9, None, 1)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, size int")).collect()
+    assert sorted((str(r.row.doc_id), r.n_removed, str(r.kept)) for r in got) == sorted(
+        [("None", 0, text), *[("None", 4, "")] * 4, ("8", 0, "a\nb"), ("8", 0, "a\nb"), ("9", 0, "None"), ("9", 0, "None")]
+        + ([("7", 0, other), ("7", 3, ""), ("7", 3, "w")] if not any(r.row.doc_id == 7 and r.kept == other + "\nw" for r in got) else [("7", 3, ""), ("7", 3, ""), ("7", 0, other + "\nw")])
+    )
 
 
 def test_line_dedup_of_nothing(empty):
@@ -441,6 +467,20 @@ def test_targets(sizes):
     assert got == pytest.approx(level(sizes))
 
 
+def test_hot_ids_and_copies_are_mixed_in_many_ranges(spark):
+    rows = [(None, f"t{i} a b", "s") for i in range(3000)] + [(None, "x y", "s")] * 2500 + [(1, "z", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    groups = mixing.mix_groups(df, range_rows=50).collect()
+    assert len(groups) == 3002 and max(g.copies for g in groups) == 2500
+    got = mixing.mix(df, range_rows=50).collect()
+    sizes = Counter({"s": 3000 * 3 + 2500 * 2, "t": 1})
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.taken
+    assert len(got) == len(rows) and all(taken[s] == math.floor(level(sizes)[s] + 1e-9) for s in sizes) and all(r.taken <= 2 * r.size for r in got)
+    assert sum(0 < r.taken < r.size or r.size < r.taken < 2 * r.size for r in got) <= 2
+
+
 def test_mixing_of_nothing(empty):
     assert mixing.mix(empty).count() == 0
 
