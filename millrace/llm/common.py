@@ -61,6 +61,18 @@ def gram_hashes(words: str, size: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def place_of(lengths: list[int], p: Column, n: Column) -> tuple[Column, Column]:
+    """Start (from 1) and length of the window at place ``p`` (from 1) of the concatenated lists of ``gram_hashes``."""
+    start, length, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
+    for size in lengths:
+        here = F.greatest(n - F.lit(size - 1), F.lit(0))
+        inside = (p > before) & (p <= before + here)
+        start = F.when(inside, p - before).otherwise(start)
+        length = F.when(inside, F.lit(size)).otherwise(length)
+        before = before + here
+    return start, length
+
+
 def same_words(words: str, start: Column, run: str, most: int) -> Column:
     """Whether the words from ``start`` (from 0) are those of ``run``, of ``most`` words at most."""
     same = F.lit(True)

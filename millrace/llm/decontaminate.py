@@ -7,10 +7,10 @@ a hit counts only if the words are the same.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import alnum_words, gram_hashes, same_words, text_key, written
+from millrace.llm.common import alnum_words, gram_hashes, place_of, same_words, text_key, written
 
 #: So many benchmark windows, and so many bytes of them, are broadcast at once.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
@@ -54,18 +54,6 @@ def benchmark_windows(
     return windows.join(sets, told).select("h", "gram", "items"), members.select("items", "item").distinct()
 
 
-def _place(lengths: list[int], p: Column, n: Column) -> tuple[Column, Column]:
-    """Start (from 1) and length of the window at place ``p`` (from 1) of the concatenated lists."""
-    start, length, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
-    for size in lengths:
-        here = F.greatest(n - F.lit(size - 1), F.lit(0))
-        inside = (p > before) & (p <= before + here)
-        start = F.when(inside, p - before).otherwise(start)
-        length = F.when(inside, F.lit(size)).otherwise(length)
-        before = before + here
-    return start, length
-
-
 def _hashed(documents: DataFrame, lengths: list[int]) -> DataFrame:
     """A row for each document (p = 0) and each of its windows."""
     # The hashes stand in a projection of their own: the lookup after it is then
@@ -85,7 +73,7 @@ def _hashed(documents: DataFrame, lengths: list[int]) -> DataFrame:
 
 def _verified(found: DataFrame, lengths: list[int]) -> DataFrame:
     n = F.size("w")
-    start, length = _place(lengths, F.col("p"), n)
+    start, length = place_of(lengths, F.col("p"), n)
     found = found.select(
         "doc_id", "text_key", "p", n.alias("n"), (start - 1).alias("start"), (start - 1 + length).alias("end"),
         "w", "gram", "items",

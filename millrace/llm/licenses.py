@@ -1,6 +1,6 @@
 """License scans by diagonal voting.
 
-Every run of three words is joined by its hash with the places where it is in a
+Every run of three words, or of fewer where a template has no more, is joined by its hash with the places where it is in a
 license template.  A text that holds a template gathers hits on one diagonal
 (place in the text less place in the template); inserted or missing words move
 it a little, so neighbouring diagonals are merged.  What covers enough of a
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import alnum_words, gram_hashes, same_words, text_key, written
+from millrace.llm.common import alnum_words, gram_hashes, place_of, same_words, text_key, written
 
 GRAM = 3
 #: Diagonals up to so many words apart are merged.
@@ -89,11 +89,20 @@ TEMPLATES = (
 )
 
 
+#: Texts of so many characters in all are broadcast with their runs of words; more are joined.
+BROADCAST_CHARS = 4_000_000
+
+
 def _templates(spark: SparkSession, phrases, templates) -> DataFrame:
+    """(template, label, phrase, tw, k, grams): the words, the length of the runs and how many there are.
+
+    What has fewer words than GRAM is one run; what has none is left out.
+    """
     rows = [(i, label, i < len(phrases), text) for i, (label, text) in enumerate([*phrases, *templates])]
     t = spark.createDataFrame(rows, "template int, label string, phrase boolean, text string")
-    t = t.withColumn("tw", alnum_words(F.col("text"))).filter(F.size("tw") >= GRAM)
-    return t.withColumn("grams", F.size("tw") - F.lit(GRAM - 1)).drop("text")
+    t = t.withColumn("tw", alnum_words(F.col("text"))).filter(F.size("tw") > 0)
+    t = t.withColumn("k", F.least(F.size("tw"), F.lit(GRAM)))
+    return t.withColumn("grams", F.size("tw") - F.col("k") + 1).drop("text")
 
 
 def scan(
@@ -104,12 +113,15 @@ def scan(
 
     Phrases are held where all their words stand consecutively; templates where
     the merged diagonals cover COVERAGE of their runs of words.  The templates
-    are constants of this module or the caller's few, and so broadcast.
+    are the caller's; up to BROADCAST_CHARS of them are broadcast.
     """
+    texts = [text for _, text in [*phrases, *templates]]
+    few = F.broadcast if sum(map(len, texts)) <= BROADCAST_CHARS else lambda df: df
     known = _templates(documents.sparkSession, phrases, templates)
+    lengths = sorted({r["k"] for r in known.select("k").distinct().collect()}, reverse=True)  # GRAM at most
     grams = (
-        known.select("template", "tw", F.explode_outer(F.sequence(F.lit(0), F.col("grams") - 1)).alias("tp"))
-        .select("template", "tp", F.array(*[F.get("tw", F.col("tp") + F.lit(k)) for k in range(GRAM)]).alias("gram"))
+        known.select("template", "tw", "k", F.explode(F.sequence(F.lit(0), F.col("grams") - 1)).alias("tp"))
+        .select("template", "tp", F.slice("tw", F.col("tp") + 1, F.col("k")).alias("gram"))
         .groupBy("gram")
         .agg(F.collect_list(F.struct("template", "tp")).alias("places"))
         .select(F.xxhash64("gram").alias("h"), "gram", "places")
@@ -119,14 +131,17 @@ def scan(
     )
     # Hashed in a projection of its own, with a null first for the document itself; see the decontamination.
     hashed = base.select(
-        "doc_id", "text_key", "w", F.concat(F.array(F.lit(None).cast("bigint")), gram_hashes("w", GRAM)).alias("hs")
+        "doc_id", "text_key", "w", F.concat(F.array(F.lit(None).cast("bigint")), *[gram_hashes("w", k) for k in lengths]).alias("hs")
     )
     every = hashed.select("doc_id", "text_key", "w", F.posexplode_outer("hs").alias("p", "wh"))
-    found = every.join(F.broadcast(grams), every["wh"] == grams["h"], "left").filter(
-        (F.col("p") == 0) | (F.col("gram").isNotNull() & same_words("w", F.col("p") - 1, "gram", GRAM))
+    start, length = place_of(lengths, F.col("p"), F.size("w"))
+    found = every.join(few(grams), every["wh"] == grams["h"], "left").filter((F.col("p") == 0) | F.col("gram").isNotNull())
+    found = found.withColumn("start", start - 1).filter(
+        (F.col("p") == 0) | ((F.size("gram") == length) & same_words("w", F.col("start"), "gram", GRAM))
     )
     found = written(
-        found.select("doc_id", "text_key", F.size("w").alias("n_words"), (F.col("p") - 1).alias("p"), "places"), "license-hits"
+        found.select("doc_id", "text_key", F.size("w").alias("n_words"), F.when(F.col("p") == 0, -1).otherwise(F.col("start")).alias("p"), "places"),
+        "license-hits",
     )
     whole = found.filter("p < 0").groupBy("doc_id", "text_key").agg(
         F.max("n_words").cast("bigint").alias("n_words"), F.count("*").alias("copies")
@@ -135,10 +150,10 @@ def scan(
     diagonals = hits.groupBy(
         "doc_id", "text_key", F.col("x.template").alias("template"), (F.col("p") - F.col("x.tp")).alias("diagonal")
     ).agg(F.collect_set("x.tp").alias("at"))
-    diagonals = diagonals.join(F.broadcast(known.drop("tw")), "template")
+    diagonals = diagonals.join(few(known.drop("tw")), "template")
     exact = diagonals.filter(F.col("phrase") & (F.size("at") == F.col("grams"))).select(
         "doc_id", "text_key", "label", "phrase", F.col("diagonal").alias("start"),
-        (F.col("diagonal") + F.col("grams") + GRAM - 1).alias("end"), F.lit(1.0).alias("coverage"),
+        (F.col("diagonal") + F.col("grams") + F.col("k") - 1).alias("end"), F.lit(1.0).alias("coverage"),
     )
     side = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(side) > SLACK
@@ -146,30 +161,29 @@ def scan(
         diagonals.filter(~F.col("phrase"))
         .withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
         .withColumn("run", F.sum("apart").over(side))
-        .groupBy("doc_id", "text_key", "template", "label", "phrase", "grams", "run")
+        .groupBy("doc_id", "text_key", "template", "label", "phrase", "grams", "k", "run")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("held"),
             F.min(F.col("diagonal") + F.array_min("at")).alias("start"),
-            F.max(F.col("diagonal") + F.array_max("at") + GRAM).alias("end"),
+            F.max(F.col("diagonal") + F.array_max("at") + F.col("k")).alias("end"),
         )
         .withColumn("coverage", F.col("held") / F.col("grams"))
         .filter(F.col("coverage") >= F.when(F.col("grams") <= SHORT, 1.0).otherwise(COVERAGE))
-        .filter(F.col("end") - F.col("start") <= STRETCH * (F.col("grams") + GRAM - 1) + SLACK)
+        .filter(F.col("end") - F.col("start") <= STRETCH * (F.col("grams") + F.col("k") - 1) + SLACK)
         .select("doc_id", "text_key", "label", "phrase", "start", "end", "coverage")
     )
-    # Where templates overlap, the one that is held best counts.
+    # Where templates overlap, the one that is held best counts.  No span is longer than the longest
+    # template allows, so spans are compared within stretches of that length alone.
+    most = int(STRETCH * max(map(len, texts), default=0)) + SLACK + 1
+    spans = merged.distinct().withColumn("stretch", F.explode(F.sequence(F.floor(F.col("start") / most), F.floor((F.col("end") - 1) / most))))
     span = F.struct("label", "phrase", "start", "end", "coverage")
-    best = merged.groupBy("doc_id", "text_key").agg(F.collect_list(span).alias("spans")).select(
-        "doc_id",
-        "text_key",
-        F.explode_outer(
-            F.filter(
-                "spans",
-                lambda x: ~F.exists(
-                    "spans", lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"]) & (y["coverage"] > x["coverage"])
-                ),
-            )
-        ).alias("x"),
+    near = spans.groupBy("doc_id", "text_key", "stretch").agg(F.collect_list(span).alias("spans"))
+    beaten = lambda x: F.exists("spans", lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"]) & (y["coverage"] > x["coverage"]))
+    best = (
+        near.select("doc_id", "text_key", F.explode(F.transform("spans", lambda x: F.struct(x.alias("x"), beaten(x).alias("beaten")))).alias("s"))
+        .groupBy("doc_id", "text_key", "s.x")
+        .agg(F.bool_or("s.beaten").alias("beaten"))
+        .filter("not beaten")
     )
     return whole, exact.unionByName(best.select("doc_id", "text_key", "x.*"))
 
@@ -210,3 +224,49 @@ def license_labels(documents: DataFrame, **options) -> DataFrame:
 
 def op10_license_scan(spark, sf_dir: str) -> DataFrame:
     return license_labels(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_key")
+
+
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_SQL_ROWS = ",\n  ".join(
+    f"({i}, {_sql_text(label)}, {str(i < len(PHRASES)).lower()}, {_sql_text(text)})" for i, (label, text) in enumerate([*PHRASES, *TEMPLATES])
+)
+_SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_SQL_WORDS} AS w FROM documents),
+t AS (SELECT template, label, phrase, {_SQL_WORDS} AS tw FROM (VALUES
+  {_SQL_ROWS}) x(template, label, phrase, text)),
+k AS (SELECT *, least(len(tw), {GRAM}) AS k, len(tw) - least(len(tw), {GRAM}) + 1 AS grams FROM t WHERE len(tw) > 0),
+g AS (SELECT template, tp, k, array_to_string(tw[tp + 1:tp + k], ' ') AS gram FROM (SELECT *, unnest(range(grams)) AS tp FROM k)),
+p AS (
+  SELECT r, p, k, array_to_string(w[p + 1:p + k], ' ') AS gram
+  FROM (SELECT r, w, k, unnest(range(len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM k) WHERE len(w) >= k)),
+a AS (
+  SELECT r, template, p - tp AS diagonal, count(DISTINCT tp) AS n, min(tp) AS least, max(tp) AS most, list(DISTINCT tp) AS tps
+  FROM p JOIN g ON p.k = g.k AND p.gram = g.gram GROUP BY ALL),
+x AS (SELECT r, label, phrase, diagonal AS start, diagonal + grams + k - 1 AS stop, 1.0::DOUBLE AS coverage FROM a JOIN k USING (template) WHERE phrase AND n = grams),
+m AS (
+  SELECT *, sum(CASE WHEN gap > {SLACK} THEN 1 ELSE 0 END) OVER (PARTITION BY r, template ORDER BY diagonal) AS run FROM (
+    SELECT a.*, label, phrase, k, grams, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS gap
+    FROM a JOIN k USING (template) WHERE NOT phrase)),
+s AS (
+  SELECT r, template, label, phrase, k, grams, run, len(list_distinct(flatten(list(tps)))) / grams AS coverage,
+    min(diagonal + least) AS start, max(diagonal + most + k) AS stop FROM m GROUP BY r, template, label, phrase, k, grams, run),
+f AS (
+  SELECT DISTINCT r, label, phrase, start, stop, coverage FROM s
+  WHERE coverage >= CASE WHEN grams <= {SHORT} THEN 1.0 ELSE {COVERAGE} END AND stop - start <= {STRETCH} * (grams + k - 1) + {SLACK}),
+b AS (
+  SELECT r, label, phrase, start, stop, coverage FROM x
+  UNION ALL SELECT * FROM f WHERE NOT EXISTS (
+    SELECT 1 FROM f y WHERE y.r = f.r AND y.start < f.stop AND y.stop > f.start AND y.coverage > f.coverage)),
+z AS (
+  SELECT r, count(*) FILTER (WHERE phrase) AS n_base, min(start) FILTER (WHERE phrase) AS first_word, max(start) FILTER (WHERE phrase) AS last_word,
+    coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase), '') AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score FROM b GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN z USING (r)
+"""

@@ -25,4 +25,5 @@ SQL = {
     "op6_jaccard_join": jaccard_join.OP6_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
+    "op10_license_scan": licenses.OP10_SQL,
 }

@@ -513,5 +513,13 @@ def test_license_templates(spark):
     assert got[0].score == 1.0 and 0.8 <= got[2].score < 1 and got[6].score == 0.0 and got[6].n_words == 0
 
 
+def test_short_phrases_and_templates(spark):
+    texts = ["mit license here", "a mit, MIT license", "bsd", "gpl x", None, "mit licenses"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.license_labels(df, phrases=(("mit", "mit license"), ("b", "BSD"), ("none", "!?")), templates=(("gpl", "gpl"), ("mit-long", "under the mit license")))
+    found = {r.doc_id: (r.n_base, r.first_word, r.base_labels, r.labels) for r in got.collect()}
+    assert found == {0: (1, 0, "mit", "mit"), 1: (1, 2, "mit", "mit"), 2: (1, 0, "b", "b"), 3: (0, None, "", "gpl"), 4: (0, None, "", ""), 5: (0, None, "", "")}
+
+
 def test_license_scan_of_nothing(empty):
     assert licenses.license_labels(empty).count() == 0
