@@ -11,7 +11,13 @@ Lists are scanned in two rounds.  First each set is compared with its list's
 centre; then, in lists that still hold sets of different components, those
 outside the centre's component are compared with the others.  What is left out
 are pairs that are linked already, over others, and pairs that by size, place
-of the shared shingle or signature can't be similar enough.
+of the shared shingle or signature can't be similar enough.  That finds the
+components.
+
+Every link lies within a component, so the links are counted there: the sets
+of a component are dealt into blocks, each two blocks meet in one group, and a
+product of their incidence matrices gives all intersections.  Only each set's
+number of links leaves a group, never the pairs.
 """
 
 from __future__ import annotations
@@ -29,9 +35,13 @@ from millrace.llm.common import WordHashes, mixed, rolling, text_key, written
 from millrace.operators.components import connected_components
 
 BASE = 0x9E3779B97F4A7C15
-#: Cells of the count sketch that orders shingles; it has this size for any corpus.
-CELLS = 1 << 20
+#: Cells of the count sketch that orders shingles: a power of two, one for so many bytes of text, within these bounds.
+CELL_BYTES, LEAST_CELLS, MOST_CELLS = 1 << 10, 1 << 20, 1 << 24
 BLOCK = 1 << 14
+#: A component is dealt into blocks of about so many sets, and so many shingles.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
+#: Shingles that two blocks' sets are compared in at once.
+COLUMNS = 4096
 #: Bits of a set's signature: how many of its hashes fall into each of so many bins, odd or even.
 PARITIES = 512
 #: What a scanned entry of a list costs, in keys written.
@@ -87,15 +97,9 @@ def boundary(cells: np.ndarray, percent: int) -> int:
 
 # --- first pass: sets and their counts ----------------------------------------
 
-_FIRST = pa.schema(
-    [("doc_id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("signature", pa.list_(pa.int64())),
-     ("block", pa.int32()), ("counts", pa.binary())]
-)
-
-
-def _first_pass(size: int):
+def _first_pass(size: int, n_cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, cells = WordHashes(), np.zeros(CELLS, np.int64)
+        words, cells, names, kinds = WordHashes(), np.zeros(n_cells, np.int32), None, None
         for b in batches:
             nodes, sizes, signatures = [], [], []
             for text in b.column(2):
@@ -103,26 +107,27 @@ def _first_pass(size: int):
                 nodes.append(node_of(s))
                 sizes.append(len(s))
                 signatures.append(parities(s))
-                np.add.at(cells, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
+                np.add.at(cells, (s & np.uint64(n_cells - 1)).astype(np.int64), 1)
             k = b.num_rows
+            names = ["doc_id", "text_key", "node", "n", "signature", "block", "counts"]
+            kinds = [b.schema.field(0).type, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
                  pa.array(signatures, pa.list_(pa.int64())), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                schema=_FIRST,
-            )
+                names=names,
+            )
         rows = [(i, _packed(x)) for i, x in enumerate(cells.reshape(-1, BLOCK)) if x.any()]
-        k = len(rows)
-        none = pa.nulls(k, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-            schema=_FIRST,
-        )
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.nulls(len(rows), x) for x in kinds), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
+                names=names,
+            )
 
     return run
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.tobytes(), 1)
+    return zlib.compress(counts.astype(np.int64).tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -134,12 +139,18 @@ def _sum_blocks(batch: pa.Table) -> pa.Table:
     return pa.table({"block": batch["block"][:1], "counts": pa.array([_packed(total)], pa.binary())})
 
 
-def _sketch(rows: DataFrame) -> np.ndarray:
-    """Sums the tasks' sketches, in two steps so that no task gets all of a block; CELLS numbers reach the driver."""
+def sketch_cells(texts: DataFrame) -> int:
+    """How many cells a corpus gets."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MOST_CELLS, max(LEAST_CELLS, 1 << (size // CELL_BYTES).bit_length()))
+
+
+def _sketch(rows: DataFrame, n_cells: int) -> np.ndarray:
+    """Sums the tasks' sketches, in two steps so that no task gets all of a block; the cells' numbers reach the driver."""
     part = F.pmod(F.spark_partition_id(), F.lit(64)).alias("part")
     some = rows.select("block", "counts", part).groupBy("block", "part").applyInArrow(_sum_blocks, "block int, counts binary")
     table = some.groupBy("block").applyInArrow(_sum_blocks, "block int, counts binary").toArrow()
-    cells = np.zeros((CELLS // BLOCK, BLOCK), np.int64)
+    cells = np.zeros((n_cells // BLOCK, BLOCK), np.int64)
     for block, counts in zip(table["block"].to_pylist(), table["counts"].to_pylist(), strict=True):
         cells[block] = _unpacked(counts)
     return cells.reshape(-1)
@@ -166,7 +177,7 @@ def _keys(sent, light: int, percent: int, size: int):
                     seen.clear()  # copies of a set only cost room
                 seen.add(node)
                 p = prefix_length(n, percent)
-                s = s[np.lexsort((s, cells[(s & np.uint64(CELLS - 1)).astype(np.int64)]))][: p + 1]
+                s = s[np.lexsort((s, cells[(s & np.uint64(len(cells) - 1)).astype(np.int64)]))][: p + 1]
                 found, at = [], []
                 if n <= light:
                     i, j = np.triu_indices(len(s), 1)
@@ -279,36 +290,100 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_similar(percent), "a bigint, b bigint")
 
 
+# --- links --------------------------------------------------------------------
+
+
+def links_of(sets: list[np.ndarray], weights: np.ndarray, one: np.ndarray, two: np.ndarray, percent: int) -> np.ndarray:
+    """Of each set, the summed weights of the others that it is similar to; sets ``one`` are compared with sets ``two``,
+    which are either the same ones or none of them."""
+    sizes = np.array([len(s) for s in sets])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    by_value = np.argsort(at, kind="stable")
+    owner, at = owner[by_value], at[by_value]
+    both = np.zeros((len(one), len(two)))
+    for first in range(0, len(values), COLUMNS):
+        here = slice(*np.searchsorted(at, (first, first + COLUMNS)))
+        present = np.zeros((len(sets), min(COLUMNS, len(values) - first)), np.float32)
+        present[owner[here], at[here] - first] = 1
+        both += present[one] @ present[two].T
+    similar = 100 * both >= percent * (sizes[one][:, None] + sizes[two][None, :] - both)
+    out = np.zeros(len(sets), np.int64)
+    if one is two:
+        np.fill_diagonal(similar, False)
+        out[one] = similar @ weights[two]
+    else:
+        out[one], out[two] = similar @ weights[two], similar.T @ weights[one]
+    return out
+
+
+def _links(percent: int):
+    """From rows (component, lo, hi, block, node, copies, members) in groups of the first three, one after the other."""
+
+    def counted(group: list[tuple]) -> tuple[list[int], np.ndarray]:
+        sets = [np.frombuffer(r[3], np.uint64) for r in group]
+        block = np.array([r[0] for r in group])
+        one = two = np.arange(len(group))
+        if block.min() != block.max():
+            one, two = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        return [r[1] for r in group], links_of(sets, np.array([r[2] for r in group]), one, two, percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            # Blocks of a pair of which one is empty have nothing to compare.
+            if held and (key[1] == key[2] or len({r[0] for r in held}) > 1):
+                nodes, counts = counted(held)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(counts, pa.int64())], names=["node", "linked"])
+
+        for b in batches:
+            for *now, block, node, copies, members in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if tuple(now) != key:
+                    yield from out()
+                    held, key = [], tuple(now)
+                held.append((block, node, copies, members))
+        yield from out()
+
+    return run
+
+
 def similar_documents(
     documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per document: doc_id, text_key, n_shingles, component_id.
+    """Per document: doc_id, text_key, n_shingles, component_id, n_links.
 
     Documents link when their sets of ``size``-word shingles have a Jaccard
     similarity of ``percent`` or more; ``component_id`` is the least doc_id
-    that links reach, its own included.
+    that links reach, its own included, and ``n_links`` the number of other
+    documents that it links with, copies included.
 
     Null and empty texts, and texts without words, have an empty set and link
     with nothing.  A text of fewer words is one shingle.  Repeated rows are
     documents of their own, with equal sets.  A null doc_id links like others,
     but names no component; it gets null where its component has no other.
-    Other columns are ignored.  Shingles, and equal sets, are told apart by
-    64-bit hashes.
+    Ids are of any type that has an order.  Other columns are ignored.
+    Shingles, and equal sets, are told apart by 64-bit hashes.
     """
-    return _joined(documents, size=size, percent=percent, id_col=id_col, text_col=text_col).drop("component")
+    return _joined(documents, size=size, percent=percent, id_col=id_col, text_col=text_col, links=True).drop("component")
 
 
-def _joined(documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``similar_documents`` with ``component``, which tells apart components without an id too; null for an empty set."""
+def _joined(
+    documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", links: bool = False
+) -> DataFrame:
+    """``similar_documents``, without n_links unless ``links``, with ``component``, which tells apart components without
+    an id too; null for an empty set."""
     context = documents.sparkSession.sparkContext
     base = documents.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
     )
+    kind = base.schema["doc_id"].dataType.simpleString()
+    n_cells = sketch_cells(base)
     first = written(
-        base.mapInArrow(_first_pass(size), "doc_id bigint, text_key bigint, node bigint, n int, signature array<bigint>, block int, counts binary"), "sets"
+        base.mapInArrow(_first_pass(size, n_cells), f"doc_id {kind}, text_key bigint, node bigint, n int, signature array<bigint>, block int, counts binary"), "sets"
     )
     members = first.filter("block is null").select("doc_id", "text_key", "node", "n", "signature")
-    cells = _sketch(first.filter("block is not null"))
+    cells = _sketch(first.filter("block is not null"), n_cells)
     sent = context.broadcast(np.minimum(cells, 2**32 - 1).astype(np.uint32))
     light = boundary(cells, percent)
     keys = base.select("text").mapInArrow(_keys(sent, light, percent, size), "key bigint, node bigint, place bigint")
@@ -334,9 +409,8 @@ def _joined(documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: s
     stars = written(shared.withColumn("before", F.when(is_shingle, before)), "stars")
     one_each = members.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("d"))
 
-    def verified(candidates: DataFrame) -> DataFrame:
-        promising = written(_promising(candidates, prefixes, light, percent), "pairs")
-        nodes = promising.select(F.explode(F.array("a", "b")).alias("w")).distinct()
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """(node, members) of the nodes, column w."""
         chosen = written(
             one_each.join(nodes, F.col("node") == F.col("w"), "left_semi").select(
                 "node", F.col("d.doc_id").alias("i"), F.col("d.text_key").alias("t")
@@ -345,7 +419,11 @@ def _joined(documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: s
         )
         few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
         texts = base.join(few, base["doc_id"].eqNullSafe(F.col("i")) & (base["text_key"] == F.col("t"))).select("node", "text")
-        sets = written(texts.mapInArrow(_sets(size), "node bigint, members binary"), "members").dropDuplicates(["node"])
+        return written(texts.mapInArrow(_sets(size), "node bigint, members binary"), "members").dropDuplicates(["node"])
+
+    def verified(candidates: DataFrame) -> DataFrame:
+        promising = written(_promising(candidates, prefixes, light, percent), "pairs")
+        sets = sets_of(promising.select(F.explode(F.array("a", "b")).alias("w")).distinct())
         return written(_verified(promising, sets, percent), "links")
 
     # Round one: each list's sets with its centre.
@@ -362,17 +440,17 @@ def _joined(documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: s
         lists = rows.groupBy(F.col("key").alias("k")).agg(F.min("component").alias("x"), F.max("component").alias("y"), of_centre)
         return rows.join(lists.filter("x <> y").select("k", "main"), F.col("key") == F.col("k")).drop("k")
 
-    links = compared(stars)
+    linked = compared(stars)
     # Once more for what isn't linked to the centre, with a centre of its own.
-    opened = written(still_open(stars, links), "open")
+    opened = written(still_open(stars, linked), "open")
     outside = opened.filter("component <> main").select("key", "node", "place", "before")
     centres = outside.groupBy(F.col("key").alias("k")).agg(F.min(F.struct(at, "node", "place")).alias("x"))
     outside = outside.join(centres, F.col("key") == F.col("k")).select(
         "key", "node", "place", "before", F.col("x.node").alias("centre"), F.col("x.place").alias("centre_place")
     )
-    links = written(links.unionByName(compared(outside)), "links")
+    linked = written(linked.unionByName(compared(outside)), "links")
     # Round two: what isn't linked yet, in lists of several components.
-    left = still_open(opened.drop("component", "main"), links).filter("node <> centre")
+    left = still_open(opened.drop("component", "main"), linked).filter("node <> centre")
     left = left.join(signatures, F.col("node") == F.col("of")).drop("of")
     outside = left.filter("component <> main").select(
         F.col("key").alias("ka"), F.col("node").alias("a"), F.col("place").alias("pa"), F.col("component").alias("ca"),
@@ -390,23 +468,52 @@ def _joined(documents: DataFrame, *, size: int = 5, percent: int = 80, id_col: s
         & _close(_size("pa"), _size("pb"), _apart("sa", "sb"), percent),
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = verified(again)
-    final = connected_components(links.unionByName(more)).select(F.col("node").alias("o"), "component")
+    final = connected_components(linked.unionByName(more)).select(F.col("node").alias("o"), "component")
     # Names: the least doc_id of each node, then of each component.
-    named = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("own"))
+    named = members.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("own"), F.count("*").alias("copies"), F.first("n").alias("n"))
     named = named.join(final, F.col("node") == F.col("o"), "left").select(
-        "node", "own", F.coalesce("component", "node").alias("component")
+        "node", "own", "copies", "n", F.coalesce("component", "node").alias("component")
     )
+    named = written(named, "named") if links else named
     names = named.groupBy(F.col("component").alias("c")).agg(F.min("own").alias("component_id"))
-    named = named.join(names, F.col("component") == F.col("c")).select(F.col("node").alias("o"), "component_id", "component")
-    return members.join(named, (F.col("node") == F.col("o")) & (F.col("n") > 0), "left").select(
+    n_links = F.lit(None).cast("bigint")
+    every = named.join(names, F.col("component") == F.col("c"))
+    if links:
+        counts = _link_counts(named, sets_of, percent).withColumnRenamed("node", "of")
+        every = every.join(counts, F.col("node") == F.col("of"), "left")
+        n_links = F.coalesce("linked", F.lit(0)) + F.col("copies") - 1
+    every = every.select(F.col("node").alias("o"), "component_id", "component", n_links.alias("n_links"))
+    return members.join(every, (F.col("node") == F.col("o")) & (F.col("n") > 0), "left").select(
         "doc_id",
         "text_key",
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *([F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")] if links else []),
         "component",
     )
 
 
+def _link_counts(named: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(node, linked): of sets in components of several, how many documents of other sets they link with."""
+    about = named.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("k"), F.sum("n").alias("total")).filter("k > 1")
+    blocks = F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    # Written, so that Spark can split the join of a hot component with its sets.
+    about = written(about.select("c", blocks.alias("blocks")), "component-sizes")
+    dealt = named.join(about, F.col("component") == F.col("c")).select(
+        F.col("node").alias("w"), "component", "copies", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    )
+    dealt = written(dealt, "dealt")
+    sets = sets_of(dealt.select("w"))
+    both = dealt.join(sets, F.col("w") == F.col("node"))
+    each = both.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = each.select(
+        "component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "copies", "members"
+    )
+    groups = rows.repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi")
+    counted = groups.mapInArrow(_links(percent), "node bigint, linked bigint")
+    return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
 def one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component, all columns kept: that of the least id (null last), then text hash, then hash of the row.
 
@@ -426,7 +533,7 @@ def one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:
     found = similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 OP6_SQL = r"""
@@ -442,6 +549,7 @@ l AS (
   SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
 e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
 r(doc_id, id) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.y, r.id FROM r JOIN e ON e.x = r.doc_id)
-SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.id) AS component_id
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.id) AS component_id,
+  (SELECT count(*) FROM e WHERE e.x = d.doc_id) AS n_links
 FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 """

@@ -314,16 +314,20 @@ def grouped(rows):
         for j in range(i):
             if a and sets[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
                 top[find(i)] = find(j)
+    def linked(i):
+        a = sets[i]
+        return sum(bool(a) and bool(b) and i != j and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets))
+
     least = defaultdict(list)
     for i, (d, *_) in enumerate(rows):
         if d is not None:
             least[find(i)].append(d)
     for i, (d, *_) in enumerate(rows):
-        yield d, len(sets[i]), min(least[find(i)], default=None) if sets[i] else d
+        yield d, len(sets[i]), min(least[find(i)], default=None) if sets[i] else d, linked(i)
 
 
 def test_jaccard_join(docs, rows):
-    same(jaccard_join.similar_documents(docs), ["doc_id", "n_shingles", "component_id"], list(grouped(rows)))
+    same(jaccard_join.similar_documents(docs), ["doc_id", "n_shingles", "component_id", "n_links"], list(grouped(rows)))
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -345,9 +349,37 @@ def test_jaccard_join_of_near_copies(spark, seed):
                 text = copy
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    same(jaccard_join.similar_documents(df), ["doc_id", "n_shingles", "component_id"], list(grouped(rows)))
+    same(jaccard_join.similar_documents(df), ["doc_id", "n_shingles", "component_id", "n_links"], list(grouped(rows)))
     kept = jaccard_join.one_of_each(df).count()
-    assert kept == len({c for *_, c in grouped(rows)})
+    assert kept == len({r[2] for r in grouped(rows)})
+
+
+@pytest.mark.parametrize("columns", [3, 4096])
+def test_links_of_blocks(columns, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COLUMNS", columns)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 40, np.uint64)
+    sets = [np.unique(np.r_[rng.choice(base, rng.integers(30, 41), False), rng.integers(0, 2**63, rng.integers(0, 4), np.uint64)]) for _ in range(60)]
+    weights = rng.integers(1, 5, 60)
+    alike = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    table = np.array([[i != j and alike(a, b) for j, b in enumerate(sets)] for i, a in enumerate(sets)])
+    every = np.arange(60)
+    assert 0 < table.sum() < table.size - 60
+    assert jaccard_join.links_of(sets, weights, every, every, 80).tolist() == (table @ weights).tolist()
+    one, two = every[::3], np.setdiff1d(every, every[::3])
+    cross = table.copy()
+    cross[np.ix_(one, one)] = cross[np.ix_(two, two)] = False
+    assert jaccard_join.links_of(sets, weights, one, two, 80).tolist() == (cross @ weights).tolist()
+
+
+def test_links_in_components_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 7)
+    rng = random.Random(6)
+    text = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(text[: 60 - rng.randrange(8)] + [f"n{rng.randrange(40)}"] * rng.randrange(3))) for i in range(60)]
+    df = spark.createDataFrame([(f"d{i}", t) for i, t in rows], "doc_id string, text string")
+    found = grouped([(f"d{i}", t) for i, t in rows])
+    same(jaccard_join.similar_documents(df), ["doc_id", "n_shingles", "component_id", "n_links"], list(found))
 
 
 def test_jaccard_join_of_nothing(empty):
