@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import space_words, text_key, written
+from millrace.operators.ranks import ranked
 
 #: Documents in a range of keys, about.
 RANGE_ROWS = 500
@@ -152,6 +153,47 @@ def mix_groups(
     )
 
 
+def mixture(
+    documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = None, **options
+) -> DataFrame:
+    """The mix itself: a row for each time that a document is taken, with its columns and epoch, size, source_size,
+    target and taken, the words of this row.
+
+    Whole documents are as they are; of the one at a source's cut the first ``taken`` words stay, joined by a space, and
+    ``length_col`` gets the new length.  Documents that aren't taken, or have no words, go.  Columns of the documents
+    named like the five give way to them.  Of rows that agree in id, text and source those of the least hash are taken first.
+    """
+    groups = mix_groups(documents, id_col=id_col, text_col=text_col, source_col=source_col, **options).filter("size > 0")
+    groups = groups.select(
+        F.col("doc_id").alias("i"), F.col("text_key").alias("k"), F.col("source").alias("s"), "size", "copies", "before", "source_size", "target", "epochs", "rest"
+    )
+    packed = documents.select(F.struct("*").alias("row"))
+    row = F.col("row")
+    same = row[id_col].eqNullSafe(F.col("i")) & (text_key(row[text_col]) == F.col("k")) & row[source_col].eqNullSafe(F.col("s"))
+    joined = packed.join(groups, same)
+    # Copies: equal rows are counted, and numbered in the order of their hashes.
+    of_group = ["i", "k", "s", "size", "copies", "before", "source_size", "target", "epochs", "rest"]
+    hashed = joined.filter("copies > 1").withColumn("digest", F.xxhash64(F.to_json("row", {"ignoreNullFields": "false"})))
+    hashed = hashed.withColumn("of", F.xxhash64("i", "k", "s")).groupBy(*of_group, "of", "digest").agg(F.first("row").alias("row"), F.count("*").alias("n"))
+    hashed = written(hashed, "copies")
+    places = ranked(hashed.select("of", "digest", "n"), ["of"], [F.asc("digest")], total="n").select("of", "digest", F.col("before").alias("earlier"))
+    lots = hashed.join(places, ["of", "digest"]).withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / LOT).cast("int"))))
+    numbers = F.sequence(F.col("lot") * LOT, F.least((F.col("lot") + 1) * LOT, F.col("n")) - 1)
+    copies = lots.withColumn("number", F.explode(numbers)).withColumn("nth", (F.col("number") + F.col("earlier")).cast("bigint"))
+    each = joined.filter("copies = 1").withColumn("nth", F.lit(0).cast("bigint"))
+    each = each.select("row", *of_group, "nth").unionByName(copies.select("row", *of_group, "nth"))
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before") - F.col("nth") * F.col("size"))).cast("bigint")
+    each = each.withColumn("part", part).withColumn("times", F.col("epochs") + (F.col("part") > 0).cast("int")).filter("times > 0")
+    each = each.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    taken = F.when(F.col("epoch") <= F.col("epochs"), F.col("size")).otherwise(F.col("part"))
+    each = each.withColumn("taken", taken)
+    is_cut = F.col("taken") < F.col("size")
+    text = F.when(is_cut, F.array_join(F.slice(space_words(row[text_col]), 1, F.col("taken").cast("int")), " ")).otherwise(row[text_col])
+    changed = {text_col: text} | ({length_col: F.when(is_cut, F.length(text).cast(documents.schema[length_col].dataType)).otherwise(row[length_col])} if length_col else {})
+    own = ["epoch", "size", "source_size", "target", "taken"]
+    return each.select(*[changed.get(c, row[c]).alias(c) for c in documents.columns if c not in own], *own)
+
+
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
     mixed = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
