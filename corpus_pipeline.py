@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, jaccard_join, line_dedup, mixing, quality_rules
-from millrace.llm.common import text_key
 from millrace.shared import written
 
 
@@ -38,22 +37,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with its size, its source's size and target, and the words that the mix takes.
+    """The mix: a row for each time that a document is taken, the one at a source's cut with its first words alone.
 
-    Rows that agree in id, text and source share what is taken from them.  Columns of the
-    documents that are named like these give way to them.
+    Documents that aren't taken go.  Further columns: epoch, size, source_size, target, taken.
     """
-    mixed = mixing.mix(docs).groupBy(F.col("doc_id").alias("i"), F.col("text_key").alias("k"), F.col("source").alias("s")).agg(
-        F.max("size").alias("size"),
-        F.max("source_size").alias("source_size"),
-        F.max("target").alias("target"),
-        F.floor(F.sum("taken") / F.count("*")).cast("bigint").alias("taken"),
-    )
-    packed = docs.select(F.struct("*").alias("row"))
-    row = F.col("row")
-    same = row["doc_id"].eqNullSafe(F.col("i")) & (text_key(row["text"]) == F.col("k")) & row["source"].eqNullSafe(F.col("s"))
-    own = ["size", "source_size", "target", "taken"]
-    return packed.join(mixed, same).select(*[row[c].alias(c) for c in docs.columns if c not in own], *own)
+    return mixing.mixture(docs, length_col="n_chars")
 
 
 STAGES = [
@@ -80,6 +68,10 @@ def _over(sql: str, table: str) -> str:
 
 
 _KEPT = line_dedup.OP4_SQL.replace("sha256(kept) AS kept_sha256", "CASE WHEN d.text IS NULL THEN NULL ELSE kept END AS kept")
+_PARTS = mixing.OP9_SQL.replace(
+    "SELECT doc_id, size, source_size, target,",
+    "SELECT doc_id, size, source_size, target, epochs, greatest(0, least(size, budget - epochs * source_size - before)) AS part,",
+)
 
 ORACLE_SQL = rf"""
 WITH s1 AS MATERIALIZED (
@@ -91,6 +83,13 @@ s2 AS MATERIALIZED (
 s3 AS MATERIALIZED (
   SELECT * FROM s2 WHERE doc_id IN (SELECT component_id FROM {_over(jaccard_join.OP6_SQL, "s2")})),
 s4 AS MATERIALIZED (
-  SELECT * FROM s3 WHERE doc_id NOT IN (SELECT doc_id FROM {_over(decontaminate.OP1_SQL, "s3")} WHERE contaminated))
-SELECT s4.*, m.size, m.source_size, m.target, m.taken FROM s4 JOIN {_over(mixing.OP9_SQL, "s4")} m USING (doc_id)
+  SELECT * FROM s3 WHERE doc_id NOT IN (SELECT doc_id FROM {_over(decontaminate.OP1_SQL, "s3")} WHERE contaminated)),
+m AS (
+  SELECT s4.*, p.size, p.source_size, p.target, p.epochs, p.part, unnest(range(1, p.epochs + 2)) AS nth,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM s4 JOIN {_over(_PARTS, "s4")} p USING (doc_id) WHERE p.size > 0),
+t AS (SELECT *, CASE WHEN nth <= epochs THEN size ELSE part END AS taken FROM m),
+c AS (SELECT *, CASE WHEN taken < size THEN array_to_string(w[1:taken], ' ') ELSE text END AS cut FROM t WHERE taken > 0)
+SELECT doc_id, cut AS text, lang, source, CASE WHEN taken < size THEN CAST(length(cut) AS BIGINT) ELSE n_chars END AS n_chars,
+  CAST(nth AS INTEGER) AS epoch, size, source_size, target, CAST(taken AS BIGINT) AS taken FROM c
 """
