@@ -15,10 +15,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import SPACE_SEPARATOR, text_key
+from millrace.llm.common import SPACE_SEPARATOR, text_key, written
 
-#: A candidate: 16 characters of keys or more, one of them a digit at least.
-CANDIDATE = r"(?=[A-Za-z_+/-]{0,200}[0-9])[A-Za-z0-9_+/-]{16,}={0,2}"
+#: A candidate: a whole run of 16 characters of keys or more, one of them a digit at least.
+CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
 #: Labelled findings that the built-in training set has, and by default at most learns from.
 TRAINING_ROWS = 6_000
 
@@ -153,7 +153,7 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
     """(doc_id, text, secret): made-up findings, the same for each call; secrets are named and random,
     the others are numbers, checksums, identifiers, paths and placeholders."""
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    seed = F.col("doc_id").cast("string")
+    seed = F.col("id").cast("string")
     hexes = F.sha2(seed, 256)
     base = F.regexp_replace(F.base64(F.unhex(hexes)), "[=]", "")
     digits = F.lpad(F.abs(F.xxhash64(seed)).cast("string"), 19, "7")
@@ -167,6 +167,10 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
     letters = F.translate(hexes, "0123456789", "ghijkmnpqr")
     short = F.element_at(F.array(F.substring(letters, 1, 8), F.substring(letters, 1, 12), F.substring(letters, 1, 20), F.substring(base, 1, 8), F.substring(base, 1, 12), F.concat(F.substring(base, 1, 5), F.lit("!"), F.substring(letters, 1, 3))), (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(6)) + 1).cast("int"))
     filler = F.element_at(F.array(*map(F.lit, "required string null none true false optional the a changeme example value your_password text hidden int".split())), (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(16)) + 1).cast("int"))
+    # Written, as all of them in each text's place are too long to be compiled.
+    pieces = {"hexes": hexes, "digits": digits, "number": number, "name": name, "sign": sign, "key": key, "short": short, "filler": filler}
+    made_of = written(spark.range(rows).select(F.col("id").alias("doc_id"), *[v.alias(k) for k, v in pieces.items()]), "pieces")
+    hexes, digits, number, name, sign, key, short, filler = map(F.col, pieces)
     secrets = [
         text("and the ", name, sign, key, '" was of that'),
         text("Authorization: Bearer ", key, " in the"),
@@ -198,7 +202,7 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
     for i, (x, secret) in enumerate(all_of):
         made = F.when(kind == i, x).otherwise(made)
         label = F.when(kind == i, F.lit(secret)).otherwise(label)
-    return spark.range(rows).select(F.col("id").alias("doc_id")).select("doc_id", made.alias("text"), label.alias("secret"))
+    return made_of.select("doc_id", made.alias("text"), label.alias("secret"))
 
 
 def train(labelled: DataFrame, *, trees: int = 30, depth: int = 8, rows: int = TRAINING_ROWS) -> RandomForestClassificationModel:
@@ -206,6 +210,8 @@ def train(labelled: DataFrame, *, trees: int = 30, depth: int = 8, rows: int = T
 
     Rows with a null text or label, or without a candidate, teach nothing.
     """
+    # Written, as a plan of made-up texts and of the patterns together is too long to be compiled.
+    labelled = written(labelled.select("doc_id", "text", "secret"), "labelled")
     found = features(candidates(labelled, keep=("secret",))).filter(F.col("secret").isNotNull())
     bounded = found.orderBy(F.xxhash64("text_key", "place", "nth")).limit(rows).withColumn("label", F.col("secret").cast("double"))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(bounded).select("vector", "label")
