@@ -154,7 +154,8 @@ def judge(
 
     ``kept`` is false where any rule rejects the text.  A null or empty text
     has no words and is rejected as too short.  Repeated rows are judged each;
-    null ids and other columns don't matter.  An empty table gives no rows.
+    ids of any type, null ones too, and other columns don't matter.  An empty
+    table gives no rows.
     """
     cascade = [rules[i] for i in cascade_order(documents, rules, text_col=text_col, share=share, rows=rows)]
 
@@ -170,8 +171,9 @@ def judge(
             cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=NAMES)
 
-    return documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, ", ".join(f"{n} {'boolean' if n in NAMES[-2:] else 'bigint'}" for n in NAMES)
+    kind = documents.schema[id_col].dataType.simpleString()
+    return documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, " + ", ".join(f"{n} {'boolean' if n in NAMES[-2:] else 'bigint'}" for n in NAMES[1:])
     )
 
 

@@ -23,6 +23,8 @@ from millrace.llm.common import WordHashes, covered, mixed, rolling, text_key, w
 
 BASE = 0x9E3779B97F4A7C15
 KEY = ["doc_id", "text_key"]
+#: Windows of a text whose anchors are found at once.
+BLOCK = 1 << 16
 
 
 def split(text: str | None) -> list[bytes]:
@@ -36,17 +38,20 @@ def anchors(hashes: np.ndarray, window: int, short: int) -> tuple[np.ndarray, np
     if len(hashes) < window:
         none = np.zeros(0, np.int64)
         return g[:0], none, none, none
-    least = np.lib.stride_tricks.sliding_window_view(g, window - short + 1).argmin(1)
+    # In blocks, as the view of all of a long text would be copied.
+    views = np.lib.stride_tricks.sliding_window_view(g, window - short + 1)
+    least = np.concatenate([views[i : i + BLOCK].argmin(1) for i in range(0, len(views), BLOCK)])
     at = np.arange(len(least)) + least
     first = np.r_[0, np.flatnonzero(np.diff(at)) + 1]
     last = np.r_[first[1:], len(at)] - 1
     return g[at[first]], at[first], first, last
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], pa.DataType]]:
+    """Some rows at a time, and the kind of their ids."""
     for b in batches:
         for i in range(0, b.num_rows, 500):
-            yield [*zip(*(c.to_pylist() for c in b.slice(i, 500).columns), strict=True)]
+            yield [*zip(*(c.to_pylist() for c in b.slice(i, 500).columns), strict=True)], b.schema.field(0).type
 
 
 def _first_level(window: int, short: int):
@@ -54,7 +59,7 @@ def _first_level(window: int, short: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
-        for rows in _rows(batches):
+        for rows, kind in _rows(batches):
             ids, keys, hs, times = [], [], [], []
             for doc, key, text in rows:
                 g, n = np.unique(anchors(words.of(split(text)), window, short)[0], return_counts=True)
@@ -63,7 +68,7 @@ def _first_level(window: int, short: int):
                 hs.append(g.view(np.int64))
                 times.append(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(hs)), pa.array(np.concatenate(times), pa.int32()), pa.array(ids, pa.int64()),
+                [pa.array(np.concatenate(hs)), pa.array(np.concatenate(times), pa.int32()), pa.array(ids, kind),
                  pa.array(np.concatenate(keys))],
                 names=["h", "times", *KEY],
             )
@@ -71,10 +76,9 @@ def _first_level(window: int, short: int):
     return run
 
 
-_FURTHER = pa.schema(
-    [("doc_id", pa.int64()), ("text_key", pa.int64()), ("whole", pa.int64()), ("firsts", pa.list_(pa.int32())),
-     ("twice", pa.list_(pa.int64())), ("windows", pa.list_(pa.int64()))]
-)
+_FURTHER = [
+    ("text_key", pa.int64()), ("whole", pa.int64()), ("firsts", pa.list_(pa.int32())), ("twice", pa.list_(pa.int64())), ("windows", pa.list_(pa.int64())),
+]
 
 
 def _further_levels(window: int, short: int):
@@ -84,8 +88,9 @@ def _further_levels(window: int, short: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
-        for rows in _rows(batches):
-            out = {x: [] for x in _FURTHER.names}
+        for rows, kind in _rows(batches):
+            schema = pa.schema([("doc_id", kind), *_FURTHER])
+            out = {x: [] for x in schema.names}
             for doc, key, text, hs in rows:
                 h = words.of(split(text))
                 full = mixed(rolling(h, window, BASE))
@@ -107,7 +112,7 @@ def _further_levels(window: int, short: int):
                         out["twice"].append([twice[i] for i in (a - short, a) if 0 <= i < len(twice)])
                         out["windows"].append(full[first[k] : last[k] + 1])
                     starts[w].append(int(first[k]))
-            yield pa.RecordBatch.from_pydict(out, schema=_FURTHER)
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
 
@@ -126,11 +131,12 @@ def repeated_spans(
     (first window, how many windows follow one another)."""
     short = -(-window // 4)
     base = documents.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
     )
+    id_kind = base.schema["doc_id"].dataType.simpleString()
     # The first level: anchors.
     level = written(
-        base.mapInArrow(_first_level(window, short), "h bigint, times int, doc_id bigint, text_key bigint"), "anchors"
+        base.mapInArrow(_first_level(window, short), f"h bigint, times int, doc_id {id_kind}, text_key bigint"), "anchors"
     )
     alive = level.join(_repeated(level), F.col("h") == F.col("rh"), "left_semi")
     per_document = alive.groupBy(*KEY).agg(F.collect_set("h").alias("hs")).select(
@@ -140,7 +146,7 @@ def repeated_spans(
     level = written(
         found.select(*KEY, "text", "hs").mapInArrow(
             _further_levels(window, short),
-            "doc_id bigint, text_key bigint, whole bigint, firsts array<int>, twice array<bigint>, windows array<bigint>",
+            f"doc_id {id_kind}, text_key bigint, whole bigint, firsts array<int>, twice array<bigint>, windows array<bigint>",
         ),
         "windows",
     )
@@ -183,7 +189,7 @@ def repeated_spans(
 
 def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _rows(batches):
+        for rows, kind in _rows(batches):
             total, removed, kept = [], [], []
             for _, text, spans in rows:
                 words = split(text)
@@ -195,7 +201,7 @@ def _cut(window: int):
                 removed.append(total[-1] - len(words))
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array(total, pa.int64()),
+                [pa.array([r[0] for r in rows], kind), pa.array(total, pa.int64()),
                  pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept"],
             )
@@ -211,7 +217,7 @@ def dedup_substrings(
     A word goes if it is in a window of ``window`` words whose sequence also
     starts anywhere else, in the same document or another; all occurrences go.
 
-    Null and empty texts have no words.  Texts shorter than the window stay.
+    Null and empty texts have no words.  Ids are of any type.  Texts shorter than the window stay.
     Repeated rows are documents of their own, and so repeat each other's
     windows.  Other columns are ignored.  An empty table gives no rows.  Word
     sequences are compared by 64-bit hashes at each level.
@@ -220,12 +226,13 @@ def dedup_substrings(
         F.col("doc_id").alias("i"), F.col("text_key").alias("k"), "spans"
     )
     base = documents.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
     )
+    id_kind = base.schema["doc_id"].dataType.simpleString()
     return (
         base.join(spans, base["doc_id"].eqNullSafe(F.col("i")) & (base["text_key"] == F.col("k")), "left")
         .select("doc_id", "text", "spans")
-        .mapInArrow(_cut(window), "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+        .mapInArrow(_cut(window), f"doc_id {id_kind}, n_words bigint, n_removed bigint, kept string")
     )
 
 

@@ -109,7 +109,7 @@ def count_tokens(
     Counts are those of the tokenizer at ``path``, a lower-casing byte-level BPE
     with word ends, without added special tokens.  ``path`` must be there on
     every machine.  A null text counts as an empty one: no bytes, no tokens.
-    Repeated rows are counted each; null ids and other columns don't matter.
+    Repeated rows are counted each; ids of any type, null ones too, and other columns don't matter.
     """
     whole = documents.sparkSession.sparkContext.broadcast(whole_tokens(path))
 
@@ -120,9 +120,10 @@ def count_tokens(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     size = F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint")
+    kind = documents.schema[id_col].dataType.simpleString()
     return (
-        documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), size.alias("n_bytes"))
-        .mapInArrow(run, "doc_id bigint, n_bytes bigint, n_tokens bigint")
+        documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), size.alias("n_bytes"))
+        .mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
         .withColumn("over_limit", F.col("n_tokens") > limit)
     )
 
