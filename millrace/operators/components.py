@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.shared import written
+from millrace.shared import forget, written
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -47,7 +47,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if tuple(about) == before or about["n"] == 0:
             break
         before = tuple(about)
-        links = written(_small_star(_large_star(links)), "links")
+        last, links = links, written(_small_star(_large_star(links)), "links")
+        forget(last)
     # Stars now: each vertex but the centre has one link, to the centre.
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import relations
+from millrace.shared import temporary_tables
 from millrace.sources import catalogue
 from millrace.sources.rest import RestCatalogue
 
@@ -77,8 +78,12 @@ def fetch_reports(spark: SparkSession, detail: str, out: str, ids: dict[str, str
 
 
 def main(arguments: list[str]) -> None:
-    command, *rest = arguments
     spark = SparkSession.builder.getOrCreate()
+    with temporary_tables(spark):
+        run(spark, *arguments)
+
+
+def run(spark: SparkSession, command: str, *rest: str) -> None:
     if command == "relation-stats":
         root, out, snapshot, *wanted = rest
         relation_stats(spark, root, out, snapshot, [tuple(wanted)])

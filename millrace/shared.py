@@ -6,11 +6,19 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: The folder that stands in where none is set, for each local application.
 _local: dict[str, str] = {}
+#: The folder of the ``temporary_tables`` around.
+_inside: ContextVar[str | None] = ContextVar("inside", default=None)
+#: Where each table that ``written`` returned is.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,12 +36,41 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[name]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end all that ``written`` wrote inside.
+
+    DataFrames made inside may read these tables, so results that are to stay
+    are written elsewhere before the end.
+    """
+    folder = f"{_inside.get() or shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    outer = _inside.set(folder)
+    try:
+        yield
+    finally:
+        _inside.reset(outer)
+        _delete(spark, folder)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
     What follows doesn't compute it again, neither for a second use nor after
-    the loss of an executor.
+    the loss of an executor.  It stays until ``forget`` or the end of the
+    ``temporary_tables`` around, else until the folder is cleaned.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_inside.get() or shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Deletes a table that ``written`` returned, once all that is made of it is written itself."""
+    _delete(table.sparkSession, _paths.pop(table))

@@ -1,12 +1,14 @@
 """Relations, islands and profiles on hand-made and random inputs."""
 
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace import shared
 from millrace.operators import islands, profiles, ranks, relations
 from millrace.operators.components import connected_components
 from millrace.plans import documents, views
@@ -200,3 +202,16 @@ def test_a_hub_and_repeats_are_counted_before_they_are_oriented(spark):
     pairs = relations.pair_counts(edges(spark, rows), members(spark, ["h"], [f"x{i}" for i in range(49)])).collect()
     got = {(r.s, r.t): (r.n, r.ambiguous) for r in pairs}
     assert got == {("h", f"x{i}"): ((4 if i < 10 else 3), 3 if i == 49 else 0) for i in range(50)}
+
+
+def test_temporary_tables_go(spark):
+    folder = Path(shared.shared_folder(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    with shared.temporary_tables(spark):
+        one, two = shared.written(spark.range(3), "one"), shared.written(spark.range(4), "two")
+        with shared.temporary_tables(spark):
+            shared.written(spark.range(5), "three")
+        shared.forget(one)
+        (left,) = (x.name for f in set(folder.iterdir()) - before for x in f.iterdir())
+        assert left.startswith("two") and two.count() == 4
+    assert set(folder.iterdir()) == before
