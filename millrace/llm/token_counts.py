@@ -7,6 +7,7 @@ merged, and each distinct piece of text only once while it is remembered.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -21,6 +22,9 @@ ROOM = 300_000
 PLAIN = re.compile(rb"[\x21-\x7e]+")
 PRE_TOKEN = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 END_OF_WORD = "</w>"
+#: The rule of a tokenizer for which PRE_TOKEN holds; all is left to the library for others.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+STEPS = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
 
 
 def load(path: str):
@@ -30,6 +34,21 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+def shortcut_holds(path: str) -> bool:
+    """Whether the tokenizer cuts at white space and into PRE_TOKEN, as the shortcut assumes."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    steps = [
+        x for kind, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")) for x in (rules.get(kind) or {}).get(inner, [])
+    ]
+    split = [x for x in steps if x["type"] == "Split"]
+    return (
+        [x["type"] for x in steps] == [x for kinds in STEPS.values() for x in kinds]
+        and rules["model"].get("end_of_word_suffix") == END_OF_WORD
+        and [(x["pattern"], x["behavior"], x["invert"]) for x in split] == [({"Regex": SPLIT}, "Removed", True)]
+    )
+
+
 def byte_letters() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for: printable ones for
     themselves, the others, in order, as the code points from 256 on."""
@@ -39,7 +58,9 @@ def byte_letters() -> dict[str, int]:
 
 
 def whole_tokens(path: str) -> frozenset[bytes]:
-    """The vocabulary's strings that encode alone as that one token."""
+    """The vocabulary's strings that encode alone as that one token; none where the shortcut doesn't hold."""
+    if not shortcut_holds(path):
+        return frozenset()
     tokenizer, letters = load(path), byte_letters()
     texts = {}
     for piece, number in tokenizer.get_vocab().items():
@@ -58,7 +79,7 @@ class Pieces(dict):
 
     def __init__(self, path: str, whole: frozenset[bytes]):
         super().__init__()
-        self.tokenizer, self.whole = load(path), whole
+        self.tokenizer, self.whole, self.cut = load(path), whole, shortcut_holds(path)
 
     def merged(self, pieces: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
@@ -84,6 +105,8 @@ class Pieces(dict):
             self[p] += sum(next(counts) for _ in more)
 
     def count(self, texts: list[str]) -> list[int]:
+        if not self.cut:
+            return self.merged(texts)
         split = [t.encode().split() for t in texts]
         self.learn(set().union(*split))
         return [sum(map(self.__getitem__, pieces)) for pieces in split]
@@ -106,9 +129,10 @@ def count_tokens(
 ) -> DataFrame:
     """Per document: doc_id, n_bytes, n_tokens, over_limit.
 
-    Counts are those of the tokenizer at ``path``, a lower-casing byte-level BPE
-    with word ends, without added special tokens.  ``path`` must be there on
-    every machine.  A null text counts as an empty one: no bytes, no tokens.
+    Counts are those of the tokenizer at ``path``, without added special tokens.
+    The shortcut is for a lower-casing byte-level BPE with word ends; whole texts
+    are given to the library where the file has other rules.  ``path`` must be
+    there on every machine.  A null text counts as an empty one: no bytes, no tokens.
     Repeated rows are counted each; ids of any type, null ones too, and other columns don't matter.
     """
     whole = documents.sparkSession.sparkContext.broadcast(whole_tokens(path))
