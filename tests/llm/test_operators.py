@@ -289,6 +289,14 @@ def test_any_text_has_the_librarys_count(text):
     assert _pieces.count([text]) == [library(text)]
 
 
+def test_other_tokenizers_are_left_to_the_library():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["", "It's a dog\n\n  <|endoftext|> x", "  two  spaces 漢字 "]
+    want = [len(token_counts.load(other).encode(t, add_special_tokens=False).ids) for t in texts]
+    assert token_counts.Pieces(other, token_counts.whole_tokens(other)).count(texts) == want
+    assert token_counts.shortcut_holds(TOKENIZER) and not token_counts.shortcut_holds(other)
+
+
 def test_token_counts_of_nothing(empty):
     assert token_counts.count_tokens(empty, TOKENIZER).count() == 0 and len(_whole) > 20_000
 
@@ -412,6 +420,13 @@ def test_the_order_of_rules_changes_no_verdict(docs):
     assert sorted(one) == sorted(two)
 
 
+def test_order_by_what_is_left():
+    # The second rule rejects most, the first only what it does too, the third others.
+    assert quality_rules.by_rate([1.0, 1.0, 1.0], {0b011: 5, 0b010: 2, 0b100: 1, 0: 9}) == [1, 2, 0]
+    assert quality_rules.by_rate([1.0, 10.0, 1.0], {0b011: 5, 0b010: 2, 0b100: 1}) == [0, 2, 1]
+    assert quality_rules.by_rate([0.0, 0.0], {}) == [0, 1]
+
+
 def test_what_the_rules_reject():
     verdict = lambda t: {r.__name__ for r in quality_rules.RULES if r(quality_rules.Text(t, common.WordHashes()))}
     plain = " ".join(f"word{i}" for i in range(60))
