@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WordHashes, covered, mixed, rolling, text_key, written
+from millrace.shared import forget
 
 BASE = 0x9E3779B97F4A7C15
 KEY = ["doc_id", "text_key"]
@@ -135,10 +136,11 @@ def repeated_spans(
     )
     id_kind = base.schema["doc_id"].dataType.simpleString()
     # The first level: anchors.
-    level = written(
+    first = written(
         base.mapInArrow(_first_level(window, short), f"h bigint, times int, doc_id {id_kind}, text_key bigint"), "anchors"
     )
-    alive = level.join(_repeated(level), F.col("h") == F.col("rh"), "left_semi")
+    again = _repeated(first)
+    alive = first.join(again, F.col("h") == F.col("rh"), "left_semi")
     per_document = alive.groupBy(*KEY).agg(F.collect_set("h").alias("hs")).select(
         F.col("doc_id").alias("i"), F.col("text_key").alias("k"), "hs"
     )
@@ -150,6 +152,8 @@ def repeated_spans(
         ),
         "windows",
     )
+    forget(first)
+    forget(again)
     # Where all words under an anchor's windows are repeated together, so is each of its windows.
     wholes = _repeated(level.select(F.col("whole").alias("h"), F.size("firsts").alias("times")))
     judged = written(
@@ -158,6 +162,8 @@ def repeated_spans(
         ),
         "judged",
     )
+    forget(level)
+    forget(wholes)
     sure, unsure = judged.filter("sure"), judged.filter("not sure")
     # The others are compared with each other and with one copy of those, which counts two times.
     copies = sure.groupBy("whole").agg(F.first("twice").alias("twice"), F.first("windows").alias("windows"))
