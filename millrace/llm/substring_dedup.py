@@ -7,7 +7,9 @@ of the corpus drops out early.
 
 The first level needs no window at every word: each wanted window is
 represented by the short window in it whose hash is smallest, its anchor.
-Equal windows have equal anchors at the same place, so none is lost.
+Equal windows have equal anchors at the same place, so none is lost.  The
+windows of one anchor cover a stretch of the text; equal stretches are counted
+before the further levels, which then see each one once, with that count.
 """
 
 from __future__ import annotations
@@ -125,11 +127,20 @@ def _repeated(hashes: DataFrame) -> DataFrame:
     return written(n.filter("n > 1").select(F.col("h").alias("rh")), "repeated")
 
 
+def _alive(stretches: DataFrame, column: str) -> DataFrame:
+    """(whole, times, k, h): the hashes in ``column``, with their places in it, that occur two times at least."""
+    rows = stretches.select("whole", "times", F.posexplode(column).alias("k", "h"))
+    again = _repeated(rows.select("h", "times"))
+    return rows.join(again, F.col("h") == F.col("rh"), "left_semi")
+
+
 def repeated_spans(
     documents: DataFrame, *, window: int = 35, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, text_key, spans): of each document that has any, the repeated windows, as
-    (first window, how many windows follow one another)."""
+    (firsts, ks): from each of ``firsts`` on, the windows at the distances ``ks``."""
+    if window < 2:
+        raise ValueError("window must be two words at least")
     short = -(-window // 4)
     base = documents.select(
         F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
@@ -154,43 +165,30 @@ def repeated_spans(
     )
     forget(first)
     forget(again)
-    # Where all words under an anchor's windows are repeated together, so is each of its windows.
-    wholes = _repeated(level.select(F.col("whole").alias("h"), F.size("firsts").alias("times")))
-    judged = written(
-        level.join(wholes, F.col("whole") == F.col("rh"), "left").select(
-            *KEY, "whole", "firsts", "twice", "windows", F.col("rh").isNotNull().alias("sure")
-        ),
-        "judged",
+    # Equal stretches are one row with how often they occur, so copies go through the levels as one.
+    stretches = written(
+        level.groupBy("whole").agg(F.sum(F.size("firsts")).alias("times"), F.first("twice").alias("twice")), "stretches"
     )
-    forget(level)
-    forget(wholes)
-    sure, unsure = judged.filter("sure"), judged.filter("not sure")
-    # The others are compared with each other and with one copy of those, which counts two times.
-    copies = sure.groupBy("whole").agg(F.first("twice").alias("twice"), F.first("windows").alias("windows"))
-
-    def level_of(column: str) -> tuple[DataFrame, DataFrame]:
-        rows = unsure.select(*KEY, "whole", F.col("firsts")[0].alias("first"), F.posexplode_outer(column).alias("k", "h"))
-        other = copies.select(F.explode_outer(column).alias("h"), F.lit(2).alias("times"))
-        return rows, _repeated(rows.select("h", F.lit(1).alias("times")).unionByName(other))
-
     # The second level: of the windows of twice the anchor's length, one lies in each wanted window.
-    rows, again = level_of("twice")
-    alive = rows.join(again, F.col("h") == F.col("rh"), "left_semi").select(*KEY, "whole").distinct()
-    alive = alive.select(F.col("doc_id").alias("i"), F.col("text_key").alias("t"), F.col("whole").alias("w"))
-    unsure = unsure.join(
-        alive,
-        unsure["doc_id"].eqNullSafe(F.col("i")) & (unsure["text_key"] == F.col("t")) & (unsure["whole"] == F.col("w")),
-        "left_semi",
-    )
+    longer = written(_alive(stretches, "twice").select("whole", "times").distinct(), "longer")
+    forget(stretches)
     # The last level: the wanted windows.
-    rows, again = level_of("windows")
-    single = rows.join(again, F.col("h") == F.col("rh"), "left_semi").select(
-        *KEY, F.struct((F.col("first") + F.col("k")).alias("start"), F.lit(1).alias("n")).alias("span")
+    wanted = written(
+        level.groupBy("whole").agg(F.first("windows").alias("windows")).join(longer, "whole").select("whole", "times", "windows"),
+        "wanted",
     )
-    many = sure.select(*KEY, F.explode_outer("firsts").alias("first"), F.size("windows").alias("n")).select(
-        *KEY, F.struct(F.col("first").alias("start"), "n").alias("span")
+    forget(longer)
+    # Written, so that Spark can split the join of a hot stretch with its documents.
+    judged = written(
+        _alive(wanted, "windows").groupBy(F.col("whole").alias("w")).agg(F.collect_list("k").alias("ks")), "judged"
+    )
+    forget(wanted)
+    return (
+        level.select(*KEY, "whole", "firsts")
+        .join(judged, F.col("whole") == F.col("w"))
+        .groupBy(*KEY)
+        .agg(F.collect_set(F.struct("firsts", "ks")).alias("spans"))
     )
-    return single.unionByName(many).groupBy(*KEY).agg(F.collect_set("span").alias("spans"))
 
 
 def _cut(window: int):
@@ -201,7 +199,7 @@ def _cut(window: int):
                 words = split(text)
                 total.append(len(words))
                 if spans:
-                    starts = np.concatenate([np.arange(s["start"], s["start"] + s["n"]) for s in spans])
+                    starts = np.concatenate([np.add.outer(s["firsts"], s["ks"]).ravel() for s in spans])
                     gone = covered(starts, window, len(words))
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 removed.append(total[-1] - len(words))

@@ -211,7 +211,7 @@ def without_repeats(rows, window):
         yield doc, len(w), len(gone), " ".join(kept)
 
 
-@pytest.mark.parametrize("window", [35, 8])
+@pytest.mark.parametrize("window", [35, 8, 2])
 def test_substring_dedup(docs, rows, window):
     same(substring_dedup.dedup_substrings(docs, window=window), ["doc_id", "n_words", "n_removed", "kept"], list(without_repeats(rows, window)))
 
