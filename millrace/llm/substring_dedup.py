@@ -222,6 +222,7 @@ def dedup_substrings(
     starts anywhere else, in the same document or another; all occurrences go.
 
     Null and empty texts have no words.  Ids are of any type.  Texts shorter than the window stay.
+    A window has two words at least; a smaller one is a ValueError.
     Repeated rows are documents of their own, and so repeat each other's
     windows.  Other columns are ignored.  An empty table gives no rows.  Word
     sequences are compared by 64-bit hashes at each level.
