@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, jaccard_join, licenses, line_dedup, lm_score, mixing, quality_rules, secret_scan, substring_dedup, token_counts
+from millrace.llm import (
+    centroids, decontaminate, jaccard_join, licenses, line_dedup, lm_score, mixing, nearest, quality_rules, secret_scan, substring_dedup, token_counts, whitening,
+)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_license_scan": licenses.op10_license_scan,
+    "op11_centroid_clustering": centroids.op11_centroid_clustering,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_nearest_neighbours": nearest.op13_nearest_neighbours,
 }
 
 #: Where SQL expresses the operator; the others are tested against brute force.
@@ -26,4 +31,6 @@ SQL = {
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op9_mix_sources": mixing.OP9_SQL,
     "op10_license_scan": licenses.OP10_SQL,
+    "op11_centroid_clustering": centroids.OP11_SQL,
+    "op13_nearest_neighbours": nearest.OP13_SQL,
 }
