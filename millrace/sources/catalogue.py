@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import filled
+from millrace.sources.elements import read_elements
 
 TABLE = "type string, result struct<headers: array<struct<name: string>>, rows: array<struct<values: array<variant>>>>"
 _CARDINALITY = "struct<min: bigint, max: bigint>"
@@ -59,13 +60,24 @@ def read_documents(spark: SparkSession, path: str, schema: str, mode: str = "FAI
     return files.json(path).withColumn("stem", stem(F.col("_metadata.file_path")))
 
 
+_ROW = "struct<values: array<variant>>"
+
+
+def _checked(outlines: DataFrame, fits: Column, message: str) -> DataFrame:
+    """The outlines, of which all must fit; the job fails with the first that doesn't."""
+    odd = outlines.filter(~F.coalesce(fits, F.lit(False))).select(stem(F.col("file")).alias("stem")).first()
+    if odd:
+        raise ValueError(f"{message}: {odd.stem}")
+    return outlines
+
+
 def tables(spark: SparkSession, path: str) -> DataFrame:
-    """(stem, row, headers, values): the rows of report tables; row 0 is the first."""
-    read = read_documents(spark, path, TABLE)
-    headers = F.transform("result.headers", lambda h: h["name"])
-    return read.select("stem", headers.alias("headers"), F.posexplode("result.rows").alias("row", "r")).select(
-        "stem", "row", "headers", F.transform("r.values", cell).alias("values")
-    )
+    """(stem, row, headers, values): the rows of report tables; row 0 is the first.  Tasks read ranges of large ones."""
+    rows, outlines = read_elements(spark, path, [("result", "rows")], numbered=True)
+    read = F.from_json("outline", TABLE, {"mode": "FAILFAST"})
+    heads = outlines.select("file", F.transform(read["result"]["headers"], lambda h: h["name"]).alias("headers"))
+    values = F.from_json("text", _ROW, {"mode": "FAILFAST"})["values"]
+    return rows.join(heads, "file").select(stem(F.col("file")).alias("stem"), "row", "headers", F.transform(values, cell).alias("values"))
 
 
 def edge_tables(spark: SparkSession, path: str) -> DataFrame:
@@ -73,14 +85,11 @@ def edge_tables(spark: SparkSession, path: str) -> DataFrame:
 
     What isn't a TABLE, or has fewer headers, fails the job.  The stem is the relation.
     """
-    read = read_documents(spark, path, TABLE)
-    fits = (F.col("type") == "TABLE") & (F.size("result.headers") >= 2)
-    rows = F.when(F.coalesce(fits, F.lit(False)), F.col("result.rows")).otherwise(
-        F.raise_error(F.concat(F.lit("not a table of two columns: "), F.col("stem")))
-    )
-    return read.select("stem", rows.alias("rows")).select("stem", F.explode("rows").alias("r")).filter(F.size("r.values") >= 2).select(
-        F.col("stem").alias("relation"), cell(F.col("r.values")[0]).alias("u0"), cell(F.col("r.values")[1]).alias("u1")
-    )
+    rows, outlines = read_elements(spark, path, [("result", "rows")])
+    read = F.from_json("outline", TABLE, {"mode": "FAILFAST"})
+    _checked(outlines, (read["type"] == "TABLE") & (F.size(read["result"]["headers"]) >= 2), "not a table of two columns")
+    values = rows.select("file", F.from_json("text", _ROW, {"mode": "FAILFAST"})["values"].alias("v")).filter(F.size("v") >= 2)
+    return values.select(stem(F.col("file")).alias("relation"), cell(F.get("v", F.lit(0))).alias("u0"), cell(F.get("v", F.lit(1))).alias("u1"))
 
 
 def node_dumps(spark: SparkSession, path: str, item: str = "uuid string") -> DataFrame:
@@ -88,14 +97,12 @@ def node_dumps(spark: SparkSession, path: str, item: str = "uuid string") -> Dat
 
     Any other document fails the job.
     """
-    texts = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
-    value = F.regexp_replace("value", r"(?U)^[\s﻿]+", "")
-    bare = F.from_json(value, f"array<struct<{_fields(item)}>>")
-    under = F.from_json(value, f"struct<result: array<struct<{_fields(item)}>>>")["result"]
-    found = F.when(value.startswith("["), bare).otherwise(under)
-    name = stem(F.col("_metadata.file_path"))
-    checked = F.coalesce(found, F.raise_error(F.concat(F.lit("no list of objects: "), name)))
-    return texts.select(name.alias("type"), checked.alias("items")).select("type", F.explode("items").alias("x")).select("type", "x.*")
+    items, outlines = read_elements(spark, path, [(), ("result",)])
+    under = F.schema_of_variant(F.variant_get(F.try_parse_json("outline"), "$.result", "variant")).startswith("ARRAY")
+    _checked(outlines, F.try_parse_json("outline").isNotNull() & (F.col("outline").startswith("[") | under), "no list of objects")
+    text, x = F.btrim("text", F.lit(" \t\r\n")), F.from_json("text", f"struct<{_fields(item)}>")
+    objects = F.when(text.startswith("{"), x).otherwise(F.raise_error(F.concat(F.lit("no list of objects: "), stem(F.col("file")))))
+    return items.select(stem(F.col("file")).alias("type"), F.when(text != "null", objects).alias("x")).select("type", "x.*")
 
 
 def _fields(ddl: str) -> str:
