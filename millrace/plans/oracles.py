@@ -144,9 +144,6 @@ _VALUES = {
 _COUNTS = {k: f"SELECT '{k}' AS type, count(*) AS type_count FROM {k}" for k in _VALUES}
 _ALL = _profile(" UNION ALL ".join(_VALUES.values()), " UNION ALL ".join(_COUNTS.values()))
 _TIER = "CASE WHEN pct >= 100 THEN 'required' WHEN pct >= 10 THEN 'common' ELSE 'rare' END"
-_TYPES = """t(tech, name, app, code, sys) AS (
-  VALUES ('customer', 'Customer', true, true, false), ('supplier', 'Supplier', true, false, false),
-    ('part', '', false, false, true), ('nation', 'Nation', true, false, false))"""
 _LABEL = "CASE WHEN coalesce(name, '') <> '' THEN name || ' (' || {0} || ')' ELSE {0} END AS label"
 _REL_TYPES = """rt(tech, name, about, sn, st, tn, tt) AS (VALUES
     ('supplier_part', 'Supplies', '  What a supplier has,' || chr(10) || repeat('z', 80), 'Supplier', 'supplier', NULL, 'part'),
@@ -266,22 +263,29 @@ SQL = {
     "attr_summary_text": "WITH n AS (" + " UNION ALL ".join(_COUNTS.values()) + """) SELECT type, type_count,
       CASE WHEN type_count > 0 THEN type_count || ' objects in ' || type || '. Showing attribute coverage.'
         ELSE 'No objects for ' || type || '.' END AS summary FROM n""",
-    "type_kind_filter": f"""WITH k(type) AS (VALUES ('customer'), ('supplier'), ('part'), ('nation'), ('orders')), {_TYPES},
-      x AS (SELECT * FROM k LEFT JOIN t ON tech = type),
-      y AS (SELECT 'application' AS filter, * FROM x WHERE app AND NOT code UNION ALL SELECT 'codelist', * FROM x WHERE code
-        UNION ALL SELECT 'system', * FROM x WHERE sys UNION ALL SELECT 'none', * FROM x
-        UNION ALL SELECT 'curated', * FROM x WHERE type IN ('part', 'orders', 'absent'))
-      SELECT filter, type, {_LABEL.format("type")} FROM y""",
-    "relation_kind_filter": f"""WITH {_RELATIONS}, t(tech, name, kind) AS (VALUES ('supplier_part', 'Supplies', 'application'),
-        ('customer_orders', '', 'system'), ('region_nation', 'Holds', 'application')),
-      x AS (SELECT relation, name, kind FROM rels LEFT JOIN t ON tech = relation),
-      y AS (SELECT 'application' AS filter, * FROM x WHERE kind = 'application' UNION ALL SELECT 'both', * FROM x WHERE kind IN ('application', 'system')
-        UNION ALL SELECT 'none', * FROM x UNION ALL SELECT 'curated', * FROM x WHERE relation = 'nation_customer')
-      SELECT filter, relation, {_LABEL.format("relation")}, CAST(row_number() OVER (PARTITION BY filter ORDER BY relation) AS INTEGER) AS rank FROM y""",
+    "type_kind_filter": f"""WITH {_NODES},
+      t AS (SELECT *, type = 'application' AS app, type = 'system' AS sys, type = 'application' AND starts_with(labels, 'codelist') AS code FROM nt),
+      k AS (SELECT tech AS shown FROM nt UNION ALL SELECT DISTINCT c_mktsegment FROM customer),
+      x AS (SELECT * FROM k LEFT JOIN t ON tech = shown), f(filter) AS (VALUES ('application'), ('codelist'), ('system'), ('none'), ('curated')),
+      m(metadata) AS (VALUES ('there'), ('missing'), ('broken')),
+      y AS (SELECT metadata, filter, shown, CASE WHEN metadata = 'there' THEN name END AS name FROM x, f, m
+        WHERE CASE WHEN filter = 'curated' THEN shown IN ('T3', 'BUILDING', 'AFRICA', '1-URGENT', 'absent') WHEN filter = 'none' OR metadata <> 'there' THEN true
+          WHEN filter = 'application' THEN app AND NOT code WHEN filter = 'codelist' THEN code ELSE sys END)
+      SELECT metadata, filter, shown AS type, {_LABEL.format("shown")} FROM y""",
+    "relation_kind_filter": f"""WITH {_FETCHED},
+      t AS (SELECT r_name AS tech, CASE WHEN k % 2 = 0 THEN r_name WHEN k = 3 THEN 'listed ' || r_name END AS name,
+        CASE WHEN k = 3 THEN 'application' WHEN k <> 1 THEN 'system' END AS kind FROM x WHERE nth = 1),
+      n AS (SELECT r_name AS relation FROM region UNION ALL SELECT DISTINCT o_orderpriority FROM orders),
+      f(filter) AS (VALUES ('application'), ('system'), ('none'), ('curated'), ('both')), m(metadata) AS (VALUES ('there'), ('missing'), ('broken')),
+      y AS (SELECT metadata, filter, relation, CASE WHEN metadata = 'there' THEN name END AS name FROM n LEFT JOIN t ON tech = relation, f, m
+        WHERE CASE WHEN filter = 'curated' THEN relation IN ('T3', 'BUILDING', 'AFRICA', '1-URGENT', 'absent') WHEN filter = 'none' THEN true
+          WHEN metadata <> 'there' THEN false WHEN filter = 'both' THEN kind IN ('application', 'system') ELSE kind = filter END)
+      SELECT metadata, filter, relation, {_LABEL.format("relation")}, CAST(row_number() OVER (PARTITION BY metadata, filter ORDER BY relation) AS INTEGER) AS rank
+      FROM y""",
     "default_selection": """SELECT 'kept' AS situation, n_name AS chosen FROM nation WHERE n_nationkey = 3 UNION ALL SELECT 'gone', CAST(NULL AS VARCHAR)
       UNION ALL SELECT x, (SELECT min(n_name) FROM nation WHERE n_nationkey > 4) FROM (VALUES ('first'), ('none')) t(x)""",
-    "type_icon_kind": f"""WITH {_TYPES} SELECT tech AS "technicalName", CASE WHEN app AND NOT code THEN 'application' WHEN sys THEN 'system'
-      WHEN code THEN 'codelist' ELSE 'generic' END AS kind FROM t""",
+    "type_icon_kind": f"""WITH {_NODES} SELECT tech AS "technicalName", CASE WHEN type = 'application' AND NOT starts_with(labels, 'codelist') THEN 'application'
+      WHEN type = 'system' THEN 'system' ELSE 'codelist' END AS kind FROM nt""",
     "metadata_first_endpoint": """SELECT r_name AS "technicalName", n_name AS source_name FROM region LEFT JOIN (
       SELECT n_regionkey, arg_min(n_name, n_nationkey) AS n_name FROM nation WHERE n_regionkey <> 0 GROUP BY ALL) ON n_regionkey = r_regionkey""",
     "metadata_relation_entries": f"""WITH {_FETCHED} SELECT r_name AS "technicalName",

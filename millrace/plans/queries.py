@@ -273,12 +273,6 @@ def attr_search_limit(spark: SparkSession, sf: str) -> DataFrame:
     return views.searched(attr_profile_all_types(spark, sf), " NA", 2).select("type", "name", "rank", "count")
 
 
-_TYPE_META = (
-    ("customer", "Customer", "application", ["codelist"]),
-    ("supplier", "Supplier", "application", []),
-    ("part", "", "system", []),
-    ("nation", "Nation", "application", None),
-)
 _ATTR_META = (
     ("customer", "c_name", "Name", "The customer's name", "critical"),
     ("customer", "c_acctbal", "Balance", "  ", None),
@@ -287,11 +281,6 @@ _ATTR_META = (
 )
 
 
-def _types(spark: SparkSession) -> DataFrame:
-    t = spark.createDataFrame(list(_TYPE_META), "technicalName string, name string, type string, labels array<string>")
-    return t.select("technicalName", "name", *catalogue.flags(F.col("type"), F.col("labels")))
-
-
 def attr_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
     meta = spark.createDataFrame(list(_ATTR_META), "type string, name string, attribute_name string, description string, mandatory string")
     view = views.attribute_view(attr_profile_all_types(spark, sf), meta)
@@ -302,33 +291,44 @@ def attr_summary_text(spark: SparkSession, sf: str) -> DataFrame:
     return views.type_summary(_profile(spark, sf, list(_PROFILED))[1])
 
 
-def _kinds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(k,) for k in (*_PROFILED, "orders")], "type string")
+_FILTERS = (
+    ("application", views.TypeFilter()), ("codelist", views.TypeFilter(application=False, codelist=True)), ("system", views.TypeFilter(application=False, system=True)),
+    ("none", views.TypeFilter(application=False)), ("curated", views.TypeFilter(curated=("T3", "BUILDING", "AFRICA", "1-URGENT", "absent"))),
+)
+
+
+def _indexes(spark: SparkSession, sf: str, root: str) -> list[tuple[str, DataFrame | None]]:
+    """The index document of nations as node types, or of regions as relation types, read from its file; and what is read
+    where it is missing, and where it is broken."""
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    jobs.metadata(spark, _fetched_nations(spark, sf), _fetched_regions(spark, sf), path)
+    _table(spark, sf, "nation").agg(F.concat(F.lit('{"types": {"'), F.max("n_name")).alias("value")).write.text(f"{path}/broken")
+    place = {"there": f"{path}/{'node' if root == 'types' else 'relation'}_index", "missing": f"{path}/missing", "broken": f"{path}/broken"}
+    return [(name, catalogue.read_index(spark, at, root).rows) for name, at in place.items()]
 
 
 def type_kind_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations and market segments as node types of a snapshot, of which the latter have no metadata."""
+    segments = _table(spark, sf, "customer").select(F.col("c_mktsegment").alias("type")).distinct()
+    types = _table(spark, sf, "nation").select(F.concat(F.lit("T"), "n_nationkey").alias("type")).unionByName(segments)
     found = None
-    for name, chosen in (
-        ("application", views.TypeFilter()),
-        ("codelist", views.TypeFilter(application=False, codelist=True)),
-        ("system", views.TypeFilter(application=False, system=True)),
-        ("none", views.TypeFilter(application=False)),
-        ("curated", views.TypeFilter(curated=("part", "orders", "absent"))),
-    ):
-        rows = views.type_kind_filter(_kinds(spark), _types(spark), chosen).select(F.lit(name).alias("filter"), "type", "label")
-        found = rows if found is None else found.unionByName(rows)
+    for metadata, index in _indexes(spark, sf, "types"):
+        for name, chosen in _FILTERS:
+            rows = views.type_kind_filter(types, index, chosen).select(F.lit(metadata).alias("metadata"), F.lit(name).alias("filter"), "type", "label")
+            found = rows if found is None else found.unionByName(rows)
     return found
 
 
-_REL_META = (("supplier_part", "Supplies", "application"), ("customer_orders", "", "system"), ("region_nation", "Holds", "application"))
-
-
 def relation_kind_filter(spark: SparkSession, sf: str) -> DataFrame:
-    meta = spark.createDataFrame(list(_REL_META), "technicalName string, name string, type string")
+    """Regions and priorities of orders as relations of a snapshot, of which the latter have no metadata."""
+    priorities = _table(spark, sf, "orders").select(F.col("o_orderpriority").alias("relation")).distinct()
+    names = _table(spark, sf, "region").select(F.col("r_name").alias("relation")).unionByName(priorities)
+    filters = [f for f in _FILTERS if f[0] != "codelist"] + [("both", views.TypeFilter(system=True))]
     found = None
-    for name, chosen in (("application", views.TypeFilter()), ("both", views.TypeFilter(system=True)), ("none", views.TypeFilter(application=False)), ("curated", views.TypeFilter(curated=("nation_customer",)))):
-        rows = views.relation_kind_filter(_relations(spark).select("relation"), meta, chosen).select(F.lit(name).alias("filter"), "relation", "label", "rank")
-        found = rows if found is None else found.unionByName(rows)
+    for metadata, index in _indexes(spark, sf, "relations"):
+        for name, chosen in filters:
+            rows = views.relation_kind_filter(names, index, chosen).select(F.lit(metadata).alias("metadata"), F.lit(name).alias("filter"), "relation", "label", "rank")
+            found = rows if found is None else found.unionByName(rows)
     return found
 
 
@@ -345,7 +345,8 @@ def default_selection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def type_icon_kind(spark: SparkSession, sf: str) -> DataFrame:
-    return views.icon_kind(_types(spark))
+    """Of nations as node types, by their index document."""
+    return views.icon_kind(_indexes(spark, sf, "types")[0][1])
 
 
 # --- metadata, snapshots, tables, texts ------------------------------------------

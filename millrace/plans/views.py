@@ -45,17 +45,25 @@ def type_kind_filter(types: DataFrame, metadata: DataFrame | None, chosen: TypeF
     return joined.select("type", label(F.col("name"), F.col("type")).alias("label"))
 
 
-def relation_kind_filter(relations: DataFrame, metadata: DataFrame, chosen: TypeFilter) -> DataFrame:
-    """(relation, label, rank) by the kind of the relation type, as for types; ``rank`` orders them by name."""
-    m = metadata.select(F.col("technicalName").alias("m"), "name", F.col("type").alias("kind"))
-    joined = relations.join(m, F.col("relation") == F.col("m"), "left")
+def relation_kind_filter(relations: DataFrame, metadata: DataFrame | None, chosen: TypeFilter) -> DataFrame:
+    """(relation, label, rank) by the kind of the relation type; ``rank`` orders them by name.
+
+    Without any metadata a kind that is asked for has no relations, unlike types.  A catalogue has few relation types, so
+    one window orders them.
+    """
+    joined = relations.select("relation")
+    if metadata is None:
+        joined = joined.select("relation", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("kind"))
+    else:
+        m = metadata.select(F.col("technicalName").alias("m"), "name", F.col("type").alias("kind"))
+        joined = joined.join(m, F.col("relation") == F.col("m"), "left")
     kinds = [k for k, on in (("application", chosen.application), ("system", chosen.system)) if on]
     if chosen.curated:
         joined = joined.filter(F.col("relation").isin(*chosen.curated))
     elif kinds:
         joined = joined.filter(F.col("kind").isin(*kinds))
-    shown = joined.select("relation", label(F.col("name"), F.col("relation")).alias("label"))
-    return ranked(shown.withColumn("all", F.lit(0)), ["all"], [F.asc("relation")]).drop("all")
+    order = Window.partitionBy(F.lit(0)).orderBy("relation")
+    return joined.select("relation", label(F.col("name"), F.col("relation")).alias("label"), F.row_number().over(order).alias("rank"))
 
 
 def selected(names: DataFrame, column: str, current: str | None) -> DataFrame:

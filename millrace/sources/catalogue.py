@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import filled
+from millrace.shared import written
 from millrace.sources.elements import read_elements
 
 TABLE = "type string, result struct<headers: array<struct<name: string>>, rows: array<struct<values: array<variant>>>>"
@@ -147,9 +149,44 @@ def _or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -
         return spark.createDataFrame([], schema)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """``read_documents``, without rows where the path isn't there or a document can't be parsed: views do without such metadata."""
-    return _or_empty(spark, lambda: read_documents(spark, path, schema, "DROPMALFORMED"), f"{schema}, stem string")
+@dataclass(frozen=True)
+class Metadata:
+    """What was read of metadata that views do without: ``rows`` is None where nothing is there that can be read,
+    which is not the same as no rows; ``rejected`` (stem) names the documents that couldn't be parsed."""
+
+    rows: DataFrame | None
+    rejected: DataFrame
+
+
+def read_metadata(spark: SparkSession, path: str, schema: str) -> Metadata:
+    """Documents with their ``stem``.  What isn't there, holds no document, or holds broken ones alone isn't there."""
+    full = f"{schema}, broken string"
+
+    def read() -> DataFrame:
+        files = spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken")
+        return files.json(path).withColumn("stem", stem(F.col("_metadata.file_path")))
+
+    found = written(_or_empty(spark, read, f"{full}, stem string"), "metadata")
+    rows = found.filter("broken IS NULL").drop("broken")
+    return Metadata(None if rows.isEmpty() else rows, found.filter("broken IS NOT NULL").select("stem").distinct())
+
+
+#: What views need of an index document's entries, for node types and for relation types.
+_INDEXED = {
+    "types": "struct<name: string, typeKind: string, isApplication: boolean, isSystem: boolean, isCodelist: boolean>",
+    "relations": "struct<name: string, type: string>",
+}
+
+
+def read_index(spark: SparkSession, path: str, root: str) -> Metadata:
+    """The entries of an index document, by technicalName; a document without ``root`` isn't there."""
+    read = read_metadata(spark, path, f"{root} map<string, {_INDEXED[root]}>")
+    held = None if read.rows is None else read.rows.filter(F.col(root).isNotNull())
+    if held is None or held.isEmpty():
+        return Metadata(None, read.rejected)
+    rows = held.select(F.explode(root).alias("technicalName", "e")).select("technicalName", "e.*")
+    names = {v: k for k, v in NODE_NAMES.items()} if root == "types" else {}
+    return Metadata(rows.withColumnsRenamed({c: names[c] for c in rows.columns if c in names}), read.rejected)
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: str, snapshot: str, stem: str | None = None) -> DataFrame:

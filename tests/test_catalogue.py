@@ -166,8 +166,11 @@ def test_snapshots_are_read_by_folder(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(snapshot" in read("2025-11-3", "A")._jdf.queryExecution().toString()
 
 
-def test_missing_metadata_is_empty_and_a_missing_index_fails(spark, tmp_path):
-    assert catalogue.read_or_empty(spark, str(tmp_path / "no"), catalogue.NODE_TYPE).count() == 0
+def test_missing_metadata_is_not_there_and_a_missing_index_fails(spark, tmp_path):
+    read = catalogue.read_metadata(spark, str(tmp_path / "no"), catalogue.NODE_TYPE)
+    assert read.rows is None and read.rejected.count() == 0
+    (tmp_path / "empty").mkdir()
+    assert catalogue.read_metadata(spark, str(tmp_path / "empty"), catalogue.NODE_TYPE).rows is None
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         catalogue.read_documents(spark, str(tmp_path / "no"), catalogue.NODE_TYPE)
 
@@ -220,7 +223,10 @@ def test_of_equal_listed_names_the_last_counts(spark):
 def test_metadata_that_cannot_be_parsed_is_no_metadata(spark, tmp_path):
     put(tmp_path, "A.json", "{not json", raw=True)
     put(tmp_path, "B.json", {"technicalName": "B"})
-    assert [r.stem for r in catalogue.read_or_empty(spark, str(tmp_path), "technicalName string").collect()] == ["B"]
+    read = catalogue.read_metadata(spark, str(tmp_path), "technicalName string")
+    assert [r.stem for r in read.rows.collect()] == ["B"] and [r.stem for r in read.rejected.collect()] == ["A"]
+    alone = catalogue.read_metadata(spark, str(tmp_path / "A.json"), "technicalName string")
+    assert alone.rows is None and [r.stem for r in alone.rejected.collect()] == ["A"]
     assert catalogue.read_snapshot(spark, str(tmp_path / "no"), "x int", "2025-11-3", "A").count() == 0
 
 
@@ -236,3 +242,19 @@ def test_documents_of_several_lines(spark, tmp_path):
     put(tmp_path, "A.json", '﻿ {\n  "result": [\n    {"uuid": "1"},\n    {"uuid": "2"}\n  ]\n}\n', raw=True)
     put(tmp_path, "B.json", "[\n {\"uuid\": \"3\"}\n]", raw=True)
     assert sorted((r.type, r.uuid) for r in catalogue.node_dumps(spark, str(tmp_path)).collect()) == [("A", "1"), ("A", "2"), ("B", "3")]
+
+
+def test_an_absent_index_shows_all_types_and_an_empty_one_none(spark, tmp_path):
+    put(tmp_path / "i", "node_index.json", {"types": {"A": {"name": "Ay", "isApplication": True, "isCodelist": False, "isSystem": False}}})
+    put(tmp_path / "e", "node_index.json", {"types": {}})
+    put(tmp_path / "x", "node_index.json", {"other": 1})
+    put(tmp_path / "b", "node_index.json", '{"types": {"A"', raw=True)
+    types = spark.createDataFrame([("A",), ("B",)], "type string")
+    shown = lambda at, chosen=views.TypeFilter(): sorted(r.type for r in views.type_kind_filter(types, catalogue.read_index(spark, str(tmp_path / at), "types").rows, chosen).collect())  # noqa: E731, B008
+    assert shown("i") == ["A"] and shown("e") == [] and shown("x") == shown("b") == shown("none") == ["A", "B"]
+    assert shown("b", views.TypeFilter(curated=("B",))) == ["B"]
+    names = types.withColumnRenamed("type", "relation")
+    put(tmp_path / "r", "relation_index.json", {"relations": {"B": {"name": "Bee", "type": "system"}}})
+    of = lambda at, chosen: [(r.relation, r.label, r["rank"]) for r in views.relation_kind_filter(names, catalogue.read_index(spark, str(tmp_path / at), "relations").rows, chosen).orderBy("rank").collect()]
+    assert of("r", views.TypeFilter(system=True)) == [("B", "Bee (B)", 1)] and of("none", views.TypeFilter()) == []
+    assert of("none", views.TypeFilter(application=False)) == [("A", "A", 1), ("B", "B", 2)]
