@@ -28,27 +28,51 @@ def node_ids(nodes: DataFrame, uuid: str = "uuid") -> DataFrame:
     return nodes.select(F.col(uuid).cast("string").alias("uuid")).filter("uuid <> ''").distinct()
 
 
-def orient(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
-    """(relation, s, t, ambiguous, further columns): each edge from its source to its target.
+#: Members' roles that are sent to all tasks (some 100 bytes each); of more, the hubs' alone are.
+SENT = 500_000
+#: An end of this share of all edges is a hub; a sketch finds them, 2 / HUB at most.
+HUB = 0.001
+#: Parts that a hub's edges are dealt out in.
+DEALT = 4096
 
-    An edge as given is kept if its ends are a source and a target; else it is
-    turned if that fits; else it is kept as given and ambiguous.
+
+def _roles(members: DataFrame) -> DataFrame:
+    """(r, uuid, is_s, is_t): on which sides a relation knows a node."""
+    side = lambda x: F.bool_or(F.col("side") == x)
+    return written(members.groupBy(F.col("relation").alias("r"), "uuid").agg(side("s").alias("is_s"), side("t").alias("is_t")), "roles")
+
+
+def hubs(edge_rows: DataFrame) -> DataFrame:
+    """(hr, hub): the ends of very many edges, by a sketch of frequent items: none is missed, a few others may be among them."""
+    key = lambda c: F.to_json(F.struct("relation", F.col(c).alias("uuid")))
+    found = edge_rows.select(key("u0").alias("a"), key("u1").alias("b")).freqItems(["a", "b"], HUB).first()
+    keys = edge_rows.sparkSession.createDataFrame([(k,) for k in {*found[0], *found[1]}], "k string")
+    read = F.from_json("k", "relation string, uuid string")
+    return keys.select(read["relation"].alias("hr"), read["uuid"].alias("hub"))
+
+
+def with_role(rows: DataFrame, roles: DataFrame, end: str, few: DataFrame | None) -> DataFrame:
+    """The rows with ``<end>_s`` and ``<end>_t``: whether their end is a source or a target; null for unknown nodes.
+
+    ``few`` has the roles of ``hubs``: their edges meet these in a broadcast and are dealt out at random in the join with
+    all others, so that no task gets more than its share.  None sends all roles.
     """
-    # Written, so that Spark can split the join of a node of very many edges.
-    roles = written(
-        members.groupBy(F.col("relation").alias("r"), "uuid").agg(
-            F.bool_or(F.col("side") == "s").alias("is_s"), F.bool_or(F.col("side") == "t").alias("is_t")
-        ),
-        "roles",
-    )
-    role = lambda n: roles.select(
-        F.col("r").alias(f"r{n}"), F.col("uuid").alias(f"id{n}"), F.col("is_s").alias(f"s{n}"), F.col("is_t").alias(f"t{n}")
-    )
-    known = edge_rows.join(role(0), (F.col("relation") == F.col("r0")) & (F.col("u0") == F.col("id0")), "left").join(
-        role(1), (F.col("relation") == F.col("r1")) & (F.col("u1") == F.col("id1")), "left"
-    )
+    one = roles.select(F.col("r"), F.col("uuid").alias("id"), F.col("is_s").alias(f"{end}_s"), F.col("is_t").alias(f"{end}_t"))
+    if few is None:
+        return rows.join(F.broadcast(one), (F.col("relation") == F.col("r")) & (F.col(end) == F.col("id")), "left").drop("r", "id")
+    known = rows.join(F.broadcast(few), (F.col("relation") == F.col("hr")) & (F.col(end) == F.col("hub")), "left")
+    is_hub = F.col("hub").isNotNull()
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("u0", "u1"), F.lit(DEALT)).cast("string"))
+    keyed = known.withColumn("join_key", F.when(is_hub, spread).otherwise(F.col(end)))
+    joined = keyed.join(one, (F.col("relation") == F.col("r")) & (F.col("join_key") == F.col("id")), "left")
+    taken = {f"{end}_{x}": F.when(is_hub, F.col(f"hub_{x}")).otherwise(F.col(f"{end}_{x}")) for x in "st"}
+    return joined.withColumns(taken).drop("r", "id", "hr", "hub", "hub_s", "hub_t", "join_key")
+
+
+def _oriented(edge_rows: DataFrame, roles: DataFrame, few: DataFrame | None) -> DataFrame:
+    known = with_role(with_role(edge_rows, roles, "u0", few), roles, "u1", few)
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
-    kept, turned = yes("s0") & yes("t1"), yes("s1") & yes("t0")
+    kept, turned = yes("u0_s") & yes("u1_t"), yes("u0_t") & yes("u1_s")
     swap = ~kept & turned
     return known.select(
         "relation",
@@ -59,13 +83,38 @@ def orient(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
+def _few(edge_rows: DataFrame, roles: DataFrame) -> DataFrame | None:
+    """The roles of hubs; None if all roles are few enough to be sent."""
+    if roles.count() <= SENT:
+        return None
+    found = hubs(edge_rows)
+    own = roles.join(F.broadcast(found), (F.col("r") == F.col("hr")) & (F.col("uuid") == F.col("hub"))).select("hr", "hub", F.col("is_s").alias("hub_s"), F.col("is_t").alias("hub_t"))
+    return written(found.join(own, ["hr", "hub"], "left"), "hubs")
+
+
+def orient(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
+    """(relation, s, t, ambiguous, further columns): each edge from its source to its target.
+
+    An edge as given is kept if its ends are a source and a target; else it is
+    turned if that fits; else it is kept as given and ambiguous.
+    """
+    roles = _roles(members)
+    return _oriented(edge_rows, roles, _few(edge_rows, roles))
+
+
 def pair_counts(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
     """(relation, s, t, n, ambiguous): how many edges each oriented pair has, and how many of them are ambiguous.
 
-    Equal edges are counted before they are oriented, so repeats of an edge aren't shuffled on.
+    Where edges are shuffled to be oriented and each is there twice or more by an estimate, equal ones are counted before.
     """
-    given = edge_rows.groupBy("relation", "u0", "u1").agg(F.count("*").alias("n"))
-    return orient(given, members).groupBy("relation", "s", "t").agg(
+    roles = _roles(members)
+    few = _few(edge_rows, roles)
+    given = edge_rows.withColumn("n", F.lit(1).cast("bigint"))
+    if few is not None:
+        about = edge_rows.agg(F.count("*").alias("all"), F.approx_count_distinct(F.xxhash64("relation", "u0", "u1")).alias("kinds")).first()
+        if about["all"] >= 2 * about["kinds"]:
+            given = edge_rows.groupBy("relation", "u0", "u1").agg(F.count("*").alias("n"))
+    return _oriented(given, roles, few).groupBy("relation", "s", "t").agg(
         F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("ambiguous"), F.col("n"))), F.lit(0)).alias("ambiguous")
     )
 
@@ -179,9 +228,9 @@ def relation_stats(edge_rows: DataFrame, members: DataFrame, relations: DataFram
     return pair_stats(written(pair_counts(edge_rows, members), "pairs"), members, relations)
 
 
-def pair_stats(pairs: DataFrame, members: DataFrame, relations: DataFrame) -> DataFrame:
-    """``relation_stats`` from the pair counts."""
-    degree_rows = degrees(pairs)
+def pair_stats(pairs: DataFrame, members: DataFrame, relations: DataFrame, degree_rows: DataFrame | None = None) -> DataFrame:
+    """``relation_stats`` from the pair counts, and their degrees if these are there."""
+    degree_rows = degrees(pairs) if degree_rows is None else degree_rows
     sides = relations.select("relation", F.explode(F.array(F.lit("s"), F.lit("t"))).alias("side")).join(
         member_totals(members), ["relation", "side"], "left"
     )

@@ -38,8 +38,8 @@ def relation_profiles(
     """
     kinds = entries.select(F.col("technicalName").alias("relation"), "source_type", "target_type")
     pairs = written(relations.pair_counts(edge_rows, members), "pairs")
-    degree_rows = relations.degrees(pairs)
-    stats = relations.pair_stats(pairs, members, kinds)
+    degree_rows = written(relations.degrees(pairs), "degrees")
+    stats = relations.pair_stats(pairs, members, kinds, degree_rows)
     more = relations.edge_summary(pairs).select("relation", "parallel_edges", "parallel_max")
 
     d = relations.degree_distribution(degree_rows)

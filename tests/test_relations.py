@@ -1,5 +1,6 @@
 """Relations, islands and profiles on hand-made and random inputs."""
 
+import random
 from collections import Counter
 from pathlib import Path
 
@@ -215,3 +216,47 @@ def test_temporary_tables_go(spark):
         (left,) = (x.name for f in set(folder.iterdir()) - before for x in f.iterdir())
         assert left.startswith("two") and two.count() == 4
     assert set(folder.iterdir()) == before
+
+
+@pytest.fixture
+def many_roles(monkeypatch):
+    """Roles count as too many to be sent, whatever their number."""
+    monkeypatch.setattr(relations, "SENT", 0)
+
+
+def test_hubs_are_found_and_orient_alike(spark, many_roles, monkeypatch):
+    rng = random.Random(5)
+    sources, targets = [f"s{i}" for i in range(60)], [f"t{i}" for i in range(60)] + ["s1", '"q\u0001']
+    rows = [(rng.choice(["s0", *sources]), rng.choice(["t0", *targets, "?"])) for _ in range(1500)] + [("s0", rng.choice(targets)) for _ in range(900)] + [('"q\u0001', "s2")] * 300
+    rows = [(b, a) if rng.random() < 0.3 else (a, b) for a, b in rows]
+    df, known = edges(spark, rows), members(spark, sources, targets)
+    monkeypatch.setattr(relations, "HUB", 0.05)
+    found = {r.hub for r in relations.hubs(df).collect()}
+    assert {"s0", '"q\u0001'} <= found and len(found) <= 40
+    by_hubs = sorted(map(tuple, relations.orient(df, known).collect()))
+    counts = sorted(map(tuple, relations.pair_counts(df, known).collect()))
+    monkeypatch.setattr(relations, "SENT", 10**6)
+    assert by_hubs == sorted(map(tuple, relations.orient(df, known).collect()))
+    assert counts == sorted(map(tuple, relations.pair_counts(df, known).collect()))
+
+
+@pytest.mark.parametrize("end", ["u0", "u1"])
+def test_no_task_gets_a_hub(spark, many_roles, end):
+    """A third of all edges have one end in common."""
+    n = 60_000
+    other = F.concat(F.lit("x"), (F.col("id") % 20_011).cast("string"))
+    hub = F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("h"), (F.col("id") % 9_001).cast("string")))
+    df = spark.range(n).select(F.lit("R").alias("relation"), *((hub.alias("u0"), other.alias("u1")) if end == "u0" else (other.alias("u0"), hub.alias("u1"))))
+    ids = df.select(F.col("relation"), F.lit("s").alias("side"), F.col(end).alias("uuid")).distinct()
+    roles = relations._roles(ids)
+    for k, v in {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
+        spark.conf.set(k, v)
+    try:
+        joined = relations.with_role(df, roles, end, relations._few(df, roles))
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert joined.filter(f"{end}_s").count() == n
+    finally:
+        for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == n and len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
