@@ -309,6 +309,15 @@ SQL = {
     "snapshot_lookup": _profile(_VALUES["customer"], _COUNTS["customer"]) + " SELECT type, type_count, name, count, pct, unique_count, unique_pct FROM q",
     "edge_table_files": f"WITH {_FILES} SELECT * FROM ed",
     "node_dump_files": f"WITH {_FILES} SELECT * FROM nd",
+    "edge_table_large": "SELECT 'customer_orders' AS relation, 'C' || o_custkey AS u0, 'O' || o_orderkey AS u1 FROM orders",
+    "table_rows_large": """SELECT 'customer_orders' AS stem, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS row, 'from|to|note' AS headers,
+      'C' || o_custkey || '| O' || o_orderkey || '|}{"' || o_orderpriority AS row_values FROM orders""",
+    "node_dump_large": "SELECT 'customer' AS type, 'C' || c_custkey AS uuid FROM customer",
+    "metadata_listed_details": """WITH x AS (SELECT n_nationkey AS k, n_name, CASE WHEN n_nationkey % 5 < 3 THEN 'application' ELSE 'system' END AS kind FROM nation)
+      SELECT 'T' || k AS "technicalName", CASE WHEN k % 2 = 0 THEN n_name ELSE 'listed ' || CASE WHEN k % 6 = 0 THEN '1 ' ELSE '0 ' END || n_name END AS name,
+        kind AS type, CASE WHEN k % 3 = 0 THEN 'codelist' ELSE 'other' END AS labels, kind = 'application' AS is_application, kind = 'system' AS is_system,
+        kind = 'application' AND k % 3 = 0 AS is_codelist FROM x WHERE k % 4 <> 3""",
+    "rest_lists": "SELECT r_name, n_name AS listed FROM nation JOIN region ON n_regionkey = r_regionkey",
     "relation_stats_command": f"""WITH {_FILES},
       k(relation_name, source_type, target_type) AS (VALUES ('region_nation', 'region', 'nation'), ('nation_nation', 'nation', 'nation')),
       f AS (SELECT k.*, u0, u1, EXISTS (SELECT 1 FROM nd WHERE type = source_type AND uuid = u0) AND EXISTS (SELECT 1 FROM nd WHERE type = target_type AND uuid = u1) AS kept,

@@ -499,6 +499,8 @@ def _command_files(spark: SparkSession, sf: str) -> str:
     result = F.struct(F.array(*[F.struct(F.lit(h).alias("name")) for h in ("from", "to", "note")]).alias("headers"), F.col("rows").alias("rows"))
     tables = given.groupBy("stem").agg(F.collect_list("row").alias("rows")).select("stem", F.lit("TABLE").alias("type"), result.alias("result"))
     catalogue.write_documents(tables, f"{path}/relations", ["stem"])
+    for folder in ("nodes", "relations"):  # what isn't .json isn't read
+        nation.select(F.concat(F.lit('{"'), "n_name").alias("value")).write.text(f"{path}/{folder}/stem=notes")
     return path
 
 
@@ -511,6 +513,65 @@ def node_dump_files(spark: SparkSession, sf: str) -> DataFrame:
     return dumps.filter("uuid <> ''").distinct()
 
 
+def _large_documents(spark: SparkSession, sf: str) -> str:
+    """All orders as rows of one table, and all customers as objects of one dump: a file each, written in parts."""
+    path = f"{shared_folder(spark)}/large-{uuid.uuid4().hex}"
+    o, c = _table(spark, sf, "orders"), _table(spark, sf, "customer")
+    cells = F.array(_id("customer", "o_custkey"), F.concat(F.lit(" "), _id("orders")), F.concat(F.lit('}{"'), "o_orderpriority"))
+    rows = o.select("o_orderkey", F.to_json(F.struct(cells.alias("values"))).alias("value"))
+    head = _json_text(type="TABLE", result=F.struct(F.array(*[F.struct(F.lit(h).alias("name")) for h in ("from", "to", "note")]).alias("headers")))
+    head = F.concat(F.substr(head, F.lit(1), F.length(head) - 2), F.lit(',"rows":['))
+    catalogue.write_document(catalogue.in_parts(rows, ["o_orderkey"], head, "]}}"), f"{path}/relations/stem=customer_orders")
+    items = c.select("c_custkey", F.to_json(F.struct(_id("customer").alias("uuid"), F.struct(F.col("c_name").alias("rows")).alias("result"))).alias("value"))
+    catalogue.write_document(catalogue.in_parts(items, ["c_custkey"], F.lit('{"took": {"result": [1]}, "result": ['), "]}"), f"{path}/nodes/stem=customer")
+    return path
+
+
+def edge_table_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The edges of one large table, read in byte ranges."""
+    return relations.edges(catalogue.edge_tables(spark, f"{_large_documents(spark, sf)}/relations", "*.txt"))
+
+
+def table_rows_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table's rows with their numbers."""
+    rows = catalogue.tables(spark, f"{_large_documents(spark, sf)}/relations", "*.txt")
+    return rows.select("stem", "row", F.array_join("headers", "|").alias("headers"), F.array_join("values", "|").alias("row_values"))
+
+
+def node_dump_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The objects of one large dump, read in byte ranges."""
+    return catalogue.node_dumps(spark, f"{_large_documents(spark, sf)}/nodes", pattern="*.txt")
+
+
+def metadata_listed_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries of listed nations, some listed twice, with the documents of their details, which some don't have."""
+    path = f"{shared_folder(spark)}/details-{uuid.uuid4().hex}"
+    nation, n = _table(spark, sf, "nation"), F.col("n_nationkey")
+    name = F.concat(F.lit("T"), n.cast("string"))
+    detail = nation.filter(n % 4 != 3).select(
+        name.alias("stem"), name.alias("technicalName"), F.when(n % 2 == 0, F.col("n_name")).otherwise("").alias("name"),
+        F.when(n % 5 < 3, "application").alias("type"), F.array(F.when(n % 3 == 0, "codelist").otherwise("other")).alias("labels"),
+    )
+    catalogue.write_documents(detail, path, ["stem"])
+    details = catalogue.read_documents(spark, path, catalogue.NODE_TYPE).drop("stem")
+    twice = F.explode(F.when(n % 6 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("at")
+    listing = nation.select("*", twice).select(name.alias("technicalName"), F.concat(F.lit("listed "), F.col("at").cast("string"), F.lit(" "), "n_name").alias("name"), F.lit("system").alias("type"), "at")
+    entries = catalogue.node_index(listing, details)
+    return entries.select("technicalName", "name", "type", F.array_join("labels", ",").alias("labels"), "is_application", "is_system", "is_codelist")
+
+
+def rest_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The nations' names out of the answers of a service, one for each region, in four forms."""
+    names = _table(spark, sf, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("names"))
+    region = _table(spark, sf, "region").join(names, F.col("r_regionkey") == F.col("n_regionkey"))
+    under = lambda key: _json_text(total=F.size("names"), **{key: F.col("names")})
+    keys = F.to_json(F.map_from_arrays("names", F.transform("names", lambda x: F.length(x))))
+    form = F.col("r_regionkey") % 5
+    answer = F.when(form == 0, F.to_json("names")).when(form == 1, under("items")).when(form == 2, under("found")).when(form == 3, keys).otherwise(
+        _json_text(found=F.array(F.lit("no")), result=F.col("names")))
+    return region.select("r_name", F.explode(catalogue.listed(answer)).alias("listed"))
+
+
 def relation_stats_command(spark: SparkSession, sf: str) -> DataFrame:
     """Statistics of two relations from their files, written by snapshot and read again."""
     path = _command_files(spark, sf)
@@ -592,7 +653,8 @@ QUERIES = {
         attr_profile_all_types, attr_profile_json_props, attr_tiers, attr_search_limit, attr_metadata_join, attr_summary_text,
         type_kind_filter, relation_kind_filter, default_selection, type_icon_kind, metadata_first_endpoint, metadata_relation_entries,
         metadata_node_entries, metadata_index_document, metadata_attr_map, snapshot_index, snapshot_latest, snapshot_folders,
-        snapshot_lookup, edge_table_files, node_dump_files, relation_stats_command, table_flatten, table_csv_lines, table_csv_files,
+        snapshot_lookup, edge_table_files, node_dump_files, edge_table_large, table_rows_large, node_dump_large, metadata_listed_details,
+        rest_lists, relation_stats_command, table_flatten, table_csv_lines, table_csv_files,
         text_truncate, text_escape, text_url, text_rgba, pct_format,
     )
 }

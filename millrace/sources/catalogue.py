@@ -73,33 +73,33 @@ def _checked(outlines: DataFrame, fits: Column, message: str) -> DataFrame:
     return outlines
 
 
-def tables(spark: SparkSession, path: str) -> DataFrame:
+def tables(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """(stem, row, headers, values): the rows of report tables; row 0 is the first.  Tasks read ranges of large ones."""
-    rows, outlines = read_elements(spark, path, [("result", "rows")], numbered=True)
+    rows, outlines = read_elements(spark, path, [("result", "rows")], pattern, numbered=True)
     read = F.from_json("outline", TABLE, {"mode": "FAILFAST"})
     heads = outlines.select("file", F.transform(read["result"]["headers"], lambda h: h["name"]).alias("headers"))
     values = F.from_json("text", _ROW, {"mode": "FAILFAST"})["values"]
     return rows.join(heads, "file").select(stem(F.col("file")).alias("stem"), "row", "headers", F.transform(values, cell).alias("values"))
 
 
-def edge_tables(spark: SparkSession, path: str) -> DataFrame:
+def edge_tables(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """(relation, u0, u1): the first two values of each row that has two, of tables that have two headers.
 
     What isn't a TABLE, or has fewer headers, fails the job.  The stem is the relation.
     """
-    rows, outlines = read_elements(spark, path, [("result", "rows")])
+    rows, outlines = read_elements(spark, path, [("result", "rows")], pattern)
     read = F.from_json("outline", TABLE, {"mode": "FAILFAST"})
     _checked(outlines, (read["type"] == "TABLE") & (F.size(read["result"]["headers"]) >= 2), "not a table of two columns")
     values = rows.select("file", F.from_json("text", _ROW, {"mode": "FAILFAST"})["values"].alias("v")).filter(F.size("v") >= 2)
     return values.select(stem(F.col("file")).alias("relation"), cell(F.get("v", F.lit(0))).alias("u0"), cell(F.get("v", F.lit(1))).alias("u1"))
 
 
-def node_dumps(spark: SparkSession, path: str, item: str = "uuid string") -> DataFrame:
+def node_dumps(spark: SparkSession, path: str, item: str = "uuid string", pattern: str = "*.json") -> DataFrame:
     """(type, item columns): the objects of node dumps, which are lists or have one under ``result``.
 
     Any other document fails the job.
     """
-    items, outlines = read_elements(spark, path, [(), ("result",)])
+    items, outlines = read_elements(spark, path, [(), ("result",)], pattern)
     under = F.schema_of_variant(F.variant_get(F.try_parse_json("outline"), "$.result", "variant")).startswith("ARRAY")
     _checked(outlines, F.try_parse_json("outline").isNotNull() & (F.col("outline").startswith("[") | under), "no list of objects")
     text, x = F.btrim("text", F.lit(" \t\r\n")), F.from_json("text", f"struct<{_fields(item)}>")
@@ -301,7 +301,7 @@ NODE_NAMES = {"type": "typeKind", "is_application": "isApplication", "is_system"
 
 
 def index_document(entries: DataFrame, attributes: DataFrame, root: str) -> DataFrame:
-    """One row, ``value``: {root: {technical name: entry with its attributes by name}} as JSON.
+    """The parts of {root: {technical name: entry with its attributes by name}}, as ``in_parts`` gives them.
 
     Entries of relations have their ends nested, under source and target.
     """
@@ -319,9 +319,31 @@ def index_document(entries: DataFrame, attributes: DataFrame, root: str) -> Data
     by_name = F.map_from_entries(F.transform("own", lambda a: F.struct(a["k"], a["v"])))
     kind = joined.select(by_name.alias("m")).schema["m"].dataType
     body = F.struct(*[F.col(c).alias(names.get(c, c)) for c in columns], *ends, F.coalesce(by_name, F.create_map().cast(kind)).alias("attributes"))
-    by_key = lambda a, b: F.when(a["technicalName"] < b["technicalName"], -1).otherwise(1)
-    index = F.map_from_entries(F.array_sort(F.collect_list(F.struct("technicalName", body.alias("entry"))), by_key))
-    return joined.agg(F.to_json(F.create_map(F.lit(root), index), {"ignoreNullFields": "false"}).alias("value"))
+    entry = F.to_json(F.create_map(F.col("technicalName"), body), {"ignoreNullFields": "false"})
+    entries_of = joined.select("technicalName", F.substr(entry, F.lit(2), F.length(entry) - 2).alias("value"))
+    return in_parts(entries_of, ["technicalName"], F.lit(f'{{"{root}":{{'), "}}")
+
+
+def in_parts(rows: DataFrame, by: list[str], head: Column, tail: str) -> DataFrame:
+    """(part, place, value): a JSON document as lines that follow each other: its head (part 0), a line for each of the
+    rows' ``value`` in the order of ``by`` (part 1), which leaves no ties, and its tail (part 2).
+
+    No task holds more than a line; ``write_document`` puts them in order.
+    """
+    first = rows.select(F.min(F.struct(*by)).alias("k")).first().k
+    if first is None:
+        comma = F.lit("")
+    else:
+        same = [F.col(c).eqNullSafe(F.lit(first[c])) for c in by]
+        is_first = same[0]
+        for x in same[1:]:
+            is_first = is_first & x
+        comma = F.when(is_first, "").otherwise(",")
+    place = F.struct(*by)
+    kind = rows.select(place.alias("p")).schema["p"].dataType
+    lines = rows.select(F.lit(1).alias("part"), place.alias("place"), F.concat(comma, "value").alias("value"))
+    ends = rows.sparkSession.range(1).select(F.explode(F.array(F.struct(F.lit(0).alias("part"), head.alias("value")), F.struct(F.lit(2).alias("part"), F.lit(tail).alias("value")))).alias("e"))
+    return lines.unionByName(ends.select("e.part", F.lit(None).cast(kind).alias("place"), "e.value"))
 
 
 # --- snapshots ---------------------------------------------------------------
@@ -336,9 +358,9 @@ def snapshot_index(files: DataFrame) -> DataFrame:
 
 
 def snapshot_document(index: DataFrame) -> DataFrame:
-    """One row, ``value``: {"snapshots": [the index's rows by date]} as JSON."""
-    rows = F.array_sort(F.collect_list(F.struct("date", "node_types", "relations")))
-    return index.agg(F.to_json(F.struct(rows.alias("snapshots"))).alias("value"))
+    """The parts of {"snapshots": [the index's rows by date]}, as ``in_parts`` gives them."""
+    rows = index.select("date", F.to_json(F.struct("date", "node_types", "relations")).alias("value"))
+    return in_parts(rows, ["date"], F.lit('{"snapshots":['), "]}")
 
 
 def latest_snapshot(index: DataFrame, mode: str = "lexicographic") -> DataFrame:
@@ -373,9 +395,11 @@ def write_csv(lines: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").partitionBy("stem").option("lineSep", "\r\n").text(path)
 
 
-def write_document(document: DataFrame, path: str) -> None:
-    """A one-row document's text, column ``value``, as one file in the folder ``path``."""
-    document.select("value").coalesce(1).write.mode("overwrite").text(path)
+def write_document(parts: DataFrame, path: str, files: int = 1) -> None:
+    """A document's parts in the folder ``path``: as one file, which one task writes from sorted runs, line by line; or as
+    several that many tasks write, and that make up the document one after the other."""
+    dealt = parts.repartition(1) if files == 1 else parts.repartitionByRange(files, "part", "place")
+    dealt.sortWithinPartitions("part", "place").select("value").write.mode("overwrite").text(path)
 
 
 def write_raw(fetched: DataFrame, path: str) -> None:

@@ -299,10 +299,10 @@ def _cutting(paths: list[tuple[str, ...]]) -> Callable[[Iterator[pa.RecordBatch]
 # --- the reader --------------------------------------------------------------
 
 
-def read_elements(spark: SparkSession, path: str, paths: list[tuple[str, ...]], numbered: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The elements (file, text, with ``numbered`` their number from 0 too) of the array that each JSON file holds at one
+def read_elements(spark: SparkSession, path: str, paths: list[tuple[str, ...]], pattern: str = "*.json", numbered: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The elements (file, text, with ``numbered`` their number from 0 too) of the array that each file of the pattern holds at one
     of ``paths``, keys from the root, and the outlines (file, outline): the document with that array empty."""
-    read = spark.read.option("lineSep", "}").option("pathGlobFilter", "*.json").text(path)
+    read = spark.read.option("lineSep", "}").option("pathGlobFilter", pattern).text(path)
     meta = lambda name: F.col(f"_metadata.{name}")
     pieces = read.select("value", meta("file_path").alias("file"), meta("file_block_start").alias("block"), meta("file_size").alias("size"))
     starts = pieces.mapInArrow(_summed, _SUMMARY).groupBy("file").applyInPandas(_followed, "file string, block long, within boolean, levels string, closed boolean")

@@ -17,6 +17,10 @@ def put(folder, name, value, raw=False):
     (folder / name).write_text(value if raw else json.dumps(value), encoding="utf-8")
 
 
+def document(parts):
+    return json.loads("\n".join(r.value for r in parts.orderBy("part", "place").collect()))
+
+
 def table(headers, rows, kind="TABLE"):
     return {"type": kind, "result": {"headers": [{"name": h} for h in headers], "rows": [{"values": r} for r in rows]}}
 
@@ -94,7 +98,7 @@ def test_metadata(spark, tmp_path):
     assert (entry.name, entry.description, entry.labels, entry.is_codelist, entry.is_system) == ("Ay", "d", ["codelist"], True, False)
     attrs = catalogue.attribute_rows(details)
     assert [(r.type, r.name, r.attribute_name, r.mandatory) for r in attrs.collect()] == [("A", "k", "two", "critical")]
-    doc = json.loads(catalogue.index_document(catalogue.node_index(listing, details.drop("stem")), attrs, "types").first().value)
+    doc = document(catalogue.index_document(catalogue.node_index(listing, details.drop("stem")), attrs, "types"))
     assert list(doc["types"]) == ["A"] and doc["types"]["A"] == {
         "technicalName": "A", "name": "Ay", "description": "d", "typeKind": "application", "labels": ["codelist"], "isApplication": True, "isSystem": False,
         "isCodelist": True, "attributes": {"k": {"name": "two", "description": None, "mandatory": "critical", "opendata": None, "attributeTypeEnum": None, "readOnly": None, "invisible": None}},
@@ -197,7 +201,7 @@ def test_fetched_types(spark):
     got = {r.technicalName: r for r in catalogue.node_entries(types).collect()}
     assert (got["B"].labels, got["B"].is_codelist, got["C"].labels, got["C"].is_system, got["C"].name) == (["codelist"], True, [], True, None)
     attrs = catalogue.attribute_rows(types.select("technicalName", "d.attributes"))
-    doc = json.loads(catalogue.index_document(catalogue.node_entries(types), attrs, "types").first().value)
+    doc = document(catalogue.index_document(catalogue.node_entries(types), attrs, "types"))
     assert list(doc["types"]) == ["B", "C"] and list(doc["types"]["B"]["attributes"]) == ["z", "a"] and doc["types"]["C"]["attributes"] == {}
     assert doc["types"]["B"]["attributes"]["a"] == {"name": "a", "description": None, "mandatory": None, "opendata": True, "attributeTypeEnum": None, "readOnly": True, "invisible": False}
     assert doc["types"]["B"]["attributes"]["z"]["name"] == "zz"
@@ -209,7 +213,7 @@ def test_relation_entries_take_the_details_first(spark):
     types = catalogue.fetched_types(spark.createDataFrame(rows, "name string, listed string, detail string"), catalogue.RELATION_TYPE)
     entries = catalogue.relation_entries(types)
     none = catalogue.attribute_rows(types.select("technicalName", "d.attributes"))
-    doc = json.loads(catalogue.index_document(entries, none, "relations").first().value)["relations"]["R"]
+    doc = document(catalogue.index_document(entries, none, "relations"))["relations"]["R"]
     assert (doc["name"], doc["description"], doc["type"]) == ("listed", "d", "system") and "labels" not in doc
     assert doc["source"] == {"technicalName": "S", "name": "s", "type": "application", "labels": ["l"]} and doc["target"]["labels"] == []
 
@@ -235,7 +239,7 @@ def test_written_documents_are_found_by_snapshot_and_stem(spark, tmp_path):
     catalogue.write_documents(spark.createDataFrame(rows, "snapshot string, kind string, stem string, x int"), str(tmp_path / "s"), ["snapshot", "kind", "stem"])
     index = catalogue.snapshot_index(catalogue.snapshot_files(spark, str(tmp_path / "s")))
     assert {r.date: (r.node_types, r.relations) for r in index.collect()} == {"2025-11-3": (["A b"], []), "2025-11-13": ([], ["R"])}
-    assert json.loads(catalogue.snapshot_document(index).first().value)["snapshots"][0] == {"date": "2025-11-13", "node_types": [], "relations": ["R"]}
+    assert document(catalogue.snapshot_document(index))["snapshots"][0] == {"date": "2025-11-13", "node_types": [], "relations": ["R"]}
 
 
 def test_documents_of_several_lines(spark, tmp_path):
@@ -258,3 +262,20 @@ def test_an_absent_index_shows_all_types_and_an_empty_one_none(spark, tmp_path):
     of = lambda at, chosen: [(r.relation, r.label, r["rank"]) for r in views.relation_kind_filter(names, catalogue.read_index(spark, str(tmp_path / at), "relations").rows, chosen).orderBy("rank").collect()]
     assert of("r", views.TypeFilter(system=True)) == [("B", "Bee (B)", 1)] and of("none", views.TypeFilter()) == []
     assert of("none", views.TypeFilter(application=False)) == [("A", "A", 1), ("B", "B", 2)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_documents_are_written_in_parts(spark, tmp_path, n):
+    """One file or several, one after the other, are the same document; no row gathers the entries."""
+    rows = spark.createDataFrame([(f"k{i:04}", json.dumps({"date": f"k{i:04}", "x": "a\n" * (i % 3)})) for i in range(n)], "date string, value string").repartition(5)
+    parts = catalogue.in_parts(rows, ["date"], F.lit('{"snapshots":['), "]}")
+    assert "collect_list" not in parts._jdf.queryExecution().toString()
+    want = {"snapshots": [json.loads(json.dumps({"date": f"k{i:04}", "x": "a\n" * (i % 3)})) for i in range(n)]}
+    found = {}
+    for files in (1, 4):
+        catalogue.write_document(parts, str(tmp_path / f"d{files}"), files)
+        names = sorted((tmp_path / f"d{files}").glob("part-*.txt"))
+        assert (len(names) == 1) if files == 1 else (len(names) > 2 or n < 500)
+        found[files] = b"".join(x.read_bytes() for x in names)
+        assert json.loads(found[files]) == want
+    assert found[1] == found[4]
