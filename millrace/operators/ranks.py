@@ -10,14 +10,14 @@ from millrace.shared import written
 
 def ranked(rows: DataFrame, by: list[str], order: list[Column], total: str | None = None) -> DataFrame:
     """The rows with ``rank``, from 1 in each group of ``by`` (no nulls there), and, if ``total`` is given, ``before``:
-    the sum of that column over the group's rows of lower rank.
+    the sum of that column over the group's rows of lower rank, exact for whole numbers.
 
     Rows are dealt out in ranges of the order, so that a group of any size spreads over
     tasks; a range's offsets come from the counts of the ranges before it, of which
     there are as many as partitions.  ``order`` must leave no ties.
     """
     dealt = written(rows.repartitionByRange(*map(F.col, by), *order).withColumn("_range", F.spark_partition_id()), "ranges")
-    amount = F.sum(total) if total else F.lit(None).cast("double")
+    amount = F.sum(total) if total else F.lit(None).cast("bigint")
     ranges = dealt.groupBy(*by, "_range").agg(F.count("*").alias("rows"), amount.alias("amount"))
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offset = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))

@@ -110,12 +110,13 @@ zm AS (
 _ISLANDS = f"WITH RECURSIVE {_ORIENTED}, {_OF_ISLANDS}"
 
 _PIE = """,
-pp AS (SELECT relation, side, island, fraction / sum(fraction) OVER (PARTITION BY relation, side) AS part FROM zm WHERE size > 1),
+pp AS (SELECT relation, side, island, size, CAST(sum(size) OVER (PARTITION BY relation, side) AS DOUBLE) AS total FROM zm WHERE size > 1),
 pl AS (
-  SELECT *, row_number() OVER w - 1 AS rn, coalesce(sum(part) OVER (PARTITION BY relation, side ORDER BY part DESC, island
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM pp WINDOW w AS (PARTITION BY relation, side ORDER BY part DESC, island)),
+  SELECT relation, side, island, CAST(size AS DOUBLE) / total AS part, row_number() OVER w - 1 AS rn, CAST(coalesce(sum(size) OVER (PARTITION BY relation, side
+    ORDER BY size DESC, island ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) / total AS start
+  FROM pp WINDOW w AS (PARTITION BY relation, side ORDER BY size DESC, island)),
 pc AS (SELECT *, CAST(rn % 6 AS INTEGER) AS idx, CASE WHEN part > 0.05 THEN 1.0::DOUBLE ELSE (part / 0.05) * (part / 0.05) END AS t FROM pl)
-SELECT relation, side, island, idx, round(part, 9) AS part, round(start, 9) AS start,
+SELECT relation, side, island, idx, part, start,
   CAST(floor(55 + t * ([235, 220, 15, 0, 160, 255][idx + 1] - 55) + 0.5) AS INTEGER) AS r,
   CAST(floor(65 + t * ([10, 120, 170, 150, 60, 0][idx + 1] - 65) + 0.5) AS INTEGER) AS g,
   CAST(floor(81 + t * ([10, 0, 0, 220, 255, 170][idx + 1] - 81) + 0.5) AS INTEGER) AS b FROM pc"""

@@ -223,8 +223,8 @@ def islands_side_multi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def islands_pie_layout(spark: SparkSession, sf: str) -> DataFrame:
-    parts = islands.side_multi(islands.side_islands(_sizes(spark, sf))).select("relation", "side", "island", "fraction")
-    return views.pie_layout(parts).select("relation", "side", "island", "idx", "r", "g", "b", F.round("part", 9).alias("part"), F.round("start", 9).alias("start"))
+    parts = islands.side_multi(islands.side_islands(_sizes(spark, sf)))
+    return views.pie_layout(parts, "size").select("relation", "side", "island", "idx", "r", "g", "b", "part", "start")
 
 
 # --- profiles ----------------------------------------------------------------

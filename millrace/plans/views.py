@@ -186,17 +186,26 @@ def degree_view(distribution: DataFrame) -> DataFrame:
     )
 
 
-def pie_layout(fractions: DataFrame) -> DataFrame:
-    """(relation, side, island, part, start, idx, r, g, b) of (relation, side, island, fraction) rows.
+#: Units of a fraction: sums of them are whole numbers, and so exact in any order.
+UNITS = 2.0**62
 
-    Fractions over 0 fill the circle, the largest first; colours take turns and
-    fade as parts get small.
+
+def pie_layout(rows: DataFrame, weight: str = "fraction") -> DataFrame:
+    """(relation, side, island, part, start, idx, r, g, b) of rows with a size or fraction, the column ``weight``.
+
+    Weights over 0 fill the circle, the largest first; colours take turns and
+    fade as parts get small.  Sums are over whole numbers, fractions counted in
+    ``UNITS``, and are divided once at the end, so each number is the same
+    however the rows are partitioned.
     """
-    some = fractions.filter((F.col("fraction") > 0) & ~F.isnan("fraction"))
-    totals = some.groupBy("relation", "side").agg(F.sum("fraction").alias("total"))
-    parts = some.join(totals, ["relation", "side"]).select("relation", "side", "island", (F.col("fraction") / F.col("total")).alias("part"))
-    placed = ranked(parts, ["relation", "side"], [F.desc("part"), F.asc("island")], total="part").select(
-        "relation", "side", "island", "part", F.col("before").alias("start"), ((F.col("rank") - 1) % len(COLOURS)).alias("idx")
+    w = F.col(weight)
+    whole = w.cast("bigint") if rows.schema[weight].dataType.typeName() in ("byte", "short", "integer", "long") else F.round(w * UNITS).cast("decimal(38,0)")
+    some = rows.filter((w > 0) & ~F.isnan(w.cast("double"))).select("relation", "side", "island", whole.alias("amount"))
+    totals = some.groupBy("relation", "side").agg(F.sum("amount").cast("double").alias("total"))
+    placed = ranked(some, ["relation", "side"], [F.desc("amount"), F.asc("island")], total="amount").join(F.broadcast(totals), ["relation", "side"])
+    share = lambda c: F.col(c).cast("double") / F.col("total")
+    placed = placed.select(
+        "relation", "side", "island", share("amount").alias("part"), share("before").alias("start"), ((F.col("rank") - 1) % len(COLOURS)).alias("idx")
     )
     t = F.when(F.col("part") > 0.05, 1.0).otherwise((F.col("part") / 0.05) * (F.col("part") / 0.05))
     vivid = lambda k: F.element_at(F.array(*[F.lit(c[k]) for c in COLOURS]), F.col("idx") + 1)

@@ -3,6 +3,7 @@
 import csv
 import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,6 +163,27 @@ def test_pie(spark):
     assert [(r.island, round(r.part, 9), round(r.start, 9), r.idx, r.r) for r in got] == [("i", 0.75, 0.0, 0, 235), ("j", 0.25, 0.75, 1, 220)]
 
 
+def test_pie_has_equal_bits_under_any_partitioning(spark):
+    rng = random.Random(2)
+    rows = [("r", "s", f"i{k}", rng.random() ** 9, rng.randrange(1, 10**6)) for k in range(700)] + [("r", "t", "x", float("nan"), 0), ("r", "t", "y", 0.1, 7)]
+    df = spark.createDataFrame(rows, "relation string, side string, island string, fraction double, size long")
+    for weight in ("fraction", "size"):
+        found = []
+        for n in (1, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            found.append(sorted(map(tuple, views.pie_layout(df.repartition(n), weight).collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert found[0] == found[1] and len(found[0]) == 701
+        starts = sorted((r[4], r[3]) for r in found[0] if r[1] == "s")
+        assert starts[0][0] == 0 and abs(sum(starts[-1]) - 1) < 1e-12
+        total = sum(r[4] for r in rows if r[1] == "s")
+        if weight == "size":
+            before = 0
+            for (_, _, _, _, size), (start, part) in zip(sorted((r for r in rows if r[1] == "s"), key=lambda r: (-r[4], r[2])), starts):
+                assert (start, part) == (before / total, size / total)
+                before += size
+
+
 def test_snapshots_are_read_by_folder(spark, tmp_path):
     rows = [("2025-11-3", "A", 1), ("2025-11-13", "A", 2), ("2025-11-13", "B", 3)]
     catalogue.write_documents(spark.createDataFrame(rows, "snapshot string, stem string, count long"), str(tmp_path / "p"), ["snapshot", "stem"])
