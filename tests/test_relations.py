@@ -260,3 +260,22 @@ def test_no_task_gets_a_hub(spark, many_roles, end):
             spark.conf.unset(k)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert sum(sizes) == n and len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "even", "clusters", "pairs"])
+def test_components_of_many_links_are_contracted(spark, monkeypatch, shape):
+    monkeypatch.setattr("millrace.operators.components.SMALL", 20)
+    rng = random.Random(7)
+    n = 300
+    links = {
+        "chain": [(i, i + 1) for i in range(n)], "star": [(0, i + 1) for i in range(n)] + [(400, 401)], "even": [(rng.randrange(n), rng.randrange(n)) for _ in range(n // 2)],
+        "clusters": [(30 * c + rng.randrange(30), 30 * c + rng.randrange(30)) for c in range(10) for _ in range(80)], "pairs": [(2 * i, 2 * i + 1) for i in range(n)],
+    }[shape]
+    links = [(f"{a:05}", f"{b:05}") for a, b in links]
+    top = {x: x for e in links for x in e}
+    for a, b in links:
+        a, b = top[a], top[b]
+        if a != b:
+            top = {k: min(a, b) if v in (a, b) else v for k, v in top.items()}
+    got = [tuple(r) for r in connected_components(spark.createDataFrame(links, "a string, b string")).collect()]
+    assert sorted(got) == sorted((k, v) for k, v in top.items() if any(k in e and e[0] != e[1] for e in links))
