@@ -182,27 +182,49 @@ def cardinality(degree_rows: DataFrame, relations: DataFrame) -> DataFrame:
     return relations.select("relation").distinct().join(most, "relation", "left").select("relation", kind.alias("cardinality"))
 
 
+#: Bits of a value that one round of ``selected_ranks`` decides.
+DIGIT = 12
+
+
+def selected_ranks(counts: DataFrame, wanted: DataFrame, by: list[str], value: str = "value") -> DataFrame:
+    """``wanted`` (by, name, place) with the ``value`` at that place, from 1, of each group's values in order.
+
+    ``counts`` has (by, value, n), n being how often the value, a whole number from 0, is there.  Values are told apart a
+    digit of ``DIGIT`` bits at a time, the highest first: a histogram of the digit, 4,096 rows at most, shows which one
+    holds the place.  So no group's values are ever put in order, however many there are.
+    """
+    top = counts.agg(F.max(value).alias("m")).first().m or 0
+    rounds = max(1, -(-int(top).bit_length() // DIGIT))
+    key = [*by, "name"]
+    found = wanted.select(*key, F.col("place").cast("bigint").alias("place"), F.lit(0).cast("bigint").alias("prefix"))
+    for shift in range(DIGIT * (rounds - 1), -1, -DIGIT):
+        own = counts.join(found, by).filter(F.expr(f"shiftright({value}, {shift + DIGIT})") == F.col("prefix"))
+        digits = own.groupBy(*key, "place", F.expr(f"shiftright({value}, {shift})").alias("digits")).agg(F.sum("n").alias("n"))
+        up_to = F.sum("n").over(Window.partitionBy(*key).orderBy("digits").rowsBetween(Window.unboundedPreceding, 0))
+        held = digits.withColumn("up_to", up_to).filter((F.col("up_to") >= F.col("place")) & (F.col("up_to") - F.col("n") < F.col("place")))
+        found = held.select(*key, (F.col("place") - (F.col("up_to") - F.col("n"))).alias("place"), F.col("digits").alias("prefix"))
+    return found.select(*key, F.col("prefix").alias(value))
+
+
 def degree_distribution(degree_rows: DataFrame) -> DataFrame:
     """Per (relation, side) with edges: min, max, avg, median, p90, p99 of degrees.
 
-    The percentiles are values that occur.  They are read off the counts of
-    equal degrees, which are few, instead of off all nodes.
+    The percentiles are values that occur, selected among the counts of equal degrees.
     """
-    counts = degree_rows.groupBy("relation", "side", "degree").agg(F.count("*").alias("n"))
-    side = Window.partitionBy("relation", "side")
-    up_to = F.sum("n").over(side.orderBy("degree").rowsBetween(Window.unboundedPreceding, 0))
-    counts = counts.withColumn("up_to", up_to).withColumn("all", F.sum("n").over(side))
-    at = lambda p: F.min(F.when(F.col("up_to") >= p * F.col("all"), F.col("degree")))
-    rank = lambda k: F.min(F.when(F.col("up_to") >= k, F.col("degree")))
-    low, high = F.floor((F.col("all") + 1) / 2), F.floor((F.col("all") + 2) / 2)
-    return counts.groupBy("relation", "side").agg(
-        F.min("degree").alias("degree_min"),
-        F.max("degree").alias("degree_max"),
+    by = ["relation", "side"]
+    counts = written(degree_rows.groupBy(*by, "degree").agg(F.count("*").alias("n")), "degree-counts")
+    about = counts.groupBy(*by).agg(
+        F.sum("n").alias("all"), F.min("degree").alias("degree_min"), F.max("degree").alias("degree_max"),
         (F.sum(F.col("degree") * F.col("n")) / F.sum("n")).alias("degree_avg"),
-        ((rank(low) + rank(high)) / 2).alias("degree_median"),
-        at(0.9).alias("degree_p90"),
-        at(0.99).alias("degree_p99"),
+    )
+    places = {"low": F.floor((F.col("all") + 1) / 2), "high": F.floor((F.col("all") + 2) / 2), "p90": F.ceil(0.9 * F.col("all")), "p99": F.ceil(0.99 * F.col("all"))}
+    each = F.array(*[F.struct(F.lit(name).alias("name"), place.cast("bigint").alias("place")) for name, place in places.items()])
+    wanted = about.select(*by, F.explode(each).alias("x")).select(*by, "x.*")
+    at = lambda name: F.max(F.when(F.col("name") == name, F.col("degree")))
+    found = selected_ranks(counts, wanted, by, "degree").groupBy(*by).agg(
+        ((at("low") + at("high")) / 2).alias("degree_median"), at("p90").alias("degree_p90"), at("p99").alias("degree_p99")
     )
+    return about.drop("all").join(found, by)
 
 
 def parallel_pairs(pairs: DataFrame) -> DataFrame:

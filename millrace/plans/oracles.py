@@ -242,6 +242,12 @@ SQL = {
     "islands_pie_layout": _ISLANDS + _PIE,
     "attr_profile_customer": _profile(_VALUES["customer"], _COUNTS["customer"]) + " SELECT * FROM q",
     "attr_profile_all_types": _ALL + " SELECT * FROM q",
+    "attr_profile_texts": _profile(
+        " UNION ALL ".join(f"SELECT '{t}' AS type, '{c}' AS name, CAST({c} AS VARCHAR) AS v FROM {t}" for t, c in (
+            ("documents", "text"), ("documents", "lang"), ("documents", "source"), ("pages", "url"), ("pages", "html"))),
+        " UNION ALL ".join(f"SELECT '{t}' AS type, count(*) AS type_count FROM {t}" for t in ("documents", "pages")),
+    )
+    + " SELECT * FROM q",
     "attr_profile_json_props": _profile(
         """SELECT 'events' AS type, 'k' AS name, json_extract_string(props, '$.k') AS v FROM events
         UNION ALL SELECT 'events', 'kind', CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END FROM events""",

@@ -258,6 +258,13 @@ def attr_profile_all_types(spark: SparkSession, sf: str) -> DataFrame:
     return _profile(spark, sf, list(_PROFILED))[0]
 
 
+def attr_profile_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Attributes of long and of few values: whole documents and pages."""
+    tables = {"documents": _table(spark, sf, "documents"), "pages": _table(spark, sf, "pages")}
+    values = profiles.filled_values(tables["documents"], "documents", ["text", "lang", "source"]).unionByName(profiles.filled_values(tables["pages"], "pages", ["url", "html"]))
+    return profiles.profile(values, profiles.type_counts(tables))
+
+
 def attr_profile_json_props(spark: SparkSession, sf: str) -> DataFrame:
     events = _table(spark, sf, "events")
     props = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("kind"), F.when(F.col("event_id") % 3 == 0, "").otherwise(F.col("event_type"))))
@@ -650,7 +657,7 @@ QUERIES = {
         rel_stats_v1_supplier_part, rel_stats_all, rel_orientation, rel_edge_summary, rel_side_summary, rel_cardinality_all,
         rel_degree_distribution, rel_parallel_pairs, rel_top_nodes, rel_coverage_pie, rel_degree_view, rel_view, rel_profiles, islands_components,
         islands_summary, islands_multi, islands_side, islands_side_multi, islands_pie_layout, attr_profile_customer,
-        attr_profile_all_types, attr_profile_json_props, attr_tiers, attr_search_limit, attr_metadata_join, attr_summary_text,
+        attr_profile_all_types, attr_profile_texts, attr_profile_json_props, attr_tiers, attr_search_limit, attr_metadata_join, attr_summary_text,
         type_kind_filter, relation_kind_filter, default_selection, type_icon_kind, metadata_first_endpoint, metadata_relation_entries,
         metadata_node_entries, metadata_index_document, metadata_attr_map, snapshot_index, snapshot_latest, snapshot_folders,
         snapshot_lookup, edge_table_files, node_dump_files, edge_table_large, table_rows_large, node_dump_large, metadata_listed_details,

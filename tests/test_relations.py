@@ -279,3 +279,28 @@ def test_components_of_many_links_are_contracted(spark, monkeypatch, shape):
             top = {k: min(a, b) if v in (a, b) else v for k, v in top.items()}
     got = [tuple(r) for r in connected_components(spark.createDataFrame(links, "a string, b string")).collect()]
     assert sorted(got) == sorted((k, v) for k, v in top.items() if any(k in e and e[0] != e[1] for e in links))
+
+
+@pytest.mark.parametrize("top", [5, 4095, 4096, 10**6, 1 << 40])
+def test_places_are_selected_digit_by_digit(spark, top):
+    rng = random.Random(top)
+    values = {(g, s): [rng.randrange(top) if rng.random() < 0.7 else rng.randrange(min(top, 9)) for _ in range(rng.randrange(1, 200))] + [top] for g in "ab" for s in "st"}
+    counts = spark.createDataFrame([(*k, v, n) for k, x in values.items() for v, n in Counter(x).items()], "relation string, side string, degree long, n long")
+    places = {k: {f"p{i}": i for i in {1, 2, len(x) // 2 + 1, len(x) - 1 or 1, len(x)}} for k, x in values.items()}
+    wanted = spark.createDataFrame([(*k, name, i) for k, p in places.items() for name, i in p.items()], "relation string, side string, name string, place long")
+    got = {(r.relation, r.side, r.name): r.degree for r in relations.selected_ranks(counts, wanted, ["relation", "side"], "degree").collect()}
+    assert got == {(*k, name): sorted(values[k])[i - 1] for k, p in places.items() for name, i in p.items()}
+
+
+def test_distinct_values_are_counted_by_digests(spark):
+    """Texts of 14 to 17 bytes, long ones that differ at the end, and one that is another one's digest."""
+    import hashlib
+
+    long = "é" * 5000
+    texts = ["a" * n for n in range(1, 40)] * 3 + [long + str(i % 7) for i in range(50)] + ["x" * 15, "x" * 15 + "é", hashlib.md5(long.encode()).hexdigest(), long]
+    values = spark.createDataFrame([("T", "k", t) for t in texts] + [("T", "l", "a")], "type string, name string, v string")
+    found = profiles.profile(values, spark.createDataFrame([("T", 1000)], "type string, type_count long"))
+    got = {r.name: (r["count"], r.unique_count) for r in found.collect()}
+    assert got == {"k": (len(texts), len(set(texts))), "l": (1, 1)}
+    shuffled = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(type" in x and "d#" in x]
+    assert shuffled and not any(" v#" in x for x in shuffled)
