@@ -36,8 +36,7 @@ def relation_stats(spark: SparkSession, root: str, out: str, snapshot: str, want
     sides = kinds.select("relation", ends.alias("x")).select("relation", "x.*")
     members = nodes.join(sides, F.col("type") == F.col("of")).select("relation", "side", "uuid").distinct()
     document = relations.relation_document(relations.relation_stats(edges, members, kinds))
-    written = document.select(F.lit(snapshot).alias("snapshot"), F.col("relation_name").alias("stem"), "*")
-    catalogue.write_documents(written, out, ["snapshot", "stem"])
+    catalogue.write_snapshot(document.select(F.col("relation_name").alias("stem"), "*"), out, snapshot)
 
 
 def metadata(spark: SparkSession, nodes: DataFrame, relation_types: DataFrame, out: str) -> None:

@@ -36,11 +36,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[name]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file, or a folder with all in it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names of what is in a folder, sorted; none where it isn't there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in files.listStatus(where)) if files.exists(where) else []
+
+
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Deletes at its end all that ``written`` wrote inside.
@@ -54,7 +62,7 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _inside.reset(outer)
-        _delete(spark, folder)
+        delete(spark, folder)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -73,4 +81,4 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def forget(table: DataFrame) -> None:
     """Deletes a table that ``written`` returned, once all that is made of it is written itself."""
-    _delete(table.sparkSession, _paths.pop(table))
+    delete(table.sparkSession, _paths.pop(table))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import filled
-from millrace.shared import written
+from millrace.shared import delete, names_in, written
 from millrace.sources.elements import read_elements
 
 TABLE = "type string, result struct<headers: array<struct<name: string>>, rows: array<struct<values: array<variant>>>>"
@@ -190,16 +192,71 @@ def read_index(spark: SparkSession, path: str, root: str) -> Metadata:
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: str, snapshot: str, stem: str | None = None) -> DataFrame:
-    """Documents that ``write_documents`` wrote by snapshot, and by stem if that is given; other folders aren't read.
+    """Documents that ``write_snapshot`` or ``write_documents`` wrote by snapshot, and by stem if that is given; other
+    folders aren't read.  Of a snapshot with a manifest, what its last whole manifest names.
 
     The folders' names stay texts, as dates of days without a 0 aren't all dates to Spark.  A root, snapshot or stem that
     isn't there has no rows.
     """
-    full = f"{schema}, snapshot string" + (", stem string" if stem is not None else "")
+    manifest = _manifest(spark, root, snapshot)
+    by = ["snapshot", *(["stem"] if stem is not None or manifest else []), *(["version"] if manifest else [])]
+    full = ", ".join([schema, *(f"{c} string" for c in by)])
     found = _or_empty(spark, lambda: spark.read.schema(full).json(root), full).filter(F.col("snapshot") == snapshot)
+    if manifest:
+        named = spark.createDataFrame(list(manifest.items()), "stem string, version string")
+        found = found.join(F.broadcast(named), ["stem", "version"], "left_semi").drop("version")  # a row a stem
+        found = found if stem is not None else found.drop("stem")
     return found if stem is None else found.filter(F.col("stem") == stem)
 
 
+def _manifests(root: str, snapshot: str) -> str:
+    return f"{root}/_manifests/{quote(snapshot, safe='')}"
+
+
+def _manifest(spark: SparkSession, root: str, snapshot: str) -> dict[str, str]:
+    """The version of each stem by the snapshot's last whole manifest; empty where there is none."""
+    folder = _manifests(root, snapshot)
+    for number in reversed(names_in(spark, folder)):
+        if "_SUCCESS" in names_in(spark, f"{folder}/{number}"):
+            return {r.stem: r.version for r in spark.read.schema("stem string, version string").json(f"{folder}/{number}").collect()}
+    return {}
+
+
+def write_snapshot(df: DataFrame, root: str, snapshot: str) -> None:
+    """JSON with nulls, a folder for each ``stem`` of the snapshot; other stems stay as they are.
+
+    All or nothing: documents go to folders of a new version, and count once a manifest that names these is whole.  What
+    fails before leaves the snapshot as it was; of two writers at once one fails.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    before, folder = _manifest(spark, root, snapshot), _manifests(root, snapshot)
+    number = max([int(n) for n in names_in(spark, folder)], default=0) + 1
+    named = df.withColumns({"snapshot": F.lit(snapshot), "version": F.lit(version)})
+    named.write.mode("append").option("ignoreNullFields", False).partitionBy("snapshot", "stem", "version").json(root)
+    new = spark.read.schema("snapshot string, stem string, version string").json(root).filter((F.col("snapshot") == snapshot) & (F.col("version") == version))
+    stems = {r.stem for r in new.select("stem").distinct().collect()}
+    rows = sorted((before | dict.fromkeys(stems, version)).items())
+    _name_versions(spark.createDataFrame(rows, "stem string, version string"), f"{folder}/{number:08}")
+
+
+def _name_versions(rows: DataFrame, path: str) -> None:
+    rows.coalesce(1).write.mode("error").json(path)
+
+
+def clean_snapshot(spark: SparkSession, root: str, snapshot: str) -> None:
+    """Deletes what the snapshot's last whole manifest doesn't name: earlier versions, and what failed jobs left.
+
+    Not while others read or write it.
+    """
+    kept = _manifest(spark, root, snapshot)
+    if not kept:
+        return
+    rows = spark.read.schema("snapshot string, stem string, version string").json(root).filter(F.col("snapshot") == snapshot)
+    for r in rows.select(F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder"), "stem", "version").distinct().collect():
+        if r.version is not None and kept.get(r.stem) != r.version:
+            delete(spark, unquote(r.folder))
+
+
 # --- metadata ----------------------------------------------------------------
 
 

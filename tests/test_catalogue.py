@@ -301,3 +301,37 @@ def test_documents_are_written_in_parts(spark, tmp_path, n):
         found[files] = b"".join(x.read_bytes() for x in names)
         assert json.loads(found[files]) == want
     assert found[1] == found[4]
+
+
+def test_a_failed_job_leaves_the_snapshot_as_it_was(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "s")
+    def rows(*r): return spark.createDataFrame(list(r), "stem string, x long")  # noqa: E704
+    def read(*stem): return sorted(r.x for r in catalogue.read_snapshot(spark, root, "x bigint", "2025-11-3", *stem).collect())  # noqa: E704
+    assert read() == []
+    catalogue.write_snapshot(rows(("A", 1), ("A", 2), ("B b/č", 3)), root, "2025-11-3")
+    catalogue.write_snapshot(rows(("A", 7)), root, "2025-11-4")
+    assert read() == [1, 2, 3] and read("A") == [1, 2] and read("B b/č") == [3] and read("C") == []
+    failing = rows(("A", 4), ("B b/č", 5)).repartition(2).withColumn("x", F.when(F.col("stem") == "A", F.raise_error(F.lit("no"))).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="no"):
+        catalogue.write_snapshot(failing, root, "2025-11-3")
+    assert read() == [1, 2, 3]
+    with monkeypatch.context() as m:  # all documents are written, the manifest isn't
+        m.setattr(catalogue, "_name_versions", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            catalogue.write_snapshot(rows(("A", 4)), root, "2025-11-3")
+    assert read() == [1, 2, 3]
+    folder = tmp_path / "s" / "_manifests" / "2025-11-3" / "00000002"  # half a manifest
+    folder.mkdir()
+    (folder / "part-0.json").write_text('{"stem": "A", "version": "?"}')
+    assert read() == [1, 2, 3]
+    catalogue.write_snapshot(rows(("A", 4), ("C", 6)), root, "2025-11-3")
+    assert read() == [3, 4, 6] and read("A") == [4]
+    catalogue.clean_snapshot(spark, root, "2025-11-3")
+    assert read() == [3, 4, 6] and len(list((tmp_path / "s").glob("snapshot=2025-11-3/*/version=*"))) == 3
+    assert sorted(r.x for r in catalogue.read_snapshot(spark, root, "x bigint", "2025-11-4").collect()) == [7]
+    with monkeypatch.context() as m:  # two writers at once
+        m.setattr(catalogue, "names_in", lambda *a: ["00000001"] if a[1].endswith("2025-11-3") else ["_SUCCESS"])
+        with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+            m.setattr(catalogue, "_manifest", lambda *a: {})
+            (tmp_path / "s" / "_manifests" / "2025-11-3" / "00000002").exists() and catalogue.write_snapshot(rows(("A", 9)), root, "2025-11-3")
+    assert read() == [3, 4, 6]

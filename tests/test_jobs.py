@@ -14,7 +14,7 @@ def test_relation_stats(spark, tmp_path):
     put(tmp_path / "nodes", "A.json", {"result": [{"uuid": "1"}, {"uuid": "2"}, {"uuid": None}]})
     put(tmp_path / "nodes", "B.json", [{"uuid": "x"}, {"uuid": ""}])
     jobs.relation_stats(spark, str(tmp_path), str(tmp_path / "out"), "2025-11-3", [("R", "A", "B")])
-    (part,) = (tmp_path / "out" / "snapshot=2025-11-3" / "stem=R").glob("*.json")
+    (part,) = (tmp_path / "out" / "snapshot=2025-11-3" / "stem=R").glob("version=*/*.json")
     doc = json.loads(part.read_text())
     assert doc["edges"] == {"total_edges": 3, "unique_pairs": 2, "duplicate_edges": 1, "pairs_with_duplicates": 1, "ambiguous_pairs": 1}
     assert doc["source"]["total_nodes"] == 2 and doc["target"]["connected_nodes"] == 2 and doc["cardinality"] == "many-to-many"
