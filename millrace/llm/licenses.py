@@ -4,7 +4,9 @@ Every run of three words, or of fewer where a template has no more, is joined by
 license template.  A text that holds a template gathers hits on one diagonal
 (place in the text less place in the template); inserted or missing words move
 it a little, so neighbouring diagonals are merged.  What covers enough of a
-template, in a stretch that isn't much longer than it, is that license.
+template, in a stretch that isn't much longer than it, is that license.  Where
+merged diagonals reach further than that, each stretch in them that begins with
+a hit is looked at.
 """
 
 from __future__ import annotations
@@ -86,6 +88,43 @@ TEMPLATES = (
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "mit",
+        "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to "
+        "the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the "
+        "authors or copyright holders be liable for any claim, damages or other liability, whether in an action of "
+        "contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings "
+        "in the software.",
+    ),
+    (
+        "isc",
+        "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness. In no event shall the author be liable for any special, "
+        "direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, "
+        "whether in an action of contract, negligence or other tortious action, arising out of or in connection with the "
+        "use or performance of this software.",
+    ),
+    (
+        "bsd",
+        "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, "
+        "including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are "
+        "disclaimed. In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, "
+        "special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or "
+        "services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, "
+        "whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the "
+        "use of this software, even if advised of the possibility of such damage.",
+    ),
+    (
+        "gpl-3",
+        "GNU General Public License Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is "
+        "permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    ),
+    (
+        "gpl-2",
+        "GNU General Public License Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc., Everyone is "
+        "permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    ),
+    ("apache-2", "Apache License Version 2.0, January 2004 Terms and Conditions for Use, Reproduction, and Distribution"),
 )
 
 
@@ -157,21 +196,27 @@ def scan(
     )
     side = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(side) > SLACK
-    merged = (
-        diagonals.filter(~F.col("phrase"))
-        .withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
-        .withColumn("run", F.sum("apart").over(side))
-        .groupBy("doc_id", "text_key", "template", "label", "phrase", "grams", "k", "run")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("held"),
-            F.min(F.col("diagonal") + F.array_min("at")).alias("start"),
-            F.max(F.col("diagonal") + F.array_max("at") + F.col("k")).alias("end"),
-        )
-        .withColumn("coverage", F.col("held") / F.col("grams"))
-        .filter(F.col("coverage") >= F.when(F.col("grams") <= SHORT, 1.0).otherwise(COVERAGE))
-        .filter(F.col("end") - F.col("start") <= STRETCH * (F.col("grams") + F.col("k") - 1) + SLACK)
-        .select("doc_id", "text_key", "label", "phrase", "start", "end", "coverage")
+    placed = diagonals.filter(~F.col("phrase")).withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
+    placed = placed.withColumn("run", F.sum("apart").over(side)).withColumn("allowed", F.floor(STRETCH * (F.col("grams") + F.col("k") - 1) + SLACK))
+    run = ["doc_id", "text_key", "template", "label", "phrase", "grams", "k", "allowed", "run"]
+    runs = placed.groupBy(*run).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("held"),
+        F.min(F.col("diagonal") + F.array_min("at")).alias("start"),
+        F.max(F.col("diagonal") + F.array_max("at") + F.col("k")).alias("end"),
+    )
+    enough = F.col("held") >= F.col("grams") * F.when(F.col("grams") <= SHORT, 1.0).otherwise(COVERAGE)
+    fits = F.col("end") - F.col("start") <= F.col("allowed")
+    span = ["doc_id", "text_key", "label", "phrase", "start", "end", (F.col("held") / F.col("grams")).alias("coverage")]
+    # Of runs that are too long, the hits that follow each one within the length that is allowed.
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("doc_id", "text_key", "template", "run")]
+    long = runs.filter(enough & ~fits).alias("l").join(placed.alias("p"), same, "left_outer").select("p.*")
+    hit = long.select(*run, "diagonal", F.explode("at").alias("tp")).select(*run, "tp", (F.col("diagonal") + F.col("tp")).alias("at"))
+    ahead = Window.partitionBy("doc_id", "text_key", "template", "run").orderBy("at").rangeBetween(0, int(STRETCH * max(map(len, texts), default=0)) + SLACK)
+    within = F.filter(F.collect_list(F.struct("at", "tp")).over(ahead), lambda x: x["at"] + F.col("k") <= F.col("start") + F.col("allowed"))
+    stretches = hit.withColumn("start", F.col("at")).withColumn("hits", within).select(
+        *run, "start", F.size(F.array_distinct(F.transform("hits", lambda x: x["tp"]))).alias("held"), (F.array_max(F.transform("hits", lambda x: x["at"])) + F.col("k")).alias("end")
     )
+    merged = runs.filter(enough & fits).select(*span).unionByName(stretches.filter(enough).select(*span))
     # Where templates overlap, the one that is held best counts.  No span is longer than the longest
     # template allows, so spans are compared within stretches of that length alone.
     most = int(STRETCH * max(map(len, texts), default=0)) + SLACK + 1
@@ -253,11 +298,17 @@ m AS (
     SELECT a.*, label, phrase, k, grams, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS gap
     FROM a JOIN k USING (template) WHERE NOT phrase)),
 s AS (
-  SELECT r, template, label, phrase, k, grams, run, len(list_distinct(flatten(list(tps)))) / grams AS coverage,
+  SELECT r, template, label, phrase, k, grams, run, floor({STRETCH} * (grams + k - 1) + {SLACK}) AS allowed, len(list_distinct(flatten(list(tps)))) AS held,
     min(diagonal + least) AS start, max(diagonal + most + k) AS stop FROM m GROUP BY r, template, label, phrase, k, grams, run),
+e AS (SELECT * FROM s WHERE held >= grams * CASE WHEN grams <= {SHORT} THEN 1.0 ELSE {COVERAGE} END),
+h AS (SELECT r, template, run, tp, diagonal + tp AS p FROM (SELECT r, template, run, diagonal, unnest(tps) AS tp FROM m)),
+c AS (
+  SELECT e.r, label, phrase, grams, one.p AS start, max(two.p) + any_value(k) AS stop, count(DISTINCT two.tp) AS held
+  FROM e JOIN h one USING (r, template, run) JOIN h two ON two.r = e.r AND two.template = e.template AND two.run = e.run AND two.p BETWEEN one.p AND one.p + allowed - k
+  WHERE stop - start > allowed GROUP BY e.r, e.template, e.run, label, phrase, grams, one.p),
 f AS (
-  SELECT DISTINCT r, label, phrase, start, stop, coverage FROM s
-  WHERE coverage >= CASE WHEN grams <= {SHORT} THEN 1.0 ELSE {COVERAGE} END AND stop - start <= {STRETCH} * (grams + k - 1) + {SLACK}),
+  SELECT DISTINCT r, label, phrase, start, stop, held / grams AS coverage FROM e WHERE stop - start <= allowed
+  UNION SELECT r, label, phrase, start, stop, held / grams FROM c WHERE held >= grams * CASE WHEN grams <= {SHORT} THEN 1.0 ELSE {COVERAGE} END),
 b AS (
   SELECT r, label, phrase, start, stop, coverage FROM x
   UNION ALL SELECT * FROM f WHERE NOT EXISTS (
