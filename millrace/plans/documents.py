@@ -1,7 +1,8 @@
 """The full document of each relation: metadata, statistics, degrees, top nodes, islands and attributes.
 
 Lists in a document are for reading: they hold the first ``most`` islands and
-parallel pairs.  The operators' tables hold all.
+parallel pairs.  ``relation_lists`` has them whole, as tables of ranked entries,
+in the same order.
 """
 
 from __future__ import annotations
@@ -10,13 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import islands, relations
+from millrace.operators.ranks import ranked
 from millrace.shared import written
 
 
 def _listed(rows: DataFrame, by: list[str], order: list[Column], entry: Column, name: str, most: int) -> DataFrame:
     """(by, name): of each group the first ``most`` entries, in order."""
-    ranked = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("nth") <= most)
-    lists = ranked.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("nth", entry.alias("entry")))).alias(name))
+    first = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("nth") <= most)
+    lists = first.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("nth", entry.alias("entry")))).alias(name))
     return lists.withColumn(name, F.transform(name, lambda x: x["entry"]))
 
 
@@ -27,6 +29,18 @@ def _by_side(rows: DataFrame, columns: list[str], names: dict[str, str]) -> Data
     )
 
 
+def relation_lists(edge_rows: DataFrame, members: DataFrame) -> dict[str, DataFrame]:
+    """The whole lists of all relations, an entry a row, with its ``rank`` from 1 in its list: ``multi_islands`` (by
+    relation), ``side_islands`` (by relation and side) and ``parallel_pairs`` (by relation)."""
+    pairs = written(relations.pair_counts(edge_rows, members), "pairs")
+    found = written(islands.sizes(islands.components(pairs, members), written(relations.degrees(pairs), "degrees")), "islands")
+    return {
+        "multi_islands": ranked(islands.multi_islands(found).drop("total_nodes"), ["relation"], [F.desc("size_total"), F.asc("island")]),
+        "side_islands": ranked(islands.side_multi(islands.side_islands(found)).drop("total_nodes"), ["relation", "side"], [F.desc("size"), F.asc("island")]),
+        "parallel_pairs": relations.parallel_pairs(pairs),
+    }
+
+
 def relation_profiles(
     edge_rows: DataFrame, members: DataFrame, entries: DataFrame, names: DataFrame | None = None,
     attributes: DataFrame | None = None, *, k: int = 10, most: int = 1000,

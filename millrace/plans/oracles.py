@@ -234,6 +234,13 @@ SQL = {
     "islands_components": f"{_ISLANDS} SELECT * FROM i",
     "islands_summary": f"""{_ISLANDS} SELECT relation, CAST(sum(size_total) AS BIGINT) AS total_nodes, count(*) AS total_islands,
       count(*) FILTER (WHERE size_total = 1) AS singleton_islands FROM z GROUP BY relation""",
+    "rel_profile_lists": f"""{_ISLANDS},
+      a AS (SELECT 'multi_islands' AS list, relation, CAST(NULL AS VARCHAR) AS side, island AS entry, size_total AS amount,
+          size_total / sum(size_total) OVER (PARTITION BY relation) AS fraction, top_source_uuid AS top_uuid, top_target_degree AS top_degree FROM z
+        UNION ALL SELECT 'side_islands', relation, side, island, size, fraction, top_uuid, top_degree FROM zm
+        UNION ALL SELECT 'parallel_pairs', relation, NULL, s || '>' || t, n, NULL, NULL, NULL FROM p)
+      SELECT *, CAST(row_number() OVER (PARTITION BY list, relation, side ORDER BY amount DESC,
+        CASE list WHEN 'parallel_pairs' THEN split_part(entry, '>', 1) ELSE entry END, entry) AS INTEGER) AS rank FROM a WHERE amount > 1""",
     "islands_multi": f"""{_ISLANDS} SELECT * FROM (SELECT *, size_total / sum(size_total) OVER (PARTITION BY relation) AS fraction_total FROM z)
       WHERE size_total > 1""",
     "islands_side": f"""{_ISLANDS} SELECT relation, side, CAST(sum(size) AS BIGINT) AS total_nodes, count(*) AS total_islands,

@@ -192,6 +192,23 @@ def rel_profiles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def rel_profile_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """All entries of all lists of the relations' documents, in their order."""
+    lists = documents.relation_lists(_edges(spark, sf), _members(spark, sf))
+    island, none = F.replace("island", F.lit("\x1f"), F.lit(":")), F.lit(None).cast("string")
+    kinds = {
+        "multi_islands": (none, island, F.col("size_total"), F.col("fraction_total"), F.col("top_source_uuid"), F.col("top_target_degree")),
+        "side_islands": (F.col("side"), island, F.col("size"), F.col("fraction"), F.col("top_uuid"), F.col("top_degree")),
+        "parallel_pairs": (none, F.concat("s", F.lit(">"), "t"), F.col("n"), F.lit(None).cast("double"), none, F.lit(None).cast("bigint")),
+    }
+    found = None
+    for kind, columns in kinds.items():
+        names = ("side", "entry", "amount", "fraction", "top_uuid", "top_degree")
+        rows = lists[kind].select(F.lit(kind).alias("list"), "relation", "rank", *[c.alias(n) for c, n in zip(columns, names)])
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 # --- islands, over all edges of all relations ----------------------------------
 
 
@@ -655,7 +672,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         rel_stats_v1_supplier_part, rel_stats_all, rel_orientation, rel_edge_summary, rel_side_summary, rel_cardinality_all,
-        rel_degree_distribution, rel_parallel_pairs, rel_top_nodes, rel_coverage_pie, rel_degree_view, rel_view, rel_profiles, islands_components,
+        rel_degree_distribution, rel_parallel_pairs, rel_top_nodes, rel_coverage_pie, rel_degree_view, rel_view, rel_profiles, rel_profile_lists,
+        islands_components,
         islands_summary, islands_multi, islands_side, islands_side_multi, islands_pie_layout, attr_profile_customer,
         attr_profile_all_types, attr_profile_texts, attr_profile_json_props, attr_tiers, attr_search_limit, attr_metadata_join, attr_summary_text,
         type_kind_filter, relation_kind_filter, default_selection, type_icon_kind, metadata_first_endpoint, metadata_relation_entries,
