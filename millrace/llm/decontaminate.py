@@ -183,7 +183,12 @@ def contamination(
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, all columns kept, that aren't contaminated."""
+    """The documents, all columns kept, that aren't contaminated.
+
+    Rows of null or empty text have no words and stay.  Repeated rows go or stay together, null ids too; rows of one id
+    and different texts are judged each.  Other columns may have any name.  An empty table, of documents or of
+    benchmark items, removes nothing.
+    """
     bad = contamination(documents, benchmark, **options).filter("contaminated").select(
         F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")
     )

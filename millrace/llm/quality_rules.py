@@ -198,7 +198,11 @@ NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repea
 
 
 def keep_good(documents: DataFrame, *, rules=RULES, text_col: str = "text", share: float = SAMPLE_SHARE, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents, all columns kept, that no rule rejects; each is looked at by the cascade alone."""
+    """The documents, all columns kept, that no rule rejects; each is looked at by the cascade alone.
+
+    Null and empty texts have no words and are rejected by the rules on words.  Repeated rows share their fate, once each;
+    null ids, very long texts and other columns, of any name, don't matter.  An empty table gives no rows.
+    """
     cascade = [rules[i] for i in cascade_order(documents, rules, text_col=text_col, share=share, rows=rows)]
     at = documents.columns.index(text_col)
 
