@@ -1,7 +1,9 @@
 """From raw documents to a training mix, in five stages.
 
 Each stage works on all that the one before it kept.  All but the last return
-the columns of ``documents``.
+the columns of ``documents``.  For all stages: null ids and repeated rows are
+documents like others, further columns stay as they are, texts may be of any
+length, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -14,12 +16,16 @@ from millrace.shared import written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a quality rule rejects go."""
+    """Documents that a quality rule rejects go; null and empty texts are among them."""
     return quality_rules.keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows go, and documents of which no line is left."""
+    """Later occurrences of three-line windows go, and documents of which no line is left.
+
+    Null and empty texts lose nothing and stay.  Of rows that agree in id and text one counts as the first.  A column
+    ``n_chars`` gets the new length.
+    """
     found = line_dedup.dedup_lines(docs)
     left = found.filter((F.col("n_removed") == 0) | (F.length(F.trim(F.translate("kept", "\t\n\x0b\x0c\r", "     "))) > 0))
     changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
@@ -27,21 +33,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the least id stays."""
+    """Of each group of similar documents the one with the least id stays, null ids last; texts without words all stay."""
     return jaccard_join.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark passages go."""
+    """Documents that hold benchmark passages go; null and empty texts hold none."""
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each time that a document is taken, the one at a source's cut with its first words alone.
 
-    Documents that aren't taken go.  Further columns: epoch, size, source_size, target, taken.
+    Documents that aren't taken, or have no words, go; a null source is a source.  Further columns: epoch, size,
+    source_size, target, taken, in place of any of these names.
     """
-    return mixing.mixture(docs, length_col="n_chars")
+    return mixing.mixture(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 STAGES = [
