@@ -279,3 +279,20 @@ def test_several_lengths_of_vectors(spark, small_leaves):
     got, want = got_near(nearest.search(df.filter("vec_id % 20 = 0"), df)), nearest_of(rows)
     assert recall(got, want) >= 0.9
     equal([g for g in got if g[0] >= 1000], [w for w in want if w[0] >= 1000])
+
+
+def test_the_queries_over_a_table(spark, tmp_path, monkeypatch):
+    """The registered queries, as they are, on floats, against brute force."""
+    rows = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in odd_rows(16)]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, label int")
+    df.repartition(4).write.parquet(f"{tmp_path}/embeddings.parquet")
+    from millrace.llm import registry
+
+    run = lambda n: next(f for k, f in registry.QUERIES.items() if k.startswith(n))(spark, str(tmp_path))
+    assert got_clusters(run("op11_")) == clustered(rows)
+    whitened = run("op12_")
+    assert whitened.dtypes == [("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"), ("whitened", "double"), ("explained", "double"), ("identity_error", "double")]
+    check_whitened(rows, whitened)
+    near = run("op13_")
+    assert near.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "double")]
+    equal(got_near(near), nearest_of(rows))
