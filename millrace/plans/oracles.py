@@ -326,7 +326,7 @@ SQL = {
     "edge_table_large": "SELECT 'customer_orders' AS relation, 'C' || o_custkey AS u0, 'O' || o_orderkey AS u1 FROM orders",
     "table_rows_large": """SELECT 'customer_orders' AS stem, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS row, 'from|to|note' AS headers,
       'C' || o_custkey || '| O' || o_orderkey || '|}{"' || o_orderpriority AS row_values FROM orders""",
-    "node_dump_large": "SELECT 'customer' AS type, 'C' || c_custkey AS uuid FROM customer",
+    "node_dump_large": "SELECT 'customer' AS type, 'C' || c_custkey AS uuid FROM customer UNION ALL SELECT 'supplier', 'S' || s_suppkey FROM supplier",
     "metadata_listed_details": """WITH x AS (SELECT n_nationkey AS k, n_name, CASE WHEN n_nationkey % 5 < 3 THEN 'application' ELSE 'system' END AS kind FROM nation)
       SELECT 'T' || k AS "technicalName", CASE WHEN k % 2 = 0 THEN n_name ELSE 'listed ' || CASE WHEN k % 6 = 0 THEN '1 ' ELSE '0 ' END || n_name END AS name,
         kind AS type, CASE WHEN k % 3 = 0 THEN 'codelist' ELSE 'other' END AS labels, kind = 'application' AS is_application, kind = 'system' AS is_system,

@@ -538,7 +538,8 @@ def node_dump_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _large_documents(spark: SparkSession, sf: str) -> str:
-    """All orders as rows of one table, and all customers as objects of one dump: a file each, written in parts."""
+    """All orders as rows of one table, all customers as objects of one dump, and all suppliers as a bare list: a file each,
+    written in parts."""
     path = f"{shared_folder(spark)}/large-{uuid.uuid4().hex}"
     o, c = _table(spark, sf, "orders"), _table(spark, sf, "customer")
     cells = F.array(_id("customer", "o_custkey"), F.concat(F.lit(" "), _id("orders")), F.concat(F.lit('}{"'), "o_orderpriority"))
@@ -548,6 +549,8 @@ def _large_documents(spark: SparkSession, sf: str) -> str:
     catalogue.write_document(catalogue.in_parts(rows, ["o_orderkey"], head, "]}}"), f"{path}/relations/stem=customer_orders")
     items = c.select("c_custkey", F.to_json(F.struct(_id("customer").alias("uuid"), F.struct(F.col("c_name").alias("rows")).alias("result"))).alias("value"))
     catalogue.write_document(catalogue.in_parts(items, ["c_custkey"], F.lit('{"took": {"result": [1]}, "result": ['), "]}"), f"{path}/nodes/stem=customer")
+    bare = _table(spark, sf, "supplier").select("s_suppkey", F.to_json(F.struct(F.col("s_name").alias("name"), _id("supplier").alias("uuid"))).alias("value"))
+    catalogue.write_document(catalogue.in_parts(bare, ["s_suppkey"], F.lit("["), "]"), f"{path}/nodes/stem=supplier")
     return path
 
 
@@ -563,7 +566,7 @@ def table_rows_large(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def node_dump_large(spark: SparkSession, sf: str) -> DataFrame:
-    """The objects of one large dump, read in byte ranges."""
+    """The objects of two large dumps, read in byte ranges."""
     return catalogue.node_dumps(spark, f"{_large_documents(spark, sf)}/nodes", pattern="*.txt")
 
 
