@@ -7,7 +7,7 @@ at once, so that one shuffle serves them all, whatever their sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
@@ -103,11 +103,15 @@ def orient(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def pair_counts(edge_rows: DataFrame, members: DataFrame) -> DataFrame:
-    """(relation, s, t, n, ambiguous): how many edges each oriented pair has, and how many of them are ambiguous.
+    """(relation, s, t, n, ambiguous): how many edges each oriented pair has, and how many of them are ambiguous."""
+    return _pair_counts(edge_rows, _roles(members))
+
+
+def _pair_counts(edge_rows: DataFrame, roles: DataFrame) -> DataFrame:
+    """``pair_counts`` from the roles.
 
     Where edges are shuffled to be oriented and each is there twice or more by an estimate, equal ones are counted before.
     """
-    roles = _roles(members)
     few = _few(edge_rows, roles)
     given = edge_rows.withColumn("n", F.lit(1).cast("bigint"))
     if few is not None:
@@ -150,6 +154,13 @@ def member_totals(members: DataFrame) -> DataFrame:
     return members.distinct().groupBy("relation", "side").agg(F.count("*").alias("total_nodes"))
 
 
+def role_totals(roles: DataFrame) -> DataFrame:
+    """``member_totals`` from the roles, for sides that have members."""
+    own = roles.groupBy(F.col("r").alias("relation")).agg(F.count_if("is_s").alias("s"), F.count_if("is_t").alias("t"))
+    each = F.array(*[F.struct(F.lit(x).alias("side"), F.col(x).alias("total_nodes")) for x in "st"])
+    return own.select("relation", F.explode(each).alias("x")).select("relation", "x.*").filter("total_nodes > 0")
+
+
 def side_summary(degree_rows: DataFrame, sides: DataFrame) -> DataFrame:
     """Per (relation, side) of ``sides`` (with total_nodes): connected_nodes, degree_min, degree_max, degree_avg.
 
@@ -172,14 +183,18 @@ def cardinality(degree_rows: DataFrame, relations: DataFrame) -> DataFrame:
         F.max(F.when(F.col("side") == "s", F.col("degree"))).alias("s"),
         F.max(F.when(F.col("side") == "t", F.col("degree"))).alias("t"),
     )
-    kind = (
-        F.when(F.col("s").isNull(), "empty")
-        .when((F.col("s") <= 1) & (F.col("t") <= 1), "one-to-one")
-        .when(F.col("t") <= 1, "one-to-many")
-        .when(F.col("s") <= 1, "many-to-one")
+    return relations.select("relation").distinct().join(most, "relation", "left").select("relation", _kind(F.col("s"), F.col("t")).alias("cardinality"))
+
+
+def _kind(s: Column, t: Column) -> Column:
+    """Cardinality by the largest degree of either side; null or 0 without edges."""
+    return (
+        F.when(F.coalesce(s, F.lit(0)) == 0, "empty")
+        .when((s <= 1) & (t <= 1), "one-to-one")
+        .when(t <= 1, "one-to-many")
+        .when(s <= 1, "many-to-one")
         .otherwise("many-to-many")
     )
-    return relations.select("relation").distinct().join(most, "relation", "left").select("relation", kind.alias("cardinality"))
 
 
 #: Bits of a value that one round of ``selected_ranks`` decides.
@@ -247,15 +262,20 @@ def top_nodes(degree_rows: DataFrame, names: DataFrame | None = None, k: int = 1
 
 def relation_stats(edge_rows: DataFrame, members: DataFrame, relations: DataFrame) -> DataFrame:
     """The flat document of each of ``relations`` (relation, source_type, target_type): edges, both sides, cardinality."""
-    return pair_stats(written(pair_counts(edge_rows, members), "pairs"), members, relations)
+    pairs, totals = pairs_and_totals(edge_rows, members)
+    return pair_stats(pairs, totals, relations)
+
+
+def pairs_and_totals(edge_rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The written ``pair_counts``, and ``member_totals``, from the roles that both need."""
+    roles = _roles(members)
+    return written(_pair_counts(edge_rows, roles), "pairs"), role_totals(roles)
 
 
-def pair_stats(pairs: DataFrame, members: DataFrame, relations: DataFrame, degree_rows: DataFrame | None = None) -> DataFrame:
-    """``relation_stats`` from the pair counts, and their degrees if these are there."""
+def pair_stats(pairs: DataFrame, totals: DataFrame, relations: DataFrame, degree_rows: DataFrame | None = None) -> DataFrame:
+    """``relation_stats`` from the pair counts and ``member_totals``, and their degrees if these are there."""
     degree_rows = degrees(pairs) if degree_rows is None else degree_rows
-    sides = relations.select("relation", F.explode(F.array(F.lit("s"), F.lit("t"))).alias("side")).join(
-        member_totals(members), ["relation", "side"], "left"
-    )
+    sides = relations.select("relation", F.explode(F.array(F.lit("s"), F.lit("t"))).alias("side")).join(totals, ["relation", "side"], "left")
     summary = side_summary(degree_rows, sides)
     wide = summary.groupBy("relation").agg(
         *[
@@ -269,7 +289,7 @@ def pair_stats(pairs: DataFrame, members: DataFrame, relations: DataFrame, degre
         relations.join(edge_summary(pairs).select("relation", *counts), "relation", "left")
         .na.fill(0, counts)
         .join(wide, "relation")
-        .join(cardinality(degree_rows, relations), "relation")
+        .withColumn("cardinality", _kind(F.col("source_degree_max"), F.col("target_degree_max")))
     )
 
 

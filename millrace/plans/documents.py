@@ -51,9 +51,9 @@ def relation_profiles(
     Degrees are null without edges; lists are empty where there is nothing to list.
     """
     kinds = entries.select(F.col("technicalName").alias("relation"), "source_type", "target_type")
-    pairs = written(relations.pair_counts(edge_rows, members), "pairs")
+    pairs, totals = relations.pairs_and_totals(edge_rows, members)
     degree_rows = written(relations.degrees(pairs), "degrees")
-    stats = relations.pair_stats(pairs, members, kinds, degree_rows)
+    stats = relations.pair_stats(pairs, totals, kinds, degree_rows)
     more = relations.edge_summary(pairs).select("relation", "parallel_edges", "parallel_max")
 
     d = relations.degree_distribution(degree_rows)
