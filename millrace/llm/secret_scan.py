@@ -1,8 +1,8 @@
 """Secret scans with a random forest against false positives.
 
-A pattern finds candidates: all long runs of key characters with a digit, and
-whatever is assigned to a secret's name.  A forest
-of Spark's ML library, trained on labelled findings, tells secrets from
+Patterns find candidates: all long runs of key characters, whatever is assigned
+to a secret's name, passwords within URLs, and the lines of private keys.  A
+forest of Spark's ML library, trained on labelled findings, tells secrets from
 numbers, paths, identifiers, checksums and placeholders by the candidate's
 length, character transitions, dictionary coverage, path and neighbours.
 """
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import SPACE_SEPARATOR, text_key, written
 
-#: A candidate: a whole run of 16 characters of keys or more, one of them a digit at least.
-CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
+#: A candidate: a whole run of key characters, 16 or more with a digit among them, or 20 or more with
+#: letters of both halves of the alphabet, which leaves out rules and one letter over and over.
+CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?:(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+|(?=[n-zN-Z_+/-]*+[a-mA-M])(?=[a-mA-M_+/-]*+[n-zN-Z])[A-Za-z0-9_+/-]{20,}+)={0,2}"
 #: Labelled findings that the built-in training set has, and by default at most learns from.
 TRAINING_ROWS = 6_000
 
@@ -38,6 +39,8 @@ DICTIONARY = (
     "word work write your"
 ).split()
 
+SYLLABLES = "an and ar ba by con cor den dis ent er for gra ing ist ka ker lan less lo ma men mi nor ob out per pre qui ra ri sal sen sto tal ter tion tri un ven ver vo way wi".split()
+
 _NAME = "(?:token|secret|key|passwd|password|pwd|auth|authorization|bearer|credentials?|private|access)"
 _QUOTE = r"""[\\"'`]{0,2}"""
 _SIGN = rf"{_QUOTE}(?:[=:]|:=|==|=>|::){_QUOTE}"
@@ -48,13 +51,23 @@ NAMED = rf"(?i){_NAME}{_QUOTE}\s*[=:]"
 NAMED_BEFORE = rf"(?i)(?:{_NAME}{_QUOTE} ?{_SIGN[len(_QUOTE):]}|authorization{_QUOTE} ?[=:]+ ?{_QUOTE}{_SCHEME})$"
 #: A run of CANDIDATE, or a value of any length behind a name and a sign, up to a run of CANDIDATE.
 VALUE = rf"""(?<=(?i:{_NAME}){_SIGN})(?!(?i:{_SCHEME})(?:\W|$))(?:(?!{CANDIDATE})[^\x20\x09-\x0D\\"'`,;&<>(){{}}\[\]|])+"""
-FOUND = f"{CANDIDATE}|{VALUE}"
+#: A text or word that may hold a password in a URL, and that password, up to a run of CANDIDATE; users of up to 256 characters.
+URL = r"://[^\x20\x09-\x0D/:@]*+:[^\x20\x09-\x0D/@]++@"
+PASSWORD = rf"(?<=:)(?<=://[^\x20\x09-\x0D/:@]{{0,256}}:)(?=[^\x20\x09-\x0D/@]++@)(?:(?!{CANDIDATE})[^\x20\x09-\x0D/@])+"
+FOUND = f"{CANDIDATE}|{PASSWORD}|{VALUE}"
+#: A private key's first line; and that with up to 16 lines of headers, where nothing but key lines follows up to the last one,
+#: or a key line behind such a match, each with the blanks before the next key line.
+KEY_BLOCK = r"-----BEGIN [A-Z0-9 ]{0,64}PRIVATE KEY(?: BLOCK)?-----"
+KEY_LINES = (
+    rf"({KEY_BLOCK}(?:[ \t\r]*\n[A-Za-z-]+: [^\n]*+){{0,16}}(?=[A-Za-z0-9+/=\s]*+-----END )|\G(?!\A)[A-Za-z0-9+/=]++)"
+    r"(\s++)(?=[A-Za-z0-9+/]++={0,2}\s)"
+)
 #: Stands before a word whose name and sign are in the words before it.
 _MARK = "key="
 
 FEATURES = [
     "length", "digits", "capitals", "letters", "distinct", "transitions", "hex", "dictionary", "slashes", "url",
-    "extension", "named", "named_near", "other_near", "assigned", "quoted", "one_char",
+    "extension", "named", "named_near", "other_near", "assigned", "quoted", "one_char", "separators", "consonants", "userinfo", "block",
 ]
 
 
@@ -63,32 +76,38 @@ def _any_of(names: list[str]) -> str:
 
 
 def candidates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, text_key, place, nth, candidate, word, prefix, before, near, after) and ``keep``: what the patterns find.
+    """(doc_id, text_key, place, nth, candidate, word, prefix, before, near, after, key_line) and ``keep``: what the patterns find.
 
     ``place`` is the word's place and ``nth`` the candidate's within the word, both from 0; ``prefix``
     is what stands between the candidate before, or the word's start, and this one, and ``word`` that,
     the candidate and what follows up to the next.  ``before`` is the word before the first candidate
     of a word, ``near`` the three before, or the candidate before and its prefix, and ``after`` the
-    two words after the last.
+    two words after the last.  ``key_line`` says that the word is a line of a private key, from its BEGIN
+    line to its END line; such words are candidates of any length.
     """
-    words = F.array_remove(F.split(F.col("text"), SPACE_SEPARATOR), "")
+    split = lambda text: F.array_remove(F.split(text, SPACE_SEPARATOR), "")
+    # Each line of a key gets a sign in front, so the words that differ from the text's own are its lines.
+    signed = F.when(F.col("text").rlike(KEY_BLOCK), split(F.regexp_replace("text", KEY_LINES, "$1$2#")))
     found = documents.select(
         F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"), *keep
-    ).filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED))
-    found = found.select("doc_id", "text_key", *keep, words.alias("w"))
+    ).filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED) | F.col("text").rlike(URL) | F.col("text").rlike(KEY_BLOCK))
+    found = found.select("doc_id", "text_key", *keep, split(F.col("text")).alias("w"), signed.alias("signed"))
     word = lambda i, k: F.coalesce(F.when(i + k >= 0, F.get(F.col("w"), i + F.lit(k))), F.lit(""))
     assigned = lambda i: word(i, -1).rlike(rf"(?i)(?:[=:>][\\\"'`]{{0,2}}|{_SCHEME})$") & F.concat_ws(" ", word(i, -2), word(i, -1)).rlike(NAMED_BEFORE)
+    block = lambda i: F.coalesce(F.get("signed", i) != word(i, 0), F.lit(False))
+    in_url = lambda i: word(i, 0).contains("://") & word(i, 0).rlike(URL)
     places = F.filter(
         F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0))),
-        lambda i: ((F.length(word(i, 0)) >= 16) & word(i, 0).rlike(CANDIDATE)) | word(i, 0).rlike(NAMED) | assigned(i),
+        lambda i: ((F.length(word(i, 0)) >= 16) & word(i, 0).rlike(CANDIDATE)) | word(i, 0).rlike(NAMED) | in_url(i) | block(i) | assigned(i),
     )
     found = found.withColumn("places", places)
     each = F.transform(
         "places",
         lambda i: F.struct(
             i.alias("place"),
-            F.concat(F.when(assigned(i), _MARK).otherwise(""), word(i, 0)).alias("marked"),
-            assigned(i).alias("assigned"),
+            F.concat(F.when(assigned(i) | block(i), _MARK).otherwise(""), word(i, 0)).alias("marked"),
+            (assigned(i) | block(i)).alias("assigned"),
+            block(i).alias("key_line"),
             word(i, -1).alias("before"),
             F.concat_ws(" ", word(i, -3), word(i, -2), word(i, -1)).alias("near"),
             F.concat_ws(" ", word(i, 1), word(i, 2)).alias("after"),
@@ -112,6 +131,7 @@ def candidates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
             F.when(j == 0, F.col("x.near")).otherwise(F.concat(bare(gap(j - 1), j - 1), F.get(F.col("runs"), j - 1))).alias("near"),
             F.when(j == F.size("runs") - 1, F.col("x.after")).otherwise("").alias("after"),
             run.alias("candidate"),
+            F.col("x.key_line").alias("key_line"),
         ),
     )
     found = found.select("doc_id", "text_key", *keep, "x.place", F.explode_outer(inner).alias("y")).filter(F.col("y").isNotNull())
@@ -145,64 +165,132 @@ def features(found: DataFrame) -> DataFrame:
         "assigned": yes(prefix.rlike("[=:]") | F.col("before").rlike("[=:]$")),
         "quoted": yes(prefix.rlike("[\"'`]$")),
         "one_char": F.length(F.regexp_extract(c, r"(.)\1{3,}", 0)) / n,
+        "separators": share("[_+/-]"),
+        "consonants": share("(?i)[b-df-hj-np-tv-xz]{4,}"),
+        "userinfo": yes(F.concat("near", prefix).rlike(r"://([^\x20/:@]*:)?$") & (F.substr("word", F.length("prefix") + n + 1, F.lit(1)) == "@")),
+        "block": yes(F.col("key_line")),
     }
     return found.select("*", *[F.coalesce(v, F.lit(0.0)).cast("double").alias(k) for k, v in columns.items()])
 
 
 def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFrame:
-    """(doc_id, text, secret): made-up findings, the same for each call; secrets are named and random,
-    the others are numbers, checksums, identifiers, paths and placeholders."""
+    """(doc_id, text, secret): made-up findings, the same for each call; secrets are random and stand behind a name, in a
+    URL or in a private key, the others are numbers, checksums, identifiers, paths, certificates and placeholders."""
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     seed = F.col("id").cast("string")
+    drawn = lambda of, salt: F.pmod(F.xxhash64(seed, F.lit(salt)), F.lit(of))
+
+    def one_of(values: list, salt: str) -> Column:
+        every = F.split(F.lit("\n".join(values)), "\n") if isinstance(values[0], str) else F.array(*values)
+        return F.element_at(every, (drawn(len(values), salt) + 1).cast("int"))
+
+    def names(salt: str, least: int, join: str, form=lambda w: w) -> Column:
+        """``least`` or one more words, half of them of the dictionary and half made up of syllables."""
+        pick = lambda of, k, more: F.element_at(F.split(F.lit(" ".join(of)), " "), (F.pmod(F.xxhash64(seed, F.lit(salt + more), k), F.lit(len(of))) + 1).cast("int"))
+        made = lambda k: F.when(F.pmod(F.xxhash64(seed, F.lit(salt), k), F.lit(2)) == 0, pick(DICTIONARY, k, "w")).otherwise(F.concat(pick(SYLLABLES, k, "x"), pick(SYLLABLES, k, "y")))
+        return F.array_join(F.transform(F.sequence(F.lit(1), drawn(2, salt) + least), lambda k: form(made(k))), join)
+
     hexes = F.sha2(seed, 256)
-    base = F.regexp_replace(F.base64(F.unhex(hexes)), "[=]", "")
-    digits = F.lpad(F.abs(F.xxhash64(seed)).cast("string"), 19, "7")
-    number = F.pmod(F.xxhash64(seed, F.lit("n")), F.lit(900)).cast("string")
-    name = F.element_at(F.array(*map(F.lit, ["token", "secret", "api_key", "password", "access_token", "auth", "SECRET_KEY", "TOKEN"])), (F.pmod(F.xxhash64(seed, F.lit("k")), F.lit(8)) + 1).cast("int"))
-    sign = F.element_at(F.array(*map(F.lit, [' = "', "=", ": ", ' = "', ': "', " = '"])), (F.pmod(F.xxhash64(seed, F.lit("s")), F.lit(6)) + 1).cast("int"))
-    key = F.element_at(
-        F.array(F.substring(hexes, 1, 40), F.substring(hexes, 1, 32), hexes, F.substring(base, 1, 40), F.substring(base, 1, 24), F.concat(F.lit("AKIA"), F.upper(F.substring(hexes, 1, 16))), F.concat(F.lit("sk_live_"), F.substring(base, 1, 24)), F.upper(F.substring(hexes, 1, 40))),
-        (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(8)) + 1).cast("int"),
-    )
+    base = F.regexp_replace(F.base64(F.unhex(F.sha2(seed, 512))), r"[=\s]", "")
     letters = F.translate(hexes, "0123456789", "ghijkmnpqr")
-    short = F.element_at(F.array(F.substring(letters, 1, 8), F.substring(letters, 1, 12), F.substring(letters, 1, 20), F.substring(base, 1, 8), F.substring(base, 1, 12), F.concat(F.substring(base, 1, 5), F.lit("!"), F.substring(letters, 1, 3))), (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(6)) + 1).cast("int"))
-    filler = F.element_at(F.array(*map(F.lit, "required string null none true false optional the a changeme example value your_password text hidden int".split())), (F.pmod(F.xxhash64(seed, F.lit("f")), F.lit(16)) + 1).cast("int"))
+    mixed = F.translate(base, "0123456789+/", "qWzXvKjYpHbN")
     # Written, as all of them in each text's place are too long to be compiled.
-    pieces = {"hexes": hexes, "digits": digits, "number": number, "name": name, "sign": sign, "key": key, "short": short, "filler": filler}
+    pieces = {
+        "hexes": hexes,
+        "base": base,
+        "digits": F.lpad(F.abs(F.xxhash64(seed)).cast("string"), 19, "7"),
+        "number": drawn(900, "n").cast("string"),
+        "name": one_of(["token", "secret", "api_key", "password", "access_token", "auth", "SECRET_KEY", "TOKEN", "client_secret", "apikey", "DB_PASSWORD", "private_key"], "k"),
+        "sign": one_of([' = "', "=", ": ", ' = "', ': "', " = '"], "s"),
+        "key": one_of([
+            F.substring(hexes, 1, 40), F.substring(hexes, 1, 32), hexes, F.substr(base, F.lit(1), (drawn(50, "kl") + 20).cast("int")), F.substring(base, 1, 24),
+            F.concat(F.lit("AKIA"), F.upper(F.substring(hexes, 1, 16))), F.concat(F.lit("sk_live_"), F.substring(base, 1, 24)),
+            F.upper(F.substring(hexes, 1, 40)), F.substring(mixed, 1, 32), F.substring(mixed, 1, 24),
+        ], "f"),
+        "mixed": one_of([F.substring(mixed, 1, 24), F.substring(mixed, 1, 32), F.substring(mixed, 1, 48)], "m"),
+        "short": one_of([
+            F.substring(letters, 1, 8), F.substring(letters, 1, 12), F.substring(letters, 1, 20), F.substring(base, 1, 8),
+            F.substring(base, 1, 12), F.concat(F.substring(base, 1, 5), F.lit("!"), F.substring(letters, 1, 3)),
+            F.concat(one_of(DICTIONARY, "pw"), drawn(900, "pn").cast("string"), F.substring(letters, 1, 3)),
+        ], "f"),
+        "filler": one_of("required string null none true false optional the a changeme example value your_password text hidden int".split(), "f"),
+        "user": one_of(["root", "admin", "user", "app", "bob", "deploy", "svc-build", ""], "u"),
+        "scheme": one_of(["https", "postgres", "mysql", "redis", "mongodb", "amqp", "ftp"], "c"),
+        "host": F.concat(one_of(["db", "cache", "build", "mirror", "data", "files", "queue", "shop"], "h"), one_of([".example.com", ".internal:5432", ".net", ":6379", ""], "t")),
+        "kind": one_of(["RSA ", "EC ", "OPENSSH ", ""], "p"),
+        "lead": names("l", 2, " "),
+        "tail": names("r", 2, " "),
+        "camel": F.concat(names("cc", 1, ""), names("cm", 3, "", F.initcap)),
+        "dashed": names("d", 4, "-"),
+        "snake": names("sn", 4, "_"),
+        "path": names("pa", 4, "/"),
+    }
     made_of = written(spark.range(rows).select(F.col("id").alias("doc_id"), *[v.alias(k) for k, v in pieces.items()]), "pieces")
-    hexes, digits, number, name, sign, key, short, filler = map(F.col, pieces)
+    c = {k: F.col(k) for k in pieces}
+    hexes, base, digits, number, name, sign, key = (c[k] for k in ("hexes", "base", "digits", "number", "name", "sign", "key"))
+    mixed, short, filler, user, scheme, host, kind = (c[k] for k in ("mixed", "short", "filler", "user", "scheme", "host", "kind"))
+    lead, tail, camel, dashed, snake, path = (c[k] for k in ("lead", "tail", "camel", "dashed", "snake", "path"))
+    part = lambda first, n: F.substring(hexes, first, n)
+    uuid = F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12))
+    pem = lambda head, end: text(lead, "\n-----BEGIN ", kind, head, "-----\n", F.substring(base, 1, 64), "\n", F.reverse(F.substring(base, 1, 64)), "\n", F.lower(F.substring(base, 1, 40)), F.substring(mixed, 1, 24), "\n", F.substring(mixed, 1, 40), F.substring(base, 1, 24), "\n", F.substring(mixed, 1, 14), end, "\n-----END ", kind, head, "-----\n", tail)
     secrets = [
-        text("and the ", name, sign, key, '" was of that'),
-        text("Authorization: Bearer ", key, " in the"),
-        text("THE!! ", name, sign, key, '"!! OF!!'),
-        text("| ", name, sign, key, '"### to%%% be'),
-        text("and the ", name, sign, short, '" was of that'),
-        text('{"', name, '":"', key, '","a":"b"}'),
+        text(lead, " ", name, sign, key, '" ', tail),
+        text("export ", name, "=", key, "\n", tail),
+        text(lead, " Authorization: Bearer ", key, " ", tail),
+        text("curl -H 'Authorization: token ", key, "' https://", host, "/", path),
+        text("| ", lead, " | ", name, sign, key, '" | ', tail),
+        text(lead, " ", name, sign, mixed, '" ', tail),
+        text(lead, " ", name, sign, short, '" ', tail),
+        text(name, ": ", short, "\nport: ", number, " ", tail),
+        text('{"', name, '":"', key, '","', snake, '":"b"}'),
+        text("https://", host, "/", path, "?id=", number, "&", name, "=", key),
+        text(lead, " ", scheme, "://", user, ":", short, "@", host, "/db ", tail),
+        text("DATABASE_URL=", scheme, "://", user, ":", key, "@", host, " ", tail),
+        text("git clone https://", key, "@", host, "/", path, ".git"),
+        pem("PRIVATE KEY", "=="),
+        text(lead, " ", mixed, " ", tail),
     ]
     others = [
-        text("commit ", F.substring(hexes, 1, 40), " of the build"),
+        text("commit ", part(1, 40), " ", tail),
         text("the sha256 checksum is ", hexes, " for the file"),
-        text("order number ", F.substring(digits, 1, 16), " was"),
-        text("the and ", F.substring(digits, 1, 16), " of in"),
-        text("uuid = ", F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4), F.substring(hexes, 17, 4), F.substring(hexes, 21, 12)), " in"),
+        text("sha256:", hexes, " ", tail),
+        text("order number ", F.substring(digits, 1, 16), " ", tail),
+        text(lead, " ", F.substring(digits, 1, 16), " ", tail),
+        text(lead, ". ", F.substring(digits, 1, 18), ", ", tail),
+        text("uuid = ", uuid, " ", tail),
+        text(lead, " ", uuid, " ", tail),
         text("see /usr/lib/python", number, "/site-packages/module_", number, " there"),
-        text("at https://example.com/", F.substring(hexes, 1, 6), "/data/list_of_items_", number, " there"),
-        text(name, sign, "your_api_key_here_", number, '" in'),
-        text(name, sign, "xxxxxxxxxxxxxxxx", number, '" in'),
-        text(name, sign, "example_password_", number, '" in'),
+        text("at https://example.com/", part(1, 6), "/data/list_of_items_", number, " there"),
+        text("https://", host, "/", path, "/", dashed, " ", tail),
+        text(lead, " ", name, sign, "your_api_key_here_", number, '" ', tail),
+        text(lead, " ", name, sign, "xxxxxxxxxxxxxxxx", number, '" ', tail),
+        text(lead, " ", name, sign, "example_password_", number, '" ', tail),
         text("call get_user_from_table_", number, "_by_name in"),
-        text("the ", F.substring(hexes, 1, 40), " etag of that"),
-        text("and the ", name, sign, filler, '" was of that'),
-        text("in ", name, sign, filler, " to be"),
-        text('{"id":"', F.substring(hexes, 1, 20), '","order":"', F.substring(hexes, 21, 20), '"}'),
+        text("https://", host, "/20", F.substring(digits, 1, 2), "/", number, "/", dashed, "-", number, ".htm ", tail),
+        text(lead, " ", camel, "(", camel, ") ", tail),
+        text(lead, " ", snake, " = ", dashed, " ", tail),
+        text("open ", path, "/", snake, ".txt ", tail),
+        text("./", path, "/", camel, ".java:", number, " ", tail),
+        text("the ", part(1, 40), " etag of that"),
+        text("etag: ", part(1, 32), " ", tail),
+        text(lead, " ", name, sign, filler, '" ', tail),
+        text(name, "=", filler, "\n", tail),
+        text('{"id":"', part(1, 20), '","order":"', part(21, 20), '"}'),
+        text(lead, " ", scheme, "://user:password@", host, "/db ", tail),
+        text(lead, " ", scheme, "://", user, ":", filler, "@", host, " ", tail),
+        text("https://", host, ":8080/", path, " contact ", user, "@example.com"),
+        pem("CERTIFICATE", "=="),
+        pem("PUBLIC KEY", "=="),
+        text("docker pull ", F.substring(snake, 1, 12), ":", number, "-build-2024-01-", part(1, 4), "-", dashed),
+        text("data:image/png;base64,", base, "== ", tail),
     ]
-    all_of = [*[(x, True) for x in secrets for _ in range(3)], *[(x, False) for x in others]]
-    kind = F.pmod(F.col("doc_id"), F.lit(len(all_of)))
+    all_of = [*[(x, True) for x in secrets for _ in range(2)], *[(x, False) for x in others]]
+    row = F.pmod(F.col("doc_id"), F.lit(len(all_of)))
     made, label = F.lit(None).cast("string"), F.lit(False)
     for i, (x, secret) in enumerate(all_of):
-        made = F.when(kind == i, x).otherwise(made)
-        label = F.when(kind == i, F.lit(secret)).otherwise(label)
-    return made_of.select("doc_id", made.alias("text"), label.alias("secret"))
+        made = F.when(row == i, x).otherwise(made)
+        label = F.when(row == i, F.lit(secret)).otherwise(label)
+    return written(made_of.select("doc_id", made.alias("text"), label.alias("secret")), "findings")
 
 
 def train(labelled: DataFrame, *, trees: int = 30, depth: int = 8, rows: int = TRAINING_ROWS) -> RandomForestClassificationModel:
@@ -215,7 +303,7 @@ def train(labelled: DataFrame, *, trees: int = 30, depth: int = 8, rows: int = T
     found = features(candidates(labelled, keep=("secret",))).filter(F.col("secret").isNotNull())
     bounded = found.orderBy(F.xxhash64("text_key", "place", "nth")).limit(rows).withColumn("label", F.col("secret").cast("double"))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(bounded).select("vector", "label")
-    forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=trees, maxDepth=depth, seed=1)
+    forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=trees, maxDepth=depth, featureSubsetStrategy="0.5", seed=1)
     return forest.fit(vectors)
 
 

@@ -83,3 +83,58 @@ def test_findings_of_other_hands(spark):
     missed, wrong = [secret[i] for i in range(len(secret)) if i not in said], [(secret + other)[i] for i in sorted(said) if i >= len(secret)]
     print(len(missed), missed, len(wrong), wrong)
     assert len(missed) <= len(secret) * 0.2 and len(wrong) <= len(other) * 0.2
+
+
+def test_passwords_in_urls_key_lines_and_runs_of_letters(spark):
+    letters = "kQzWvRtYpLmNbXcZsDfGhJkLqWeRtYuI"
+    key = ["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "", "qwErTyuIop", "ab+/cd==", "-----END RSA PRIVATE KEY-----", "after it"]
+    texts = [
+        "postgres://bob:hunter2pass@db.host/x and http://host:80/a@b", "redis://:zk!q@h", f"https://u:a!{letters}@h", f"see {letters} here", "\n".join(key),
+        "\r\n".join(key), "-----BEGIN PRIVATE KEY----- stands here without an end", "-----BEGIN CERTIFICATE-----\nqwErTyuIop\n-----END CERTIFICATE-----",
+        "a" * 19, "-" * 30 + " " + "_/" * 20, "://" * 20_000 + ":" * 20_000 + "@", "-----BEGIN PRIVATE KEY-----\n" + "ab\n" * 3000 + "-----END PRIVATE KEY-----",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secret_scan.candidates(df).orderBy("doc_id", "place", "nth").collect()
+    assert [(r.doc_id, r.place, r.candidate, r.key_line) for r in found if r.doc_id < 10] == [
+        (0, 0, "hunter2pass", False), (1, 0, "zk!q", False), (2, 0, "a!", False), (2, 0, letters, False), (3, 1, letters, False),
+        (4, 6, "qwErTyuIop", True), (4, 7, "ab+/cd==", True), (5, 6, "qwErTyuIop", True), (5, 7, "ab+/cd==", True),
+    ]
+    assert [r.place for r in found if r.doc_id == 11] == list(range(3, 3003)) and all(r.key_line for r in found if r.doc_id == 11)
+
+
+def test_features_by_hand(spark):
+    """Each feature of two candidates, counted by hand."""
+    df = spark.createDataFrame([(0, "my secret is ftp://bob:Xy9zzzzbcdf@h/a. now"), (1, 'api_key="table/12-ABCD1234EF"')], "doc_id long, text string")
+    got = {r.doc_id: r.asDict() for r in secret_scan.features(secret_scan.candidates(df)).collect()}
+    one = {"length": 11, "digits": 1 / 11, "capitals": 1 / 11, "letters": 10 / 11, "distinct": 8 / 11, "transitions": 3 / 11, "slashes": 0, "url": 1, "named_near": 1, "quoted": 0, "one_char": 4 / 11, "separators": 0, "consonants": 8 / 11, "userinfo": 1, "block": 0}
+    two = {"length": 19, "digits": 6 / 19, "capitals": 6 / 19, "letters": 11 / 19, "dictionary": 5 / 19, "hex": 0, "slashes": 1, "url": 0, "named": 1, "other_near": 0, "assigned": 1, "quoted": 1, "one_char": 0, "separators": 2 / 19, "consonants": 0, "userinfo": 0}
+    for i, want in enumerate([one, two]):
+        assert {k: round(got[i][k], 9) for k in want} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_precision_and_recall_on_forms_of_other_hands(spark):
+    """Ten findings each of forms that the training set hasn't; the README has the shares."""
+    rng = random.Random(5)
+    some = string.ascii_letters + string.digits
+    pick = lambda n, of=some: "".join(rng.choice(of) for _ in range(n))
+    hexes = lambda n: pick(n, "0123456789abcdef")
+    b64 = lambda n: base64.b64encode(rng.randbytes(n)).decode()
+    word = lambda: rng.choice("quarterly report mountain weather engine committee border history kitchen museum planet orchestra".split())
+    secret = [
+        lambda: f"GITHUB_TOKEN: ghp_{pick(36)} # {word()}", lambda: f"aws_access_key_id = AKIA{pick(16, string.ascii_uppercase + string.digits)}", lambda: f"mongodb+srv://{word()}:{pick(12)}@cluster0.{word()}.mongodb.net/{word()}",
+        lambda: f"-----BEGIN PRIVATE KEY-----\n{b64(48)}\n{b64(48)}\n-----END PRIVATE KEY-----", lambda: f"client.secret={pick(32, string.ascii_letters)}", lambda: f"{word()} {{ password: '{pick(14)}' }}",
+        lambda: f"curl -u {word()} -H \"X-Auth-Token: {hexes(32)}\" {word()}.org", lambda: f"jdbc_password={pick(10)} {word()}", lambda: f"set the api key: {b64(33)} before the {word()}", lambda: f"const apiKey = '{pick(39)}';",
+    ]
+    other = [
+        lambda: f"the {word()} at github.com/{word()}/{word()}/blob/{hexes(40)}/{word()}.md", lambda: f"integrity sha512-{b64(64)} of {word()}", lambda: f"compareTheLongest{word().title()}Of{word().title()}First(x)", lambda: f"tracking number 1Z{pick(16, string.digits)} of the {word()}",
+        lambda: f"/home/{word()}/{word()}-{word()}/{word()}_{word()}/{word()}.cfg", lambda: f"id: {hexes(8)}-{hexes(4)}-{hexes(4)}-{hexes(4)}-{hexes(12)} {word()}", lambda: f"password: <{word()}>", lambda: f"the {word()}-{word()}-and-{word()}-{word()} of {pick(4, string.digits)}",
+        lambda: f"on {pick(18, string.digits)} the {word()} of the {word()}", lambda: f"https://{word()}.org/{word()}/2021/05/{word()}-{word()}-{word()}-{pick(5, string.digits)}.html",
+    ]
+    made = [(f(), True) for f in secret for _ in range(10)] + [(f(), False) for f in other for _ in range(10)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "doc_id long, text string")
+    forest = secret_scan.train(secret_scan.labelled_findings(spark))
+    said = {r.doc_id for r in secret_scan.scan(df, forest).filter("secret").collect()}
+    right = sum(made[i][1] for i in said)
+    missed, wrong = [t for i, (t, y) in enumerate(made) if y and i not in said], [made[i][0] for i in sorted(said) if not made[i][1]]
+    print("recall", right / 100, "precision", right / len(said), missed, wrong)
+    assert right / 100 >= 0.9 and right / len(said) >= 0.9
