@@ -85,6 +85,25 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text, F.length(text))
 
 
+# --- rows --------------------------------------------------------------------
+
+#: Copies of a row are dealt out in lots of so many.
+LOT = 1000
+
+
+def each_copy(rows: DataFrame, *key: str, lot_rows: int = LOT) -> DataFrame:
+    """Each row so often as its column ``copies`` says, without that column.
+
+    Lots of copies go to tasks by ``key`` and the lot's number, so the copies of a row that stands for a third of all
+    don't come out of one task.
+    """
+    last = F.floor((F.col("copies") - 1) / F.lit(lot_rows)).cast("int")
+    lots = rows.filter("copies > 0").withColumn("lot_of_copies", F.explode(F.sequence(F.lit(0), last)))
+    dealt = lots.repartition(*key, "lot_of_copies")
+    n = F.least(F.lit(lot_rows), F.col("copies") - F.col("lot_of_copies") * lot_rows).cast("int")
+    return dealt.withColumn("nth_copy", F.explode(F.sequence(F.lit(1), n))).drop("nth_copy", "lot_of_copies", "copies")
+
+
 # --- inside Arrow-batched functions -----------------------------------------
 
 

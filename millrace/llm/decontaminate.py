@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import alnum_words, gram_hashes, place_of, same_words, text_key, written
+from millrace.llm.common import alnum_words, each_copy, gram_hashes, place_of, same_words, text_key, written
 
 #: So many benchmark windows, and so many bytes of them, are broadcast at once.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
@@ -128,6 +128,39 @@ def contamination(
     ``broadcast_rows`` windows, or of more bytes than are broadcast, is looked
     up in parts, or joined by hash if these were more than MOST_PARTS.
     """
+    hits, whole, members = _hits(
+        documents, benchmark, window=window, share=share, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col, broadcast_rows=broadcast_rows
+    )
+    key = ["doc_id", "text_key"]
+    # Documents with the same sets of items share a list, which is made once for each combination of sets.
+    sets_of = hits.groupBy(*key).agg(F.array_sort(F.collect_set("items")).alias("sets"))
+    sets_of = written(sets_of.withColumn("combination", F.sha2(F.array_join(F.col("sets").cast("array<string>"), ","), 256)), "item-sets")
+    lists = written(item_lists(sets_of, members), "item-lists")
+    bytes_of = lists.agg(F.sum(F.octet_length(F.array_join("item_ids", ",")) + 32 * F.size("item_ids") + 96)).first()[0] or 0
+    lists = F.broadcast(lists) if bytes_of <= BROADCAST_BYTES else lists
+    of_document = sets_of.join(lists, "combination").select(*key, "item_ids")
+    result = _with_rows(whole, of_document)
+    item_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
+    result = result.select(
+        "doc_id",
+        "text_key",
+        "n_words",
+        "n_hit",
+        F.size(item_ids).cast("bigint").alias("n_items"),
+        item_ids.alias("item_ids"),
+        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+        "contaminated",
+        "copies",
+    )
+    return each_copy(result, "doc_id", "text_key")
+
+
+def _hits(
+    documents: DataFrame, benchmark: DataFrame, *, window: int = 13, share: int = 20, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The hits (doc_id, text_key, items), a row for all documents that agree in id and text
+    (doc_id, text_key, n_words, copies, spans, n_hit, contaminated), and what is in the sets of items."""
     grams, members = benchmark_windows(benchmark, window, item_col, item_text_col)
     grams = written(grams, "grams")
     size = F.sum(F.octet_length(F.array_join("gram", " ")) + 32 * F.size("gram") + 64)
@@ -160,26 +193,22 @@ def contamination(
     spans = spans.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"), F.sum(F.col("end") - F.col("start")).alias("n_hit")
     )
-    of_document = hits.select(*key, "items").distinct().join(members, "items").groupBy(*key).agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+    whole = _with_rows(whole, spans)
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
+    whole = whole.withColumn("n_hit", n_hit).withColumn("contaminated", (n_hit > 0) & (share * n_hit >= F.col("n_words")))
+    return hits.select(*key, "items"), whole, members
 
-    def with_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-        right = right.withColumnsRenamed({"doc_id": "i", "text_key": "k"})
-        return left.join(right, left["doc_id"].eqNullSafe(right["i"]) & (left["text_key"] == right["k"]), "left").drop("i", "k")
 
-    result = with_rows(with_rows(whole, spans), of_document)
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
-    item_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
-    return result.select(
-        "doc_id",
-        "text_key",
-        "n_words",
-        n_hit.alias("n_hit"),
-        F.size(item_ids).cast("bigint").alias("n_items"),
-        item_ids.alias("item_ids"),
-        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
-        ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+def _with_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    right = right.withColumnsRenamed({"doc_id": "i", "text_key": "k"})
+    return left.join(right, left["doc_id"].eqNullSafe(right["i"]) & (left["text_key"] == right["k"]), "left").drop("i", "k")
+
+
+def item_lists(sets_of: DataFrame, members: DataFrame) -> DataFrame:
+    """(combination, item_ids): the sorted items of each distinct combination of sets, however many documents have it."""
+    distinct = sets_of.groupBy("combination").agg(F.first("sets").alias("sets"))
+    each = distinct.select("combination", F.explode("sets").alias("items")).join(members, "items")
+    return each.groupBy("combination").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -189,7 +218,7 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, **options)
     and different texts are judged each.  Other columns may have any name.  An empty table, of documents or of
     benchmark items, removes nothing.
     """
-    bad = contamination(documents, benchmark, **options).filter("contaminated").select(
+    bad = _hits(documents, benchmark, **options)[1].filter("contaminated").select(
         F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")
     )
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")

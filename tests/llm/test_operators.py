@@ -87,6 +87,44 @@ def test_a_passage_common_to_all_items_is_listed_once(spark):
     same(got, ["doc_id", "n_words", "n_hit", "n_items", "ids", "contaminated"], list(contaminated(rows, items)))
 
 
+def test_documents_with_the_same_items_share_a_list(spark):
+    """A passage in all items and in all documents, which are of one text for the most part."""
+    rng = random.Random(14)
+    head = " ".join(words(rng, 30))
+    items = [(i, head + " " + " ".join(words(rng, 15))) for i in range(60)]
+    rows = [(i, head + " " + " ".join(words(rng, 5))) for i in range(200)] + [(7, items[3][1])] * 2500
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(df, bench)
+    got = found.withColumn("ids", F.sha2(F.array_join("item_ids", ","), 256))
+    same(got, ["doc_id", "n_words", "n_hit", "n_items", "ids", "contaminated"], list(contaminated(rows, items)))
+    hits, _, members = decontaminate._hits(df, bench)
+    sets_of = hits.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("items")).alias("sets")).withColumn("combination", F.col("sets").cast("string"))
+    # A word by chance behind the passage, as in an item, makes a combination of its own.
+    made = sets_of.select("combination").distinct().count()
+    assert sets_of.count() == 201 and decontaminate.item_lists(sets_of, members).count() == made < 20
+
+
+@pytest.mark.parametrize("partitions", [1, 16])
+def test_copies_come_out_of_many_tasks(spark, partitions):
+    rows = spark.createDataFrame([(1, 40_000), (2, 1), (None, 3), (3, 1000), (4, 1001)], "doc_id long, copies long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = common.each_copy(rows, "doc_id")
+        assert got.columns == ["doc_id"]
+        tasks = got.groupBy("doc_id", F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    counts = Counter()
+    for r in tasks:
+        counts[r.doc_id] += r["count"]
+    assert counts == {1: 40_000, 2: 1, None: 3, 3: 1000, 4: 1001}
+    hot = [r["count"] for r in tasks if r.doc_id == 1]
+    assert partitions == 1 or (len(hot) >= 12 and max(hot) <= 8000)
+
+
 def test_decontamination_of_nothing(spark, docs, empty, rows):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(empty, bench).count() == 0
