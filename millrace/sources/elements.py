@@ -265,13 +265,16 @@ class _Cutter:
 
 
 def _cutting(paths: list[tuple[str, ...]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names = ["file", "block", "kind", "place", "number", "closes", "text"]
+    names = ["file", "block", "kind", "place", "number", "closes", "text", "stretch"]
 
     def out(file: str, block: int, rows: list) -> pa.RecordBatch:
+        # Spark may parse a text before it looks at the kind: what is no whole element is in a column of its own.
         kind, place, number, closes, text = zip(*rows)
+        whole = [x if k == "element" and x.strip() else None for k, x in zip(kind, text)]
+        rest = [x if k != "element" else None for k, x in zip(kind, text)]
         return pa.record_batch([
             pa.array([file] * len(rows)), pa.array([block] * len(rows), pa.int64()), pa.array(kind), pa.array(place, pa.int64()),
-            pa.array(number, pa.int64()), pa.array(closes), pa.array(text, pa.binary()).cast(pa.string()),
+            pa.array(number, pa.int64()), pa.array(closes), *[pa.array(x, pa.binary()).cast(pa.string()) for x in (whole, rest)],
         ], names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,14 +316,14 @@ def read_elements(spark: SparkSession, path: str, paths: list[tuple[str, ...]],
         order = pieces.withColumn("order", F.monotonically_increasing_id()).join(starts, ["file", "block"])
         placed = order.repartition("file", "block").sortWithinPartitions("file", "block", "order")
     cut = written(placed.select("value", "file", "block", "within", "levels", "closed").mapInArrow(
-        _cutting(paths), "file string, block long, kind string, place long, number long, closes boolean, text string"), "elements")
+        _cutting(paths), "file string, block long, kind string, place long, number long, closes boolean, text string, stretch string"), "elements")
     in_order = Window.partitionBy("file").orderBy("block", "place")
     crossing = cut.filter("kind = 'crossing'").withColumn("piece", F.coalesce(F.sum(F.col("closes").cast("int")).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "place", "text"))), lambda x: x["text"]), "")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "place", "stretch"))), lambda x: x["stretch"]), "")
     end = F.max_by("block", F.struct("block", "place")).alias("block"), F.max_by("number", F.struct("block", "place")).alias("number")
     joined = crossing.groupBy("file", "piece").agg(text.alias("text"), *end)
-    whole = cut.filter("kind = 'element'").select("file", "block", "number", "text")
-    found = whole.unionByName(joined.select("file", "block", "number", "text")).filter(F.btrim("text", F.lit(" \t\r\n")) != "")
+    filled = F.when(F.btrim("text", F.lit(" \t\r\n")) != "", F.col("text")).alias("text")
+    found = cut.select("file", "block", "number", "text").unionByName(joined.select("file", "block", "number", filled)).filter("text IS NOT NULL")
     outlines = cut.filter("kind = 'around'").groupBy("file").agg(F.btrim(text, F.lit(" \t\r\n\ufeff")).alias("outline"))
     if not numbered:
         return found.select("file", "text"), outlines

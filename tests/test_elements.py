@@ -120,3 +120,11 @@ def test_node_dumps_in_ranges(spark, small_ranges, tmp_path):
     (tmp_path / "C.json").write_text('{"result": {"uuid": "a"}}')
     with pytest.raises(ValueError, match="no list of objects: C"):
         catalogue.node_dumps(spark, str(tmp_path))
+
+
+def test_edge_tables_in_ranges(spark, small_ranges, tmp_path):
+    rows = [{"values": [f"a{i}", " b}{", '}{"']} for i in range(400)]
+    (tmp_path / "r.json").write_text(json.dumps({"type": "TABLE", "result": {"headers": [{"name": "x"}, {"name": "y"}], "rows": rows}}))
+    found = catalogue.edge_tables(spark, str(tmp_path))  # its filter parses the rows
+    assert sorted((r.relation, r.u0, r.u1) for r in found.collect()) == sorted(("r", f"a{i}", " b}{") for i in range(400))
+    assert found.filter("u0 <> '' AND u1 <> ''").count() == 400
