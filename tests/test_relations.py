@@ -304,3 +304,9 @@ def test_distinct_values_are_counted_by_digests(spark):
     assert got == {"k": (len(texts), len(set(texts))), "l": (1, 1)}
     shuffled = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(type" in x and "d#" in x]
     assert shuffled and not any(" v#" in x for x in shuffled)
+
+
+def test_hubs_have_a_share_of_all_edges(spark):
+    rows = [("r", f"h{i % 2}", f"x{i}") for i in range(40)] + [("r", f"y{i}", f"z{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "relation string, u0 string, u1 string")
+    assert sorted(map(tuple, relations.hubs(df).collect())) == [("r", "h0"), ("r", "h1")]
