@@ -75,33 +75,33 @@ def _checked(outlines: DataFrame, fits: Column, message: str) -> DataFrame:
     return outlines
 
 
-def tables(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+def tables(spark: SparkSession, path: str, pattern: str = "*.json", folders: bool = False) -> DataFrame:
     """(stem, row, headers, values): the rows of report tables; row 0 is the first.  Tasks read ranges of large ones."""
-    rows, outlines = read_elements(spark, path, [("result", "rows")], pattern, numbered=True)
+    rows, outlines = read_elements(spark, path, [("result", "rows")], pattern, numbered=True, folders=folders)
     read = F.from_json("outline", TABLE, {"mode": "FAILFAST"})
     heads = outlines.select("file", F.transform(read["result"]["headers"], lambda h: h["name"]).alias("headers"))
     values = F.from_json("text", _ROW, {"mode": "FAILFAST"})["values"]
     return rows.join(heads, "file").select(stem(F.col("file")).alias("stem"), "row", "headers", F.transform(values, cell).alias("values"))
 
 
-def edge_tables(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+def edge_tables(spark: SparkSession, path: str, pattern: str = "*.json", folders: bool = False) -> DataFrame:
     """(relation, u0, u1): the first two values of each row that has two, of tables that have two headers.
 
     What isn't a TABLE, or has fewer headers, fails the job.  The stem is the relation.
     """
-    rows, outlines = read_elements(spark, path, [("result", "rows")], pattern)
+    rows, outlines = read_elements(spark, path, [("result", "rows")], pattern, folders=folders)
     read = F.from_json("outline", TABLE, {"mode": "FAILFAST"})
     _checked(outlines, (read["type"] == "TABLE") & (F.size(read["result"]["headers"]) >= 2), "not a table of two columns")
     values = rows.select("file", F.from_json("text", _ROW, {"mode": "FAILFAST"})["values"].alias("v")).filter(F.size("v") >= 2)
     return values.select(stem(F.col("file")).alias("relation"), cell(F.get("v", F.lit(0))).alias("u0"), cell(F.get("v", F.lit(1))).alias("u1"))
 
 
-def node_dumps(spark: SparkSession, path: str, item: str = "uuid string", pattern: str = "*.json") -> DataFrame:
+def node_dumps(spark: SparkSession, path: str, item: str = "uuid string", pattern: str = "*.json", folders: bool = False) -> DataFrame:
     """(type, item columns): the objects of node dumps, which are lists or have one under ``result``.
 
     Any other document fails the job.
     """
-    items, outlines = read_elements(spark, path, [(), ("result",)], pattern)
+    items, outlines = read_elements(spark, path, [(), ("result",)], pattern, folders=folders)
     under = F.schema_of_variant(F.variant_get(F.try_parse_json("outline"), "$.result", "variant")).startswith("ARRAY")
     _checked(outlines, F.try_parse_json("outline").isNotNull() & (F.col("outline").startswith("[") | under), "no list of objects")
     text, x = F.btrim("text", F.lit(" \t\r\n")), F.from_json("text", f"struct<{_fields(item)}>")

@@ -176,24 +176,28 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _followed(ranges: pd.DataFrame) -> pd.DataFrame:
-    """Where each range of a file begins: within a string or not, and in which brackets; the last one whether a brace ends it."""
-    ranges = ranges.sort_values("block")
-    file, within, levels, out = ranges.file.iloc[0], False, [], []
-    rest = int(ranges["size"].iloc[0]) - int(ranges["bytes"].sum())
-    braces = rest - 3 if rest > ranges.pieces.sum() + 1 else rest  # a byte-order mark isn't among the pieces
-    for r in ranges.itertuples():
-        out.append((file, r.block, within, json.dumps(levels), False))
-        side = r.inside if within else r.outside
+    """Where each range of a document's files begins: its number, within a string or not, and in which brackets; the last one of
+    a file whether a brace ends it.  Files follow each other by name."""
+    document, within, levels, out = ranges.file.min(), False, [], []
+    for _, own in ranges.sort_values(["file", "block"]).groupby("file", sort=True):
+        rest = int(own["size"].iloc[0]) - int(own["bytes"].sum())
+        braces = rest - 3 if rest > own.pieces.sum() + 1 else rest  # a byte-order mark isn't among the pieces
+        closed = bool(braces == own.pieces.sum())
         try:
-            levels = _applied(levels, (side["ended"], side["key"], [tuple(x) for x in json.loads(side["opened"])]))
+            for r in own.itertuples():
+                out.append((r.file, r.block, document, len(out), within, json.dumps(levels), False))
+                side = r.inside if within else r.outside
+                levels = _applied(levels, (side["ended"], side["key"], [tuple(x) for x in json.loads(side["opened"])]))
+                within = side["within"]
+            last = levels
+            if closed:
+                levels = _applied(levels, _Text(b"}", within).effect())
+                out[-1] = (*out[-1][:-1], True)
         except ValueError as e:
-            raise ValueError(f"not a JSON document: {file}") from e
-        within = side["within"]
-    closed = braces == ranges.pieces.sum()
-    if within or len(levels) != closed or (closed and levels[0][0] != "{"):
-        raise ValueError(f"not a JSON document, it ends too early: {file}")
-    out[-1] = (*out[-1][:-1], bool(closed))
-    return pd.DataFrame(out, columns=["file", "block", "within", "levels", "closed"])
+            raise ValueError(f"not a JSON document: {document}") from e
+    if within or levels or (closed and last[0][0] != "{"):
+        raise ValueError(f"not a JSON document, it ends too early: {document}")
+    return pd.DataFrame(out, columns=["file", "block", "document", "at", "within", "levels", "closed"])
 
 
 class _Cutter:
@@ -278,22 +282,23 @@ def _cutting(paths: list[tuple[str, ...]]) -> Callable[[Iterator[pa.RecordBatch]
         ], names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = closed = None
-        for file, block, batch, text in _ranges(batches):
+        cutter = closed = place = None
+        for _, block, batch, text in _ranges(batches):
             if batch is not None:
                 if cutter is None:
                     first = batch.slice(0, 1).to_pylist()[0]
                     cutter, closed = _Cutter(block, first["within"], json.loads(first["levels"]), paths), first["closed"]
+                    place = first["document"], first["at"]
                 cutter.feed(text)
                 done = [r for r in cutter.rows if r[0] == "element"]
                 if len(done) > 1000:
-                    yield out(file, block, done)
+                    yield out(*place, done)
                     # what crosses stays; places only order those
                     cutter.rows = [r for r in cutter.rows if r[0] != "element"]
             else:
                 if closed:
                     cutter.feed(b"}")
-                yield out(file, block, cutter.finish())
+                yield out(*place, cutter.finish())
                 cutter = None
 
     return cut
@@ -302,20 +307,24 @@ def _cutting(paths: list[tuple[str, ...]]) -> Callable[[Iterator[pa.RecordBatch]
 # --- the reader --------------------------------------------------------------
 
 
-def read_elements(spark: SparkSession, path: str, paths: list[tuple[str, ...]], pattern: str = "*.json", numbered: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_elements(spark: SparkSession, path: str, paths: list[tuple[str, ...]], pattern: str = "*.json", numbered: bool = False, folders: bool = False) -> tuple[DataFrame, DataFrame]:
     """The elements (file, text, with ``numbered`` their number from 0 too) of the array that each file of the pattern holds at one
-    of ``paths``, keys from the root, and the outlines (file, outline): the document with that array empty."""
+    of ``paths``, keys from the root, and the outlines (file, outline): the document with that array empty.  With ``folders`` the files in a folder
+    stem=<name> make up one document, one after the other by name, as ``write_document`` writes them; ``file`` is the first."""
     read = spark.read.option("lineSep", "}").option("pathGlobFilter", pattern).text(path)
     meta = lambda name: F.col(f"_metadata.{name}")
     pieces = read.select("value", meta("file_path").alias("file"), meta("file_block_start").alias("block"), meta("file_size").alias("size"))
-    starts = pieces.mapInArrow(_summed, _SUMMARY).groupBy("file").applyInPandas(_followed, "file string, block long, within boolean, levels string, closed boolean")
+    together = F.col("file").rlike("/stem=[^/]+/[^/]+$") & F.lit(folders)
+    document = F.when(together, F.regexp_replace("file", "/[^/]+$", "")).otherwise(F.col("file")).alias("of")
+    starts = pieces.mapInArrow(_summed, _SUMMARY).groupBy(document).applyInPandas(
+        _followed, "file string, block long, document string, at long, within boolean, levels string, closed boolean")
     starts = written(starts, "ranges")
     if starts.count() <= SENT:
         placed = pieces.join(F.broadcast(starts), ["file", "block"])
     else:
         order = pieces.withColumn("order", F.monotonically_increasing_id()).join(starts, ["file", "block"])
         placed = order.repartition("file", "block").sortWithinPartitions("file", "block", "order")
-    cut = written(placed.select("value", "file", "block", "within", "levels", "closed").mapInArrow(
+    cut = written(placed.select("value", "file", "block", "document", "at", "within", "levels", "closed").mapInArrow(
         _cutting(paths), "file string, block long, kind string, place long, number long, closes boolean, text string, stretch string"), "elements")
     in_order = Window.partitionBy("file").orderBy("block", "place")
     crossing = cut.filter("kind = 'crossing'").withColumn("piece", F.coalesce(F.sum(F.col("closes").cast("int")).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

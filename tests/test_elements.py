@@ -128,3 +128,14 @@ def test_edge_tables_in_ranges(spark, small_ranges, tmp_path):
     found = catalogue.edge_tables(spark, str(tmp_path))  # its filter parses the rows
     assert sorted((r.relation, r.u0, r.u1) for r in found.collect()) == sorted(("r", f"a{i}", " b}{") for i in range(400))
     assert found.filter("u0 <> '' AND u1 <> ''").count() == 400
+
+
+def test_documents_of_several_files(spark, small_ranges, tmp_path):
+    rows = spark.range(900).select("id", F.concat(F.lit('{"values":["a'), "id", F.lit('","}{"]}')).alias("value"))
+    head = F.lit('{"type":"TABLE","result":{"headers":[{"name":"x"},{"name":"y"}],"rows":[')
+    catalogue.write_document(catalogue.in_parts(rows, ["id"], head, "]}}"), str(tmp_path / "stem=r"), 5)
+    assert len(list((tmp_path / "stem=r").glob("*.txt"))) > 1
+    found = catalogue.tables(spark, str(tmp_path), "*.txt", folders=True).collect()
+    assert sorted((r.stem, r.row, *r["values"]) for r in found) == [("r", i, f"a{i}", "}{") for i in range(900)]
+    with pytest.raises(Exception, match="not a JSON document"):
+        catalogue.tables(spark, str(tmp_path), "*.txt").collect()
