@@ -32,8 +32,9 @@ def _by_side(rows: DataFrame, columns: list[str], names: dict[str, str]) -> Data
 def relation_lists(edge_rows: DataFrame, members: DataFrame) -> dict[str, DataFrame]:
     """The whole lists of all relations, an entry a row, with its ``rank`` from 1 in its list: ``multi_islands`` (by
     relation), ``side_islands`` (by relation and side) and ``parallel_pairs`` (by relation)."""
-    pairs = written(relations.pair_counts(edge_rows, members), "pairs")
-    found = written(islands.sizes(islands.components(pairs, members), written(relations.degrees(pairs), "degrees")), "islands")
+    roles = relations.numbered_roles(members)
+    pairs = written(relations.numbered_pairs(edge_rows, roles), "pairs")
+    found = written(islands.sizes_of(pairs, roles), "islands")
     return {
         "multi_islands": ranked(islands.multi_islands(found).drop("total_nodes"), ["relation"], [F.desc("size_total"), F.asc("island")]),
         "side_islands": ranked(islands.side_multi(islands.side_islands(found)).drop("total_nodes"), ["relation", "side"], [F.desc("size"), F.asc("island")]),
@@ -51,9 +52,10 @@ def relation_profiles(
     Degrees are null without edges; lists are empty where there is nothing to list.
     """
     kinds = entries.select(F.col("technicalName").alias("relation"), "source_type", "target_type")
-    pairs, totals = relations.pairs_and_totals(edge_rows, members)
-    degree_rows = written(relations.degrees(pairs), "degrees")
-    stats = relations.pair_stats(pairs, totals, kinds, degree_rows)
+    roles = relations.numbered_roles(members)
+    pairs = written(relations.numbered_pairs(edge_rows, roles), "pairs")
+    degree_rows = written(relations.numbered_degrees(pairs), "degrees")
+    stats = relations.pair_stats(pairs, relations.role_totals(roles), kinds, degree_rows)
     more = relations.edge_summary(pairs).select("relation", "parallel_edges", "parallel_max")
 
     d = relations.degree_distribution(degree_rows)
@@ -62,11 +64,13 @@ def relation_profiles(
 
     if names is None:
         names = degree_rows.select("uuid", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("code")).limit(0)
-    top = relations.top_nodes(degree_rows, names, k)
+    ids = relations.vertices(roles).select("v", F.col("uuid").alias("id"))
+    named = degree_rows.join(ids, "v", "left").select("relation", "side", F.coalesce("uuid", "id").alias("uuid"), "degree")
+    top = relations.top_nodes(named, names, k)
     top = _listed(top, ["relation", "side"], [F.col("rank")], F.struct("uuid", "degree", "name", "code"), "top", k)
     top = _by_side(top, ["top"], {"s": "source", "t": "target"})
 
-    found = written(islands.sizes(islands.components(pairs, members), degree_rows), "islands")
+    found = written(islands.sizes_of(pairs, roles), "islands")
     size, fraction = F.col("size_total"), F.col("fraction_total")
     entry = F.struct(size, "size_source", "size_target", fraction, "top_source_uuid", "top_source_degree", "top_target_uuid", "top_target_degree")
     multi = _listed(islands.multi_islands(found), ["relation"], [F.desc("size_total"), F.col("island")], entry, "multi_islands", most)

@@ -310,3 +310,51 @@ def test_hubs_have_a_share_of_all_edges(spark):
     rows = [("r", f"h{i % 2}", f"x{i}") for i in range(40)] + [("r", f"y{i}", f"z{i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "relation string, u0 string, u1 string")
     assert sorted(map(tuple, relations.hubs(df).collect())) == [("r", "h0"), ("r", "h1")]
+
+
+@pytest.mark.parametrize("sent, hub", [(10**6, 0.001), (0, 0.9), (0, 0.02)])
+def test_islands_by_numbers_are_those_by_ids(spark, monkeypatch, sent, hub):
+    """Roles sent, shuffled without hubs, and with them; loops, repeats, both directions and unknown ends."""
+    monkeypatch.setattr(relations, "SENT", sent)
+    monkeypatch.setattr(relations, "HUB", hub)
+    rng = random.Random(3)
+    ids = [f"{i:02}" for i in range(60)]
+    rows = [(r, rng.choice(ids), rng.choice(["00", *ids, "?"])) for r in "pq" for _ in range(45)] + [("q", "00", x) for x in ids[30:50]] + [("q", "05", "05")] * 3
+    df = relations.edges(spark.createDataFrame(rows + rows[:30], "relation string, u0 string, u1 string"))
+    known = spark.createDataFrame([(r, s, x) for r in "pqz" for s in "st" for x in ids if s == "s" or r != "p" or x < "40"], MEMBER).cache()
+    roles = relations.numbered_roles(known)
+    pairs = relations.numbered_pairs(df, roles).cache()
+    own = {(r.relation, r.side, r.uuid): r.v for r in relations.vertices(roles).collect()}
+    oriented = Counter((r.relation, r.s, r.t) for r in relations.orient(df, known).collect())
+    assert {(r.relation, r.s, r.t): r.n for r in pairs.collect()} == oriented
+    assert all((r.sv, r.tv) == (own.get((r.relation, "s", r.s)), own.get((r.relation, "t", r.t))) for r in pairs.collect())
+    links = relations.numbered_links(df, roles).cache()
+    assert links.groupBy("relation", "sv", "tv").agg(F.sum("n")).exceptAll(pairs.groupBy("relation", "sv", "tv").agg(F.sum("n"))).count() == 0
+    tagged = islands.components(pairs, known).cache()
+    want = sorted(map(tuple, islands.sizes(tagged, relations.degrees(pairs)).collect()), key=str)
+    for given in (links, pairs):
+        assert sorted(map(tuple, islands.components_of(given, roles).collect())) == sorted(map(tuple, tagged.collect()))
+        assert sorted((tuple(r[c] for c in ("relation", "island")) + tuple(r[2:]) for r in islands.sizes_of(given, roles).collect()), key=str) == want
+        counts = islands.counts_of(given, roles)
+        sides = islands.side_summary(islands.side_islands(islands.sizes_of(given, roles)))
+        assert sorted(map(tuple, islands.both_summaries(counts).collect())) == sorted(map(tuple, sides.collect()))
+
+
+def test_stars_leave_no_links(spark, monkeypatch):
+    """Their leaves join at once, on whichever side they are; only links of other shapes are contracted."""
+    seen = []
+    monkeypatch.setattr(islands, "connected_components", lambda links, *ends: seen.append(links.count()) or connected_components(links, *ends))
+    rows = [("p", f"c{i % 5}", f"o{i}") for i in range(60)] + [("q", f"o{i}", f"c{i % 5}") for i in range(60)]
+    df = spark.createDataFrame(rows, "relation string, u0 string, u1 string")
+    mem = [(r, s, x) for r, kinds in (("p", "co"), ("q", "oc")) for s, k in zip("st", kinds) for x in {e for row in rows for e in row[1:] if e[0] == k}]
+    roles = relations.numbered_roles(spark.createDataFrame(mem, MEMBER))
+    found = islands.sizes_of(relations.numbered_links(df, roles), roles).collect()
+    assert seen == [0] and sorted(r.size_total for r in found) == [13] * 10
+
+
+def test_edges_are_shuffled_once_for_each_end(spark, many_roles):
+    """Links without hubs: two shuffles of the edges, no sort of ids."""
+    df, known = edges(spark, [(f"s{i}", f"t{i % 7}") for i in range(20_000)]), members(spark, [f"s{i}" for i in range(20_000)], [f"t{i}" for i in range(2000)])
+    links = relations.numbered_links(df, relations.numbered_roles(known))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") <= 4 and "SortMergeJoin" not in plan
