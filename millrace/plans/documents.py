@@ -33,11 +33,12 @@ def relation_lists(edge_rows: DataFrame, members: DataFrame) -> dict[str, DataFr
     """The whole lists of all relations, an entry a row, with its ``rank`` from 1 in its list: ``multi_islands`` (by
     relation), ``side_islands`` (by relation and side) and ``parallel_pairs`` (by relation)."""
     roles = relations.numbered_roles(members)
-    pairs = written(relations.numbered_pairs(edge_rows, roles), "pairs")
-    found = written(islands.sizes_of(pairs, roles), "islands")
+    pairs = written(relations.bare(relations.numbered_pairs(edge_rows, roles), several=True), "pairs")
+    found = written(islands.linked_sizes_of(pairs, roles), "islands")
+    totals = written(relations.role_totals(roles), "totals")
     return {
-        "multi_islands": ranked(islands.multi_islands(found).drop("total_nodes"), ["relation"], [F.desc("size_total"), F.asc("island")]),
-        "side_islands": ranked(islands.side_multi(islands.side_islands(found)).drop("total_nodes"), ["relation", "side"], [F.desc("size"), F.asc("island")]),
+        "multi_islands": ranked(islands.multi_islands(found, totals).drop("total_nodes"), ["relation"], [F.desc("size_total"), F.asc("island")]),
+        "side_islands": ranked(islands.side_multi(islands.side_islands(found), totals).drop("total_nodes"), ["relation", "side"], [F.desc("size"), F.asc("island")]),
         "parallel_pairs": relations.parallel_pairs(pairs),
     }
 
@@ -53,7 +54,7 @@ def relation_profiles(
     """
     kinds = entries.select(F.col("technicalName").alias("relation"), "source_type", "target_type")
     roles = relations.numbered_roles(members)
-    pairs = written(relations.numbered_pairs(edge_rows, roles), "pairs")
+    pairs = written(relations.bare(relations.numbered_pairs(edge_rows, roles), several=True), "pairs")
     degree_rows = written(relations.numbered_degrees(pairs), "degrees")
     stats = relations.pair_stats(pairs, relations.role_totals(roles), kinds, degree_rows)
     more = relations.edge_summary(pairs).select("relation", "parallel_edges", "parallel_max")
@@ -70,14 +71,15 @@ def relation_profiles(
     top = _listed(top, ["relation", "side"], [F.col("rank")], F.struct("uuid", "degree", "name", "code"), "top", k)
     top = _by_side(top, ["top"], {"s": "source", "t": "target"})
 
-    found = written(islands.sizes_of(pairs, roles), "islands")
+    found = written(islands.linked_sizes_of(pairs, roles), "islands")
+    totals = written(relations.role_totals(roles), "totals")
     size, fraction = F.col("size_total"), F.col("fraction_total")
     entry = F.struct(size, "size_source", "size_target", fraction, "top_source_uuid", "top_source_degree", "top_target_uuid", "top_target_degree")
-    multi = _listed(islands.multi_islands(found), ["relation"], [F.desc("size_total"), F.col("island")], entry, "multi_islands", most)
+    multi = _listed(islands.multi_islands(found, totals), ["relation"], [F.desc("size_total"), F.col("island")], entry, "multi_islands", most)
     of_side = islands.side_islands(found)
     entry = F.struct("size", "fraction", "size_total", "top_uuid", "top_degree")
-    side_multi = _listed(islands.side_multi(of_side), ["relation", "side"], [F.desc("size"), F.col("island")], entry, "multi", most)
-    side = islands.side_summary(of_side).join(side_multi, ["relation", "side"], "left")
+    side_multi = _listed(islands.side_multi(of_side, totals), ["relation", "side"], [F.desc("size"), F.col("island")], entry, "multi", most)
+    side = islands.side_summary(of_side, totals).join(side_multi, ["relation", "side"], "left")
     none = lambda c, kind: F.coalesce(c, F.array().cast(kind))
     side_kind = "array<struct<size:bigint,fraction:double,size_total:bigint,top_uuid:string,top_degree:bigint>>"
     counts = ["total_nodes", "total_islands", "singleton_islands"]
@@ -88,7 +90,7 @@ def relation_profiles(
     detail = _listed(detail, ["relation"], [F.col("rank")], F.struct(F.col("s").alias("source"), F.col("t").alias("target"), F.col("n").alias("count")), "parallel_pairs_detail", most)
 
     j = stats.join(more, "relation", "left").join(d, "relation", "left").join(top, "relation", "left")
-    j = j.join(islands.summary(found), "relation", "left").join(multi, "relation", "left").join(side, "relation", "left")
+    j = j.join(islands.summary(found, totals), "relation", "left").join(multi, "relation", "left").join(side, "relation", "left")
     j = j.join(detail, "relation", "left")
     m = entries.select(F.col("technicalName").alias("m"), "name", "description", "engDescription", "type", "source_name", "target_name", "sourceCardinality", "targetCardinality")
     j = j.join(m, F.col("relation") == F.col("m"))

@@ -1,6 +1,7 @@
 """Relations, islands and profiles on hand-made and random inputs."""
 
 import random
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -358,3 +359,47 @@ def test_edges_are_shuffled_once_for_each_end(spark, many_roles):
     links = relations.numbered_links(df, relations.numbered_roles(known))
     plan = links._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") - plan.count("BroadcastExchange") <= 4 and "SortMergeJoin" not in plan
+
+
+def test_ends_of_edges_are_made_once(spark):
+    """The filter on empty ends comes after the ends are stripped, and doesn't make them from the raw columns again."""
+    rows = [(" a\u2003", "\u3000"), (None, " b "), ("\t", "c"), ("", "d"), (" e", "f\n")]
+    raw = spark.createDataFrame([("R", *r) for r in rows], "relation string, u0 string, u1 string")
+    found = relations.edges(raw)
+    assert sorted(map(tuple, found.collect())) == [("R", "None", "b"), ("R", "e", "f")]
+    filters = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x]
+    assert filters and not any("trim" in x for x in filters)
+
+
+def test_tasks_of_pair_counts_follow_the_rows(spark, many_roles, monkeypatch):
+    """Not the setting, as a task's hash tables cost the same for few rows; more roles or edges have more tasks."""
+    df, known = edges(spark, [(f"s{i}", f"t{i % 7}") for i in range(500)]), members(spark, [f"s{i}" for i in range(500)], [f"t{i}" for i in range(7)])
+    roles = relations.numbered_roles(known)
+    monkeypatch.setattr(relations, "HUB", 0.9)
+    parts = lambda: {int(n) for n in re.findall(r"hashpartitioning\(relation[^)]*, (\d+)\), REPARTITION", relations.numbered_pairs(df, roles)._jdf.queryExecution().executedPlan().toString())}
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        assert parts() == {16}
+        monkeypatch.setattr(relations, "HELD", 10)
+        assert parts() == {51}
+        monkeypatch.setattr(relations, "COUNTED", 5)
+        assert parts() == {100}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_islands_of_one_are_counted_from_totals(spark):
+    """Nodes without links have no row, in relations with edges, with edges to unknown ends alone, and without edges."""
+    df = spark.createDataFrame([("p", "a", "x"), ("p", "b", "x"), ("p", "c", "?"), ("p", "a", "x"), ("q", "a", "?")], "relation string, u0 string, u1 string")
+    known = spark.createDataFrame([(r, s, x) for r in "pqz" for s, ids in (("s", "abcd"), ("t", "xyz")) for x in ids if (r, s) != ("z", "t")], MEMBER)
+    roles = relations.numbered_roles(known)
+    pairs = relations.bare(relations.numbered_pairs(df, roles), several=True).cache()
+    assert {(r.s, r.t) for r in pairs.filter("relation = 'p'").collect()} == {("a", "x"), (None, None), (None, "?")}
+    every, linked, totals = islands.sizes_of(pairs, roles).cache(), islands.linked_sizes_of(pairs, roles).cache(), relations.role_totals(roles)
+    assert linked.count() == 1 and every.count() == 16
+    rows = lambda x: sorted(map(tuple, x.collect()))
+    side, of = islands.side_islands(every), islands.side_islands(linked)
+    assert rows(islands.summary(linked, totals)) == rows(islands.summary(every))
+    assert rows(islands.side_summary(of, totals)) == rows(islands.side_summary(side))
+    assert rows(islands.multi_islands(linked, totals)) == rows(islands.multi_islands(every))
+    assert rows(islands.side_multi(of, totals)) == rows(islands.side_multi(side))
